@@ -34,43 +34,77 @@ GRAM = 8
 STRIDE = 8
 
 
-def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int, step: int) -> DataFrame:
-    h = F.col(hcol)
-    n = F.char_length(h)
-    positions = F.when(n >= q, F.sequence(F.lit(0), n - q, F.lit(step)))
-    grams = F.array_distinct(F.transform(positions, lambda p: F.substr(h, p + 1, F.lit(q))))
+def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int | Sequence[int], step: int) -> DataFrame:
+    """Distinct q-grams at positions 0, step, 2*step, ... (while p + q <= length),
+    for one gram length or several.
+
+    One linear regex scan per row and length: the lookahead captures q
+    characters, the match then consumes ``step`` (``step <= q``, so a
+    captured gram always leaves room for the step).  Per-position ``substr``
+    would be quadratic on long texts: UTF-8 code point offsets are found by
+    scanning from the start."""
+    qs = [q] if isinstance(q, int) else list(q)
+    arrays = []
+    for k in qs:
+        assert 1 <= step <= k
+        arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s)(?=(.{{{k}}})).{{{step}}}"), F.lit(1)))
+    grams = F.array_distinct(arrays[0] if len(arrays) == 1 else F.concat(*arrays))
     return hays.select(*hk, F.explode(grams).alias("_bs_g"))
 
 
+def needle_stats(needles: DataFrame, ncol: str, q: int = GRAM, s: int = STRIDE,
+                 by: str | None = None) -> dict:
+    """One aggregate job: per block (``by``) the number of long needles and the
+    distinct short key lengths (at most q values)."""
+    m = F.char_length(F.col(ncol))
+    short = (m > 0) & (m < q + s - 1)
+    aggs = [F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias("n_long"),
+            F.sum(F.when(short, 1).otherwise(0)).alias("n_short"),
+            F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("lengths")]
+    rows = (needles.groupBy(by).agg(*aggs) if by else needles.agg(*aggs)).collect()
+    return {(r[by] if by else None): (r["n_long"] or 0, r["n_short"] or 0, sorted(r["lengths"])) for r in rows}
+
+
+def _maybe_broadcast(df: DataFrame, rows_upper_bound: int, max_rows: int) -> DataFrame:
+    return F.broadcast(df) if rows_upper_bound <= max_rows else df
+
+
 def contains_candidates(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame,
                         hk: Sequence[str], hcol: str, q: int = GRAM, s: int = STRIDE,
-                        max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                        stats: tuple[int, int, list[int]] | None = None,
+                        max_broadcast_rows: int = 2_000_000) -> DataFrame | None:
     """Distinct (nk..., hk...) pairs: a superset of the pairs where the
-    non-empty needle ``ncol`` occurs in ``hcol``."""
+    non-empty needle ``ncol`` occurs in ``hcol``.  ``stats`` (from
+    ``needle_stats``) sizes the broadcast decision; None when no needle."""
+    if stats is None:
+        stats = next(iter(needle_stats(needles, ncol, q, s).values()))
+    n_long, n_short, lengths = stats
     m = F.char_length(F.col(ncol))
-    long_min = q + s - 1
     parts = []
 
-    # long needles: s grams each, sparse haystack sampling
-    long_grams = (
-        needles.filter(m >= long_min)
-        .select(*nk, F.explode(F.transform(F.sequence(F.lit(0), F.lit(s - 1)),
-                                           lambda o: F.substr(F.col(ncol), o + 1, F.lit(q)))).alias("_bs_g"))
-        .distinct()
-    )
-    parts.append(
-        _hay_grams(hays, hk, hcol, q, s).join(bounded_broadcast(long_grams, max_broadcast_rows), "_bs_g")
-    )
-
-    # short needles: prefix key, dense haystack grams for each key length used
-    short = needles.filter((m > 0) & (m < long_min)).select(
-        *nk, F.least(m, F.lit(q)).alias("_bs_k"), F.substr(F.col(ncol), F.lit(1), F.least(m, F.lit(q))).alias("_bs_g")
-    )
-    lengths = sorted(r[0] for r in short.select("_bs_k").distinct().collect())  # at most q values
-    for k in lengths:
-        keys = short.filter(F.col("_bs_k") == k).select(*nk, "_bs_g").distinct()
-        parts.append(_hay_grams(hays, hk, hcol, k, 1).join(bounded_broadcast(keys, max_broadcast_rows), "_bs_g"))
-
+    if n_long:
+        # long needles: s grams each, sparse haystack sampling
+        long_grams = (
+            needles.filter(m >= q + s - 1)
+            .select(*nk, F.explode(F.transform(F.sequence(F.lit(0), F.lit(s - 1)),
+                                               lambda o: F.substr(F.col(ncol), o + 1, F.lit(q)))).alias("_bs_g"))
+            .distinct()
+        )
+        parts.append(_hay_grams(hays, hk, hcol, q, s).join(
+            _maybe_broadcast(long_grams, n_long * s, max_broadcast_rows), "_bs_g"))
+
+    # short needles: prefix key of length k = min(m, q); the haystack emits
+    # every k-gram for the few k in use, all in one explode (a gram's length
+    # is part of its value, so one join serves every k)
+    if lengths:
+        k = F.least(m, F.lit(q))
+        keys = needles.filter((m > 0) & (m < q + s - 1)).select(
+            *nk, F.substr(F.col(ncol), F.lit(1), k).alias("_bs_g")).distinct()
+        parts.append(_hay_grams(hays, hk, hcol, lengths, 1).join(
+            _maybe_broadcast(keys, n_short, max_broadcast_rows), "_bs_g"))
+
+    if not parts:
+        return None
     return reduce(DataFrame.unionByName, [p.select(*nk, *hk) for p in parts]).distinct()
 
 
@@ -89,6 +123,8 @@ def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataF
     n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
     h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
     cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s)
+    if cand is None:
+        return n.select(*nk).join(h.select(*hk), F.lit(False))  # empty, typed
     return (
         cand.join(n, list(nk)).join(h, list(hk))
         .filter(F.col("_bs_hay").contains(F.col("_bs_needle")))
@@ -101,6 +137,8 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
     """Per haystack row: the least ``needle_id`` whose text it contains
     (haystacks with no contained needle are absent)."""
     out = out or needle_id
+    # identical needle texts match identically: keep the least id per text
+    needles = needles.groupBy(ncol).agg(F.min(needle_id).alias(needle_id))
     pairs = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s)
     best = pairs.groupBy(hay_id).agg(F.min(needle_id).alias(out))
     # an empty needle is in every non-null haystack: a scalar subquery
@@ -126,12 +164,14 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     out = out or build_id
     ncols = [p for p, _ in pairs]
     tuples = probe.select(*ncols).dropna().distinct()
-    bcols = build.select(build_id, *[F.col(b) for _, b in pairs])
+    hcols = [f"_bs_h_{i}" for i in range(len(pairs))]
+    # identical build tuples match identically: keep the least id per tuple
+    bcols = build.select(build_id, *[F.col(b).alias(h) for (_, b), h in zip(pairs, hcols)]).groupBy(*hcols).agg(
+        F.min(build_id).alias(build_id))
 
     if match == "exact":
-        cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(f"_bs_b_{i}") for i, (p, _) in enumerate(pairs)])
-        b = build.select(build_id, *[F.col(c).alias(f"_bs_b_{i}") for i, (_, c) in enumerate(pairs)])
-        best = tuples.join(b, cond).groupBy(*ncols).agg(F.min(build_id).alias(out))
+        cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])
+        best = tuples.join(bcols, cond).groupBy(*ncols).agg(F.min(build_id).alias(out))
     elif match == "contains":
         # block each tuple on its longest needle (first such pair on ties):
         # the most selective gram key; all pairs are verified afterwards
@@ -141,22 +181,34 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
         for i in reversed(range(len(pairs))):
             chosen = F.when(lens[i] == longest, F.lit(i)).otherwise(chosen)
         keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
+        # one job sizes every block: long-needle counts and short key lengths
+        per_block = {}
+        for i, (needle, _) in enumerate(pairs):
+            blk = keyed.filter(F.col("_bs_blk") == i)
+            per_block[i] = blk.select(F.col(needle).alias("_bs_n"), F.lit(i).alias("_bs_blk"))
+        stats = needle_stats(reduce(DataFrame.unionByName, per_block.values()), "_bs_n", q, s, by="_bs_blk")
         groups = []
-        for i, (needle, hay) in enumerate(pairs):
+        for i, (needle, _) in enumerate(pairs):
+            if i not in stats:
+                continue
             sel = keyed.filter(F.col("_bs_blk") == i).drop("_bs_blk")
-            groups.append(contains_candidates(sel, ncols, needle, bcols, [build_id], hay, q, s))
-        cand = reduce(DataFrame.unionByName, groups).distinct()
-        earlier_empty = longest == 0
-        verified = (
-            cand.join(tuples, ncols).join(bcols.select(build_id, *[F.col(h).alias(f"_bs_h_{i}") for i, (_, h) in enumerate(pairs)]), build_id)
-            .filter(_all_contained([(n, f"_bs_h_{i}") for i, (n, _) in enumerate(pairs)]))
-        )
-        best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
+            c = contains_candidates(sel, ncols, needle, bcols, [build_id], hcols[i], q, s, stats=stats[i])
+            if c is not None:
+                groups.append(c)
+        best = None
+        if groups:
+            cand = reduce(DataFrame.unionByName, groups).distinct()
+            verified = (
+                cand.join(tuples, ncols).join(bcols, build_id)
+                .filter(_all_contained([(n, h) for (n, _), h in zip(pairs, hcols)]))
+            )
+            best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
         # all needles empty: every build row with non-null columns matches
-        all_empty = tuples.filter(earlier_empty)
-        nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for _, h in pairs])
-        least = build.filter(nonnull).agg(F.min(build_id)).scalar()
-        best = best.unionByName(all_empty.withColumn(out, least).filter(F.col(out).isNotNull()))
+        all_empty = tuples.filter(longest == 0)
+        nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
+        least = bcols.filter(nonnull).agg(F.min(build_id)).scalar()
+        empty_best = all_empty.withColumn(out, least).filter(F.col(out).isNotNull())
+        best = empty_best if best is None else best.unionByName(empty_best)
     else:
         raise ValueError(f"unknown match mode {match!r}")
 
