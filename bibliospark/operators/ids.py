@@ -55,11 +55,15 @@ def dim_first_seen(df: DataFrame, col: str, order_col: str, id_name: str, name_n
     )
 
 
-def dim_per_row(df: DataFrame, col: str, order: Sequence[OrderSpec], id_name: str, name_name: str) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY col) , col`` over *all* rows (the
-    reference's dimension form: one row per input row)."""
-    spec = [(col, "asc_nulls_last"), *order]
-    cols = [col] + [o if isinstance(o, str) else o[0] for o in order]
+def dim_per_row(df: DataFrame, col: str, order: Sequence[OrderSpec], id_name: str, name_name: str,
+                sort_col: str | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY sort_col), col`` over *all* rows (the
+    reference's dimension form: one row per input row).  ``sort_col``
+    defaults to ``col``; the reference's discipline dimension sorts by
+    another column.  ``order`` completes the order to a total one."""
+    sort_col = sort_col or col
+    spec = [(sort_col, "asc_nulls_last"), *order]
+    cols = [col, sort_col] + [o if isinstance(o, str) else o[0] for o in order]
     return global_row_number(df.select(*dict.fromkeys(cols)), spec, id_name).select(
         id_name, F.col(col).alias(name_name)
     )

@@ -20,10 +20,17 @@ def top_groups(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, nam
                n: int, out: str = "total_publications") -> DataFrame:
     """``SELECT name, COUNT(fact.col) FROM dim JOIN fact GROUP BY name
     ORDER BY count DESC LIMIT n`` (ties broken by name)."""
-    j = dim.join(fact, F.col(dim_key) == F.col(fact_key))
+    j = _join(dim, fact, dim_key, fact_key)
     return top_k(count_by(j, [name_col], count_col, out), [(out, "desc"), name_col], n)
 
 
+def _join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str = "inner") -> DataFrame:
+    """Equi join; same-named keys are merged into one column."""
+    if lk == rk:
+        return left.join(right, lk, how)
+    return left.join(right, F.col(lk) == F.col(rk), how)
+
+
 def proportions(chain: DataFrame, group_col: str, conditions: Mapping[str, Column], distinct_col: str,
                 digits: int | None = None) -> DataFrame:
     """SQ3 body over an already joined chain."""
@@ -38,7 +45,7 @@ def rank_by_sum(fact: DataFrame, bridge: DataFrame, fact_key: str, bridge_key: s
     """SQ4 CTE: per node, ``RANK() OVER (ORDER BY SUM(metric) DESC)`` with
     PostgreSQL null order (a null sum ranks first).  Exact and distributed
     (see ``global_rank``) -- no single-partition window."""
-    sums = fact.join(bridge, F.col(fact_key) == F.col(bridge_key)).groupBy(node_col).agg(
+    sums = _join(fact, bridge, fact_key, bridge_key).groupBy(node_col).agg(
         F.sum(metric).alias("_bs_sum")
     )
     return global_rank(sums, [("_bs_sum", "desc_nulls_first")], name).drop("_bs_sum")
@@ -48,7 +55,7 @@ def lowest_ranked(ranked: DataFrame, dim: DataFrame, node_col: str, dim_key: str
                   name: str = "hindex") -> DataFrame:
     """SQ4 outer query: join the node dimension, ``ORDER BY rank DESC LIMIT n``
     (ties by node id) -- as written, the *lowest* sums."""
-    j = ranked.join(dim, F.col(node_col) == F.col(dim_key)).select(F.col(dim_key), *cols, name)
+    j = _join(ranked, dim, node_col, dim_key).select(F.col(dim_key), *cols, name)
     return top_k(j, [(name, "desc"), dim_key], n)
 
 
@@ -64,3 +71,46 @@ def star_stats(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], grou
     if digits is not None:
         out = out.select(group_col, *[F.round(c, digits).alias(c) for c in metrics.values()], count_name)
     return out.orderBy(F.col(count_name).desc(), group_col)
+
+
+# ------------------------------------------------- over the built warehouse
+
+def sample_queries(wh: dict) -> dict[str, DataFrame]:
+    """SQ1-SQ4 over ``pipelines.build_warehouse`` output."""
+    fact, bridge = wh["fact_publications"], wh["bridge_author_publications"]
+    dd, dj, da, dg = wh["dim_discipline"], wh["dim_journal"], wh["dim_author"], wh["dim_gender"]
+    chain = dd.join(fact, "discipline_id").join(bridge, "publication_id").join(da, "author_id").join(dg, "author_id")
+    gender = F.col("gender")
+    return {
+        "sq1_top_disciplines": top_groups(dd, fact, "discipline_id", "discipline_id", "discipline_name",
+                                          "publication_id", 5),
+        "sq2_top_journals": top_groups(dj, fact, "journal_id", "journal_id", "journal_name", "publication_id", 3),
+        "sq3_gender_share": proportions(chain, "discipline_name",
+                                        {"proportion_male": gender == "male", "proportion_female": gender == "female"},
+                                        "author_id"),
+        "sq4_hindex": lowest_ranked(rank_by_sum(fact, bridge, "publication_id", "publication_id", "author_id",
+                                                "reference_count"), da, "author_id", "author_id", ["Names", "Surname"], 5),
+    }
+
+
+# Column names of the notebook's star (fact plus date, details, scores dims).
+NOTEBOOK_DIMS = (("d_date_key", "date_dim_id"), ("d_details_key", "d_details_id"), ("d_vprof_key", "d_vprof_id"))
+NOTEBOOK_METRICS = {"tag_profanity_score": "avg_profanity_score", "popularity_score": "avg_popularity_score"}
+
+
+def notebook_join_all(fact: DataFrame, date_dim: DataFrame, details: DataFrame, scores: DataFrame) -> DataFrame:
+    """NQ1: fact metrics LEFT JOIN the three dimensions (all their columns)."""
+    dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, details, scores), NOTEBOOK_DIMS)]
+    out = fact.select(*NOTEBOOK_METRICS, *[fk for fk, _ in NOTEBOOK_DIMS])
+    for d, fk, dk in dims:
+        out = out.join(d, F.col(fk) == F.col(dk), "left")
+    return out.drop(*[fk for fk, _ in NOTEBOOK_DIMS])
+
+
+def notebook_by(fact: DataFrame, date_dim: DataFrame, details: DataFrame, scores: DataFrame, group_col: str,
+                origin_like: str | None = None) -> DataFrame:
+    """NQ2 (``group_col='year_actual'``) and NQ3 (``'day_of_week'`` with
+    ``origin_like='%4chan%'``): averages and COUNT(*) per group."""
+    dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, details, scores), NOTEBOOK_DIMS)]
+    where = F.col("details_origin").like(origin_like) if origin_like is not None else None
+    return star_stats(fact, dims, group_col, NOTEBOOK_METRICS, "meme_count", where=where)
