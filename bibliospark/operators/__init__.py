@@ -8,6 +8,7 @@ from bibliospark.operators.dedupe import distinct_on, drop_all_duplicates, row_n
 from bibliospark.operators.graph import co_neighbours, graph_edges, graph_nodes, relations, top_nodes
 from bibliospark.operators.ids import (
     assign_first_position_ids,
+    author_ids,
     dim_distinct,
     dim_first_seen,
     dim_per_row,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bibliospark.functions.dates import parse_rfc1123
 from bibliospark.functions.text import join_tail
-from bibliospark.operators.ordering import OrderSpec, global_row_number
+from bibliospark.operators.ordering import OrderSpec, global_prefix_sum, global_row_number
 
 
 def flatten_authors(df: DataFrame, id_col: str = "id", arr: str = "authors_parsed",
@@ -39,6 +39,27 @@ def assign_first_position_ids(flat: DataFrame, keys: Sequence[str], order: Seque
     return pos.groupBy(*keys).agg(F.min("_bs_pos").alias(name)).select(name, *keys)
 
 
+def author_ids(pubs: DataFrame, id_col: str = "id", arr: str = "authors_parsed", surname: str = "Surname",
+               names: str = "Names", name: str = "author_id") -> DataFrame:
+    """``assign_first_position_ids(flatten_authors(pubs), ...)`` computed
+    from one row per *publication*, not per author occurrence.
+
+    The flattened position of author k of publication p is (sum of array
+    sizes of publications before p) + k.  Only publications are numbered
+    (a prefix sum of their array sizes); each author's first occurrence
+    (least (id, pos)) is a partial aggregation, joined to its offset."""
+    sizes = pubs.select(id_col, F.greatest(F.coalesce(F.size(arr), F.lit(0)), F.lit(0)).alias("_bs_n"))
+    offsets = global_prefix_sum(sizes, [id_col], "_bs_n", "_bs_start").select(id_col, "_bs_start")
+    firsts = (
+        flatten_authors(pubs, id_col, arr, surname, names)
+        .groupBy(surname, names)
+        .agg(F.min(F.struct(id_col, "pos")).alias("_bs_f"))
+        .select(surname, names, F.col("_bs_f").getField(id_col).alias(id_col), F.col("_bs_f.pos").alias("pos"))
+    )
+    return firsts.join(offsets, id_col).select((F.col("_bs_start") + F.col("pos")).cast("bigint").alias(name),
+                                               surname, names)
+
+
 def flatten_versions(df: DataFrame, id_col: str = "id", arr: str = "versions", field: str = "created",
                      out: str = "version") -> DataFrame:
     """One row per version: (id, version timestamp parsed from RFC-1123 text)."""

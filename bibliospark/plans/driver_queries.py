@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, format_rfc1123, last_token
 from bibliospark.operators import (
-    assign_first_position_ids,
     audit_column,
+    author_ids,
     audit_reference,
     audit_unique,
     co_neighbours,
@@ -160,8 +160,9 @@ def _parsed_authors(spark, sf) -> DataFrame:
 
 
 def _authors_table(spark, sf) -> tuple[DataFrame, DataFrame]:
-    flat = flatten_authors(_parsed_authors(spark, sf), surname="surname", names="names")
-    return flat, assign_first_position_ids(flat, ["surname", "names"], ["id", "pos"], "author_id")
+    pubs = _parsed_authors(spark, sf)
+    flat = flatten_authors(pubs, surname="surname", names="names")
+    return flat, author_ids(pubs, surname="surname", names="names")
 
 
 @query("author_flatten", f"WITH {_AUTHORS_SQL} SELECT author_id, surname, names FROM au")

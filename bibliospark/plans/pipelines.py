@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, last_token
 from bibliospark.operators import (
-    assign_first_position_ids,
+    author_ids,
     audit_column,
     audit_reference,
     audit_unique,
@@ -104,7 +104,7 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
     df = enrich_by_lookup(df, doi_lookup, "doi")
 
     flat = flatten_authors(df)
-    authors = assign_first_position_ids(flat, ["Surname", "Names"], ["id", "pos"], "author_id")
+    authors = author_ids(df)
     build = _csv_nulls(authors, ["Surname", "Names"]) if csv_parity else authors
 
     firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")

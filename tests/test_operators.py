@@ -145,3 +145,17 @@ def test_profile(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 10]], "x double")
     r = profile(df, ["x"]).first()
     assert (r["count"], r["mean"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]) == (5, 4.0, 1.0, 2.0, 3.0, 4.0, 10.0)
+
+
+def test_author_ids_equals_occurrence_numbering(spark):
+    import random
+    rng = random.Random(5)
+    names = ["A", "B", "C", "D"]
+    rows = [(i * 3 + 1, [[rng.choice(names), rng.choice(["x", "y", ""])] for _ in range(rng.randint(0, 4))])
+            for i in range(200)]
+    rows.append((9999, None))
+    df = spark.createDataFrame(rows, "id long, authors_parsed array<array<string>>")
+    from bibliospark.operators import author_ids
+    a = author_ids(df)
+    b = assign_first_position_ids(flatten_authors(df), ["Surname", "Names"], ["id", "pos"])
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
