@@ -35,6 +35,20 @@ _W = "_bs_w"
 
 OrderSpec = str | tuple[str, str] | Column
 
+# Inputs proven (by a short-circuiting count) to have at most this many rows
+# take the plain single-partition window: one task over a bounded input is
+# cheaper than range sampling + checkpoint.  Larger inputs go distributed.
+LOCAL_ROWS = 100_000
+
+
+LOCAL_ROWS_CONF = "spark.bibliospark.localRows"
+
+
+def _small(df: DataFrame, limit: int | None) -> bool:
+    if limit is None:
+        limit = int(df.sparkSession.conf.get(LOCAL_ROWS_CONF, str(LOCAL_ROWS)))
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
 
 def sort_col(spec: OrderSpec) -> Column:
     """``"c"`` (asc, nulls first as Spark), ``("c", "desc_nulls_first")`` or a Column."""
@@ -67,13 +81,16 @@ def _offsets(df: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[OrderSpec], name: str = "row_number",
-                      start: int = 1) -> DataFrame:
+                      start: int = 1, local_rows: int | None = None) -> DataFrame:
     """Exact ``row_number() over (order by ...)`` for a *total* order.
 
     The caller must make the order total (append a unique key), as for any
-    reproducible row numbering."""
-    ensure_checkpoint_dir(df.sparkSession)
+    reproducible row numbering.  ``local_rows=0`` forces the distributed path."""
     cols = [sort_col(s) for s in order]
+    if _small(df, local_rows):
+        rn = F.row_number().over(Window.orderBy(*cols)) + F.lit(start - 1)
+        return df.withColumn(name, rn.cast("bigint"))
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = (
         df.repartitionByRange(*cols)
         .sortWithinPartitions(*cols)
@@ -93,21 +110,24 @@ def global_row_number(df: DataFrame, order: Sequence[OrderSpec], name: str = "ro
 
 
 def global_prefix_sum(df: DataFrame, order: Sequence[OrderSpec], weight, name: str = "prefix",
-                      inclusive: bool = False) -> DataFrame:
+                      inclusive: bool = False, local_rows: int | None = None) -> DataFrame:
     """Exact running sum of ``weight`` over a total order (exclusive by default).
 
     Meant for narrow tables (value, count); the local running sum is a
     JVM window over the checkpointed range partitions."""
-    ensure_checkpoint_dir(df.sparkSession)
     cols = [sort_col(s) for s in order]
     w = weight if isinstance(weight, Column) else F.col(weight)
+    frame = (0 if inclusive else -1)
+    if _small(df, local_rows):
+        run = F.sum(w.cast("bigint")).over(Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, frame))
+        return df.withColumn(name, F.coalesce(run, F.lit(0)).cast("bigint"))
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = (
         df.withColumn(_W, w.cast("bigint"))
         .repartitionByRange(*cols)
         .withColumn(_PID, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    frame = (0 if inclusive else -1)
     win = Window.partitionBy(_PID).orderBy(*cols).rowsBetween(Window.unboundedPreceding, frame)
     totals = tagged.groupBy(_PID).agg(F.sum(_W).alias("_t"))
     return (
@@ -129,7 +149,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
-                dense: bool = False) -> DataFrame:
+                dense: bool = False, local_rows: int | None = None) -> DataFrame:
     """Exact ``rank()`` (or ``dense_rank()``) over an unpartitioned order.
 
     Equal values are collapsed first (partial aggregation), ranked as a
@@ -137,15 +157,15 @@ def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
     keys = [spec_name(s) for s in order]
     values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bs_n"))
     if dense:
-        ranked = global_row_number(values, order, name)
+        ranked = global_row_number(values, order, name, local_rows=local_rows)
     else:
-        ranked = global_prefix_sum(values, order, "_bs_n", "_bs_before").withColumn(
+        ranked = global_prefix_sum(values, order, "_bs_n", "_bs_before", local_rows=local_rows).withColumn(
             name, F.col("_bs_before") + 1
         )
     return _null_safe_join(df, ranked.select(*keys, name), keys)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_rows: int | None = None) -> list[float | None]:
     """Exact continuous quantiles (linear interpolation, = ``quantile_cont``
     / pandas ``describe``) of a numeric column, nulls ignored.
 
@@ -153,7 +173,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     values = df.select(F.col(col).cast("double").alias("v")).dropna().groupBy("v").agg(
         F.count(F.lit(1)).alias("n")
     )
-    pref = global_prefix_sum(values, [("v", "asc")], "n", "before")
+    pref = global_prefix_sum(values, [("v", "asc")], "n", "before", local_rows=local_rows)
     total = pref.agg(F.sum("n")).first()[0]
     if not total:
         return [None for _ in probs]

@@ -27,8 +27,25 @@ def test_every_query_has_oracle_or_is_listed():
     assert no_sql == {"sample_n"}
 
 
+ORDERED = ["author_flatten", "author_bridge", "dim_per_row", "dim_distinct", "dim_first_seen", "fact_build",
+           "sq4_rank", "profile", "relations"]
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
+    _check(spark, con, name)
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_query_matches_oracle_distributed_order(spark, con, name):
+    spark.conf.set("spark.bibliospark.localRows", "0")
+    try:
+        _check(spark, con, name)
+    finally:
+        spark.conf.unset("spark.bibliospark.localRows")
+
+
+def _check(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)

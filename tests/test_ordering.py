@@ -21,34 +21,43 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_row_number(spark):
+import pytest
+
+PATHS = [0, None]   # 0 forces the distributed path, None lets small inputs use the plain window
+
+
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_row_number(spark, local_rows):
     df = _df(spark)
-    a = global_row_number(df, [("v", "desc_nulls_first"), "k"], "rn")
+    a = global_row_number(df, [("v", "desc_nulls_first"), "k"], "rn", local_rows=local_rows)
     b = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("v").desc_nulls_first(), "k")).cast("bigint"))
     assert _same(a, b)
 
 
-def test_rank_and_dense_rank(spark):
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_rank_and_dense_rank(spark, local_rows):
     df = _df(spark)
-    a = global_rank(df, [("v", "desc_nulls_first")], "r")
+    a = global_rank(df, [("v", "desc_nulls_first")], "r", local_rows=local_rows)
     b = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_first())).cast("bigint"))
     assert _same(a, b)
-    a = global_rank(df, [("v", "asc_nulls_last")], "r", dense=True)
+    a = global_rank(df, [("v", "asc_nulls_last")], "r", dense=True, local_rows=local_rows)
     b = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").asc_nulls_last())).cast("bigint"))
     assert _same(a, b)
 
 
-def test_prefix_sum(spark):
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_prefix_sum(spark, local_rows):
     df = _df(spark, hot=False)
-    a = global_prefix_sum(df, ["k"], "w", "p")
+    a = global_prefix_sum(df, ["k"], "w", "p", local_rows=local_rows)
     win = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     b = df.withColumn("p", F.coalesce(F.sum("w").over(win), F.lit(0)).cast("bigint"))
     assert _same(a, b)
 
 
-def test_exact_quantiles(spark):
+@pytest.mark.parametrize("local_rows", PATHS)
+def test_exact_quantiles(spark, local_rows):
     df = _df(spark)
-    got = exact_quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1])
+    got = exact_quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], local_rows=local_rows)
     want = df.select(F.percentile(F.col("v").cast("double"), [0.0, 0.25, 0.5, 0.75, 1.0])).first()[0]
     assert [round(x, 9) for x in got] == [round(x, 9) for x in want]
     assert exact_quantiles(df.filter("v is null"), "v", [0.5]) == [None]
