@@ -45,23 +45,33 @@ def proportion_by(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, C
 PROFILE_STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str], local_distinct: int = 100_000) -> DataFrame:
     """pandas ``describe().T``: one row per column with count, mean, sample
     std, min, exact quartiles (linear interpolation) and max.
 
-    Moments come from one distributed aggregation; quartiles from the exact
-    distributed quantile helper.  Only ``len(cols)`` result rows are built."""
+    One job computes the moments and each column's exact distinct count.
+    Columns with at most ``local_distinct`` distinct values get their
+    quartiles from Spark's exact ``percentile`` (its buffer is a value ->
+    count map, so memory follows distinct values, not rows) in one more job;
+    others use the distributed ``exact_quantiles``.  Only ``len(cols)``
+    result rows are built."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
+                 F.max(x).alias(f"{c}__max"), F.count_distinct(x).alias(f"{c}__distinct")]
     moments = df.agg(*aggs).first()
-    rows = []
+    probs = [0.25, 0.5, 0.75]
+    small = [c for c in cols if moments[f"{c}__distinct"] <= local_distinct]
+    quartiles = {}
+    if small:
+        got = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small]).first()
+        quartiles = {c: (got[c] or [None] * 3) for c in small}
     for c in cols:
-        q25, q50, q75 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        rows.append((c, int(moments[f"{c}__count"]), moments[f"{c}__mean"], moments[f"{c}__std"],
-                     moments[f"{c}__min"], q25, q50, q75, moments[f"{c}__max"]))
+        if c not in quartiles:
+            quartiles[c] = exact_quantiles(df, c, probs)
+    rows = [(c, int(moments[f"{c}__count"]), moments[f"{c}__mean"], moments[f"{c}__std"], moments[f"{c}__min"],
+             *quartiles[c], moments[f"{c}__max"]) for c in cols]
     schema = "column string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -143,8 +143,10 @@ def test_date_dimension(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 10]], "x double")
-    r = profile(df, ["x"]).first()
-    assert (r["count"], r["mean"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]) == (5, 4.0, 1.0, 2.0, 3.0, 4.0, 10.0)
+    for local in (100, 0):     # percentile path and distributed path
+        r = profile(df, ["x"], local_distinct=local).first()
+        assert (r["count"], r["mean"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]) == \
+            (5, 4.0, 1.0, 2.0, 3.0, 4.0, 10.0)
 
 
 def test_author_ids_equals_occurrence_numbering(spark):
