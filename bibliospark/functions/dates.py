@@ -9,17 +9,22 @@ from bibliospark.functions._util import as_col
 
 # Fixed formats: version stamps look like "Mon, 2 Apr 2007 19:18:42 GMT"
 # (RFC 1123, C strptime "%a, %d %b %Y %H:%M:%S %Z").
-RFC1123_PARSE = "d MMM yyyy HH:mm:ss z"
+RFC1123_PARSE = "d MMM yyyy HH:mm:ss"
 RFC1123_FORMAT = "EEE, d MMM yyyy HH:mm:ss"
 
 
 def parse_rfc1123(c) -> Column:
-    """RFC-1123 text -> timestamp; malformed text gives null.
+    """RFC-1123 text -> ``timestamp_ntz`` of the wall clock as written (like
+    strptime, which yields a naive datetime); malformed text gives null.
 
     Spark rejects the day-name letter when parsing, so the weekday and its
-    comma are stripped first (the weekday is redundant with the date)."""
+    comma are stripped first (redundant with the date), and the zone name
+    (GMT / UTC in this data) is dropped.  Parsing in the session zone and
+    casting back to ``timestamp_ntz`` returns the written wall clock
+    whatever the session time zone."""
     body = F.regexp_replace(F.trim(as_col(c)), r"^[A-Za-z]+,\s*", "")
-    return F.try_to_timestamp(body, F.lit(RFC1123_PARSE))
+    body = F.regexp_replace(body, r"\s+[A-Za-z]+$", "")
+    return F.try_to_timestamp(body, F.lit(RFC1123_PARSE)).cast("timestamp_ntz")
 
 
 def format_rfc1123(ts) -> Column:
@@ -38,7 +43,8 @@ def date_attributes(d) -> dict[str, Column]:
     return {
         "date_dim_id": F.date_format(d, "yyyyMMdd").cast("int"),
         "date_actual": d,
-        "epoch": F.unix_timestamp(d.cast("timestamp")).cast("bigint"),
+        # seconds since 1970-01-01 00:00 of the date itself (no session zone)
+        "epoch": (F.datediff(d, F.lit("1970-01-01").cast("date")).cast("bigint") * F.lit(86400)),
         "day_of_week": iso_dow.cast("int"),
         "day_of_month": F.dayofmonth(d),
         "week_of_month": (F.floor((F.dayofmonth(d) - 1) / 7) + 1).cast("int"),
