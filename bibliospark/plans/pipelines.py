@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, last_token
+from bibliospark.operators.joins import one_row_per_key
 from bibliospark.operators import (
     author_ids,
     audit_column,
@@ -109,7 +110,8 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
 
     firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")
     gender_data = firstnames.distinct().filter(~F.col("firstname").contains(".")).join(
-        gender_lookup.select("firstname", "gender").dropDuplicates(["firstname"]), "firstname", "left")
+        one_row_per_key(gender_lookup.select("firstname", "gender").dropna(subset=["firstname"]), "firstname"),
+        "firstname", "left")
 
     bridge = first_match_contains(flat, build, [("Names", "Names"), ("Surname", "Surname")], "author_id",
                                   match=match).select(F.col("id").alias("publication_id"), "author_id")

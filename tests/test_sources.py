@@ -14,12 +14,16 @@ def test_csv_keeps_blanks(spark, tmp_dir):
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
 
 
-def test_json_and_parquet_round_trip(spark, tmp_dir):
+def test_json_csv_parquet_round_trip(spark, tmp_dir):
     part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
-    for fmt in ("json", "parquet"):
+    for fmt in ("json", "parquet", "csv"):
         path = os.path.join(tmp_dir, f"part_{fmt}")
-        write_documents(part, path, fmt=fmt)
-        back = read_jsonl(spark, path, part.schema) if fmt == "json" else spark.read.parquet(path)
+        if fmt == "csv":
+            write_csv_table(part, path)
+            back = read_csv_table(spark, path, part.schema)
+        else:
+            write_documents(part, path, fmt=fmt)
+            back = read_jsonl(spark, path, part.schema) if fmt == "json" else spark.read.parquet(path)
         assert back.exceptAll(part).count() == 0 and part.exceptAll(back).count() == 0
 
 
