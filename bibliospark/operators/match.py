@@ -17,7 +17,9 @@ Candidate pairs are deduplicated before verification; verification joins
 the texts back by key, so long texts never travel through the explode.
 Haystack grams are deduplicated per row (``array_distinct``) so repetitive
 text does not inflate the join.  The needle-gram side is broadcast only
-after a row-count check; otherwise AQE's skew-join splits hot grams.
+when its row count, taken from one statistics job (``needle_stats``), is
+within bounds; otherwise the join shuffles and AQE's skew join splits hot
+grams.
 """
 
 from __future__ import annotations
@@ -123,8 +125,9 @@ def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataF
     n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
     h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
     cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s)
-    if cand is None:
-        return n.select(*nk).join(h.select(*hk), F.lit(False))  # empty, typed
+    if cand is None:  # no non-empty needle: typed empty result
+        types = {f.name: f.dataType for f in h.schema.fields}
+        return n.select(*nk, *[F.lit(None).cast(types[k]).alias(k) for k in hk]).filter(F.lit(False))
     return (
         cand.join(n, list(nk)).join(h, list(hk))
         .filter(F.col("_bs_hay").contains(F.col("_bs_needle")))

@@ -133,10 +133,10 @@ def first_or_null_q(spark, sf):
 
 
 @query("json_props", """
-    SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+    SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_props(spark, sf):
     return _t(spark, sf, "events").select(
-        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+        "event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
 # ---------------------------------------------------------- flatten / ids

@@ -63,3 +63,10 @@ def test_first_match_exact(spark):
     assert [(r["k"], r["author_id"]) for r in out.collect()] == [(0, 2)]
     contains = first_match_contains(pd_, bd, [("Names", "Names"), ("Surname", "Surname")], "author_id")
     assert [(r["k"], r["author_id"]) for r in contains.collect()] == [(0, 1)]   # "Li" is in "Liu"
+
+
+def test_contains_pairs_without_needles(spark):
+    hd = spark.createDataFrame([(1, "abc")], "hid long, h string")
+    nd = spark.createDataFrame([(1, ""), (2, None)], "nid long, n string")
+    out = contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h")
+    assert out.columns == ["nid", "hid"] and out.count() == 0
