@@ -34,8 +34,14 @@ def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "pa
 
 def append_conformed(df: DataFrame, name: str, schema: StructType) -> None:
     """``INSERT INTO name(cols) SELECT ...``: cast to the declared schema by
-    name and append (the table must exist)."""
-    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.insertInto(name)
+    name, align to the table's column order (``insertInto`` is positional)
+    and append; table columns outside ``schema`` get nulls.  The table must
+    exist."""
+    declared = {f.name.lower(): f for f in schema.fields}
+    target = df.sparkSession.table(name).schema.fields
+    cols = [F.col(declared[f.name.lower()].name).cast(f.dataType).alias(f.name) if f.name.lower() in declared
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+    df.select(*cols).write.insertInto(name)
 
 
 def staging_ddl(df: DataFrame, name: str) -> str:
