@@ -70,3 +70,20 @@ def test_contains_pairs_without_needles(spark):
     nd = spark.createDataFrame([(1, ""), (2, None)], "nid long, n string")
     out = contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h")
     assert out.columns == ["nid", "hid"] and out.count() == 0
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_chars = st.sampled_from(list("aab \n") + ["é", "\U0001F600", " "])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(hays=st.lists(st.text(_chars, max_size=60), min_size=1, max_size=8),
+       needles=st.lists(st.text(_chars, max_size=24), min_size=1, max_size=8))
+def test_contains_pairs_property(spark, hays, needles):
+    hd = spark.createDataFrame(list(enumerate(hays)), "hid long, h string")
+    nd = spark.createDataFrame(list(enumerate(needles)), "nid long, n string")
+    got = sorted(tuple(r) for r in contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h", q=4, s=3).collect())
+    want = sorted((j, i) for j, n in enumerate(needles) for i, h in enumerate(hays) if n and n in h)
+    assert got == want
