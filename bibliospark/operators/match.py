@@ -154,16 +154,59 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
     return every.unionByName(best).groupBy(hay_id).agg(F.min(out).alias(out))
 
 
+def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: Sequence[str], bcols: DataFrame,
+                   q: int) -> DataFrame:
+    """Tag each needle tuple with the pair to block on: the one whose key gram
+    (the needle's first min(m, q) characters) occurs in the fewest build rows.
+
+    Gram frequencies are counted over *distinct* build values (weighted by
+    their row count), so the cost is small next to the join it steers.  A
+    hot short surname such as "Li" then no longer pairs every tuple carrying
+    it with every build row containing it; the rarer given name blocks
+    instead.  A key found in no build row has cost 0: the tuple cannot
+    match, and blocking on it yields no candidates.  Any choice is exact,
+    because every pair is verified after blocking."""
+    lens = [F.char_length(F.col(n)) for n, _ in pairs]
+    in_use = tuples.agg(*[F.collect_set(F.when(m > 0, F.least(m, F.lit(q)))).alias(f"_bs_k{i}")
+                          for i, m in enumerate(lens)]).first()      # at most q lengths per pair
+    keyed = tuples
+    costs = []
+    for i, ((needle, _), h) in enumerate(zip(pairs, hcols)):
+        cost = f"_bs_cost{i}"
+        costs.append(F.col(cost))
+        lengths = sorted(in_use[f"_bs_k{i}"])
+        if not lengths:
+            keyed = keyed.withColumn(cost, F.lit(None).cast("bigint"))
+            continue
+        values = bcols.groupBy(h).agg(F.count(F.lit(1)).alias("_bs_w"))
+        freq = _hay_grams(values, ["_bs_w"], h, lengths, 1).groupBy("_bs_g").agg(F.sum("_bs_w").alias(cost))
+        key = F.when(lens[i] > 0, F.substr(F.col(needle), F.lit(1), F.least(lens[i], F.lit(q))))
+        keyed = (
+            keyed.withColumn("_bs_key", key)
+            .join(freq, F.col("_bs_key") == F.col("_bs_g"), "left")
+            .withColumn(cost, F.when(lens[i] > 0, F.coalesce(F.col(cost), F.lit(0))))
+            .drop("_bs_key", "_bs_g")
+        )
+    cheapest = F.least(*costs)  # nulls (empty needles) ignored
+    chosen = F.lit(-1)
+    for i in reversed(range(len(pairs))):
+        chosen = F.when(costs[i] == cheapest, F.lit(i)).otherwise(chosen)
+    return keyed.withColumn("_bs_blk", F.when(cheapest.isNotNull(), chosen).otherwise(F.lit(-1))).drop(
+        *[f"_bs_cost{i}" for i in range(len(pairs))])
+
+
 def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tuple[str, str]], build_id: str,
                          out: str | None = None, match: str = "contains", how: str = "inner",
-                         q: int = GRAM, s: int = STRIDE) -> DataFrame:
+                         q: int = GRAM, s: int = STRIDE, blocking: str = "rarest") -> DataFrame:
     """For each probe row, the least ``build_id`` whose build columns contain
     the probe's needles, for every (probe_col, build_col) pair.
 
     ``match='contains'`` is literal substring matching (exact, gram blocked);
     ``match='exact'`` is plain equality on every pair.  Rows without a match
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
-    Work is done once per distinct needle tuple, then joined back."""
+    Work is done once per distinct needle tuple, then joined back.
+    ``blocking='rarest'`` blocks each tuple on its least frequent needle
+    key (see ``_rarest_blocks``); ``'longest'`` on its longest needle."""
     out = out or build_id
     ncols = [p for p, _ in pairs]
     tuples = probe.select(*ncols).dropna().distinct()
@@ -176,14 +219,18 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
         cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])
         best = tuples.join(bcols, cond).groupBy(*ncols).agg(F.min(build_id).alias(out))
     elif match == "contains":
-        # block each tuple on its longest needle (first such pair on ties):
-        # the most selective gram key; all pairs are verified afterwards
         lens = [F.char_length(F.col(n)) for n, _ in pairs]
         longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
-        chosen = F.lit(-1)
-        for i in reversed(range(len(pairs))):
-            chosen = F.when(lens[i] == longest, F.lit(i)).otherwise(chosen)
-        keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
+        if blocking == "rarest" and len(pairs) > 1:
+            keyed = _rarest_blocks(tuples, pairs, hcols, bcols, q)
+        elif blocking in ("rarest", "longest"):
+            # block on the longest needle (first such pair on ties)
+            chosen = F.lit(-1)
+            for i in reversed(range(len(pairs))):
+                chosen = F.when(lens[i] == longest, F.lit(i)).otherwise(chosen)
+            keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
+        else:
+            raise ValueError(f"unknown blocking {blocking!r}")
         # one job sizes every block: long-needle counts and short key lengths
         per_block = {}
         for i, (needle, _) in enumerate(pairs):

@@ -87,3 +87,29 @@ def test_contains_pairs_property(spark, hays, needles):
     got = sorted(tuple(r) for r in contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h", q=4, s=3).collect())
     want = sorted((j, i) for j, n in enumerate(needles) for i, h in enumerate(hays) if n and n in h)
     assert got == want
+
+
+def test_rarest_blocking_picks_rare_needle(spark):
+    from bibliospark.operators.match import _rarest_blocks
+    build = [(i, "Li" + "abcdefgh"[i % 8], f"given{i}") for i in range(40)] + [(99, "Zed", "Li")]
+    bd = spark.createDataFrame(build, "author_id long, _bs_h_0 string, _bs_h_1 string")
+    tuples = spark.createDataFrame([("Li", "given7"), ("Li", ""), ("", ""), ("Qq", "Li")], "s string, n string")
+    got = {(r.s, r.n): r._bs_blk for r in _rarest_blocks(tuples, [("s", "x"), ("n", "y")], ["_bs_h_0", "_bs_h_1"],
+                                                           bd, 8).collect()}
+    assert got == {("Li", "given7"): 1, ("Li", ""): 0, ("", ""): -1, ("Qq", "Li"): 0}
+
+
+def test_blocking_modes_agree(spark):
+    rng = random.Random(9)
+    sur = ["Li", "Liu", "Lin", "Wang", "Wong", ""]
+    giv = ["Wei", "Wei Jun", "W.", "Jun", ""]
+    build = [(i, rng.choice(sur), rng.choice(giv)) for i in range(60)]
+    probe = [(k, rng.choice(sur), rng.choice(giv)) for k in range(60)]
+    pd_ = spark.createDataFrame(probe, "k long, Surname string, Names string")
+    bd = spark.createDataFrame(build, "author_id long, Surname string, Names string")
+    res = [sorted(tuple(r) for r in first_match_contains(pd_, bd, [("Names", "Names"), ("Surname", "Surname")],
+                                                       "author_id", blocking=b).select("k", "author_id").collect())
+           for b in ("rarest", "longest")]
+    want = sorted((k, min(i for i, bs, bg in build if s in bs and g in bg)) for k, s, g in probe
+                  if any(s in bs and g in bg for _, bs, bg in build))
+    assert res[0] == res[1] == want
