@@ -12,13 +12,18 @@ from pyspark.sql.types import (
 VERSION = StructType([StructField("version", StringType()), StructField("created", StringType())])
 
 # One source record (value of the index-keyed JSON object, or one JSONL line).
+# Fields the pipelines never read still take part in the duplicate check of
+# P1, so every field of the public record layout is declared.
 PUBLICATION = StructType([
     StructField("id", StringType()),
     StructField("submitter", StringType()),
     StructField("authors", StringType()),
     StructField("title", StringType()),
     StructField("comments", StringType()),
+    StructField("journal-ref", StringType()),
     StructField("doi", StringType()),
+    StructField("report-no", StringType()),
+    StructField("categories", StringType()),
     StructField("abstract", StringType()),
     StructField("license", StringType()),
     StructField("update_date", StringType()),

@@ -20,10 +20,11 @@ def v(*created: str) -> list[dict]:
 T3 = ("Mon, 15 Jan 2007 10:00:00 GMT", "Tue, 2 Jan 2007 09:30:00 GMT", "Wed, 7 Feb 2007 23:59:59 GMT")
 
 
-def rec(title_, submitter, authors_parsed, doi, versions=None, comments="c", authors="x"):
+def rec(title_, submitter, authors_parsed, doi, versions=None, comments="c", authors="x", categories="cs.DB"):
     return {
         "id": "orig-id", "submitter": submitter, "authors": authors, "title": title_, "comments": comments,
-        "doi": doi, "abstract": "abstract text", "license": None, "update_date": "2020-01-01",
+        "journal-ref": None, "doi": doi, "report-no": None, "categories": categories,
+        "abstract": "abstract text", "license": None, "update_date": "2020-01-01",
         "versions": versions if versions is not None else v("Thu, 1 Mar 2007 12:00:00 GMT"),
         "authors_parsed": authors_parsed,
     }
@@ -47,6 +48,9 @@ PUBLICATIONS = {
     "13": rec(title(44, "Initial "), "J. Smith", [["Doe", "Jane"]], "10.9/a13", v()),       # empty versions
     "14": rec(title(44, "No match "), "Kim Nobody", [["Park", "Kim"]], "10.9/a14"),
     "15": rec(title(44, "Null gender "), "Alex Doe", [["Doe", "Alex"]], "10.9/a15"),
+    # same as each other except categories: not duplicates, both stay
+    "16": rec(title(46, "Categories "), "Sam Lee", [["Lee", "Sam"]], "10.9/a16", categories="math.CO"),
+    "17": rec(title(46, "Categories "), "Sam Lee", [["Lee", "Sam"]], "10.9/a16", categories="math.PR"),
 }
 
 # doi -> (reference_count, discipline list, publication_type, journal)

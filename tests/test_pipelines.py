@@ -19,7 +19,8 @@ from tests import fixtures as fx
 
 def brute_clean(pubs):
     kept = {int(k): copy.deepcopy(r) for k, r in pubs.items() if r["title"] is not None and len(r["title"]) >= 35}
-    key = lambda r: tuple(repr(r[f]) for f in ("submitter", "authors", "title", "comments", "doi"))
+    fields = ("submitter", "authors", "title", "comments", "journal-ref", "doi", "report-no", "categories")
+    key = lambda r: tuple(repr(r[f]) for f in fields)
     c = Counter(key(r) for r in kept.values())
     return {k: r for k, r in kept.items() if c[key(r)] == 1}
 
@@ -93,6 +94,7 @@ def test_clean_publications(raw):
     assert got[1] == (fx.T3[0], fx.T3[2])          # array position, not date order
     assert got[13] == (None, None)                 # empty versions
     assert 5 not in got and 6 not in got and 7 not in got and 8 not in got
+    assert 16 in got and 17 in got                 # differ only in categories
 
 
 def test_normalise_authors_ids_have_gaps(normalised):
