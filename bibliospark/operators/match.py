@@ -142,15 +142,14 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
     out = out or needle_id
     # identical needle texts match identically: keep the least id per text
     needles = needles.groupBy(ncol).agg(F.min(needle_id).alias(needle_id))
-    pairs = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s)
-    best = pairs.groupBy(hay_id).agg(F.min(needle_id).alias(out))
-    # an empty needle is in every non-null haystack: a scalar subquery
-    # (one value), not a join that would pair it with every haystack row
-    empty_min = needles.filter(F.col(ncol) == "").agg(F.min(needle_id)).scalar()
-    every = (
-        hays.filter(F.col(hcol).isNotNull()).select(hay_id, empty_min.alias(out))
-        .filter(F.col(out).isNotNull())
-    )
+    best = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s).groupBy(hay_id).agg(
+        F.min(needle_id).alias(out))
+    empty_min = needles.filter(F.col(ncol) == "").agg(F.min(needle_id)).first()[0]   # one value
+    if empty_min is None:
+        return best
+    # an empty needle is in every non-null haystack: a literal, not a join
+    # that would pair it with every haystack row
+    every = hays.filter(F.col(hcol).isNotNull()).select(hay_id, F.lit(empty_min).alias(out))
     return every.unionByName(best).groupBy(hay_id).agg(F.min(out).alias(out))
 
 
@@ -232,11 +231,11 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
         else:
             raise ValueError(f"unknown blocking {blocking!r}")
         # one job sizes every block: long-needle counts and short key lengths
-        per_block = {}
-        for i, (needle, _) in enumerate(pairs):
-            blk = keyed.filter(F.col("_bs_blk") == i)
-            per_block[i] = blk.select(F.col(needle).alias("_bs_n"), F.lit(i).alias("_bs_blk"))
-        stats = needle_stats(reduce(DataFrame.unionByName, per_block.values()), "_bs_n", q, s, by="_bs_blk")
+        # (block -1 = tuples whose needles are all empty)
+        blocked_needle = F.lit("")
+        for i in reversed(range(len(pairs))):
+            blocked_needle = F.when(F.col("_bs_blk") == i, F.col(pairs[i][0])).otherwise(blocked_needle)
+        stats = needle_stats(keyed.select(blocked_needle.alias("_bs_n"), "_bs_blk"), "_bs_n", q, s, by="_bs_blk")
         groups = []
         for i, (needle, _) in enumerate(pairs):
             if i not in stats:
@@ -253,12 +252,15 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
                 .filter(_all_contained([(n, h) for (n, _), h in zip(pairs, hcols)]))
             )
             best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
-        # all needles empty: every build row with non-null columns matches
-        all_empty = tuples.filter(longest == 0)
-        nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
-        least = bcols.filter(nonnull).agg(F.min(build_id)).scalar()
-        empty_best = all_empty.withColumn(out, least).filter(F.col(out).isNotNull())
-        best = empty_best if best is None else best.unionByName(empty_best)
+        if -1 in stats:
+            # all needles empty: every build row with non-null columns matches
+            all_empty = keyed.filter(F.col("_bs_blk") == -1).drop("_bs_blk")
+            nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
+            least = bcols.filter(nonnull).agg(F.min(build_id)).scalar()
+            empty_best = all_empty.withColumn(out, least).filter(F.col(out).isNotNull())
+            best = empty_best if best is None else best.unionByName(empty_best)
+        if best is None:  # nothing can match: typed empty result
+            best = tuples.withColumn(out, F.lit(None).cast("bigint")).filter(F.lit(False))
     else:
         raise ValueError(f"unknown match mode {match!r}")
 
