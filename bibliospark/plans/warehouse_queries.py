@@ -110,7 +110,7 @@ def notebook_join_all(fact: DataFrame, date_dim: DataFrame, details: DataFrame,
 def notebook_by(fact: DataFrame, date_dim: DataFrame, details: DataFrame, scores: DataFrame, group_col: str,
                 origin_like: str | None = None) -> DataFrame:
     """NQ2 (``group_col='year_actual'``) and NQ3 (``'day_of_week'`` with
-    ``origin_like='%4chan%'``): averages and COUNT(*) per group."""
+    a pattern such as ``origin_like='%forum%'``): averages and COUNT(*) per group."""
     dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, details, scores), NOTEBOOK_DIMS)]
     where = F.col("details_origin").like(origin_like) if origin_like is not None else None
     return star_stats(fact, dims, group_col, NOTEBOOK_METRICS, "meme_count", where=where)
