@@ -10,21 +10,44 @@ from pyspark.sql import functions as F
 from bibliospark.operators.ordering import OrderSpec, sort_col
 
 
-def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Remove *all* rows of any group that repeats over the non-excluded
-    columns (pandas ``duplicated(keep=False)``); nulls compare equal.
-
-    One aggregation: a hot duplicate group collapses map-side to one partial
-    row, so it never lands whole in one task.  Excluded columns of the
-    surviving singletons are exact (the group has one row)."""
-    keys = [c for c in df.columns if c not in set(exclude)]
-    rest = [c for c in df.columns if c in set(exclude)]
-    kept = (
+def _exact_singletons(df: DataFrame, keys: Sequence[str], rest: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows whose full ``keys`` tuple occurs once (nulls equal).  A hot
+    duplicate group collapses map-side to one partial row per task; the
+    excluded columns of a singleton are exact (its group has one row)."""
+    return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_bs_n"), *[F.first(c).alias(c) for c in rest])
         .filter(F.col("_bs_n") == 1)
+        .select(*order)
     )
-    return kept.select(*df.columns)
+
+
+def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = (), prefilter: bool = True,
+                        max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Remove *all* rows of any group that repeats over the non-excluded
+    columns (pandas ``duplicated(keep=False)``); nulls compare equal.
+
+    With ``prefilter`` only two hash integers per row are shuffled: hash
+    groups seen more than once are collected by a partial aggregation and,
+    when their number is within ``max_broadcast_rows``, broadcast.  Rows
+    outside them are certainly unique (equal values hash equally) and pass
+    without a shuffle; only the suspect rows are grouped on their full
+    values, so a hash collision can never drop a row.  Beyond the bound (or
+    without ``prefilter``) every row is grouped on its full values."""
+    excluded = set(exclude)
+    keys = [c for c in df.columns if c not in excluded]
+    rest = [c for c in df.columns if c in excluded]
+    if not prefilter:
+        return _exact_singletons(df, keys, rest, df.columns)
+    hashed = df.withColumns({"_bs_h1": F.xxhash64(*keys), "_bs_h2": F.hash(*keys)})
+    repeated = hashed.groupBy("_bs_h1", "_bs_h2").count().filter(F.col("count") > 1).select("_bs_h1", "_bs_h2")
+    if repeated.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
+        return _exact_singletons(df, keys, rest, df.columns)
+    suspects = F.broadcast(repeated)
+    clear = hashed.join(suspects, ["_bs_h1", "_bs_h2"], "left_anti").select(*df.columns)
+    checked = _exact_singletons(hashed.join(suspects, ["_bs_h1", "_bs_h2"], "left_semi").select(*df.columns),
+                                keys, rest, df.columns)
+    return clear.unionByName(checked)
 
 
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec]) -> DataFrame:

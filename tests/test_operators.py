@@ -161,3 +161,20 @@ def test_author_ids_equals_occurrence_numbering(spark):
     a = author_ids(df)
     b = assign_first_position_ids(flatten_authors(df), ["Surname", "Names"], ["id", "pos"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_drop_all_duplicates_prefilter_equals_exact(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", None, "c" * 40]), rng.choice([None, 1, 2]), rng.choice(["x", "y"]))
+            for i in range(400)]
+    rows += [(1000 + i, "hot", 1, "x") for i in range(150)]          # a hot duplicate group
+    df = spark.createDataFrame(rows, "id int, t string, n int, v string")
+    a = drop_all_duplicates(df, exclude=["id", "v"])
+    b = drop_all_duplicates(df, exclude=["id", "v"], prefilter=False)
+    c = drop_all_duplicates(df, exclude=["id", "v"], max_broadcast_rows=0)   # bound exceeded: exact path
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert c.exceptAll(b).count() == 0 and b.exceptAll(c).count() == 0
+    from collections import Counter
+    cnt = Counter((t, n) for _, t, n, _ in rows)
+    assert sorted(r.id for r in a.collect()) == sorted(i for i, t, n, _ in rows if cnt[(t, n)] == 1)
