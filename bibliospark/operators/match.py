@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibliospark.operators.joins import bounded_broadcast
+from bibliospark.session import ensure_checkpoint_dir
 
 GRAM = 8
 STRIDE = 8
@@ -119,17 +119,29 @@ def _all_contained(pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame, hk: Sequence[str],
-                   hcol: str, q: int = GRAM, s: int = STRIDE) -> DataFrame:
+                   hcol: str, q: int = GRAM, s: int = STRIDE, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Verified (nk..., hk...) pairs with ``hcol`` containing the non-empty
-    needle ``ncol`` (empty needles are excluded; see module docstring)."""
+    needle ``ncol`` (empty needles are excluded; see module docstring).
+
+    Candidate pairs (two keys each) are checkpointed and counted.  When
+    bounded they are broadcast, so verification scans the haystack table
+    and streams it past the candidates: the texts are never shuffled."""
+    assert not set(nk) & set(hk), "needle and haystack keys must have distinct names"
     n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
     h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
-    cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s)
+    stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), (0, 0, []))
+    cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s, stats=stats)
     if cand is None:  # no non-empty needle: typed empty result
         types = {f.name: f.dataType for f in h.schema.fields}
         return n.select(*nk, *[F.lit(None).cast(types[k]).alias(k) for k in hk]).filter(F.lit(False))
+    ensure_checkpoint_dir(cand.sparkSession)
+    cand = cand.checkpoint(eager=True)
+    if cand.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        cand = F.broadcast(cand)
+    n_rows = stats[0] + stats[1]   # non-empty needles (empty ones never pair)
+    n_side = F.broadcast(n) if n_rows <= max_broadcast_rows else n
     return (
-        cand.join(n, list(nk)).join(h, list(hk))
+        h.join(cand, list(hk)).join(n_side, list(nk))
         .filter(F.col("_bs_hay").contains(F.col("_bs_needle")))
         .select(*nk, *hk)
     )
