@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     # checkpoints written by the global-order operators are removed once
     # their DataFrames are garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # long pipelines run many small jobs: keep the driver's status history short
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 
