@@ -72,3 +72,22 @@ def test_top_k_and_sample(spark):
     s2 = [r["k"] for r in sample_n(df, 25, 42, ["k"]).collect()]
     assert s1 == s2 and len(set(s1)) == 25
     assert sample_n(df, 10_000, 1, ["k"]).count() == df.count()
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=1, max_size=60),
+       desc=st.booleans(), nulls_first=st.booleans())
+def test_rank_property(spark, values, desc, nulls_first):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k long, v long")
+    how = ("desc" if desc else "asc") + ("_nulls_first" if nulls_first else "_nulls_last")
+    col = getattr(F.col("v"), how)()
+    got = {r.k: r.r for r in global_rank(df, [("v", how)], "r", local_rows=0).collect()}
+    want = {r.k: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy(col))).collect()}
+    assert got == want
+    got = {r.k: r.rn for r in global_row_number(df, [("v", how), "k"], "rn", local_rows=0).collect()}
+    want = {r.k: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(col, "k"))).collect()}
+    assert got == want
