@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,14 @@ from bibliospark.session import ensure_checkpoint_dir
 
 GRAM = 8
 STRIDE = 8
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+class NeedleStats(NamedTuple):
+    n_long: int          # needles of length >= q + s - 1
+    n_short: int         # non-empty shorter needles
+    lengths: list[int]   # distinct short key lengths (at most q values)
+    n_bytes: int         # UTF-8 bytes of all non-empty needles
 
 
 def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int | Sequence[int], step: int) -> DataFrame:
@@ -56,15 +65,16 @@ def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int | Sequence[
 
 def needle_stats(needles: DataFrame, ncol: str, q: int = GRAM, s: int = STRIDE,
                  by: str | None = None) -> dict:
-    """One aggregate job: per block (``by``) the number of long needles and the
-    distinct short key lengths (at most q values)."""
+    """One aggregate job: ``NeedleStats`` per block (``by``), or under key None."""
     m = F.char_length(F.col(ncol))
     short = (m > 0) & (m < q + s - 1)
     aggs = [F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias("n_long"),
             F.sum(F.when(short, 1).otherwise(0)).alias("n_short"),
-            F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("lengths")]
+            F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("lengths"),
+            F.sum(F.octet_length(F.col(ncol))).alias("n_bytes")]
     rows = (needles.groupBy(by).agg(*aggs) if by else needles.agg(*aggs)).collect()
-    return {(r[by] if by else None): (r["n_long"] or 0, r["n_short"] or 0, sorted(r["lengths"])) for r in rows}
+    return {(r[by] if by else None): NeedleStats(r["n_long"] or 0, r["n_short"] or 0, sorted(r["lengths"]),
+                                                 r["n_bytes"] or 0) for r in rows}
 
 
 def _maybe_broadcast(df: DataFrame, rows_upper_bound: int, max_rows: int) -> DataFrame:
@@ -73,14 +83,14 @@ def _maybe_broadcast(df: DataFrame, rows_upper_bound: int, max_rows: int) -> Dat
 
 def contains_candidates(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame,
                         hk: Sequence[str], hcol: str, q: int = GRAM, s: int = STRIDE,
-                        stats: tuple[int, int, list[int]] | None = None,
+                        stats: NeedleStats | None = None,
                         max_broadcast_rows: int = 2_000_000) -> DataFrame | None:
     """Distinct (nk..., hk...) pairs: a superset of the pairs where the
     non-empty needle ``ncol`` occurs in ``hcol``.  ``stats`` (from
     ``needle_stats``) sizes the broadcast decision; None when no needle."""
     if stats is None:
         stats = next(iter(needle_stats(needles, ncol, q, s).values()))
-    n_long, n_short, lengths = stats
+    n_long, n_short, lengths = stats.n_long, stats.n_short, stats.lengths
     m = F.char_length(F.col(ncol))
     parts = []
 
@@ -129,7 +139,7 @@ def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataF
     assert not set(nk) & set(hk), "needle and haystack keys must have distinct names"
     n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
     h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
-    stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), (0, 0, []))
+    stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), NeedleStats(0, 0, [], 0))
     cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s, stats=stats)
     if cand is None:  # no non-empty needle: typed empty result
         types = {f.name: f.dataType for f in h.schema.fields}
@@ -138,8 +148,9 @@ def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataF
     cand = cand.checkpoint(eager=True)
     if cand.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         cand = F.broadcast(cand)
-    n_rows = stats[0] + stats[1]   # non-empty needles (empty ones never pair)
-    n_side = F.broadcast(n) if n_rows <= max_broadcast_rows else n
+    n = n.filter(F.char_length("_bs_needle") > 0)   # empty needles never pair
+    small = stats.n_long + stats.n_short <= max_broadcast_rows and stats.n_bytes <= MAX_BROADCAST_BYTES
+    n_side = F.broadcast(n) if small else n
     return (
         h.join(cand, list(hk)).join(n_side, list(nk))
         .filter(F.col("_bs_hay").contains(F.col("_bs_needle")))
