@@ -57,16 +57,21 @@ def lookup_exact(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str
     return out.drop(rk) if rk == "_bs_rk" else out
 
 
-def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """pandas-style left merge where a null key matches a null key (``<=>``);
-    still an equi join (hash / sort-merge), not a nested loop."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where a null key matches a null key (``<=>``); still an
+    equi join (hash / sort-merge), not a nested loop.  Keys appear once."""
     r = right.select(*[F.col(k).alias(f"_bs_r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:
         e = F.col(k).eqNullSafe(F.col(f"_bs_r_{k}"))
         cond = e if cond is None else cond & e
-    return left.join(r, cond, "left").drop(*[f"_bs_r_{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"_bs_r_{k}" for k in keys])
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """pandas-style left merge: a null key matches a null key."""
+    return null_safe_join(left, right, keys, "left")
 
 
 def join_star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], how: str = "left") -> DataFrame:

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bibliospark.operators.joins import null_safe_join
 from bibliospark.session import ensure_checkpoint_dir
 
 _PID = "_bs_pid"
@@ -138,16 +139,6 @@ def global_prefix_sum(df: DataFrame, order: Sequence[OrderSpec], weight, name: s
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
                 dense: bool = False, local_rows: int | None = None) -> DataFrame:
     """Exact ``rank()`` (or ``dense_rank()``) over an unpartitioned order.
@@ -162,7 +153,7 @@ def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
         ranked = global_prefix_sum(values, order, "_bs_n", "_bs_before", local_rows=local_rows).withColumn(
             name, F.col("_bs_before") + 1
         )
-    return _null_safe_join(df, ranked.select(*keys, name), keys)
+    return null_safe_join(df, ranked.select(*keys, name), keys)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_rows: int | None = None) -> list[float | None]:
