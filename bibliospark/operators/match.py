@@ -58,7 +58,10 @@ def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int | Sequence[
     arrays = []
     for k in qs:
         assert 1 <= step <= k
-        arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s)(?=(.{{{k}}})).{{{step}}}"), F.lit(1)))
+        if step == k:   # back-to-back grams: a plain consuming match is cheaper than a lookahead
+            arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s).{{{k}}}"), F.lit(0)))
+        else:
+            arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s)(?=(.{{{k}}})).{{{step}}}"), F.lit(1)))
     grams = F.array_distinct(arrays[0] if len(arrays) == 1 else F.concat(*arrays))
     return hays.select(*hk, F.explode(grams).alias("_bs_g"))
 
