@@ -78,34 +78,23 @@ def _csv_nulls(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).isin(PANDAS_NA_TEXT), None).otherwise(F.col(c)) for c in cols})
 
 
-def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame, max_publications: int | None = None,
-              csv_parity: bool = False, match: str = "contains") -> dict[str, DataFrame]:
-    """Enrichment and normalisation.
-
-    * ``'None'`` text -> null; rows without doi go; optionally the first
-      ``max_publications`` by id (the reference keeps 100);
-    * DOI metadata (reference_count, discipline list, publication_type,
-      journal) by left lookup join;
-    * authors: flattened ``authors_parsed``, id = first position;
-    * gender_data: distinct submitter first names without a dot, with the
-      looked-up gender (null when the lookup has none);
-    * versions: one row per version with a parsed timestamp;
-    * bridge: each parsed author -> least author id whose Names and Surname
-      contain it (literal substring; ``match='exact'`` for equality);
-    * author_genders: submitter -> author (Names contains the first letter
-      of the first name, Surname contains the last token) with a gender
-      that is not 'unknown'; one row per publication;
-    * final: the publication table with the first discipline.
-
-    ``csv_parity`` nulls out empty / NA-word names on the matching side, as
-    the reference's CSV round trip does (such authors then never match)."""
+def enrich_publications(pubs: DataFrame, doi_lookup: DataFrame, max_publications: int | None = None) -> DataFrame:
+    """First half of P2: ``'None'`` text -> null, rows without doi go,
+    optionally the first ``max_publications`` by id (the reference keeps
+    100), then DOI metadata (reference_count, discipline list,
+    publication_type, journal) by left lookup join."""
     df = drop_nulls(nullify(pubs, NULL_TOKEN), ["doi"])
     if max_publications is not None:
         df = head_n(df, max_publications, ["id"])
-    df = enrich_by_lookup(df, doi_lookup, "doi")
+    return enrich_by_lookup(df, doi_lookup, "doi")
+
 
+def derive_tables(df: DataFrame, authors: DataFrame, gender_lookup: DataFrame, csv_parity: bool = False,
+                  match: str = "contains") -> dict[str, DataFrame]:
+    """Second half of P2, from enriched publications and their author table
+    (``author_ids(df)``): gender_data, versions, bridge, author_genders,
+    final and reference_counts."""
     flat = flatten_authors(df)
-    authors = author_ids(df)
     build = _csv_nulls(authors, ["Surname", "Names"]) if csv_parity else authors
 
     firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")
@@ -129,9 +118,7 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
     final = df.select("id", "title", "comments", "doi", "reference_count",
                       first_or_null("discipline").alias("discipline"), "publication_type", "journal")
     return {
-        "publications": df,
         "reference_counts": df.select("id", "reference_count"),
-        "authors": authors,
         "gender_data": gender_data,
         "versions": flatten_versions(df),
         "bridge": bridge,
@@ -140,6 +127,29 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
     }
 
 
+def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame, max_publications: int | None = None,
+              csv_parity: bool = False, match: str = "contains") -> dict[str, DataFrame]:
+    """Enrichment and normalisation (``enrich_publications`` then
+    ``derive_tables``).
+
+    * authors: flattened ``authors_parsed``, id = first position;
+    * gender_data: distinct submitter first names without a dot, with the
+      looked-up gender (null when the lookup has none);
+    * versions: one row per version with a parsed timestamp;
+    * bridge: each parsed author -> least author id whose Names and Surname
+      contain it (literal substring; ``match='exact'`` for equality);
+    * author_genders: submitter -> author (Names contains the first letter
+      of the first name, Surname contains the last token) with a gender
+      that is not 'unknown'; one row per publication;
+    * final: the publication table with the first discipline.
+
+    ``csv_parity`` nulls out empty / NA-word names on the matching side, as
+    the reference's CSV round trip does (such authors then never match)."""
+    df = enrich_publications(pubs, doi_lookup, max_publications)
+    authors = author_ids(df)
+    return {"publications": df, "authors": authors, **derive_tables(df, authors, gender_lookup, csv_parity, match)}
+
+
 # ---------------------------------------------------------------- P3
 
 def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", strict: bool = False) -> dict:

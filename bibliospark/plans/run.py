@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibliospark import schemas
+from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
 from bibliospark.sources import read_csv_table, read_indexed_json, read_jsonl, save_table
 
@@ -55,11 +56,17 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
 
     save_table(pipelines.clean_publications(_read_source(spark, source)), "publications", path=path("p1/publications"))
 
-    p2 = pipelines.normalise(read("p1", "publications"), _read_lookup(spark, doi_lookup, schemas.DOI_LOOKUP),
-                             _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP),
-                             max_publications=max_publications)
+    # Each intermediate that feeds several tables is written once and
+    # read back, so the enrichment join and the author numbering run once
+    enriched = pipelines.enrich_publications(read("p1", "publications"),
+                                             _read_lookup(spark, doi_lookup, schemas.DOI_LOOKUP), max_publications)
+    save_table(enriched, "publications", path=path("p2/publications"))
+    pubs = read("p2", "publications")
+    save_table(author_ids(pubs), "authors", path=path("p2/authors"))
+    p2 = pipelines.derive_tables(pubs, read("p2", "authors"),
+                                 _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP))
     write(p2, "p2")
-    tables = {name: read("p2", name) for name in p2}
+    tables = {name: read("p2", name) for name in ["publications", "authors", *p2]}
 
     wh = pipelines.build_warehouse(tables, dim_mode=dim_mode)
     write({k: v for k, v in wh.items() if k != "audits"}, "warehouse")
