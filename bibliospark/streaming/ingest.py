@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from bibliospark.functions import first_last
-from bibliospark.operators import drop_columns, min_length, nullify
+from bibliospark.operators import drop_columns, drop_nulls, enrich_by_lookup, min_length, nullify
 from bibliospark.plans.pipelines import DROPPED_SOURCE_FIELDS, MIN_TITLE_LENGTH, NULL_TOKEN
 
 
@@ -26,16 +26,27 @@ def clean_stream(spark: SparkSession, source_dir: str, schema: StructType, min_t
     return nullify(df.withColumns({"publ_date": first, "publ_lastupdate": last}), NULL_TOKEN)
 
 
+def enrich_stream(stream: DataFrame, doi_lookup: DataFrame) -> DataFrame:
+    """Row-local half of P2 on a stream: records without a doi go, DOI
+    metadata arrives by a stream-static left join (the lookup is a table,
+    deduplicated per key).  The optional first-N cut needs the whole set
+    and stays in the batch ``pipelines.enrich_publications``."""
+    return enrich_by_lookup(drop_nulls(stream, ["doi"]), doi_lookup, "doi")
+
+
 def start_clean_stream(spark: SparkSession, source_dir: str, schema: StructType, sink_dir: str,
-                       checkpoint_location: str, available_now: bool = True) -> StreamingQuery:
+                       checkpoint_location: str, available_now: bool = True,
+                       doi_lookup: DataFrame | None = None) -> StreamingQuery:
     """Append cleaned records to Parquet at ``sink_dir``.
 
     ``checkpoint_location`` must be on shared storage on a cluster: it holds
     the source offsets and the sink log that make the query restartable
     with exactly-once output after a failure."""
+    stream = clean_stream(spark, source_dir, schema)
+    if doi_lookup is not None:
+        stream = enrich_stream(stream, doi_lookup)
     writer = (
-        clean_stream(spark, source_dir, schema)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("path", sink_dir)
         .option("checkpointLocation", checkpoint_location)
         .outputMode("append")
