@@ -398,7 +398,7 @@ def _date_key(ts: str):
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def nq2_year(spark, sf):
     orders = _t(spark, sf, "orders")
-    dates = F.broadcast(date_dimension_for(orders, "o_orderdate").select("date_dim_id", "year_actual"))
+    dates = date_dimension_for(orders, "o_orderdate").select("date_dim_id", "year_actual")
     fact = orders.select(_date_key("o_orderdate").alias("d_date_key"), "o_custkey", "o_totalprice")
     cust = _t(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return star_stats(fact, [(dates, "d_date_key", "date_dim_id"), (cust, "o_custkey", "c_custkey")], "year_actual",
@@ -411,7 +411,7 @@ def nq2_year(spark, sf):
     FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE p_name LIKE '%ring%' GROUP BY 1""")
 def nq3_weekday_like(spark, sf):
     li = _t(spark, sf, "lineitem")
-    dates = F.broadcast(date_dimension_for(li, "l_shipdate").select("date_dim_id", "day_of_week"))
+    dates = date_dimension_for(li, "l_shipdate").select("date_dim_id", "day_of_week")
     fact = li.select(_date_key("l_shipdate").alias("d_date_key"), "l_partkey", "l_quantity", "l_extendedprice")
     part = _t(spark, sf, "part").select("p_partkey", "p_name")
     return star_stats(fact, [(dates, "d_date_key", "date_dim_id"), (part, "l_partkey", "p_partkey")], "day_of_week",
