@@ -69,9 +69,10 @@ def flatten_versions(df: DataFrame, id_col: str = "id", arr: str = "versions", f
 
 
 def dim_first_seen(df: DataFrame, col: str, order_col: str, id_name: str, name_name: str) -> DataFrame:
-    """Ids 0..n-1 over distinct values in first-seen order; null is a value."""
+    """Ids 0..n-1 over distinct values in first-seen order; null is a value.
+    Values first seen at the same order value are ordered by themselves."""
     first = df.groupBy(col).agg(F.min(order_col).alias("_bs_first"))
-    return global_row_number(first, ["_bs_first"], id_name, start=0).select(
+    return global_row_number(first, ["_bs_first", col], id_name, start=0).select(
         id_name, F.col(col).alias(name_name)
     )
 
