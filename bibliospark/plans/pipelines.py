@@ -174,8 +174,18 @@ def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", st
         raise ValueError(dim_mode)
 
     pubs = final.withColumnRenamed("id", "publication_id")
-    fact = join_star(pubs, [(dd, "discipline", "discipline_name"), (dp, "publication_type", "publication_type_name"),
-                            (dj, "journal", "journal_name")])
+    # Keeping the least (discipline, type, journal) id triple of the joined
+    # rows equals taking the least id per name in each dimension on its own,
+    # so each dimension is reduced to name -> min(id) before the join: a
+    # per-row dimension cannot multiply fact rows (a name shared by a third
+    # of all publications would otherwise square that third).
+    def least_id(dim: DataFrame, name: str, id_: str) -> DataFrame:
+        return dim.groupBy(name).agg(F.min(id_).alias(id_))
+
+    fact = join_star(pubs, [(least_id(dd, "discipline_name", "discipline_id"), "discipline", "discipline_name"),
+                            (least_id(dp, "publication_type_name", "publication_type_id"), "publication_type",
+                             "publication_type_name"),
+                            (least_id(dj, "journal_name", "journal_id"), "journal", "journal_name")])
     fact = fact.select("publication_id", "title", "comments", "doi", "reference_count",
                        "discipline_id", "publication_type_id", "journal_id")
     fact = distinct_on(fact, ["publication_id"], [(c, "asc_nulls_last") for c in

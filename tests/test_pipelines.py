@@ -203,3 +203,18 @@ def test_graph(normalised):
     top = graph_queries.top_authors_by_citations(g, 5).collect()
     assert len(top) <= 5 and all(top[i]["citations"] >= top[i + 1]["citations"] for i in range(len(top) - 1))
     assert len(graph_queries.top_journals_by_citations(g, 5).collect()) >= 1
+
+
+def test_per_row_fact_equals_product_then_dedupe(normalised):
+    """The name -> least id reduction equals joining the full per-row
+    dimensions and keeping the least id triple per publication."""
+    from bibliospark.operators import distinct_on, join_star
+    wh = pipelines.build_warehouse(normalised, dim_mode="per_row")
+    pubs = normalised["final"].withColumnRenamed("id", "publication_id")
+    full = join_star(pubs, [(wh["dim_discipline"], "discipline", "discipline_name"),
+                            (wh["dim_publication_type"], "publication_type", "publication_type_name"),
+                            (wh["dim_journal"], "journal", "journal_name")])
+    cols = ["publication_id", "discipline_id", "publication_type_id", "journal_id"]
+    want = distinct_on(full.select(*cols), ["publication_id"], [(c, "asc_nulls_last") for c in cols[1:]])
+    got = wh["fact_publications"].select(*cols)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
