@@ -79,20 +79,37 @@ def sample_queries(wh: dict) -> dict[str, DataFrame]:
     """SQ1-SQ4 over ``pipelines.build_warehouse`` output."""
     fact, bridge = wh["fact_publications"], wh["bridge_author_publications"]
     dd, dj, da, dg = wh["dim_discipline"], wh["dim_journal"], wh["dim_author"], wh["dim_gender"]
-    chain = dd.join(fact, "discipline_id").join(bridge, "publication_id").join(da, "author_id").join(dg, "author_id")
-    gender = F.col("gender")
     return {
         "sq1_top_disciplines": top_groups(dd, fact, "discipline_id", "discipline_id", "discipline_name",
                                           "publication_id", 5),
         "sq2_top_journals": top_groups(dj, fact, "journal_id", "journal_id", "journal_name", "publication_id", 3),
-        "sq3_gender_share": proportions(chain, "discipline_name",
-                                        {"proportion_male": gender == "male", "proportion_female": gender == "female"},
-                                        "author_id"),
+        "sq3_gender_share": gender_share(dd, fact, bridge, da, dg),
         "sq4_hindex": lowest_ranked(rank_by_sum(fact, bridge, "publication_id", "publication_id", "author_id",
                                                 "reference_count"), da, "author_id", "author_id", ["Names", "Surname"], 5),
     }
 
 
+def gender_share(dim_discipline: DataFrame, fact: DataFrame, bridge: DataFrame, dim_author: DataFrame,
+                 dim_gender: DataFrame, shares: Mapping[str, str] | None = None) -> DataFrame:
+    """SQ3: per discipline, rows of the chain discipline-fact-bridge-author-
+    gender with a given gender over the distinct authors in it.
+
+    ``dim_gender`` holds one row per matched publication, so the chain fans
+    out to (bridge rows) x (gender rows) per author; the numerator counts
+    those rows.  It equals the sum, over bridge rows, of the author's
+    per-gender row count, so the gender table is pre-aggregated per author
+    and the product is never built (a prolific author cannot square their
+    share of the data).  Authors without a gender row drop out of both
+    parts, as with the inner join."""
+    shares = shares or {"proportion_male": "male", "proportion_female": "female"}
+    per_author = dim_gender.groupBy("author_id").agg(
+        *[F.sum(F.when(F.col("gender") == v, 1).otherwise(0)).alias(f"_bs_{n}") for n, v in shares.items()])
+    chain = (dim_discipline.join(fact, "discipline_id").join(bridge, "publication_id")
+             .join(dim_author.select("author_id"), "author_id").join(per_author, "author_id"))
+    denom = F.countDistinct("author_id").cast("double")
+    return chain.groupBy("discipline_name").agg(*[(F.sum(f"_bs_{n}") / denom).alias(n) for n in shares])
+
+
 # Column names of the notebook's star (fact plus date, details, scores dims).
 NOTEBOOK_DIMS = (("d_date_key", "date_dim_id"), ("d_details_key", "d_details_id"), ("d_vprof_key", "d_vprof_id"))
 NOTEBOOK_METRICS = {"tag_profanity_score": "avg_profanity_score", "popularity_score": "avg_popularity_score"}
