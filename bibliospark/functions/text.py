@@ -8,14 +8,26 @@ from pyspark.sql import functions as F
 from bibliospark.functions._util import as_col
 
 
+# The characters Python's str.split() treats as whitespace
+# (tab, newline, vertical tab, form feed, carriage return, the four
+# information separators, space, next line, no-break space, ogham space mark,
+# en quad through hair space, line and paragraph separators, narrow no-break
+# space, medium mathematical space, ideographic space), written with \x{...}
+# escapes that Java regex and RE2 both read.
+WHITESPACE = (r"\x{9}\x{a}\x{b}\x{c}\x{d}\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}\x{1680}"
+              r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+FIRST_TOKEN = f"^[{WHITESPACE}]*([^{WHITESPACE}]+)"
+LAST_TOKEN = f"([^{WHITESPACE}]+)[{WHITESPACE}]*$"
+
+
 def first_token(c) -> Column:
     """First whitespace-separated token (``s.split()[0]``); '' when there is none."""
-    return F.regexp_extract(as_col(c), r"^\s*(\S+)", 1)
+    return F.regexp_extract(as_col(c), FIRST_TOKEN, 1)
 
 
 def last_token(c) -> Column:
     """Last whitespace-separated token (``s.split()[-1]``); '' when there is none."""
-    return F.regexp_extract(as_col(c), r"(\S+)\s*$", 1)
+    return F.regexp_extract(as_col(c), LAST_TOKEN, 1)
 
 
 def tokens(c, sep: str = " ") -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, format_rfc1123, last_token
+from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN
 from bibliospark.operators import (
     audit_column,
     author_ids,
@@ -108,17 +109,17 @@ def head_n_q(spark, sf):
     return head_n(drop_nulls(nullify(ev, "error", ["event_type"]), ["event_type"]), 100, ["event_id"])
 
 
-@query("first_token_unique", r"""
-    SELECT DISTINCT regexp_extract(p_name, '^\s*(\S+)', 1) AS firstname FROM part
-    WHERE NOT contains(regexp_extract(p_name, '^\s*(\S+)', 1), 'w')""")
+@query("first_token_unique", f"""
+    SELECT DISTINCT regexp_extract(p_name, '{FIRST_TOKEN}', 1) AS firstname FROM part
+    WHERE NOT contains(regexp_extract(p_name, '{FIRST_TOKEN}', 1), 'w')""")
 def first_token_unique(spark, sf):
     names = _t(spark, sf, "part").select(first_token("p_name").alias("firstname")).distinct()
     return names.filter(~F.col("firstname").contains("w"))
 
 
-@query("first_last_token", r"""
-    SELECT conv_id, turn, regexp_extract(text, '^\s*(\S+)', 1) AS first_token,
-           regexp_extract(text, '(\S+)\s*$', 1) AS last_token FROM conversations""")
+@query("first_last_token", f"""
+    SELECT conv_id, turn, regexp_extract(text, '{FIRST_TOKEN}', 1) AS first_token,
+           regexp_extract(text, '{LAST_TOKEN}', 1) AS last_token FROM conversations""")
 def first_last_token(spark, sf):
     return _t(spark, sf, "conversations").select(
         "conv_id", "turn", first_token("text").alias("first_token"), last_token("text").alias("last_token"))
@@ -273,9 +274,9 @@ def submatch_min(spark, sf):
     return min_contained(_t(spark, sf, "documents"), "doc_id", "text", _t(spark, sf, "benchmark"), "item_id", "text")
 
 
-@query("two_pair_match", r"""
-    WITH q AS (SELECT p_name, substr(regexp_extract(p_name, '^\s*(\S+)', 1), 1, 1) AS ini,
-                      regexp_extract(p_name, '(\S+)\s*$', 1) AS sur FROM (SELECT DISTINCT p_name FROM part))
+@query("two_pair_match", f"""
+    WITH q AS (SELECT p_name, substr(regexp_extract(p_name, '{FIRST_TOKEN}', 1), 1, 1) AS ini,
+                      regexp_extract(p_name, '{LAST_TOKEN}', 1) AS sur FROM (SELECT DISTINCT p_name FROM part))
     SELECT q.p_name, min(b.p_partkey) AS author_id FROM q JOIN part b
       ON contains(b.p_name, q.ini) AND contains(b.p_name, q.sur) GROUP BY q.p_name""")
 def two_pair_match(spark, sf):

@@ -178,3 +178,11 @@ def test_drop_all_duplicates_prefilter_equals_exact(spark):
     from collections import Counter
     cnt = Counter((t, n) for _, t, n, _ in rows)
     assert sorted(r.id for r in a.collect()) == sorted(i for i, t, n, _ in rows if cnt[(t, n)] == 1)
+
+
+def test_tokens_follow_python_split_whitespace(spark):
+    samples = [" Jean　Dupont ", "\x1cAnna\x0bMaria\x85", "Li Wei", " ", "plain name"]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = [(r.f, r.l) for r in df.select(first_token("s").alias("f"), last_token("s").alias("l")).collect()]
+    want = [(s.split()[0], s.split()[-1]) if s.split() else ("", "") for s in samples]
+    assert got == want
