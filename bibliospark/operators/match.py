@@ -234,11 +234,19 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     key (see ``_rarest_blocks``); ``'longest'`` on its longest needle."""
     out = out or build_id
     ncols = [p for p, _ in pairs]
-    tuples = probe.select(*ncols).dropna().distinct()
     hcols = [f"_bs_h_{i}" for i in range(len(pairs))]
-    # identical build tuples match identically: keep the least id per tuple
-    bcols = build.select(build_id, *[F.col(b).alias(h) for (_, b), h in zip(pairs, hcols)]).groupBy(*hcols).agg(
-        F.min(build_id).alias(build_id))
+    # Every branch below reads the distinct needle tuples and the distinct
+    # build tuples (identical build tuples match identically: keep the least
+    # id).  Both are far smaller than their sources, so they are written
+    # once (reliable checkpoint) instead of re-derived from the sources by
+    # each branch.
+    ensure_checkpoint_dir(probe.sparkSession)
+    tuples = probe.select(*ncols).dropna().distinct().checkpoint(eager=True)
+    bcols = (
+        build.select(build_id, *[F.col(b).alias(h) for (_, b), h in zip(pairs, hcols)])
+        .groupBy(*hcols).agg(F.min(build_id).alias(build_id))
+        .checkpoint(eager=True)
+    )
 
     if match == "exact":
         cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])
