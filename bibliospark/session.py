@@ -37,14 +37,17 @@ def get_session(master: str | None = None, app: str = "bibliospark", **conf: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, honouring ``spark.checkpoint.dir``.
 
     On a cluster the folder must be shared storage named by the cluster in
     ``spark.checkpoint.dir``; we never invent one there.  Only a local-mode
     session without the setting (tests, laptops) gets a private temp folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
