@@ -21,6 +21,8 @@ from bibliospark.operators.joins import (
     join_star,
     left_join_null_safe,
     lookup_exact,
+    null_safe_join,
+    one_row_per_key,
 )
 from bibliospark.operators.match import contains_pairs, first_match_contains, min_contained
 from bibliospark.operators.ordering import (

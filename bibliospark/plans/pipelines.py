@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, last_token
-from bibliospark.operators.joins import one_row_per_key
 from bibliospark.operators import (
     author_ids,
     audit_column,
@@ -40,6 +39,7 @@ from bibliospark.operators import (
     join_star,
     min_length,
     nullify,
+    one_row_per_key,
     relations,
 )
 
