@@ -19,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": ckpt,
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bibliospark-test-warehouse-"),
             "spark.driver.memory": "4g",
         },
     )
