@@ -80,6 +80,26 @@ def needle_stats(needles: DataFrame, ncol: str, q: int = GRAM, s: int = STRIDE,
                                                  r["n_bytes"] or 0) for r in rows}
 
 
+def _pair_stats(tuples: DataFrame, pairs: Sequence[tuple[str, str]], q: int, s: int) -> tuple[dict, int]:
+    """One aggregate job over the distinct needle tuples: ``NeedleStats`` of
+    every pair's needle column (upper bounds for any block of tuples) and
+    the number of tuples whose needles are all empty."""
+    aggs = []
+    lens = [F.char_length(F.col(n)) for n, _ in pairs]
+    for i, m in enumerate(lens):
+        short = (m > 0) & (m < q + s - 1)
+        aggs += [F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias(f"l{i}"),
+                 F.sum(F.when(short, 1).otherwise(0)).alias(f"s{i}"),
+                 F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias(f"k{i}"),
+                 F.sum(F.octet_length(F.col(pairs[i][0]))).alias(f"b{i}")]
+    longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
+    aggs.append(F.sum(F.when(longest == 0, 1).otherwise(0)).alias("empty"))
+    r = tuples.agg(*aggs).first()
+    stats = {i: NeedleStats(r[f"l{i}"] or 0, r[f"s{i}"] or 0, sorted(r[f"k{i}"]), r[f"b{i}"] or 0)
+             for i in range(len(pairs))}
+    return stats, r["empty"] or 0
+
+
 def _maybe_broadcast(df: DataFrame, rows_upper_bound: int, max_rows: int) -> DataFrame:
     return F.broadcast(df) if rows_upper_bound <= max_rows else df
 
@@ -180,7 +200,7 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
 
 
 def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: Sequence[str], bcols: DataFrame,
-                   q: int) -> DataFrame:
+                   q: int, stats: dict) -> DataFrame:
     """Tag each needle tuple with the pair to block on: the one whose key gram
     (the needle's first min(m, q) characters) occurs in the fewest build rows.
 
@@ -192,14 +212,13 @@ def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: S
     match, and blocking on it yields no candidates.  Any choice is exact,
     because every pair is verified after blocking."""
     lens = [F.char_length(F.col(n)) for n, _ in pairs]
-    in_use = tuples.agg(*[F.collect_set(F.when(m > 0, F.least(m, F.lit(q)))).alias(f"_bs_k{i}")
-                          for i, m in enumerate(lens)]).first()      # at most q lengths per pair
     keyed = tuples
     costs = []
     for i, ((needle, _), h) in enumerate(zip(pairs, hcols)):
         cost = f"_bs_cost{i}"
         costs.append(F.col(cost))
-        lengths = sorted(in_use[f"_bs_k{i}"])
+        # key lengths in use: the short ones, plus q for long needles
+        lengths = sorted(set(stats[i].lengths) | ({q} if stats[i].n_long else set()))
         if not lengths:
             keyed = keyed.withColumn(cost, F.lit(None).cast("bigint"))
             continue
@@ -254,8 +273,11 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     elif match == "contains":
         lens = [F.char_length(F.col(n)) for n, _ in pairs]
         longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
+        # one job sizes everything: per-pair needle statistics (upper bounds
+        # for any block) and the count of all-empty tuples
+        stats, n_empty = _pair_stats(tuples, pairs, q, s)
         if blocking == "rarest" and len(pairs) > 1:
-            keyed = _rarest_blocks(tuples, pairs, hcols, bcols, q)
+            keyed = _rarest_blocks(tuples, pairs, hcols, bcols, q, stats)
         elif blocking in ("rarest", "longest"):
             # block on the longest needle (first such pair on ties)
             chosen = F.lit(-1)
@@ -264,15 +286,9 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
             keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
         else:
             raise ValueError(f"unknown blocking {blocking!r}")
-        # one job sizes every block: long-needle counts and short key lengths
-        # (block -1 = tuples whose needles are all empty)
-        blocked_needle = F.lit("")
-        for i in reversed(range(len(pairs))):
-            blocked_needle = F.when(F.col("_bs_blk") == i, F.col(pairs[i][0])).otherwise(blocked_needle)
-        stats = needle_stats(keyed.select(blocked_needle.alias("_bs_n"), "_bs_blk"), "_bs_n", q, s, by="_bs_blk")
         groups = []
         for i, (needle, _) in enumerate(pairs):
-            if i not in stats:
+            if not (stats[i].n_long or stats[i].n_short):
                 continue
             sel = keyed.filter(F.col("_bs_blk") == i).drop("_bs_blk")
             c = contains_candidates(sel, ncols, needle, bcols, [build_id], hcols[i], q, s, stats=stats[i])
@@ -286,7 +302,7 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
                 .filter(_all_contained([(n, h) for (n, _), h in zip(pairs, hcols)]))
             )
             best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
-        if -1 in stats:
+        if n_empty:
             # all needles empty: every build row with non-null columns matches
             all_empty = keyed.filter(F.col("_bs_blk") == -1).drop("_bs_blk")
             nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])

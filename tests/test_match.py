@@ -90,12 +90,15 @@ def test_contains_pairs_property(spark, hays, needles):
 
 
 def test_rarest_blocking_picks_rare_needle(spark):
-    from bibliospark.operators.match import _rarest_blocks
+    from bibliospark.operators.match import _pair_stats, _rarest_blocks
     build = [(i, "Li" + "abcdefgh"[i % 8], f"given{i}") for i in range(40)] + [(99, "Zed", "Li")]
     bd = spark.createDataFrame(build, "author_id long, _bs_h_0 string, _bs_h_1 string")
     tuples = spark.createDataFrame([("Li", "given7"), ("Li", ""), ("", ""), ("Qq", "Li")], "s string, n string")
-    got = {(r.s, r.n): r._bs_blk for r in _rarest_blocks(tuples, [("s", "x"), ("n", "y")], ["_bs_h_0", "_bs_h_1"],
-                                                           bd, 8).collect()}
+    pairs = [("s", "x"), ("n", "y")]
+    stats, n_empty = _pair_stats(tuples, pairs, 8, 8)
+    assert n_empty == 1
+    got = {(r.s, r.n): r._bs_blk for r in _rarest_blocks(tuples, pairs, ["_bs_h_0", "_bs_h_1"], bd, 8,
+                                                           stats).collect()}
     assert got == {("Li", "given7"): 1, ("Li", ""): 0, ("", ""): -1, ("Qq", "Li"): 0}
 
 
