@@ -152,7 +152,8 @@ def _all_contained(pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame, hk: Sequence[str],
-                   hcol: str, q: int = GRAM, s: int = STRIDE, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                   hcol: str, q: int = GRAM, s: int = STRIDE, max_broadcast_rows: int = 2_000_000,
+                   stats: NeedleStats | None = None) -> DataFrame:
     """Verified (nk..., hk...) pairs with ``hcol`` containing the non-empty
     needle ``ncol`` (empty needles are excluded; see module docstring).
 
@@ -162,7 +163,8 @@ def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataF
     assert not set(nk) & set(hk), "needle and haystack keys must have distinct names"
     n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
     h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
-    stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), NeedleStats(0, 0, [], 0))
+    if stats is None:
+        stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), NeedleStats(0, 0, [], 0))
     cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s, stats=stats)
     if cand is None:  # no non-empty needle: typed empty result
         types = {f.name: f.dataType for f in h.schema.fields}
@@ -188,9 +190,18 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
     out = out or needle_id
     # identical needle texts match identically: keep the least id per text
     needles = needles.groupBy(ncol).agg(F.min(needle_id).alias(needle_id))
-    best = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s).groupBy(hay_id).agg(
-        F.min(needle_id).alias(out))
-    empty_min = needles.filter(F.col(ncol) == "").agg(F.min(needle_id)).first()[0]   # one value
+    # one job: needle statistics and the least id of an empty needle
+    m = F.char_length(F.col(ncol))
+    short = (m > 0) & (m < q + s - 1)
+    r = needles.agg(F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias("l"),
+                    F.sum(F.when(short, 1).otherwise(0)).alias("s"),
+                    F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("k"),
+                    F.sum(F.when(m > 0, F.octet_length(F.col(ncol))).otherwise(0)).alias("b"),
+                    F.min(F.when(m == 0, F.col(needle_id))).alias("e")).first()
+    stats = NeedleStats(r["l"] or 0, r["s"] or 0, sorted(r["k"]), r["b"] or 0)
+    best = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s, stats=stats).groupBy(
+        hay_id).agg(F.min(needle_id).alias(out))
+    empty_min = r["e"]
     if empty_min is None:
         return best
     # an empty needle is in every non-null haystack: a literal, not a join
