@@ -26,8 +26,12 @@ def first_token(c) -> Column:
 
 
 def last_token(c) -> Column:
-    """Last whitespace-separated token (``s.split()[-1]``); '' when there is none."""
-    return F.regexp_extract(as_col(c), LAST_TOKEN, 1)
+    """Last whitespace-separated token (``s.split()[-1]``); '' when there is none.
+
+    Computed as the first token of the reversed text (reversed back): an
+    anchored match is linear, while an end-anchored pattern is retried from
+    every position of a long text.  Same result as ``LAST_TOKEN``."""
+    return F.reverse(F.regexp_extract(F.reverse(as_col(c)), FIRST_TOKEN, 1))
 
 
 def tokens(c, sep: str = " ") -> Column:
