@@ -1,9 +1,10 @@
 """Run the four pipelines in order, each stage writing its tables.
 
     python -m bibliospark.plans.run --source pubs.json --doi-lookup doi.parquet \\
-        --gender-lookup genders.csv --out /shared/bibliospark [--max-publications 100]
+        --gender-lookup genders.csv --out hdfs:///shared/bibliospark [--max-publications 100]
 
-Stage outputs are Parquet folders under ``out``; the next stage reads them
+Stage outputs are Parquet folders under ``out`` (plus a JSON
+``audit_summary``); the next stage reads them
 back, so each stage starts from written data (lineage is cut at stage
 boundaries and a failed stage can be rerun alone).  Every write overwrites:
 reruns are idempotent, as drop-and-rebuild is in the reference.
@@ -25,13 +26,15 @@ from bibliospark.sources import read_csv_table, read_indexed_json, read_jsonl, s
 
 
 def _read_source(spark: SparkSession, path: str) -> DataFrame:
-    """Index-keyed JSON object (``*.json``) or JSONL / Parquet records with an ``id``."""
-    if path.endswith(".parquet") or os.path.isdir(path) and any(f.endswith(".parquet") for f in os.listdir(path)):
-        return spark.read.parquet(path)
+    """By extension: index-keyed JSON object (``.json``), JSONL records with
+    a bigint ``id`` (``.jsonl``), otherwise Parquet records with ``id``.
+    Works for local paths and cluster URIs alike."""
     if path.endswith(".jsonl"):
         fields = [f if f.name != "id" else schemas.StructField("id", schemas.LongType()) for f in schemas.PUBLICATION]
         return read_jsonl(spark, path, schemas.StructType(fields))
-    return read_indexed_json(spark, path, schemas.PUBLICATION)
+    if path.endswith(".json"):
+        return read_indexed_json(spark, path, schemas.PUBLICATION)
+    return spark.read.parquet(path)
 
 
 def _read_lookup(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -101,8 +104,10 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
             audits[name] = a.count()
 
     write(pipelines.build_graph(tables), "graph")
-    with open(path("audits.json"), "w") as f:
-        json.dump(audits, f, indent=1, sort_keys=True)
+    # one small summary table (one row per audit), written by Spark so that
+    # ``out`` may be any cluster file system
+    summary = spark.createDataFrame(sorted(audits.items()), "audit string, violations bigint")
+    save_table(summary.coalesce(1), "audit_summary", path=path("audit_summary"), fmt="json")
     return audits
 
 
