@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from bibliospark.operators.ordering import OrderSpec, sort_col
 
@@ -22,6 +23,16 @@ def _exact_singletons(df: DataFrame, keys: Sequence[str], rest: Sequence[str], o
     )
 
 
+def _has_map(t) -> bool:
+    if isinstance(t, MapType):
+        return True
+    if isinstance(t, ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
 def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = (), prefilter: bool = True,
                         max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Remove *all* rows of any group that repeats over the non-excluded
@@ -37,7 +48,8 @@ def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = (), prefilter: b
     excluded = set(exclude)
     keys = [c for c in df.columns if c not in excluded]
     rest = [c for c in df.columns if c in excluded]
-    if not prefilter:
+    # Spark cannot hash map values: such keys take the exact path directly
+    if not prefilter or any(_has_map(df.schema[c].dataType) for c in keys):
         return _exact_singletons(df, keys, rest, df.columns)
     hashed = df.withColumns({"_bs_h1": F.xxhash64(*keys), "_bs_h2": F.hash(*keys)})
     repeated = hashed.groupBy("_bs_h1", "_bs_h2").count().filter(F.col("count") > 1).select("_bs_h1", "_bs_h2")

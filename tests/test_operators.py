@@ -186,3 +186,8 @@ def test_tokens_follow_python_split_whitespace(spark):
     got = [(r.f, r.l) for r in df.select(first_token("s").alias("f"), last_token("s").alias("l")).collect()]
     want = [(s.split()[0], s.split()[-1]) if s.split() else ("", "") for s in samples]
     assert got == want
+
+
+def test_drop_all_duplicates_with_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (2, {"a": 1}), (3, {"b": 2})], "id int, m map<string,int>")
+    assert sorted(r.id for r in drop_all_duplicates(df, exclude=["id"]).collect()) == [3]
