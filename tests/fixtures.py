@@ -51,6 +51,8 @@ PUBLICATIONS = {
     # same as each other except categories: not duplicates, both stay
     "16": rec(title(46, "Categories "), "Sam Lee", [["Lee", "Sam"]], "10.9/a16", categories="math.CO"),
     "17": rec(title(46, "Categories "), "Sam Lee", [["Lee", "Sam"]], "10.9/a16", categories="math.PR"),
+    "18": rec(title(44, "Null doi "), "Sam Lee", [["Lee", "Sam"]], None),                  # raw null doi
+    "19": rec(title(44, "No lookup row "), "Zed Doe", [["Doe", "Zed"]], "10.9/a19"),    # first name not in lookup
 }
 
 # doi -> (reference_count, discipline list, publication_type, journal)

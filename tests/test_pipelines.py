@@ -218,3 +218,11 @@ def test_per_row_fact_equals_product_then_dedupe(normalised):
     want = distinct_on(full.select(*cols), ["publication_id"], [(c, "asc_nulls_last") for c in cols[1:]])
     got = wh["fact_publications"].select(*cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_null_doi_and_missing_lookup(normalised):
+    ids = {r.id for r in normalised["final"].select("id").collect()}
+    assert 18 not in ids and 19 in ids                       # raw null doi dropped, unknown doi kept
+    genders = {r.firstname: r.gender for r in normalised["gender_data"].collect()}
+    assert "Zed" in genders and genders["Zed"] is None         # no lookup row -> null gender
+    assert "J." not in genders and "A." not in genders         # names with a dot are not looked up
