@@ -23,7 +23,6 @@ from bibliospark.operators import (
     audit_reference,
     audit_unique,
     co_neighbours,
-    count_by,
     date_dimension_for,
     dim_distinct,
     dim_first_seen,

@@ -2,7 +2,7 @@
 
 import os
 
-from bibliospark.plans.run import main, run_pipelines
+from bibliospark.plans.run import run_pipelines
 from tests import fixtures as fx
 
 
