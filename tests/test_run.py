@@ -47,3 +47,20 @@ def test_bucketed_warehouse_joins_without_shuffle(spark, tmp_dir):
     assert joined.count() == spark.read.parquet(os.path.join(tmp_dir, "out", "p2", "bridge")).count()
     for t in ("fact_publications", "bridge_author_publications", "dim_versions", "dim_author", "dim_gender"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_cli(spark, tmp_dir, capsys):
+    import json
+
+    from bibliospark.plans.run import main
+    src = fx.write_indexed_json(os.path.join(tmp_dir, "pubs.json"))
+    doi = os.path.join(tmp_dir, "doi")
+    fx.doi_lookup(spark).write.parquet(doi)
+    gender = os.path.join(tmp_dir, "gender.csv")
+    from bibliospark.sources import write_csv_table
+    write_csv_table(fx.gender_lookup(spark), gender)
+    main(["--source", src, "--doi-lookup", doi, "--gender-lookup", gender, "--out", os.path.join(tmp_dir, "o"),
+          "--max-publications", "5"])
+    audits = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert audits["fact_pk"] == 0
+    assert spark.read.parquet(os.path.join(tmp_dir, "o", "warehouse", "fact_publications")).count() == 5
