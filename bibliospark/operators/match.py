@@ -250,6 +250,35 @@ def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: S
         *[f"_bs_cost{i}" for i in range(len(pairs))])
 
 
+# Regex mode.  Names become regular expressions in the reference (a
+# substring search).  Supported exactly: literal characters, "." (any
+# character), a backslash before a non-alphanumeric character (that
+# character, literally) and braces that do not form a quantifier (literal, as
+# in Python).  Every match of such a pattern contains each literal run
+# between its wildcards, so the longest run is a valid blocking key.  Other
+# patterns (quantifiers, groups, classes, anchors, alternation, letter or
+# digit escapes, a trailing backslash) match nothing; in the reference they
+# either raise or are regex features names do not use.
+_SIMPLE_PATTERN = r"^(?:[^\\.^$*+?()\[\]|]|\\[^A-Za-z0-9]|\.)*$"
+_QUANTIFIER = r"\{,?[0-9]"
+_SENTINEL = "\u0000"
+
+
+def _regex_parts(col: str) -> tuple[Column, Column, Column]:
+    """(supported?, longest literal run, Java-safe pattern) of a pattern column."""
+    c = F.col(col)
+    ok = c.rlike(_SIMPLE_PATTERN) & ~c.rlike(_QUANTIFIER)
+    units = F.regexp_extract_all(c, F.lit(r"(?s)\\.|."), F.lit(0))   # an escape pair or one character
+    literal = F.transform(units, lambda u: F.when(u == ".", F.lit(_SENTINEL))
+                          .when(F.char_length(u) == 2, F.substr(u, F.lit(2), F.lit(1))).otherwise(u))
+    runs = F.split(F.array_join(literal, ""), _SENTINEL)
+    longest = F.element_at(F.array_sort(F.transform(
+        runs, lambda r: F.struct((-F.char_length(r)).alias("n"), r.alias("r")))), 1).getField("r")
+    java = F.array_join(F.transform(units, lambda u: F.when(u.isin("{", "}"), F.concat(F.lit("\\"), u))
+                                    .otherwise(u)), "")
+    return ok, longest, java
+
+
 def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tuple[str, str]], build_id: str,
                          out: str | None = None, match: str = "contains", how: str = "inner",
                          q: int = GRAM, s: int = STRIDE, blocking: str = "rarest") -> DataFrame:
@@ -257,7 +286,10 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     the probe's needles, for every (probe_col, build_col) pair.
 
     ``match='contains'`` is literal substring matching (exact, gram blocked);
-    ``match='exact'`` is plain equality on every pair.  Rows without a match
+    ``match='regex'`` reads the probe values as patterns searched in the
+    build values, as the reference does (see ``_regex_parts`` for the
+    supported pattern class); ``match='exact'`` is plain equality on every
+    pair.  Rows without a match
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
     Work is done once per distinct needle tuple, then joined back.
     ``blocking='rarest'`` blocks each tuple on its least frequent needle
@@ -281,24 +313,38 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     if match == "exact":
         cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])
         best = tuples.join(bcols, cond).groupBy(*ncols).agg(F.min(build_id).alias(out))
-    elif match == "contains":
-        lens = [F.char_length(F.col(n)) for n, _ in pairs]
+    elif match in ("contains", "regex"):
+        if match == "regex":
+            # block on each pattern's longest literal run; verify with the pattern
+            parts = [_regex_parts(n) for n, _ in pairs]
+            supported = reduce(lambda a, b: a & b, [ok for ok, _, _ in parts])
+            tuples = tuples.withColumns({
+                **{f"_bs_lit_{i}": lit for i, (_, lit, _) in enumerate(parts)},
+                **{f"_bs_re_{i}": jre for i, (_, _, jre) in enumerate(parts)},
+            }).filter(supported)
+            block = [(f"_bs_lit_{i}", b) for i, (_, b) in enumerate(pairs)]
+            verify = reduce(lambda a, b: a & b, [F.regexp_like(F.col(h), F.col(f"_bs_re_{i}"))
+                                                 for i, h in enumerate(hcols)])
+        else:
+            block = list(pairs)
+            verify = _all_contained([(n, h) for (n, _), h in zip(pairs, hcols)])
+        lens = [F.char_length(F.col(n)) for n, _ in block]
         longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
         # one job sizes everything: per-pair needle statistics (upper bounds
         # for any block) and the count of all-empty tuples
-        stats, n_empty = _pair_stats(tuples, pairs, q, s)
+        stats, n_empty = _pair_stats(tuples, block, q, s)
         if blocking == "rarest" and len(pairs) > 1:
-            keyed = _rarest_blocks(tuples, pairs, hcols, bcols, q, stats)
+            keyed = _rarest_blocks(tuples, block, hcols, bcols, q, stats)
         elif blocking in ("rarest", "longest"):
             # block on the longest needle (first such pair on ties)
             chosen = F.lit(-1)
-            for i in reversed(range(len(pairs))):
+            for i in reversed(range(len(block))):
                 chosen = F.when(lens[i] == longest, F.lit(i)).otherwise(chosen)
             keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
         else:
             raise ValueError(f"unknown blocking {blocking!r}")
         groups = []
-        for i, (needle, _) in enumerate(pairs):
+        for i, (needle, _) in enumerate(block):
             if not (stats[i].n_long or stats[i].n_short):
                 continue
             sel = keyed.filter(F.col("_bs_blk") == i).drop("_bs_blk")
@@ -310,10 +356,10 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
             cand = reduce(DataFrame.unionByName, groups).distinct()
             verified = (
                 cand.join(tuples, ncols).join(bcols, build_id)
-                .filter(_all_contained([(n, h) for (n, _), h in zip(pairs, hcols)]))
+                .filter(verify)
             )
             best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
-        if n_empty:
+        if n_empty and match == "contains":
             # all needles empty: every build row with non-null columns matches
             all_empty = keyed.filter(F.col("_bs_blk") == -1).drop("_bs_blk")
             nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
@@ -321,7 +367,7 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
             empty_best = all_empty.withColumn(out, least).filter(F.col(out).isNotNull())
             best = empty_best if best is None else best.unionByName(empty_best)
         if best is None:  # nothing can match: typed empty result
-            best = tuples.withColumn(out, F.lit(None).cast("bigint")).filter(F.lit(False))
+            best = tuples.select(*ncols).withColumn(out, F.lit(None).cast("bigint")).filter(F.lit(False))
     else:
         raise ValueError(f"unknown match mode {match!r}")
 

@@ -55,7 +55,7 @@ BUCKET_KEYS = {
 
 def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_lookup: str, out: str,
                   max_publications: int | None = None, dim_mode: str = "distinct",
-                  buckets: int | None = None) -> dict:
+                  buckets: int | None = None, match: str = "contains") -> dict:
     """P1 -> P2 -> P3 -> P4 with written stage boundaries; returns audit counts.
 
     With ``buckets``, the warehouse tables are also registered as catalog
@@ -82,7 +82,7 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
     pubs = read("p2", "publications")
     save_table(author_ids(pubs), "authors", path=path("p2/authors"))
     p2 = pipelines.derive_tables(pubs, read("p2", "authors"),
-                                 _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP))
+                                 _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP), match=match)
     write(p2, "p2")
     tables = {name: read("p2", name) for name in ["publications", "authors", *p2]}
 
@@ -120,11 +120,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-publications", type=int)
     ap.add_argument("--dim-mode", default="distinct", choices=["distinct", "per_row"])
     ap.add_argument("--buckets", type=int, help="register bucketed warehouse tables in the catalog")
+    ap.add_argument("--match", default="contains", choices=["contains", "regex", "exact"],
+                    help="how parsed author names are matched to the author table")
     a = ap.parse_args(argv)
     from bibliospark.session import get_session
     spark = get_session()
     print(json.dumps(run_pipelines(spark, a.source, a.doi_lookup, a.gender_lookup, a.out, a.max_publications,
-                                   a.dim_mode, a.buckets), sort_keys=True))
+                                   a.dim_mode, a.buckets, a.match), sort_keys=True))
 
 
 if __name__ == "__main__":

@@ -116,3 +116,48 @@ def test_blocking_modes_agree(spark):
     want = sorted((k, min(i for i, bs, bg in build if s in bs and g in bg)) for k, s, g in probe
                   if any(s in bs and g in bg for _, bs, bg in build))
     assert res[0] == res[1] == want
+
+
+import re
+
+_UNITS = ["a", "b", "é", " ", ".", "\\.", "{", "}", "\\'", "\U0001F600"]
+_HAY = list("ab é.{}'") + ["\U0001F600"]
+
+
+def _literal_runs(pattern):
+    units = re.findall(r"\\.|.", pattern, flags=re.S)
+    return "".join("\0" if u == "." else u[-1] for u in units).split("\0")
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pats=st.lists(st.tuples(st.lists(st.sampled_from(_UNITS), max_size=4).map("".join),
+                               st.lists(st.sampled_from(_UNITS), min_size=1, max_size=4).map("".join)),
+                     min_size=1, max_size=8),
+       hays=st.lists(st.tuples(st.text(st.sampled_from(_HAY), max_size=10), st.text(st.sampled_from(_HAY), max_size=10)),
+                     min_size=1, max_size=12))
+def test_regex_match_property(spark, pats, hays):
+    probe = spark.createDataFrame([(k, n, s) for k, (n, s) in enumerate(pats)], "k long, n string, s string")
+    build = spark.createDataFrame([(i, n, s) for i, (n, s) in enumerate(hays)], "author_id long, bn string, bs string")
+    got = {r.k: r.author_id for r in first_match_contains(probe, build, [("n", "bn"), ("s", "bs")], "author_id",
+                                                          match="regex").collect()}
+    want = {}
+    for k, (n, s) in enumerate(pats):
+        if not any(_literal_runs(n)) and not any(_literal_runs(s)):
+            continue   # wildcard-only tuples are not matched (documented)
+        m = [i for i, (bn, bs) in enumerate(hays) if re.search(n, bn) and re.search(s, bs)]
+        if m:
+            want[k] = min(m)
+    assert got == want
+
+
+def test_regex_match_cases(spark):
+    build = spark.createDataFrame([(1, "Jo ", "Smith"), (2, "J. ", "Smith"), (3, 'M{"u}ller', "X"), (4, "Anna", "O'Neil")],
+                                  "author_id long, bn string, bs string")
+    probe = spark.createDataFrame([(0, "J. ", "Smith"), (1, 'M{\\"u}ller', "X"), (2, "A+", "O'Neil"),
+                                   (3, "\\c", "X"), (4, "J\\. ", "Smith"), (5, ".", "Neil")],
+                                  "k long, n string, s string")
+    got = {r.k: r.author_id for r in first_match_contains(probe, build, [("n", "bn"), ("s", "bs")], "author_id",
+                                                          match="regex").collect()}
+    # "J. " is a wildcard pattern (matches "Jo "); escapes and braces are literal;
+    # quantifiers and letter escapes are unsupported (no match)
+    assert got == {0: 1, 1: 3, 4: 2, 5: 4}

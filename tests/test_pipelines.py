@@ -226,3 +226,20 @@ def test_null_doi_and_missing_lookup(normalised):
     genders = {r.firstname: r.gender for r in normalised["gender_data"].collect()}
     assert "Zed" in genders and genders["Zed"] is None         # no lookup row -> null gender
     assert "J." not in genders and "A." not in genders         # names with a dot are not looked up
+
+
+def test_normalise_regex_mode(spark, raw):
+    import re
+    clean = pipelines.clean_publications(raw)
+    t = pipelines.normalise(clean, fx.doi_lookup(spark), fx.gender_lookup(spark), match="regex")
+    pubs, authors = BRUTE[0], BRUTE[1]
+    want = []
+    for k in sorted(pubs):
+        for a in pubs[k]["authors_parsed"]:
+            s, n = a[0], " ".join(a[1:])
+            m = [i for i, sa, na in authors if re.search(n, na) and re.search(s, sa)]
+            if m:
+                want.append((k, min(m)))
+    assert sorted(tuple(r) for r in t["bridge"].collect()) == sorted(want)
+    # the initial "A." is a wildcard pattern in this mode
+    assert any(n == "A." for _, _, n in authors)
