@@ -289,6 +289,25 @@ def two_pair_match(spark, sf):
     return m.select("p_name", "author_id")
 
 
+@query("regex_pair_match", f"""
+    WITH q AS (SELECT p_name, substr(regexp_extract(p_name, '{FIRST_TOKEN}', 1), 1, 1) AS ini,
+                      regexp_replace(regexp_extract(p_name, '{LAST_TOKEN}', 1), '^(.).', '\\1.') AS sur
+               FROM (SELECT DISTINCT p_name FROM part))
+    SELECT q.p_name, min(b.p_partkey) AS author_id FROM q JOIN part b
+      ON regexp_matches(b.p_name, q.ini) AND regexp_matches(b.p_name, q.sur) GROUP BY q.p_name""")
+def regex_pair_match(spark, sf):
+    """J4 in the reference's regex reading: the surname pattern has a wildcard
+    (its second character becomes '.'), so "ring" also matches "rang"."""
+    part = _t(spark, sf, "part")
+    probe = part.select("p_name").distinct().select(
+        "p_name", first_char(first_token("p_name")).alias("sub_initial"),
+        F.regexp_replace(last_token("p_name"), r"^(.).", "$1.").alias("sub_surname"))
+    build = part.select("p_partkey", F.col("p_name").alias("names"), F.col("p_name").alias("surname"))
+    m = first_match_contains(probe, build, [("sub_initial", "names"), ("sub_surname", "surname")], "p_partkey",
+                             out="author_id", match="regex")
+    return m.select("p_name", "author_id")
+
+
 @query("null_safe_join", """
     WITH e AS (SELECT event_id, nullif(event_type, 'error') AS et, value FROM events),
          m AS (SELECT et, max(value) AS max_value FROM e GROUP BY et)
