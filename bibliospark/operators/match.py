@@ -258,7 +258,9 @@ def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: S
 # between its wildcards, so the longest run is a valid blocking key.  Other
 # patterns (quantifiers, groups, classes, anchors, alternation, letter or
 # digit escapes, a trailing backslash) match nothing; in the reference they
-# either raise or are regex features names do not use.
+# either raise or are regex features names do not use.  Tuples of wildcard-
+# only patterns have no literal to block on and are answered by
+# ``_wildcard_only_best``.
 _SIMPLE_PATTERN = r"^(?:[^\\.^$*+?()\[\]|]|\\[^A-Za-z0-9]|\.)*$"
 _QUANTIFIER = r"\{,?[0-9]"
 _SENTINEL = "\u0000"
@@ -279,6 +281,29 @@ def _regex_parts(col: str) -> tuple[Column, Column, Column]:
     return ok, longest, java
 
 
+def _wildcard_only_best(tuples: DataFrame, ncols: Sequence[str], bcols: DataFrame, build_id: str,
+                        hcols: Sequence[str], out: str) -> DataFrame:
+    """Least build id for regex tuples whose patterns are only wildcards.
+
+    A pattern of d dots matches a value iff some newline-free segment has at
+    least d characters (``.`` excludes only the newline, as in Python).  Each
+    build row is reduced to its longest segment per column, capped at the
+    largest d in use; every capped cell (tiny by construction) emits the
+    threshold tuples it satisfies, and the least id per threshold tuple is
+    joined to the patterns: exact, and no pattern ever meets a build row."""
+    dots = [F.char_length(F.col(f"_bs_lit_src_{i}")) for i in range(len(hcols))]
+    wild = tuples.select(*ncols, *[d.alias(f"_bs_d{i}") for i, d in enumerate(dots)])
+    caps = wild.agg(*[F.max(f"_bs_d{i}").alias(f"c{i}") for i in range(len(hcols))]).first()
+    cells = bcols.select(build_id, *[
+        F.least(F.array_max(F.transform(F.split(F.col(h), "\n", -1), lambda x: F.char_length(x))),
+                F.lit(caps[f"c{i}"] or 0)).alias(f"_bs_d{i}") for i, h in enumerate(hcols)])
+    cells = cells.groupBy(*[f"_bs_d{i}" for i in range(len(hcols))]).agg(F.min(build_id).alias(out))
+    for i in range(len(hcols)):   # a cell satisfies every smaller threshold too
+        cells = cells.withColumn(f"_bs_d{i}", F.explode(F.sequence(F.lit(0), F.col(f"_bs_d{i}"))))
+    least = cells.groupBy(*[f"_bs_d{i}" for i in range(len(hcols))]).agg(F.min(out).alias(out))
+    return wild.join(least, [f"_bs_d{i}" for i in range(len(hcols))]).select(*ncols, out)
+
+
 def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tuple[str, str]], build_id: str,
                          out: str | None = None, match: str = "contains", how: str = "inner",
                          q: int = GRAM, s: int = STRIDE, blocking: str = "rarest") -> DataFrame:
@@ -321,6 +346,7 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
             tuples = tuples.withColumns({
                 **{f"_bs_lit_{i}": lit for i, (_, lit, _) in enumerate(parts)},
                 **{f"_bs_re_{i}": jre for i, (_, _, jre) in enumerate(parts)},
+                **{f"_bs_lit_src_{i}": F.col(n) for i, (n, _) in enumerate(pairs)},
             }).filter(supported)
             block = [(f"_bs_lit_{i}", b) for i, (_, b) in enumerate(pairs)]
             verify = reduce(lambda a, b: a & b, [F.regexp_like(F.col(h), F.col(f"_bs_re_{i}"))
@@ -359,6 +385,11 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
                 .filter(verify)
             )
             best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
+        if n_empty and match == "regex":
+            # patterns made of wildcards only: matched by segment lengths
+            no_literal = reduce(lambda a, b: a & b, [F.col(f"_bs_lit_{i}") == "" for i in range(len(pairs))])
+            wild_best = _wildcard_only_best(tuples.filter(no_literal), ncols, bcols, build_id, hcols, out)
+            best = wild_best if best is None else best.unionByName(wild_best)
         if n_empty and match == "contains":
             # all needles empty: every build row with non-null columns matches
             all_empty = keyed.filter(F.col("_bs_blk") == -1).drop("_bs_blk")

@@ -121,7 +121,7 @@ def test_blocking_modes_agree(spark):
 import re
 
 _UNITS = ["a", "b", "é", " ", ".", "\\.", "{", "}", "\\'", "\U0001F600"]
-_HAY = list("ab é.{}'") + ["\U0001F600"]
+_HAY = list("ab é.{}'\n") + ["\U0001F600"]
 
 
 def _literal_runs(pattern):
@@ -142,8 +142,6 @@ def test_regex_match_property(spark, pats, hays):
                                                           match="regex").collect()}
     want = {}
     for k, (n, s) in enumerate(pats):
-        if not any(_literal_runs(n)) and not any(_literal_runs(s)):
-            continue   # wildcard-only tuples are not matched (documented)
         m = [i for i, (bn, bs) in enumerate(hays) if re.search(n, bn) and re.search(s, bs)]
         if m:
             want[k] = min(m)
@@ -161,3 +159,7 @@ def test_regex_match_cases(spark):
     # "J. " is a wildcard pattern (matches "Jo "); escapes and braces are literal;
     # quantifiers and letter escapes are unsupported (no match)
     assert got == {0: 1, 1: 3, 4: 2, 5: 4}
+    wild = spark.createDataFrame([(0, "....", "."), (1, ".", ""), (2, ".....", ".")], "k long, n string, s string")
+    got = {r.k: r.author_id for r in first_match_contains(wild, build, [("n", "bn"), ("s", "bs")], "author_id",
+                                                          match="regex").collect()}
+    assert got == {0: 3, 1: 1, 2: 3}   # 4+ chars: 'M{"u}ller' (id 3) is the first
