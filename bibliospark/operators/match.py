@@ -35,6 +35,7 @@ from bibliospark.session import ensure_checkpoint_dir
 
 GRAM = 8
 STRIDE = 8
+SLICE_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 << 20
 
 
@@ -304,9 +305,27 @@ def _wildcard_only_best(tuples: DataFrame, ncols: Sequence[str], bcols: DataFram
     return wild.join(least, [f"_bs_d{i}" for i in range(len(hcols))]).select(*ncols, out)
 
 
+def _slice_bounds(bcols: DataFrame, build_id: str, slice_rows: int) -> list[float]:
+    """Ascending build-id bounds whose slices grow geometrically from about
+    ``slice_rows`` rows (empty when the build side is at most ``slice_rows``
+    rows).  Bounds come from ``approxQuantile``: any increasing bounds keep
+    the sliced search exact, approximation only moves slice sizes."""
+    if slice_rows <= 0:
+        return []
+    n = bcols.count()
+    if n <= slice_rows:
+        return []
+    fractions, f = [], slice_rows / n
+    while f < 1:
+        fractions.append(f)
+        f *= 2
+    return sorted(set(bcols.approxQuantile(build_id, fractions, 0.001)))
+
+
 def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tuple[str, str]], build_id: str,
                          out: str | None = None, match: str = "contains", how: str = "inner",
-                         q: int = GRAM, s: int = STRIDE, blocking: str = "rarest") -> DataFrame:
+                         q: int = GRAM, s: int = STRIDE, blocking: str = "rarest",
+                         slice_rows: int = SLICE_ROWS) -> DataFrame:
     """For each probe row, the least ``build_id`` whose build columns contain
     the probe's needles, for every (probe_col, build_col) pair.
 
@@ -318,7 +337,13 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
     Work is done once per distinct needle tuple, then joined back.
     ``blocking='rarest'`` blocks each tuple on its least frequent needle
-    key (see ``_rarest_blocks``); ``'longest'`` on its longest needle."""
+    key (see ``_rarest_blocks``); ``'longest'`` on its longest needle.
+
+    With more than ``slice_rows`` distinct build tuples, build rows are
+    taken in ascending id slices of geometrically growing size: a tuple
+    resolved in one slice has its least id there and leaves the remaining
+    slices, so common names stop generating candidates once matched.  Exact:
+    the slices partition the build rows in id order."""
     out = out or build_id
     ncols = [p for p, _ in pairs]
     hcols = [f"_bs_h_{i}" for i in range(len(pairs))]
@@ -369,22 +394,43 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
             keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
         else:
             raise ValueError(f"unknown blocking {blocking!r}")
-        groups = []
-        for i, (needle, _) in enumerate(block):
-            if not (stats[i].n_long or stats[i].n_short):
-                continue
-            sel = keyed.filter(F.col("_bs_blk") == i).drop("_bs_blk")
-            c = contains_candidates(sel, ncols, needle, bcols, [build_id], hcols[i], q, s, stats=stats[i])
-            if c is not None:
-                groups.append(c)
-        best = None
-        if groups:
+        def solve(part: DataFrame, builds: DataFrame) -> DataFrame | None:
+            """Least verified build id per tuple of ``part`` among ``builds``."""
+            groups = []
+            for i, (needle, _) in enumerate(block):
+                if not (stats[i].n_long or stats[i].n_short):
+                    continue
+                sel = part.filter(F.col("_bs_blk") == i).drop("_bs_blk")
+                c = contains_candidates(sel, ncols, needle, builds, [build_id], hcols[i], q, s, stats=stats[i])
+                if c is not None:
+                    groups.append(c)
+            if not groups:
+                return None
             cand = reduce(DataFrame.unionByName, groups).distinct()
-            verified = (
-                cand.join(tuples, ncols).join(bcols, build_id)
-                .filter(verify)
-            )
-            best = verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
+            verified = cand.join(part.drop("_bs_blk"), ncols).join(builds, build_id).filter(verify)
+            return verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
+
+        bounds = _slice_bounds(bcols, build_id, slice_rows)
+        if not bounds:
+            best = solve(keyed, bcols)
+        else:
+            found, remaining, lo = [], keyed, None
+            for hi in [*bounds, None]:
+                in_slice = F.lit(True)
+                if lo is not None:
+                    in_slice = in_slice & (F.col(build_id) >= F.lit(lo))
+                if hi is not None:
+                    in_slice = in_slice & (F.col(build_id) < F.lit(hi))
+                got = solve(remaining, bcols.filter(in_slice))
+                lo = hi
+                if got is None:
+                    continue
+                got = got.checkpoint(eager=True)
+                found.append(got)
+                remaining = remaining.join(got.select(*ncols), ncols, "left_anti").checkpoint(eager=True)
+                if remaining.isEmpty():
+                    break
+            best = reduce(DataFrame.unionByName, found) if found else None
         if n_empty and match == "regex":
             # patterns made of wildcards only: matched by segment lengths
             no_literal = reduce(lambda a, b: a & b, [F.col(f"_bs_lit_{i}") == "" for i in range(len(pairs))])

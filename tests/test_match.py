@@ -163,3 +163,20 @@ def test_regex_match_cases(spark):
     got = {r.k: r.author_id for r in first_match_contains(wild, build, [("n", "bn"), ("s", "bs")], "author_id",
                                                           match="regex").collect()}
     assert got == {0: 3, 1: 1, 2: 3}   # 4+ chars: 'M{"u}ller' (id 3) is the first
+
+
+def test_sliced_build_equals_single_pass(spark):
+    rng = random.Random(21)
+    sur = ["Li", "Liu", "Lin", "Wang", "Wong", "Smith"]
+    giv = ["Wei", "Wei Jun", "W.", "Jun", "Anna", ""]
+    build = [(i * 7, rng.choice(sur), rng.choice(giv)) for i in range(300)]
+    probe = [(k, rng.choice(sur), rng.choice(giv)) for k in range(80)]
+    pd_ = spark.createDataFrame(probe, "k long, Surname string, Names string")
+    bd = spark.createDataFrame(build, "author_id long, Surname string, Names string")
+    pairs = [("Names", "Names"), ("Surname", "Surname")]
+    for match in ("contains", "regex"):
+        one = sorted(tuple(r) for r in first_match_contains(pd_, bd, pairs, "author_id", match=match,
+                                                            slice_rows=10**9).select("k", "author_id").collect())
+        sliced = sorted(tuple(r) for r in first_match_contains(pd_, bd, pairs, "author_id", match=match,
+                                                               slice_rows=3).select("k", "author_id").collect())
+        assert one == sliced and len(one) > 0
