@@ -29,8 +29,9 @@ def test_sql_equals_dataframe(spark, wh):
     assert _rows(warehouse_sql.ask(spark, "top_disciplines")) == _rows(q["sq1_top_disciplines"])
     assert _rows(warehouse_sql.ask(spark, "top_journals", n=3)) == _rows(q["sq2_top_journals"])
     assert _rows(warehouse_sql.ask(spark, "gender_share")) == _rows(q["sq3_gender_share"])
-    assert [tuple(r) for r in warehouse_sql.ask(spark, "hindex").collect()] == \
-        [tuple(r) for r in q["sq4_hindex"].select("author_id", "Names", "Surname", "hindex").collect()]
+    want = [tuple(r) for r in q["sq4_hindex"].select("author_id", "Names", "Surname", "hindex").collect()]
+    assert [tuple(r) for r in warehouse_sql.ask(spark, "hindex").collect()] == want
+    assert [tuple(r) for r in warehouse_sql.ask(spark, "hindex_window").collect()] == want
 
 
 def test_like_parameter(spark, wh):
