@@ -146,6 +146,10 @@ def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
     Equal values are collapsed first (partial aggregation), ranked as a
     prefix sum of their multiplicities, and joined back null-safely."""
     keys = [spec_name(s) for s in order]
+    # the input (often a join + aggregation) is read three times below:
+    # write it once instead of recomputing it for each use
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bs_n"))
     if dense:
         ranked = global_row_number(values, order, name, local_rows=local_rows)
