@@ -29,6 +29,7 @@ from bibliospark.operators import (
     dim_per_row,
     distinct_on,
     drop_all_duplicates,
+    drop_columns,
     drop_nulls,
     enrich_by_lookup,
     first_match_contains,
@@ -52,7 +53,7 @@ from bibliospark.operators import (
 )
 from bibliospark.operators.datedim import with_date_attributes
 from bibliospark.plans.warehouse_queries import lowest_ranked, proportions, rank_by_sum, star_stats, top_groups
-from bibliospark.sources import read_table
+from bibliospark.sources import conform, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -100,6 +101,24 @@ def first_last_version(spark, sf):
     return conv.select("conv_id", "turn", first.alias("publ_date"), last.alias("publ_lastupdate"))
 
 
+@query("drop_columns", """
+    SELECT doc_id, lang, source FROM documents""")
+def drop_columns_q(spark, sf):
+    """unused fields dropped before any work (an absent name is ignored)."""
+    return drop_columns(_t(spark, sf, "documents"), ["text", "n_chars", "abstract"])
+
+
+@query("conform_types", """
+    SELECT CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+           CAST(c_acctbal AS DECIMAL(12, 2)) AS c_acctbal, c_mktsegment FROM customer""")
+def conform_types(spark, sf):
+    """a result cast to declared column types."""
+    from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
+    schema = StructType([StructField("c_custkey", IntegerType()), StructField("c_nationkey", LongType()),
+                         StructField("c_acctbal", DecimalType(12, 2)), StructField("c_mktsegment", StringType())])
+    return conform(_t(spark, sf, "customer"), schema)
+
+
 @query("head_n", """
     SELECT event_id, user_id, event_type, value FROM events
     WHERE nullif(event_type, 'error') IS NOT NULL ORDER BY event_id LIMIT 100""")

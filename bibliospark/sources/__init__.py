@@ -9,6 +9,7 @@ from bibliospark.sources.files import (
 )
 from bibliospark.sources.tables import (
     append_conformed,
+    conform,
     load_staging,
     read_table,
     save_table,
@@ -17,6 +18,7 @@ from bibliospark.sources.tables import (
 
 __all__ = [
     "append_conformed",
+    "conform",
     "load_staging",
     "read_csv_table",
     "read_indexed_json",

@@ -43,6 +43,13 @@ def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "pa
         w.saveAsTable(name)
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Declared types for a result (the "best dtype" step): select the
+    schema's columns by name, cast to its types (ANSI-safe ``try_cast``:
+    a value that does not fit becomes null, it does not fail the job)."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def append_conformed(df: DataFrame, name: str, schema: StructType) -> None:
     """``INSERT INTO name(cols) SELECT ...``: cast to the declared schema by
     name, align to the table's column order (``insertInto`` is positional)
