@@ -13,13 +13,19 @@ equi join on character grams, then verified with ``contains``:
 * empty needle: contained in every non-null haystack; callers resolve it
   with an aggregate instead of emitting all pairs.
 
-Candidate pairs are deduplicated before verification; verification joins
-the texts back by key, so long texts never travel through the explode.
-Haystack grams are deduplicated per row (``array_distinct``) so repetitive
-text does not inflate the join.  The needle-gram side is broadcast only
-when its row count, taken from one statistics job (``needle_stats``), is
-within bounds; otherwise the join shuffles and AQE's skew join splits hot
-grams.
+Candidate pairs are deduplicated, checkpointed and counted; when bounded
+they are broadcast and the haystack table streams past them for
+verification, so long texts are never shuffled and never travel through
+the explode.  Haystack grams are deduplicated per row (``array_distinct``)
+so repetitive text does not inflate the join.  The needle-gram side is
+broadcast only when its size, taken from one statistics job, is within
+bounds (rows and bytes); otherwise the join shuffles and AQE's skew join
+splits hot grams.
+
+``first_match_contains`` builds on this for the bibliographic matches: per
+distinct needle tuple, the least build id whose columns contain (or, in
+regex mode, match) every needle; it blocks each tuple on its rarest key and
+searches large build sides in ascending id slices.
 """
 
 from __future__ import annotations
