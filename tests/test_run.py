@@ -34,7 +34,9 @@ def test_bucketed_warehouse_joins_without_shuffle(spark, tmp_dir):
     gender = os.path.join(tmp_dir, "gender")
     fx.gender_lookup(spark).write.parquet(gender)
     run_pipelines(spark, src, doi, gender, os.path.join(tmp_dir, "out"), buckets=4)
-    joined = spark.table("fact_publications").join(spark.table("bridge_author_publications"), "publication_id")
+    # qualified names: temp views of the same name (other tests) must not shadow the tables
+    joined = spark.table("spark_catalog.default.fact_publications").join(
+        spark.table("spark_catalog.default.bridge_author_publications"), "publication_id")
     buf = io.StringIO()
     # warehouse-sized tables exceed the broadcast threshold; check that path
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -46,7 +48,7 @@ def test_bucketed_warehouse_joins_without_shuffle(spark, tmp_dir):
     assert "Exchange" not in buf.getvalue() and "SortMergeJoin" in buf.getvalue()
     assert joined.count() == spark.read.parquet(os.path.join(tmp_dir, "out", "p2", "bridge")).count()
     for t in ("fact_publications", "bridge_author_publications", "dim_versions", "dim_author", "dim_gender"):
-        spark.sql(f"DROP TABLE {t}")
+        spark.sql(f"DROP TABLE spark_catalog.default.{t}")
 
 
 def test_cli(spark, tmp_dir, capsys):
