@@ -92,6 +92,9 @@ def global_row_number(df: DataFrame, order: Sequence[OrderSpec], name: str = "ro
         rn = F.row_number().over(Window.orderBy(*cols)) + F.lit(start - 1)
         return df.withColumn(name, rn.cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
+    # range partitioning runs its input twice (bound sampling, then the
+    # shuffle): write the input once so both read it instead of recomputing it
+    df = df.checkpoint(eager=True)
     tagged = (
         df.repartitionByRange(*cols)
         .sortWithinPartitions(*cols)
@@ -123,6 +126,7 @@ def global_prefix_sum(df: DataFrame, order: Sequence[OrderSpec], weight, name: s
         run = F.sum(w.cast("bigint")).over(Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, frame))
         return df.withColumn(name, F.coalesce(run, F.lit(0)).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)   # read by bound sampling and by the shuffle
     tagged = (
         df.withColumn(_W, w.cast("bigint"))
         .repartitionByRange(*cols)
