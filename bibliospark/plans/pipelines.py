@@ -13,6 +13,8 @@ results as Parquet tables with ``sources.save_table`` between runs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,15 +197,38 @@ def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", st
     bridge = tables["bridge"].select("publication_id", "author_id")
     versions = tables["versions"].select(F.col("id").alias("publication_id"), "version")
 
-    audits = {
-        "dim_author_pk": audit_unique(dim_author, ["author_id"], strict),
+    return {
+        "dim_author": dim_author,
+        "dim_gender": dim_gender,
+        "dim_journal": dj,
+        "dim_discipline": dd,
+        "dim_publication_type": dp,
+        "fact_publications": fact,
+        "bridge_author_publications": bridge,
+        "dim_versions": versions,
+        "audits": audit_warehouse({"dim_author": dim_author, "dim_gender": dim_gender, "dim_journal": dj,
+                                   "dim_discipline": dd, "dim_publication_type": dp, "fact_publications": fact,
+                                   "bridge_author_publications": bridge, "dim_versions": versions}, strict),
+    }
+
+
+def audit_warehouse(wh: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
+    """Violations of the warehouse's declared constraints, one DataFrame per
+    constraint.  ``strict=True`` raises on the validated ones (primary keys,
+    dim_gender and bridge foreign keys); ``NOT VALID`` foreign keys and
+    column limits are only reported."""
+    da, dg, dj = wh["dim_author"], wh["dim_gender"], wh["dim_journal"]
+    dd, dp, fact = wh["dim_discipline"], wh["dim_publication_type"], wh["fact_publications"]
+    bridge, versions = wh["bridge_author_publications"], wh["dim_versions"]
+    return {
+        "dim_author_pk": audit_unique(da, ["author_id"], strict),
         "dim_journal_pk": audit_unique(dj, ["journal_id"], strict),
         "dim_discipline_pk": audit_unique(dd, ["discipline_id"], strict),
         "dim_publication_type_pk": audit_unique(dp, ["publication_type_id"], strict),
         "fact_pk": audit_unique(fact, ["publication_id"], strict),
-        "dim_gender_fk": audit_reference(dim_gender, dim_author, ["author_id"], strict=strict),
+        "dim_gender_fk": audit_reference(dg, da, ["author_id"], strict=strict),
         "bridge_publication_fk": audit_reference(bridge, fact, ["publication_id"], strict=strict),
-        "bridge_author_fk": audit_reference(bridge, dim_author, ["author_id"], strict=strict),
+        "bridge_author_fk": audit_reference(bridge, da, ["author_id"], strict=strict),
         # NOT VALID constraints: reported, never enforced
         "fact_discipline_fk": audit_reference(fact, dd, ["discipline_id"]),
         "fact_publication_type_fk": audit_reference(fact, dp, ["publication_type_id"]),
@@ -213,17 +238,20 @@ def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", st
         "discipline_name": audit_column(dd, "discipline_name", not_null=False, max_len=100),
         "publication_type_name": audit_column(dp, "publication_type_name", not_null=False, max_len=100),
     }
-    return {
-        "dim_author": dim_author,
-        "dim_gender": dim_gender,
-        "dim_journal": dj,
-        "dim_discipline": dd,
-        "dim_publication_type": dp,
-        "fact_publications": fact,
-        "bridge_author_publications": bridge,
-        "dim_versions": versions,
-        "audits": audits,
-    }
+
+
+def audit_counts(audits: dict[str, DataFrame]) -> dict[str, int]:
+    """Violation count of every audit, all computed in one job (a union of
+    one-row aggregates)."""
+    parts = []
+    for name, df in audits.items():
+        if {"null_rows", "too_long_rows"} <= set(df.columns):      # column audits: one summary row
+            n = df.select((F.col("null_rows") + F.col("too_long_rows")).alias("n"))
+        else:
+            n = df.agg(F.count(F.lit(1)).alias("n"))
+        parts.append(n.select(F.lit(name).alias("audit"), F.col("n").cast("bigint").alias("violations")))
+    rows = reduce(DataFrame.unionByName, parts).collect()   # one row per audit
+    return {r.audit: r.violations or 0 for r in rows}
 
 
 # ---------------------------------------------------------------- P4

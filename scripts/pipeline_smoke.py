@@ -58,11 +58,13 @@ first.select("firstname", F.when(F.length("firstname") % 3 == 0, "female")
              .when(F.length("firstname") % 3 == 1, "male").otherwise("unknown").alias("gender")).write.parquet(gender)
 
 t0 = time.perf_counter()
-audits = run_pipelines(spark, src, doi, gender, os.path.join(scratch, "out"), match=match)
+stages: dict = {}
+audits = run_pipelines(spark, src, doi, gender, os.path.join(scratch, "out"), match=match, timings=stages)
 total = time.perf_counter() - t0
 out = os.path.join(scratch, "out")
 counts = {t: spark.read.parquet(os.path.join(out, p, t)).count()
           for p, t in [("p1", "publications"), ("p2", "authors"), ("p2", "bridge"), ("warehouse", "fact_publications"),
                        ("graph", "edges")]}
-print(json.dumps({"records": pubs.count(), "match": match, "seconds": round(total, 2), "rows": counts,
+print(json.dumps({"records": pubs.count(), "match": match, "seconds": round(total, 2), "stages": stages,
+                  "rows": counts,
                   "audits": audits}))
