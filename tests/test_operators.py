@@ -191,3 +191,21 @@ def test_tokens_follow_python_split_whitespace(spark):
 def test_drop_all_duplicates_with_map_column(spark):
     df = spark.createDataFrame([(1, {"a": 1}), (2, {"a": 1}), (3, {"b": 2})], "id int, m map<string,int>")
     assert sorted(r.id for r in drop_all_duplicates(df, exclude=["id"]).collect()) == [3]
+
+
+def test_lookup_variants(spark):
+    from bibliospark.operators import enrich_by_lookup, lookup_exact
+    pubs = spark.createDataFrame([(1, "d1"), (2, "d2"), (3, None)], "id int, doi string")
+    meta = spark.createDataFrame([("d1", 7, "P"), ("d1", 5, "Q"), ("d3", 1, "R")],
+                                 "key string, is_referenced_by_count int, publisher string")
+    out = enrich_by_lookup(pubs, meta, "doi", mapping={"is_referenced_by_count": "reference_count",
+                                                       "publisher": "journal"}, lookup_key="key")
+    got = sorted((r.id, r.reference_count, r.journal) for r in out.collect())
+    assert got == [(1, 5, "Q"), (2, None, None), (3, None, None)]   # least row per key; misses give nulls
+    names = spark.createDataFrame([("Ann",), ("Bob",), ("Cy",)], "firstname string")
+    genders = spark.createDataFrame([("Ann", "female"), ("Bob", None)], "firstname string, gender string")
+    inner = sorted((r.firstname, r.gender) for r in lookup_exact(names, genders, "firstname", "firstname").collect())
+    left = sorted((r.firstname, r.gender) for r in lookup_exact(names, genders, "firstname", "firstname",
+                                                                how="left").collect())
+    assert inner == [("Ann", "female"), ("Bob", None)]
+    assert left == [("Ann", "female"), ("Bob", None), ("Cy", None)]
