@@ -24,7 +24,13 @@ from bibliospark.operators.joins import (
     null_safe_join,
     one_row_per_key,
 )
-from bibliospark.operators.match import contains_pairs, first_match_contains, min_contained
+from bibliospark.operators.match import (
+    PreparedBuild,
+    contains_pairs,
+    first_match_contains,
+    min_contained,
+    prepare_build,
+)
 from bibliospark.operators.ordering import (
     exact_quantiles,
     global_prefix_sum,

@@ -328,7 +328,29 @@ def _slice_bounds(bcols: DataFrame, build_id: str, slice_rows: int) -> list[floa
     return sorted(set(bcols.approxQuantile(build_id, fractions, 0.001)))
 
 
-def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tuple[str, str]], build_id: str,
+class PreparedBuild(NamedTuple):
+    """Distinct build tuples (least id each), written once; reusable by
+    several ``first_match_contains`` calls on the same build columns."""
+    tuples: DataFrame
+    columns: list[str]
+    build_id: str
+
+
+def prepare_build(build: DataFrame, columns: Sequence[str], build_id: str) -> PreparedBuild:
+    """Collapse identical build tuples to their least id and checkpoint them
+    (columns renamed ``_bs_h_0``, ``_bs_h_1``, ... in ``columns`` order)."""
+    ensure_checkpoint_dir(build.sparkSession)
+    hcols = [f"_bs_h_{i}" for i in range(len(columns))]
+    tuples = (
+        build.select(build_id, *[F.col(b).alias(h) for b, h in zip(columns, hcols)])
+        .groupBy(*hcols).agg(F.min(build_id).alias(build_id))
+        .checkpoint(eager=True)
+    )
+    return PreparedBuild(tuples, list(columns), build_id)
+
+
+def first_match_contains(probe: DataFrame, build: DataFrame | PreparedBuild, pairs: Sequence[tuple[str, str]],
+                         build_id: str,
                          out: str | None = None, match: str = "contains", how: str = "inner",
                          q: int = GRAM, s: int = STRIDE, blocking: str = "rarest",
                          slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -342,6 +364,7 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     pair.  Rows without a match
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
     Work is done once per distinct needle tuple, then joined back.
+    ``build`` may be a ``prepare_build`` result shared by several calls.
     ``blocking='rarest'`` blocks each tuple on its least frequent needle
     key (see ``_rarest_blocks``); ``'longest'`` on its longest needle.
 
@@ -360,11 +383,11 @@ def first_match_contains(probe: DataFrame, build: DataFrame, pairs: Sequence[tup
     # each branch.
     ensure_checkpoint_dir(probe.sparkSession)
     tuples = probe.select(*ncols).dropna().distinct().checkpoint(eager=True)
-    bcols = (
-        build.select(build_id, *[F.col(b).alias(h) for (_, b), h in zip(pairs, hcols)])
-        .groupBy(*hcols).agg(F.min(build_id).alias(build_id))
-        .checkpoint(eager=True)
-    )
+    if isinstance(build, PreparedBuild):
+        assert build.columns == [b for _, b in pairs] and build.build_id == build_id, "prepared for other columns"
+        bcols = build.tuples
+    else:
+        bcols = prepare_build(build, [b for _, b in pairs], build_id).tuples
 
     if match == "exact":
         cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])

@@ -42,6 +42,7 @@ from bibliospark.operators import (
     min_length,
     nullify,
     one_row_per_key,
+    prepare_build,
     relations,
 )
 
@@ -104,13 +105,15 @@ def derive_tables(df: DataFrame, authors: DataFrame, gender_lookup: DataFrame, c
         one_row_per_key(gender_lookup.select("firstname", "gender").dropna(subset=["firstname"]), "firstname"),
         "firstname", "left")
 
-    bridge = first_match_contains(flat, build, [("Names", "Names"), ("Surname", "Surname")], "author_id",
+    # both matches search the same author columns: prepare them once
+    prepared = prepare_build(build, ["Names", "Surname"], "author_id")
+    bridge = first_match_contains(flat, prepared, [("Names", "Names"), ("Surname", "Surname")], "author_id",
                                   match=match).select(F.col("id").alias("publication_id"), "author_id")
 
     sub = df.select("id", first_token("submitter").alias("sub_name"), last_token("submitter").alias("sub_surname"))
     sub = sub.filter(F.col("sub_name") != "").withColumn("sub_initial", first_char("sub_name"))
-    sub_author = first_match_contains(sub, build, [("sub_initial", "Names"), ("sub_surname", "Surname")], "author_id",
-                                      match=match)
+    sub_author = first_match_contains(sub, prepared, [("sub_initial", "Names"), ("sub_surname", "Surname")],
+                                      "author_id", match=match)
     author_genders = (
         sub_author.join(gender_data.withColumnRenamed("firstname", "sub_name"), "sub_name")
         .filter(~F.col("gender").eqNullSafe(UNKNOWN_GENDER))
