@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
-from .common import table
+from . import bpe, langid, line_dedup
+from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -18,9 +18,38 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/byte_bpe_50k.json")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 # DuckDB twins of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_AZ = f"'{UPPER}', '{LOWER}'"
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS no
+            FROM documents
+        ), keyed AS (
+            SELECT *, trim(translate(line, {_AZ}), {_BLANK}) AS key FROM lines
+        ), owners AS (
+            SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (owner < doc_id) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY no)
+                               FILTER (owner IS NULL OR owner = doc_id), '')) AS kept_sha256
+        FROM keyed LEFT JOIN owners USING (key)
+        GROUP BY doc_id
+    """,
+}
