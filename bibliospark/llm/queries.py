@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, line_dedup
+from . import bpe, langid, line_dedup, toxicity
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
@@ -18,6 +18,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/byte_bpe_50k.json")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
+    "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
