@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, line_dedup, toxicity
+from . import bpe, langid, line_dedup, toxicity, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
@@ -22,6 +22,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
@@ -41,6 +46,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _AZ = f"'{UPPER}', '{LOWER}'"
 ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN top <> page_id THEN top END AS refers_to
+        FROM p LEFT JOIN f USING (d)
+    """,
     "op9_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
