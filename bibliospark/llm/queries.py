@@ -6,14 +6,24 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, toxicity, warc
+from . import bpe, langid, line_dedup, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that no rule decides carry the label of the document of the same id: block if toxic or of low quality."""
+    marks = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.when((F.col("toxic") == 1) | (F.col("quality") == 0), "block").otherwise("allow").alias("verdict"),
+    )
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), marks)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/byte_bpe_50k.json")
 
@@ -35,6 +45,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filter": op3_url_filter,
     "op6_bpe": op6_bpe,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
