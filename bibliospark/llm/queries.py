@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, toxicity, url_filter, warc
+from . import bpe, decontaminate, langid, line_dedup, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that no rule decides carry the label of the document of the same id: block if toxic or of low quality."""
     marks = table(spark, sf_dir, "labels").select(
@@ -45,6 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op6_bpe": op6_bpe,
     "op7_toxicity": op7_toxicity,
@@ -56,7 +61,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # DuckDB twins of the queries that SQL can express.
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _AZ = f"'{UPPER}', '{LOWER}'"
+_WORDS = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 ORACLE: dict[str, str] = {
+    "op2_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+        spans AS (
+            SELECT DISTINCT item, least(len(w), 13) AS n, unnest(list_transform(
+                range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS span
+            FROM b WHERE len(w) > 0
+        ), lengths AS (SELECT DISTINCT n FROM spans),
+        placed AS (
+            SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+                   unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS span
+            FROM d, lengths WHERE len(w) >= n
+        ), hit AS (SELECT doc_id, i, n, item FROM placed JOIN spans USING (n, span)),
+        cover AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op8_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages
