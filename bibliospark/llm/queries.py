@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, line_dedup, toxicity, url_filter, warc
+from . import bpe, decontaminate, langid, line_dedup, ngram_join, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontaminate": op2_decontaminate,
     "op3_url_filter": op3_url_filter,
     "op6_bpe": op6_bpe,
