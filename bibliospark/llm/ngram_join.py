@@ -117,29 +117,23 @@ def _survivors(postings: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return judged.filter(F.col("alone") <= _allowance(F.col("size"), percent))
 
 
-def pair_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, overlap, differing) of ``pairs`` (a, b): partial overlaps by fragment, summed per pair.
+def cells(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
+    """(a, b, fragment, x, y): what ``a`` and ``b`` of each pair have in each fragment.
 
     ``segments`` (id, fragment, grams) are the vertical partitions of the
     sets.  A long set is spread over its fragments, so no row holds all of it.
     """
+    none = F.array().cast("array<bigint>")
+    every = pairs.select("a", "b", F.explode(F.sequence(F.lit(-fragments // 2), F.lit(fragments // 2 - 1))).alias("fragment"))
     left = segments.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
     right = segments.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-    mine = pairs.select("a", "b").join(left, "a")
-    other = right.withColumnRenamed("y", "y")
-    none = F.array().cast("array<bigint>")
-    # fragments that one of the two lacks add nothing to the overlap, but all their n-grams differ
-    here = mine.join(other, ["b", "fragment"], "left").select(
-        "a", "b", F.size(F.array_intersect("x", F.coalesce("y", none))).cast("long").alias("n"),
-    )
-    return here.groupBy("a", "b").agg(F.sum("n").alias("overlap"))
+    both = every.join(left, ["a", "fragment"], "left").join(right, ["b", "fragment"], "left")
+    return both.select("a", "b", "fragment", F.coalesce("x", none).alias("x"), F.coalesce("y", none).alias("y"))
 
 
-def _differences(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, gram): the n-grams that exactly one of the two has, of ``pairs`` (a, b)."""
-    sides = pairs.select("a", "b", F.col("a").alias("id")).unionByName(pairs.select("a", "b", F.col("b").alias("id")))
-    both = sides.join(segments, "id").select("a", "b", F.explode("grams").alias("gram"))
-    return both.groupBy("a", "b", "gram").agg(F.count("*").alias("n")).filter("n = 1").drop("n")
+def overlaps(partial: DataFrame) -> DataFrame:
+    """(a, b, overlap): the partial overlaps (a, b, n) of all fragments, summed per pair."""
+    return partial.groupBy("a", "b").agg(F.sum("n").cast("long").alias("overlap"))
 
 
 def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
@@ -176,13 +170,21 @@ def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -
     met = blocks.join(leaders.filter("n > 1"), "gram").filter("id <> leader")
     met = saved(met.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-met")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        sized = pair_overlaps(pairs, segments).join(sizes.select(F.col("id").alias("a"), F.col("size").alias("size_a")), "a")
+    shared_here = F.size(F.array_intersect("x", "y")).alias("n")
+
+    def verified(partial: DataFrame) -> DataFrame:
+        sized = overlaps(partial).join(sizes.select(F.col("id").alias("a"), F.col("size").alias("size_a")), "a")
         return sized.join(sizes.select(F.col("id").alias("b"), F.col("size").alias("size_b")), "b")
 
     total = F.col("size_a") + F.col("size_b")
+    compared = saved(
+        cells(met, segments, fragments).select(
+            "a", "b", shared_here, F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("differing")
+        ),
+        "ngram-compared",
+    )
     counted = saved(
-        verified(met).select(
+        verified(compared).select(
             "a", "b", "size_a", (F.col("overlap") >= _least_overlap(total, percent)).alias("linked"),
             (total - 2 * F.col("overlap")).alias("apart"),
         ),
@@ -191,7 +193,7 @@ def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -
     direct = counted.filter("linked").select("a", "b")
 
     # pairs that met at one leader, found by what they have in common against it
-    differing = _differences(counted, segments).withColumnRenamed("b", "leader")
+    differing = compared.select("a", F.col("b").alias("leader"), F.explode("differing").alias("gram"))
     rare = differing.groupBy("leader", "gram").agg(F.count("*").alias("df"))
     prefix = differing.join(rare.filter("df > 1"), ["leader", "gram"]).groupBy("a", "leader").agg(
         F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"), F.count("*").alias("shared")
@@ -221,7 +223,7 @@ def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -
     candidates = saved(
         close.select(F.least("p.a", "q.a").alias("a"), F.greatest("p.a", "q.a").alias("b")).distinct(), "ngram-close"
     )
-    further = verified(candidates).filter(F.col("overlap") >= _least_overlap(total, percent)).select("a", "b")
+    further = verified(cells(candidates, segments, fragments).select("a", "b", shared_here)).filter(F.col("overlap") >= _least_overlap(total, percent)).select("a", "b")
     every = direct.unionByName(further)
     return saved(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-links")
 
