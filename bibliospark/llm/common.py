@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,19 +51,18 @@ def as_binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
-def map_batches(
-    df: DataFrame,
-    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-    schema: str,
-) -> DataFrame:
-    """``mapInArrow`` with a per-task state: ``make()`` runs once in each task."""
+# Hashes of words seen by a Python worker; the memory starts afresh beyond it.
+_WORDS: dict[bytes, int] = {}
+_MEMORY = 400_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            if batch.num_rows:
-                out = step(batch)
-                if out is not None:
-                    yield out
 
-    return df.mapInArrow(run, schema)
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes (uint64) of the words, in order."""
+    distinct = set(words)
+    new = distinct.difference(_WORDS)
+    if len(_WORDS) + len(new) > _MEMORY:
+        _WORDS.clear()
+        new = distinct
+    for w in new:
+        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))

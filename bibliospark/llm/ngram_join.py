@@ -31,13 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, saved
+from .common import as_binary, hash_words, saved
 
 FRAGMENTS, FIRST = 16, 4
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-# Remembered word hashes per Python worker; the memory starts afresh beyond it.
-_WORDS: dict[bytes, int] = {}
-_MEMORY = 400_000
 
 
 def ngram_set(text: bytes | None, n: int) -> np.ndarray:
@@ -49,11 +46,7 @@ def ngram_set(text: bytes | None, n: int) -> np.ndarray:
     words = text.lower().split() if text else []  # on bytes: ASCII blanks and letters alone
     if not words:
         return np.empty(0, np.int64)
-    if len(_WORDS) > _MEMORY:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashes = hash_words(words)
     size = min(n, len(hashes))
     grams = np.full(len(hashes) - size + 1, size, np.uint64)
     for i in range(size):
