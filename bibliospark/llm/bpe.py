@@ -14,7 +14,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -87,6 +90,7 @@ class ForcedBoundaryBPE:
         )
         self.pretokens = regex.compile(PRETOKEN).findall
         self.joined: dict[str, str] = {}
+        self.packed: dict[str, bytes] = {}
         self.raw: dict[str, bytes] = {}
 
     def cut(self, piece: bytes) -> list[bytes]:
@@ -152,36 +156,26 @@ class ForcedBoundaryBPE:
             return self.merge(fragments[0])
         return [i for f in fragments for i in self.merge(f)]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for part in self.split_special(text):
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                for pretoken in self.pretokens(part):
-                    out += self.piece_ids(pretoken)
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
     def learn(self, pretokens: set[str]) -> None:
-        """Remember the comma-joined ids and the decoded bytes of these pre-tokens."""
+        """Remember the ids (comma-joined, and as int32) and the decoded bytes of these pre-tokens."""
         if len(self.joined) + len(pretokens) > CACHE:
-            self.joined, self.raw = {}, {}
+            self.joined, self.packed, self.raw = {}, {}, {}
         for p in pretokens:
             ids = self.piece_ids(p)
             self.joined[p] = ",".join(map(str, ids))
+            self.packed[p] = array("i", ids).tobytes()
             self.raw[p] = b"".join([self.bytes_of[i] for i in ids])
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, sha256 of the comma-joined ids, sha256 of the decoded text."""
-        ids: list[str] = []
-        raw: list[bytes] = []
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The text as lists of known pre-tokens; a special token is a list of its own."""
         for part in self.split_special(text):
             if part in self.special:
-                ids.append(str(self.special[part]))
-                raw.append(part.encode())
+                i = self.special[part]
+                self.joined[part], self.packed[part], self.raw[part] = str(i), array("i", [i]).tobytes(), part.encode()
+                yield [part]
                 continue
             pretokens = self.pretokens(part)
             distinct = set(pretokens)
@@ -189,6 +183,17 @@ class ForcedBoundaryBPE:
                 self.learn(new)
                 if len(self.joined) == len(new) < len(distinct):  # the memory was started afresh
                     self.learn(distinct - new)
+            yield pretokens
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        return np.frombuffer(b"".join([x for p in self.parts(text) for x in map(self.packed.__getitem__, p)]), np.int32)
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, sha256 of the comma-joined ids, sha256 of the decoded text."""
+        ids: list[str] = []
+        raw: list[bytes] = []
+        for pretokens in self.parts(text):
             ids += map(self.joined.__getitem__, pretokens)
             raw += map(self.raw.__getitem__, pretokens)
         joined = ",".join(ids)
@@ -251,28 +256,38 @@ def _with_arrow(df: DataFrame, tokenizer_path: str, name: str, kind: str, source
     return out if tmp == name else out.drop(name).withColumnRenamed(tmp, name)
 
 
-def encode_digest(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+ROWS = 500  # texts whose ids are handed on together
+
+
+def encode_digest(
+    docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """Per document: n_tokens, ids_sha256, decoded_sha256 (a round trip through both directions).
 
-    Null and empty texts have 0 tokens and the digests of the empty string;
-    repeated rows give repeated results; an empty table gives no rows.
+    ``with_ids`` appends the token ids themselves.  Null and empty texts have
+    0 tokens and the digests of the empty string; repeated rows give repeated
+    results; an empty table gives no rows.
     """
     spec = _ship(docs, tokenizer_path)
 
     def run(batches):
         bpe = load(spec.value)
-        for batch in batches:
-            made = [bpe.digest(t.decode() if t else "") for t in as_binary(batch, "text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([m[0] for m in made], pa.int64()),
-                    pa.array([m[1] for m in made], pa.string()),
-                    pa.array([m[2] for m in made], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                texts = [t.decode() if t else "" for t in as_binary(batch, "text")]
+                made = [bpe.digest(t) for t in texts]
+                columns = {
+                    "doc_id": batch.column(0),
+                    "n_tokens": pa.array([m[0] for m in made], pa.int64()),
+                    "ids_sha256": pa.array([m[1] for m in made], pa.string()),
+                    "decoded_sha256": pa.array([m[2] for m in made], pa.string()),
+                }
+                if with_ids:
+                    ends = np.concatenate([[0], np.cumsum([m[0] for m in made])]).astype(np.int32)
+                    flat = np.concatenate([bpe.encode(t) for t in texts])
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.RecordBatch.from_pydict(columns)
+
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, kind)

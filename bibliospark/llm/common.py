@@ -39,6 +39,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or something like it that no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character kept (``lower`` would change İ or É)."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

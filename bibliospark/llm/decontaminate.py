@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved
+from .common import ascii_lower, saved, unused
 
 SPAN = 13
 # Fixed value of the contract: everything in ASCII that is neither a letter nor a digit separates words.
@@ -175,5 +175,6 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFr
 def drop_contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` without the contaminated rows; all columns, and all other rows, stay."""
     hits = find_hits(docs, items, span)
-    bad = hits.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("key").alias("__key")).distinct()
-    return docs.join(bad, F.xxhash64("doc_id", "text") == F.col("__key"), "left_anti")
+    name = unused(docs, "key")
+    bad = hits.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("key").alias(name)).distinct()
+    return docs.join(bad, F.xxhash64("doc_id", "text") == F.col(name), "left_anti")

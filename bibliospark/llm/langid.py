@@ -197,7 +197,7 @@ def identify(
     return predict(named, model).drop("text")
 
 
-def reject_unidentified(docs: DataFrame, min_score: float = 0.5, doc_id: str = "doc_id") -> DataFrame:
+def reject_unidentified(docs: DataFrame, min_score: float = 0.35, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without documents whose language can't be told: ``und``, or a best probability below ``min_score``."""
     slot = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
     model = fit(docs.filter(slot != 1), docs, doc_id=doc_id)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, saved, scratch
+from .common import as_binary, saved, scratch, unused
 
 BLANK = b" \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 KEY = ["k1", "k2"]
@@ -138,8 +138,10 @@ def _split(text: bytes | None, drop: set[int], min_chars: int) -> tuple[list[byt
 
 
 def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: str) -> DataFrame:
-    per_doc = drops.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("k1").alias("__drop"))
-    return docs.join(per_doc, F.col(doc_id).cast("long") == F.col("__doc"), "left").drop("__doc")
+    """``docs`` with the hashes of each row's lines to drop as a last column."""
+    owner, drop = unused(docs, "owner"), unused(docs, "drop")
+    per_doc = drops.groupBy(F.col("doc_id").alias(owner)).agg(F.collect_list("k1").alias(drop))
+    return docs.join(per_doc, F.col(doc_id).cast("long") == F.col(owner), "left").drop(owner)
 
 
 def dedup_lines(

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, hash_words, saved
+from .common import as_binary, hash_words, saved, unused
 
 FRAGMENTS, FIRST = 16, 4
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -288,5 +288,6 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Repeated rows of that doc_id, and rows without a doc_id, stay.
     """
     groups = near_duplicates(docs, n, percent)
-    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
