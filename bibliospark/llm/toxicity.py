@@ -21,8 +21,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_binary, saved
@@ -180,12 +179,8 @@ def _features(text: str) -> set[str]:
     return words | {f" {w[:4]}" for w in words if len(w) > 4} | {f" {w[:5]}" for w in words if len(w) > 5}
 
 
-def _key(feature: str) -> int:
-    return xxhash.xxh3_64_intdigest(feature) - (1 << 63)
-
-
-def _associated(learn: DataFrame, lm, most: int) -> list[int]:
-    """Keys of the features most associated with the label, by chi-squared over all rows of ``learn``."""
+def _associated(learn: DataFrame, n0: float, n1: float, lm, most: int) -> list[str]:
+    """The features most associated with the label, by chi-squared over all rows of ``learn``."""
 
     def run(batches):
         restore = Deobfuscator(lm.value).restore
@@ -195,7 +190,7 @@ def _associated(learn: DataFrame, lm, most: int) -> list[int]:
             keys = list(counts[0].keys() | counts[1].keys())
             made = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_key(k) for k in keys], pa.int64()),
+                    pa.array(keys, pa.string()),
                     pa.array([counts[0][k] for k in keys], pa.int64()),
                     pa.array([counts[1][k] for k in keys], pa.int64()),
                 ],
@@ -211,11 +206,7 @@ def _associated(learn: DataFrame, lm, most: int) -> list[int]:
                     yield flush()
         yield flush()
 
-    sizes = {r[0]: r[1] for r in learn.groupBy("label").count().collect()}  # two rows
-    n0, n1 = float(sizes.get(0, 0)), float(sizes.get(1, 0))
-    if not n0 or not n1:
-        return []
-    counted = learn.mapInArrow(run, "key long, n0 long, n1 long").groupBy("key").agg(
+    counted = learn.mapInArrow(run, "key string, n0 long, n1 long").groupBy("key").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
     )
     both, apart = F.col("n0") + F.col("n1"), F.col("n1") * n0 - F.col("n0") * n1
@@ -225,63 +216,63 @@ def _associated(learn: DataFrame, lm, most: int) -> list[int]:
 
 
 class ToxicityModel:
-    def __init__(self, trigrams: np.ndarray, keys: list[int], weights: np.ndarray) -> None:
-        self.trigrams, self.keys, self.weights = trigrams, keys, weights
-
-    def scorer(self):
-        """A function text -> score; keeps what it learns about words for its task."""
-        restore = Deobfuscator(self.trigrams).restore
-        at = {k: i for i, k in enumerate(self.keys)}
-        known: dict[str, int] = {}
+    """Trigram counts, the features kept and their weights (the last one is the bias)."""
 
-        def find(feature: str) -> int:
-            if len(known) > FLUSH:
-                known.clear()
-            known[feature] = at.get(_key(feature), -1)
-            return known[feature]
+    def __init__(self, trigrams: np.ndarray, features: list[str], weights: np.ndarray) -> None:
+        self.trigrams, self.features, self.weights = trigrams, features, weights
 
-        def row(text: str | None):
-            found = [known[f] if f in known else find(f) for f in _features(restore(text or ""))]
-            hits = np.array(sorted(i for i in found if i >= 0), np.int64)
-            return hits, np.ones(len(hits))
+    def reader(self):
+        """A function text -> indices of the features that its restored form has."""
+        restore = Deobfuscator(self.trigrams).restore
+        at = {f: i for i, f in enumerate(self.features)}
+        known = frozenset(at)
+        return lambda text: np.array(sorted([at[f] for f in known.intersection(_features(restore(text or "")))]), np.int64)
 
-        return row, lambda text: float(softmax(logits(self.weights, row(text)))[1])
+    def score(self, found: np.ndarray) -> float:
+        return float(softmax(logits(self.weights, (found, np.ones(len(found)))))[1])
 
 
 def fit(
     labelled: DataFrame, corpus: DataFrame, text: str = "text", label: str = "label", doc_id: str = "doc_id",
     max_fit: int = MAX_FIT, max_features: int = MAX_FEATURES, epochs: int = 4,
+    within: Column | None = None,
 ) -> ToxicityModel:
-    """Fit on ``labelled`` (label 0 or 1, other labels and null texts are left out); trigrams from all of ``corpus``.
+    """Fit on the documents of ``corpus`` that ``labelled`` (doc_id, label) marks 0 or 1; trigrams from all of ``corpus``.
 
-    With no rows of either label the model says 0.5, or the only label there is, for every text.
+    Label statistics cover all of them; the weights are fitted on the
+    ``max_fit`` with the smallest id hashes.  ``within`` tells which rows of
+    ``corpus`` can have such a mark at all, so that other texts need not be
+    shuffled.  Without a document of either label the model says 0.5 for every
+    text.
     """
     spark = corpus.sparkSession
     trigrams = trigram_counts(corpus, text)
     lm = spark.sparkContext.broadcast(trigrams)
-    rows = labelled.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    rows = saved(
-        rows.select(
-            F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(F.col(doc_id)).alias("h")
-        ),
-        "toxic-learn",
-    )
-    keys = _associated(rows.select("text", "label"), lm, max_features)
-    model = ToxicityModel(trigrams, keys, np.zeros((2, len(keys) + 1), np.float32))
+    texts = corpus if within is None else corpus.filter(within)
+    texts = texts.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
+    marks = labelled.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
+    marks = saved(marks.filter(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label")), "toxic-marks")
+    sizes = {r[0]: float(r[1]) for r in marks.groupBy("label").count().collect()}  # two rows
+    if len(sizes) < 2:
+        return ToxicityModel(trigrams, [], np.zeros((2, 1), np.float32))
+    # one plan at every size: the texts of labelled documents are shuffled once, and not kept
+    learn = texts.join(marks.hint("merge"), "doc_id").select("text", "label")
+    model = ToxicityModel(trigrams, _associated(learn, sizes[0], sizes[1], lm, max_features), np.zeros((2, 1), np.float32))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        row, _ = shared.value.scorer()
+        read = shared.value.reader()
         for batch in batches:
-            made = [row(t)[0].astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
+            made = [read(t).astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(made, pa.binary())], names=["label", "at"])
 
-    sample = rows.orderBy("h").limit(max_fit).select("text", "label")
+    chosen = saved(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit), "toxic-sample")
+    sample = texts.join(chosen, "doc_id").select("text", "label")
     found = sorted(map(tuple, sample.mapInArrow(run, "label int, at binary").collect()))
-    fitted = SparseFTRL(2, len(keys), alpha=0.3, l1=0.05, l2=0.5)
+    fitted = SparseFTRL(2, len(model.features), alpha=0.3, l1=0.05, l2=0.5)
     at = [np.frombuffer(a, np.int32) for _, a in found]
     fitted.fit([(a, np.ones(len(a))) for a in at], [y for y, _ in found], epochs)
-    return ToxicityModel(trigrams, keys, fitted.weights)
+    return ToxicityModel(trigrams, model.features, fitted.weights)
 
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,9 +284,9 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
     )
 
     def run(batches):
-        _, of = shared.value.scorer()
+        model, read = shared.value, shared.value.reader()
         for batch in batches:
-            made = [of(t) for t in batch.column(2).to_pylist()]
+            made = [model.score(read(t)) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(made, pa.float64()), pa.array([int(s >= 0.5) for s in made], pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"],
@@ -310,9 +301,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     Learns from labelled documents whose crc32(doc_id as text) mod 5 is not 0.
     Repeated label rows count once; a document with both labels counts as toxic.
     """
-    ids = F.col("doc_id").cast("string").cast("binary")
-    marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    marks = marks.filter((F.crc32(ids) % 5 != 0) & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    learn = named.filter(F.crc32(ids) % 5 != 0).join(marks, "doc_id")
-    return score(named, fit(learn, named), "doc_id", "text")
+    ids = F.col(doc_id).cast("string").cast("binary")
+    learns = F.crc32(ids) % 5 != 0
+    marks = labels.select(doc_id, F.col(label).alias("label")).filter(learns & F.col("label").isNotNull())
+    return score(docs, fit(marks, docs, text, doc_id=doc_id, within=learns), doc_id, text)
