@@ -92,9 +92,9 @@ class Templates:
         self.names, self.sets, self.lengths = [], [], []
         pieces = []  # template, offset, shingles
         for name, text in sorted(rows):
+            if len(_WORD.findall(text.encode().lower())) < SHINGLE:
+                raise ValueError(f"template {name!r} has fewer than {SHINGLE} words")
             s = shingles(text.encode())
-            if not len(s):
-                continue
             per_piece = STRIDE - SHINGLE + 1
             for at in range(0, max(1, len(s) - per_piece + 1), per_piece):
                 pieces.append((len(self.names), at, s[at : at + per_piece]))
@@ -163,7 +163,7 @@ def scan(
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased.  Null and blank texts match nothing; repeated rows give
-    repeated results; templates without words are left out.
+    repeated results.  A template needs ``SHINGLE`` words.
     """
     found = docs.sparkSession.sparkContext.broadcast(
         Templates(list((NOTICES if templates is None else templates).items()), collision)

@@ -111,9 +111,9 @@ def lines_to_drop(
     share of the input, not a fixed number of rows.
     """
     spark = docs.sparkSession
-    bounds = docs.select(F.col(doc_id).cast("long").alias("d")).approxQuantile(
-        "d", [i / batches for i in range(1, batches)], 0.01
-    )
+    shares = [i / batches for i in range(1, batches)]
+    ids = docs.select(F.col(doc_id).cast("long").alias("d"))
+    bounds = sorted(set(ids.approxQuantile("d", shares, 0.01))) if shares else []
     number = sum([(F.col("doc_id") > F.lit(int(b))).cast("int") for b in bounds], F.lit(0))
     path = scratch(spark, "lines")
     keyed = line_keys(docs, min_chars, doc_id, text).withColumn("batch", number)
