@@ -179,8 +179,8 @@ def read_frames(source: BinaryIO) -> Iterator[bytes]:
     decompressor = zstandard.ZstdDecompressor(dict_data=data)
     left = b""
     while left or (left := source.read(READ)):
-        if len(left) < 4:
-            left += source.read(READ)
+        while len(left) < 4 and (more := source.read(READ)):
+            left += more
         if left[:4] != FRAME_MAGIC:
             raise WarcError("no frame where a record should begin")
         frame, parts = decompressor.decompressobj(), []

@@ -78,7 +78,7 @@ def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [
         (0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (7, [1.0, 1.0]),
-        (None, [1.0, 0.0]), (50, [2.0, 0.0]), (50, [2.0, 0.0]), (100, [1.0, 2.0, 3.0]), (150, [0.0, 0.0]), (8, [1e-30, 1e-30]), (9, [1e30, -1e30]),
+        (None, [1.0, 0.0]), (50, [2.0, 0.0]), (50, [2.0, 0.0]), (100, [1.0, 2.0, 3.0]), (150, [0.0, 0.0]), (8, [1e-30, 2e-30]), (9, [1e30, -3e30]),
     ]
     got = found(ann.nearest(frame(spark, vectors), ann.F.col("vec_id") % 50 == 0, share=1.0))
     assert got.keys() == {0, 50}
