@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators, generic over column names."""
 
-from bibliospark.operators.aggregates import avg_by, count_by, profile, proportion_by, sum_by, sum_if
+from bibliospark.operators.aggregates import avg_by, count_by, profile, proportion_by, sum_if
 from bibliospark.operators.audit import audit_column, audit_reference, audit_unique, reference_summary
 from bibliospark.operators.clean import drop_columns, drop_nulls, head_n, min_length, nullify
 from bibliospark.operators.datedim import date_dimension, date_dimension_for
@@ -16,7 +16,6 @@ from bibliospark.operators.ids import (
     flatten_versions,
 )
 from bibliospark.operators.joins import (
-    bounded_broadcast,
     enrich_by_lookup,
     join_star,
     left_join_null_safe,
@@ -30,6 +29,7 @@ from bibliospark.operators.match import (
     first_match_contains,
     min_contained,
     prepare_build,
+    rejected_patterns,
 )
 from bibliospark.operators.ordering import (
     exact_quantiles,

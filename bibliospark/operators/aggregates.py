@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibliospark.operators.ordering import exact_quantiles
+from bibliospark.operators.ordering import quantiles_by_group
+from bibliospark.session import written_once
 
 
 def count_by(df: DataFrame, keys: Sequence[str], col: str | None = None, name: str = "n") -> DataFrame:
@@ -16,11 +17,6 @@ def count_by(df: DataFrame, keys: Sequence[str], col: str | None = None, name: s
     return df.groupBy(*keys).agg(c.alias(name))
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], col: str, name: str = "total") -> DataFrame:
-    """``SUM(col)`` per group (null when every value is null)."""
-    return df.groupBy(*keys).agg(F.sum(col).alias(name))
-
-
 def avg_by(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], count_name: str | None = None) -> DataFrame:
     """``AVG`` of several columns (source -> output name), plus ``COUNT(*)``."""
     aggs = [F.avg(s).alias(t) for s, t in cols.items()]
@@ -45,33 +41,31 @@ def proportion_by(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, C
 PROFILE_STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def profile(df: DataFrame, cols: Sequence[str], local_distinct: int = 100_000) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """pandas ``describe().T``: one row per column with count, mean, sample
     std, min, exact quartiles (linear interpolation) and max.
 
-    One job computes the moments and each column's exact distinct count.
-    Columns with at most ``local_distinct`` distinct values get their
-    quartiles from Spark's exact ``percentile`` (its buffer is a value ->
-    count map, so memory follows distinct values, not rows) in one more job;
-    others use the distributed ``exact_quantiles``.  Only ``len(cols)``
-    result rows are built."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max"), F.count_distinct(x).alias(f"{c}__distinct")]
-    moments = df.agg(*aggs).first()
-    probs = [0.25, 0.5, 0.75]
-    small = [c for c in cols if moments[f"{c}__distinct"] <= local_distinct]
-    quartiles = {}
-    if small:
-        got = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small]).first()
-        quartiles = {c: (got[c] or [None] * 3) for c in small}
+    The rows are read once, into the number of occurrences of each column's
+    distinct values (partial aggregation); everything else comes from that
+    table.  Only ``len(cols)`` rows are built on the driver."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v")) for c in cols]))
+    counts = df.select(cells.alias("c")).select("c.g", "c.v").dropna().groupBy("g", "v").agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = written_once(counts, "profile-counts")
+    moments = {r.g: r for r in counts.groupBy("g").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    mean = F.coalesce(*[F.when(F.col("g") == c, F.lit(m.mean)) for c, m in moments.items()], F.lit(0.0))
+    off = F.col("v") - mean
+    squares = {r.g: r.s for r in counts.groupBy("g").agg(F.sum(off * off * F.col("n")).alias("s")).collect()}
+    quartiles = quantiles_by_group(counts, [0.25, 0.5, 0.75])
+    rows = []
     for c in cols:
-        if c not in quartiles:
-            quartiles[c] = exact_quantiles(df, c, probs)
-    rows = [(c, int(moments[f"{c}__count"]), moments[f"{c}__mean"], moments[f"{c}__std"], moments[f"{c}__min"],
-             *quartiles[c], moments[f"{c}__max"]) for c in cols]
+        m = moments.get(c)
+        if m is None:
+            rows.append((c, 0, *[None] * 7))
+            continue
+        std = (squares[c] / (m.n - 1)) ** 0.5 if m.n > 1 else None
+        rows.append((c, m.n, m.mean, std, m.low, *quartiles[c], m.high))
     schema = "column string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -26,18 +26,11 @@ def with_date_attributes(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumns(date_attributes(F.col(date_col)))
 
 
-MAX_BROADCAST_DAYS = 200_000   # about 550 years of days
-
-
-def date_dimension_for(df: DataFrame, ts_col: str, max_broadcast_days: int = MAX_BROADCAST_DAYS) -> DataFrame:
+def date_dimension_for(df: DataFrame, ts_col: str) -> DataFrame:
     """Calendar covering the date range of ``ts_col`` (min..max, one job for
-    the bounds).  Its size is the number of days spanned (not the row
-    count); it is broadcast-hinted when that span is within
-    ``max_broadcast_days``, else left to the planner (a stray far-future
-    date must not produce a huge broadcast)."""
+    the bounds).  Its size is the number of days spanned, which the planner
+    knows, so it decides whether to broadcast."""
     lo, hi = df.agg(F.min(F.to_date(ts_col)), F.max(F.to_date(ts_col))).first()
     if lo is None:
         return date_dimension(df.sparkSession, DEFAULT_START, 0)
-    n_days = (hi - lo).days + 1
-    dim = date_dimension(df.sparkSession, lo, n_days)
-    return F.broadcast(dim) if n_days <= max_broadcast_days else dim
+    return date_dimension(df.sparkSession, lo, (hi - lo).days + 1)

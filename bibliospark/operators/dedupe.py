@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from bibliospark.operators.ordering import OrderSpec, sort_col
+from bibliospark.session import written_once
 
 
 def _exact_singletons(df: DataFrame, keys: Sequence[str], rest: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -33,33 +34,28 @@ def _has_map(t) -> bool:
     return False
 
 
-def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = (), prefilter: bool = True,
-                        max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def drop_all_duplicates(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Remove *all* rows of any group that repeats over the non-excluded
     columns (pandas ``duplicated(keep=False)``); nulls compare equal.
 
-    With ``prefilter`` only two hash integers per row are shuffled: hash
-    groups seen more than once are collected by a partial aggregation and,
-    when their number is within ``max_broadcast_rows``, broadcast.  Rows
-    outside them are certainly unique (equal values hash equally) and pass
-    without a shuffle; only the suspect rows are grouped on their full
-    values, so a hash collision can never drop a row.  Beyond the bound (or
-    without ``prefilter``) every row is grouped on its full values."""
+    Two scans: the first counts 128-bit hashes of the rows (two seeds of
+    xxhash64, partial aggregation, so a hot group is one row per task) and
+    keeps those seen more than once; the second drops the rows that have one
+    of them.  Only hashes are aggregated; the rows themselves pass without a
+    shuffle while Spark finds the repeated hashes small enough to broadcast,
+    and are joined by hash otherwise.  Map columns, which Spark cannot hash,
+    take the grouping on full values instead."""
     excluded = set(exclude)
     keys = [c for c in df.columns if c not in excluded]
     rest = [c for c in df.columns if c in excluded]
-    # Spark cannot hash map values: such keys take the exact path directly
-    if not prefilter or any(_has_map(df.schema[c].dataType) for c in keys):
+    if any(_has_map(df.schema[c].dataType) for c in keys):
         return _exact_singletons(df, keys, rest, df.columns)
-    hashed = df.withColumns({"_bs_h1": F.xxhash64(*keys), "_bs_h2": F.hash(*keys)})
-    repeated = hashed.groupBy("_bs_h1", "_bs_h2").count().filter(F.col("count") > 1).select("_bs_h1", "_bs_h2")
-    if repeated.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
-        return _exact_singletons(df, keys, rest, df.columns)
-    suspects = F.broadcast(repeated)
-    clear = hashed.join(suspects, ["_bs_h1", "_bs_h2"], "left_anti").select(*df.columns)
-    checked = _exact_singletons(hashed.join(suspects, ["_bs_h1", "_bs_h2"], "left_semi").select(*df.columns),
-                                keys, rest, df.columns)
-    return clear.unionByName(checked)
+    # nulls are skipped by the hash: their positions are hashed as well
+    parts = [*keys, *[F.col(c).isNull() for c in keys]]
+    hashed = df.withColumns({"_bs_h1": F.xxhash64(*parts), "_bs_h2": F.xxhash64(F.lit(1), *parts)})
+    counts = hashed.groupBy("_bs_h1", "_bs_h2").agg(F.count(F.lit(1)).alias("n"))
+    repeated = written_once(counts.filter("n > 1").drop("n"), "repeated-rows")
+    return hashed.join(repeated, ["_bs_h1", "_bs_h2"], "left_anti").select(*df.columns)
 
 
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec]) -> DataFrame:

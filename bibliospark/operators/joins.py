@@ -1,8 +1,6 @@
 """Equi joins used by the pipelines: lookups, star joins, null-safe merges.
 
-Broadcast policy: a side is broadcast only when its size is *checked* here
-(``bounded_broadcast``) or bounded by construction (a date range, a list of
-partition offsets).  Everything else is left to the planner, where AQE
+No side is hinted: the planner broadcasts what it knows to be small, and AQE
 converts a join to broadcast from the actual shuffle size and splits skewed
 partitions (``spark.sql.adaptive.skewJoin.enabled``)."""
 
@@ -13,16 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows (checked with a
-    short-circuiting ``limit(max_rows + 1).count()``), else return it as is."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
     """Deterministic dedupe of a lookup: per key, the least row (partial agg)."""
@@ -33,7 +21,7 @@ def one_row_per_key(lookup: DataFrame, key: str) -> DataFrame:
 
 
 def enrich_by_lookup(df: DataFrame, lookup: DataFrame, key: str, mapping: Mapping[str, str] | None = None,
-                     lookup_key: str | None = None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     lookup_key: str | None = None) -> DataFrame:
     """Left join metadata by ``key``; a missing key gives nulls.
 
     ``mapping`` renames lookup columns (source -> output); the lookup is
@@ -44,16 +32,15 @@ def enrich_by_lookup(df: DataFrame, lookup: DataFrame, key: str, mapping: Mappin
         lookup = lookup.select(lk, *[F.col(s).alias(t) for s, t in mapping.items()])
     if lk != key:
         lookup = lookup.withColumnRenamed(lk, key)
-    return df.join(bounded_broadcast(lookup, max_broadcast_rows), key, "left")
+    return df.join(lookup, key, "left")
 
 
-def lookup_exact(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, how: str = "inner",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup_exact(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
     """Equality lookup (e.g. first name -> gender), inner by default: a row
     without a lookup entry is skipped."""
     lk = lookup.withColumnRenamed(right_key, "_bs_rk") if right_key == left_key else lookup
     rk = "_bs_rk" if right_key == left_key else right_key
-    out = df.join(bounded_broadcast(lk, max_broadcast_rows), F.col(left_key) == F.col(rk), how)
+    out = df.join(lk, F.col(left_key) == F.col(rk), how)
     return out.drop(rk) if rk == "_bs_rk" else out
 
 

@@ -1,31 +1,29 @@
 """Exact substring ("contains") joins without a nested loop.
 
-Pairs (needle, haystack) with ``instr(haystack, needle) > 0`` are found by an
-equi join on character grams, then verified with ``contains``:
-
-* long needle (length m >= q + s - 1): the needle emits its q-grams at
-  offsets 0..s-1; a haystack emits its q-grams at positions 0, s, 2s, ...
-  If the needle occurs at position p, some sampled position p' lies in
-  [p, p + s - 1] and p' + q <= p + m, so the haystack gram at p' equals the
-  needle gram at offset p' - p: every true pair becomes a candidate.
-* short needle (0 < m < q + s - 1): key = its first k = min(m, q)
-  characters; haystacks emit every k-gram (stride 1) for the few k in use.
-* empty needle: contained in every non-null haystack; callers resolve it
-  with an aggregate instead of emitting all pairs.
-
-Candidate pairs are deduplicated, checkpointed and counted; when bounded
-they are broadcast and the haystack table streams past them for
-verification, so long texts are never shuffled and never travel through
-the explode.  Haystack grams are deduplicated per row (``array_distinct``)
-so repetitive text does not inflate the join.  The needle-gram side is
-broadcast only when its size, taken from one statistics job, is within
-bounds (rows and bytes); otherwise the join shuffles and AQE's skew join
-splits hot grams.
-
-``first_match_contains`` builds on this for the bibliographic matches: per
-distinct needle tuple, the least build id whose columns contain (or, in
-regex mode, match) every needle; it blocks each tuple on its rarest key and
-searches large build sides in ascending id slices.
+Long texts (``contains_pairs``, ``min_contained``): pairs with
+``instr(haystack, needle) > 0`` are found by an equi join on character grams
+and then verified.
+
+* A haystack emits its ``GRAM``-character grams at every ``STRIDE``-th
+  position; those that occur in no needle are dropped at once.
+* If a long needle (at least ``WINDOW`` characters) occurs, each of its
+  windows of ``WINDOW`` characters covers a sampled position, so one of the
+  window's ``STRIDE`` grams is among the haystack's.  Any one window is
+  enough: each needle joins by its *rarest* window, by counts over all
+  haystacks, and is done when a window occurs nowhere.  A phrase that opens
+  every needle and every haystack thus makes no candidates.
+* A shorter needle joins by its rarest gram of min(length, GRAM) characters
+  against the haystacks' grams at all positions.
+
+Names (``first_match_contains``): per distinct needle tuple, the least build
+id whose columns contain (or, in regex mode, match) every needle.  Tuples and
+build rows meet on one composite key taken from two columns at once, the
+match is verified inside that join, where both sides' names are at hand, and
+the least id is a partial aggregation.
+
+There is one path at every size, and no limit on candidates.  An empty
+needle, which everything contains, is resolved as an aggregate instead of
+emitting all pairs.
 """
 
 from __future__ import annotations
@@ -37,295 +35,184 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibliospark.session import ensure_checkpoint_dir
+from bibliospark.session import written_once
 
 GRAM = 8
 STRIDE = 8
-SLICE_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 256 << 20
-
-
-class NeedleStats(NamedTuple):
-    n_long: int          # needles of length >= q + s - 1
-    n_short: int         # non-empty shorter needles
-    lengths: list[int]   # distinct short key lengths (at most q values)
-    n_bytes: int         # UTF-8 bytes of all non-empty needles
-
-
-def _hay_grams(hays: DataFrame, hk: Sequence[str], hcol: str, q: int | Sequence[int], step: int) -> DataFrame:
-    """Distinct q-grams at positions 0, step, 2*step, ... (while p + q <= length),
-    for one gram length or several.
-
-    One linear regex scan per row and length: the lookahead captures q
-    characters, the match then consumes ``step`` (``step <= q``, so a
-    captured gram always leaves room for the step).  Per-position ``substr``
-    would be quadratic on long texts: UTF-8 code point offsets are found by
-    scanning from the start."""
-    qs = [q] if isinstance(q, int) else list(q)
-    arrays = []
-    for k in qs:
-        assert 1 <= step <= k
-        if step == k:   # back-to-back grams: a plain consuming match is cheaper than a lookahead
-            arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s).{{{k}}}"), F.lit(0)))
-        else:
-            arrays.append(F.regexp_extract_all(F.col(hcol), F.lit(f"(?s)(?=(.{{{k}}})).{{{step}}}"), F.lit(1)))
-    grams = F.array_distinct(arrays[0] if len(arrays) == 1 else F.concat(*arrays))
-    return hays.select(*hk, F.explode(grams).alias("_bs_g"))
-
-
-def needle_stats(needles: DataFrame, ncol: str, q: int = GRAM, s: int = STRIDE,
-                 by: str | None = None) -> dict:
-    """One aggregate job: ``NeedleStats`` per block (``by``), or under key None."""
-    m = F.char_length(F.col(ncol))
-    short = (m > 0) & (m < q + s - 1)
-    aggs = [F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias("n_long"),
-            F.sum(F.when(short, 1).otherwise(0)).alias("n_short"),
-            F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("lengths"),
-            F.sum(F.octet_length(F.col(ncol))).alias("n_bytes")]
-    rows = (needles.groupBy(by).agg(*aggs) if by else needles.agg(*aggs)).collect()
-    return {(r[by] if by else None): NeedleStats(r["n_long"] or 0, r["n_short"] or 0, sorted(r["lengths"]),
-                                                 r["n_bytes"] or 0) for r in rows}
-
-
-def _pair_stats(tuples: DataFrame, pairs: Sequence[tuple[str, str]], q: int, s: int) -> tuple[dict, int]:
-    """One aggregate job over the distinct needle tuples: ``NeedleStats`` of
-    every pair's needle column (upper bounds for any block of tuples) and
-    the number of tuples whose needles are all empty."""
-    aggs = []
-    lens = [F.char_length(F.col(n)) for n, _ in pairs]
-    for i, m in enumerate(lens):
-        short = (m > 0) & (m < q + s - 1)
-        aggs += [F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias(f"l{i}"),
-                 F.sum(F.when(short, 1).otherwise(0)).alias(f"s{i}"),
-                 F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias(f"k{i}"),
-                 F.sum(F.octet_length(F.col(pairs[i][0]))).alias(f"b{i}")]
-    longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
-    aggs.append(F.sum(F.when(longest == 0, 1).otherwise(0)).alias("empty"))
-    r = tuples.agg(*aggs).first()
-    stats = {i: NeedleStats(r[f"l{i}"] or 0, r[f"s{i}"] or 0, sorted(r[f"k{i}"]), r[f"b{i}"] or 0)
-             for i in range(len(pairs))}
-    return stats, r["empty"] or 0
-
-
-def _maybe_broadcast(df: DataFrame, rows_upper_bound: int, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if rows_upper_bound <= max_rows else df
-
-
-def contains_candidates(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame,
-                        hk: Sequence[str], hcol: str, q: int = GRAM, s: int = STRIDE,
-                        stats: NeedleStats | None = None,
-                        max_broadcast_rows: int = 2_000_000) -> DataFrame | None:
-    """Distinct (nk..., hk...) pairs: a superset of the pairs where the
-    non-empty needle ``ncol`` occurs in ``hcol``.  ``stats`` (from
-    ``needle_stats``) sizes the broadcast decision; None when no needle."""
-    if stats is None:
-        stats = next(iter(needle_stats(needles, ncol, q, s).values()))
-    n_long, n_short, lengths = stats.n_long, stats.n_short, stats.lengths
-    m = F.char_length(F.col(ncol))
-    parts = []
-
-    if n_long:
-        # long needles: s grams each, sparse haystack sampling
-        long_grams = (
-            needles.filter(m >= q + s - 1)
-            .select(*nk, F.explode(F.transform(F.sequence(F.lit(0), F.lit(s - 1)),
-                                               lambda o: F.substr(F.col(ncol), o + 1, F.lit(q)))).alias("_bs_g"))
-            .distinct()
-        )
-        parts.append(_hay_grams(hays, hk, hcol, q, s).join(
-            _maybe_broadcast(long_grams, n_long * s, max_broadcast_rows), "_bs_g"))
-
-    # short needles: prefix key of length k = min(m, q); the haystack emits
-    # every k-gram for the few k in use, all in one explode (a gram's length
-    # is part of its value, so one join serves every k)
-    if lengths:
-        k = F.least(m, F.lit(q))
-        keys = needles.filter((m > 0) & (m < q + s - 1)).select(
-            *nk, F.substr(F.col(ncol), F.lit(1), k).alias("_bs_g")).distinct()
-        parts.append(_hay_grams(hays, hk, hcol, lengths, 1).join(
-            _maybe_broadcast(keys, n_short, max_broadcast_rows), "_bs_g"))
-
-    if not parts:
-        return None
-    return reduce(DataFrame.unionByName, [p.select(*nk, *hk) for p in parts]).distinct()
-
-
-def _all_contained(pairs: Sequence[tuple[str, str]]) -> Column:
-    cond = None
-    for needle, hay in pairs:
-        e = F.col(hay).contains(F.col(needle))
-        cond = e if cond is None else cond & e
-    return cond
+WINDOW = GRAM + STRIDE - 1
+# Characters of a name that enter a composite key (of a single column: GRAM).
+KEY = 3
+
+
+def _gram_array(col: Column, k: int, step: int = 1) -> Column:
+    """Distinct k-grams at positions 0, step, 2*step, ... (while p + k <= length).
+
+    One linear regex scan: the lookahead captures k characters, the match
+    then consumes ``step`` (``step <= k``, so a captured gram always leaves
+    room for the step).  Per-position ``substr`` would be quadratic on long
+    texts: UTF-8 code point offsets are found by scanning from the start."""
+    assert 1 <= step <= k
+    if step == k:   # back-to-back grams: a plain consuming match is cheaper than a lookahead
+        return F.array_distinct(F.regexp_extract_all(col, F.lit(f"(?s).{{{k}}}"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(col, F.lit(f"(?s)(?=(.{{{k}}})).{{{step}}}"), F.lit(1)))
+
+
+def _candidates(grams: DataFrame, nk: Sequence[str], hay_grams: DataFrame, hk: Sequence[str], window: int) -> DataFrame:
+    """(nk..., hk...) of the haystacks that have a gram of the needle's rarest window.
+
+    ``grams`` is (nk..., at, g): every gram of each needle; a window is
+    ``window`` consecutive ones."""
+    # written, so that the planner knows whether it is small enough to broadcast
+    wanted = written_once(grams.select("g").distinct(), "needle-grams")
+    hits = written_once(hay_grams.join(wanted, "g", "left_semi"), "gram-hits")
+    seen = hits.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    counted = grams.join(seen, "g", "left").select(*nk, F.struct("at", "g", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
+    ordered = counted.groupBy(*nk).agg(F.array_sort(F.collect_list("x")).alias("x"))
+    cost = F.transform(
+        F.sequence(F.lit(1), F.size("x") - window + 1),
+        lambda i: F.struct(
+            F.aggregate(F.slice("x", i, window), F.lit(0).cast("bigint"), lambda a, y: a + y["n"]).alias("n"), i.alias("i")
+        ),
+    )
+    rarest = ordered.withColumn("w", F.array_min(cost)).filter("w.n > 0")
+    keys = rarest.select(*nk, F.explode(F.array_distinct(F.slice("x", F.col("w.i"), window)["g"])).alias("g"))
+    return keys.join(hits, "g").select(*nk, *hk).distinct()
 
 
 def contains_pairs(needles: DataFrame, nk: Sequence[str], ncol: str, hays: DataFrame, hk: Sequence[str],
-                   hcol: str, q: int = GRAM, s: int = STRIDE, max_broadcast_rows: int = 2_000_000,
-                   stats: NeedleStats | None = None) -> DataFrame:
+                   hcol: str) -> DataFrame:
     """Verified (nk..., hk...) pairs with ``hcol`` containing the non-empty
     needle ``ncol`` (empty needles are excluded; see module docstring).
-
-    Candidate pairs (two keys each) are checkpointed and counted.  When
-    bounded they are broadcast, so verification scans the haystack table
-    and streams it past the candidates: the texts are never shuffled."""
+    ``nk`` and ``hk`` identify the rows of either side."""
     assert not set(nk) & set(hk), "needle and haystack keys must have distinct names"
-    n = needles.select(*nk, F.col(ncol).alias("_bs_needle")).dropna(subset=["_bs_needle"])
-    h = hays.select(*hk, F.col(hcol).alias("_bs_hay")).dropna(subset=["_bs_hay"])
-    if stats is None:
-        stats = next(iter(needle_stats(n, "_bs_needle", q, s).values()), NeedleStats(0, 0, [], 0))
-    cand = contains_candidates(n, nk, "_bs_needle", h, hk, "_bs_hay", q, s, stats=stats)
-    if cand is None:  # no non-empty needle: typed empty result
-        types = {f.name: f.dataType for f in h.schema.fields}
-        return n.select(*nk, *[F.lit(None).cast(types[k]).alias(k) for k in hk]).filter(F.lit(False))
-    ensure_checkpoint_dir(cand.sparkSession)
-    cand = cand.checkpoint(eager=True)
-    if cand.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        cand = F.broadcast(cand)
-    n = n.filter(F.char_length("_bs_needle") > 0)   # empty needles never pair
-    small = stats.n_long + stats.n_short <= max_broadcast_rows and stats.n_bytes <= MAX_BROADCAST_BYTES
-    n_side = F.broadcast(n) if small else n
-    return (
-        h.join(cand, list(hk)).join(n_side, list(nk))
-        .filter(F.col("_bs_hay").contains(F.col("_bs_needle")))
-        .select(*nk, *hk)
-    )
+    n = needles.select(*nk, F.col(ncol).alias("needle")).filter(F.char_length("needle") > 0)
+    h = hays.select(*hk, F.col(hcol).alias("hay")).dropna(subset=["hay"])
+    m = F.char_length("needle")
+
+    every = F.transform(F.sequence(F.lit(0), m - GRAM), lambda o: F.struct(o.alias("at"), F.substr(F.col("needle"), o + 1, F.lit(GRAM)).alias("g")))
+    long_grams = n.filter(m >= WINDOW).select(*nk, F.explode(every).alias("e")).select(*nk, "e.*")
+    sparse = h.select(*hk, F.explode(_gram_array(F.col("hay"), GRAM, STRIDE)).alias("g"))
+    parts = [_candidates(long_grams, nk, sparse, hk, STRIDE)]
+
+    # shorter needles: the few gram lengths in use, all in one explode (a
+    # gram's length is part of its value, so one join serves every length)
+    short = n.filter(m < WINDOW).withColumn("k", F.least(m, F.lit(GRAM)))
+    lengths = sorted(r[0] for r in short.select("k").distinct().collect())   # GRAM values at most
+    if lengths:
+        every = F.transform(F.sequence(F.lit(0), m - F.col("k")), lambda o: F.struct(o.alias("at"), F.substr(F.col("needle"), o + 1, F.col("k")).alias("g")))
+        short_grams = short.select(*nk, F.explode(every).alias("e")).select(*nk, "e.*")
+        dense = h.select(*hk, F.explode(F.concat(*[_gram_array(F.col("hay"), k) for k in lengths])).alias("g"))
+        parts.append(_candidates(short_grams, nk, dense, hk, 1))
+    found = written_once(reduce(DataFrame.unionByName, parts), "contains-candidates")
+    return h.join(found, list(hk)).join(n, list(nk)).filter(F.col("hay").contains(F.col("needle"))).select(*nk, *hk)
 
 
 def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, needle_id: str, ncol: str,
-                  out: str | None = None, q: int = GRAM, s: int = STRIDE) -> DataFrame:
+                  out: str | None = None) -> DataFrame:
     """Per haystack row: the least ``needle_id`` whose text it contains
     (haystacks with no contained needle are absent)."""
     out = out or needle_id
     # identical needle texts match identically: keep the least id per text
     needles = needles.groupBy(ncol).agg(F.min(needle_id).alias(needle_id))
-    # one job: needle statistics and the least id of an empty needle
-    m = F.char_length(F.col(ncol))
-    short = (m > 0) & (m < q + s - 1)
-    r = needles.agg(F.sum(F.when(m >= q + s - 1, 1).otherwise(0)).alias("l"),
-                    F.sum(F.when(short, 1).otherwise(0)).alias("s"),
-                    F.collect_set(F.when(short, F.least(m, F.lit(q)))).alias("k"),
-                    F.sum(F.when(m > 0, F.octet_length(F.col(ncol))).otherwise(0)).alias("b"),
-                    F.min(F.when(m == 0, F.col(needle_id))).alias("e")).first()
-    stats = NeedleStats(r["l"] or 0, r["s"] or 0, sorted(r["k"]), r["b"] or 0)
-    best = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol, q, s, stats=stats).groupBy(
-        hay_id).agg(F.min(needle_id).alias(out))
-    empty_min = r["e"]
-    if empty_min is None:
+    best = contains_pairs(needles, [needle_id], ncol, hays, [hay_id], hcol).groupBy(hay_id).agg(
+        F.min(needle_id).alias(out))
+    empty = needles.filter(F.col(ncol) == "").agg(F.min(needle_id)).first()[0]
+    if empty is None:
         return best
     # an empty needle is in every non-null haystack: a literal, not a join
     # that would pair it with every haystack row
-    every = hays.filter(F.col(hcol).isNotNull()).select(hay_id, F.lit(empty_min).alias(out))
+    every = hays.filter(F.col(hcol).isNotNull()).select(hay_id, F.lit(empty).alias(out))
     return every.unionByName(best).groupBy(hay_id).agg(F.min(out).alias(out))
 
 
-def _rarest_blocks(tuples: DataFrame, pairs: Sequence[tuple[str, str]], hcols: Sequence[str], bcols: DataFrame,
-                   q: int, stats: dict) -> DataFrame:
-    """Tag each needle tuple with the pair to block on: the one whose key gram
-    (the needle's first min(m, q) characters) occurs in the fewest build rows.
-
-    Gram frequencies are counted over *distinct* build values (weighted by
-    their row count), so the cost is small next to the join it steers.  A
-    hot short surname such as "Li" then no longer pairs every tuple carrying
-    it with every build row containing it; the rarer given name blocks
-    instead.  A key found in no build row has cost 0: the tuple cannot
-    match, and blocking on it yields no candidates.  Any choice is exact,
-    because every pair is verified after blocking."""
-    lens = [F.char_length(F.col(n)) for n, _ in pairs]
-    keyed = tuples
-    costs = []
-    for i, ((needle, _), h) in enumerate(zip(pairs, hcols)):
-        cost = f"_bs_cost{i}"
-        costs.append(F.col(cost))
-        # key lengths in use: the short ones, plus q for long needles
-        lengths = sorted(set(stats[i].lengths) | ({q} if stats[i].n_long else set()))
-        if not lengths:
-            keyed = keyed.withColumn(cost, F.lit(None).cast("bigint"))
-            continue
-        values = bcols.groupBy(h).agg(F.count(F.lit(1)).alias("_bs_w"))
-        freq = _hay_grams(values, ["_bs_w"], h, lengths, 1).groupBy("_bs_g").agg(F.sum("_bs_w").alias(cost))
-        key = F.when(lens[i] > 0, F.substr(F.col(needle), F.lit(1), F.least(lens[i], F.lit(q))))
-        keyed = (
-            keyed.withColumn("_bs_key", key)
-            .join(freq, F.col("_bs_key") == F.col("_bs_g"), "left")
-            .withColumn(cost, F.when(lens[i] > 0, F.coalesce(F.col(cost), F.lit(0))))
-            .drop("_bs_key", "_bs_g")
-        )
-    cheapest = F.least(*costs)  # nulls (empty needles) ignored
-    chosen = F.lit(-1)
-    for i in reversed(range(len(pairs))):
-        chosen = F.when(costs[i] == cheapest, F.lit(i)).otherwise(chosen)
-    return keyed.withColumn("_bs_blk", F.when(cheapest.isNotNull(), chosen).otherwise(F.lit(-1))).drop(
-        *[f"_bs_cost{i}" for i in range(len(pairs))])
-
-
-# Regex mode.  Names become regular expressions in the reference (a
-# substring search).  Supported exactly: literal characters, "." (any
-# character), a backslash before a non-alphanumeric character (that
-# character, literally) and braces that do not form a quantifier (literal, as
-# in Python).  Every match of such a pattern contains each literal run
-# between its wildcards, so the longest run is a valid blocking key.  Other
-# patterns (quantifiers, groups, classes, anchors, alternation, letter or
-# digit escapes, a trailing backslash) match nothing; in the reference they
-# either raise or are regex features names do not use.  Tuples of wildcard-
-# only patterns have no literal to block on and are answered by
-# ``_wildcard_only_best``.
-_SIMPLE_PATTERN = r"^(?:[^\\.^$*+?()\[\]|]|\\[^A-Za-z0-9]|\.)*$"
-_QUANTIFIER = r"\{,?[0-9]"
-_SENTINEL = "\u0000"
-
-
-def _regex_parts(col: str) -> tuple[Column, Column, Column]:
-    """(supported?, longest literal run, Java-safe pattern) of a pattern column."""
+# Regex mode.  Names become regular expressions in the reference (a substring
+# search).  Supported are the constructs that Java and Python read alike:
+# literal characters, ".", a backslash before a non-alphanumeric character,
+# plain character classes, groups, "^" at the start, the quantifiers * + ?
+# {m} {m,} {m,n} (lazy too) and braces that form none (literal, as in
+# Python).  What a match must contain is blocked on: the longest run of
+# literals outside groups, classes and quantified characters.  Everything
+# else (letter and digit escapes, "$", top-level or unbalanced alternatives
+# and groups, "(?", nested classes, a quantifier after nothing) is rejected by
+# name: see ``rejected_patterns``.
+_UNITS = r"(?s)\\.|\[\^?[^\[\]\\&]+\]|\{[0-9]+(?:,[0-9]*)?\}[?]?|[*+?][?]?|."
+_GAP = "\u0000"
+
+
+class _Pattern(NamedTuple):
+    ok: Column        # whether Java and Python read it alike
+    literal: Column   # the longest run of characters that every match contains
+    java: Column      # the pattern for Spark
+
+
+def _pattern(col: str) -> _Pattern:
     c = F.col(col)
-    ok = c.rlike(_SIMPLE_PATTERN) & ~c.rlike(_QUANTIFIER)
-    units = F.regexp_extract_all(c, F.lit(r"(?s)\\.|."), F.lit(0))   # an escape pair or one character
-    literal = F.transform(units, lambda u: F.when(u == ".", F.lit(_SENTINEL))
-                          .when(F.char_length(u) == 2, F.substr(u, F.lit(2), F.lit(1))).otherwise(u))
-    runs = F.split(F.array_join(literal, ""), _SENTINEL)
+    units = F.regexp_extract_all(c, F.lit(_UNITS), F.lit(0))
+
+    def step(s: Column, u: Column) -> Column:
+        counted = u.rlike(r"^(?:[*+?]\??|\{[0-9]+(?:,[0-9]*)?\}\??)$")
+        gap = (u == ".") | ((F.char_length(u) > 1) & u.startswith("["))
+        escaped = u.rlike(r"(?s)^\\[^A-Za-z0-9]$")
+        plain = (F.char_length(u) == 1) & ~u.isin("\\", "[", "]", "(", ")", "|", "$", "^", ".")
+        first = (s["n"] == 0) & (u == "^")
+        depth = s["depth"] + F.when(u == "(", 1).when(u == ")", -1).otherwise(0)
+        ok = s["ok"] & (depth >= 0) & (
+            (counted & s["can"]) | (~counted & (gap | escaped | plain | first | u.isin("(", ")") | ((u == "|") & (s["depth"] > 0))))
+        )
+        text = (
+            F.when(counted, F.concat(F.substr(s["text"], F.lit(1), F.greatest(F.char_length(s["text"]) - 1, F.lit(0))), F.lit(_GAP)))
+            .when((s["depth"] > 0) | u.isin("(", ")", "^", ".", "|") | gap, F.concat(s["text"], F.lit(_GAP)))
+            .otherwise(F.concat(s["text"], F.when(escaped, F.substr(u, F.lit(2), F.lit(1))).otherwise(u)))
+        )
+        can = ~counted & ~u.isin("(", "|", "^")
+        java = F.concat(s["java"], F.when(~counted & u.isin("{", "}"), F.concat(F.lit("\\"), u)).otherwise(u))
+        return F.struct(ok.alias("ok"), (s["n"] + 1).alias("n"), depth.alias("depth"), can.alias("can"), text.alias("text"), java.alias("java"))
+
+    start = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(False).alias("can"),
+                     F.lit("").alias("text"), F.lit("").alias("java"))
+    read = F.aggregate(units, start, step)
+    ok = read["ok"] & (read["depth"] == 0) & ~c.contains("(?") & ~c.rlike(r"\{,[0-9]") & (F.array_join(units, "") == c)
+    runs = F.split(read["text"], _GAP)
     longest = F.element_at(F.array_sort(F.transform(
         runs, lambda r: F.struct((-F.char_length(r)).alias("n"), r.alias("r")))), 1).getField("r")
-    java = F.array_join(F.transform(units, lambda u: F.when(u.isin("{", "}"), F.concat(F.lit("\\"), u))
-                                    .otherwise(u)), "")
-    return ok, longest, java
+    return _Pattern(ok, longest, read["java"])
+
+
+def _without_literal(cols: Sequence[str]) -> Column:
+    """Whether none of the patterns has a literal, though not all are mere dots."""
+    bare = reduce(lambda a, b: a & b, [_pattern(c).literal == "" for c in cols])
+    dots = reduce(lambda a, b: a & b, [F.col(c).rlike(r"^\.*$") for c in cols])
+    return bare & ~dots
+
+
+def rejected_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct tuples of patterns that regex mode does not search for (see
+    the comment above), among them those without any literal to search by."""
+    readable = reduce(lambda a, b: a & b, [_pattern(c).ok for c in cols])
+    return df.select(*cols).dropna().distinct().filter(~readable | _without_literal(cols))
 
 
-def _wildcard_only_best(tuples: DataFrame, ncols: Sequence[str], bcols: DataFrame, build_id: str,
+def _wildcard_only_best(wild: DataFrame, ncols: Sequence[str], bcols: DataFrame, build_id: str,
                         hcols: Sequence[str], out: str) -> DataFrame:
-    """Least build id for regex tuples whose patterns are only wildcards.
+    """Least build id for regex tuples whose patterns are only dots.
 
     A pattern of d dots matches a value iff some newline-free segment has at
     least d characters (``.`` excludes only the newline, as in Python).  Each
-    build row is reduced to its longest segment per column, capped at the
-    largest d in use; every capped cell (tiny by construction) emits the
+    build row is reduced to its longest segment per column, no longer than
+    the longest pattern in use; every cell (tiny by construction) emits the
     threshold tuples it satisfies, and the least id per threshold tuple is
     joined to the patterns: exact, and no pattern ever meets a build row."""
-    dots = [F.char_length(F.col(f"_bs_lit_src_{i}")) for i in range(len(hcols))]
-    wild = tuples.select(*ncols, *[d.alias(f"_bs_d{i}") for i, d in enumerate(dots)])
-    caps = wild.agg(*[F.max(f"_bs_d{i}").alias(f"c{i}") for i in range(len(hcols))]).first()
+    ds = [f"d{i}" for i in range(len(hcols))]
+    wild = wild.select(*ncols, *[F.char_length(F.col(c)).alias(d) for c, d in zip(ncols, ds)])
+    most = wild.agg(*[F.max(d).alias(d) for d in ds]).first()
     cells = bcols.select(build_id, *[
         F.least(F.array_max(F.transform(F.split(F.col(h), "\n", -1), lambda x: F.char_length(x))),
-                F.lit(caps[f"c{i}"] or 0)).alias(f"_bs_d{i}") for i, h in enumerate(hcols)])
-    cells = cells.groupBy(*[f"_bs_d{i}" for i in range(len(hcols))]).agg(F.min(build_id).alias(out))
-    for i in range(len(hcols)):   # a cell satisfies every smaller threshold too
-        cells = cells.withColumn(f"_bs_d{i}", F.explode(F.sequence(F.lit(0), F.col(f"_bs_d{i}"))))
-    least = cells.groupBy(*[f"_bs_d{i}" for i in range(len(hcols))]).agg(F.min(out).alias(out))
-    return wild.join(least, [f"_bs_d{i}" for i in range(len(hcols))]).select(*ncols, out)
-
-
-def _slice_bounds(bcols: DataFrame, build_id: str, slice_rows: int) -> list[float]:
-    """Ascending build-id bounds whose slices grow geometrically from about
-    ``slice_rows`` rows (empty when the build side is at most ``slice_rows``
-    rows).  Bounds come from ``approxQuantile``: any increasing bounds keep
-    the sliced search exact, approximation only moves slice sizes."""
-    if slice_rows <= 0:
-        return []
-    n = bcols.count()
-    if n <= slice_rows:
-        return []
-    fractions, f = [], slice_rows / n
-    while f < 1:
-        fractions.append(f)
-        f *= 2
-    return sorted(set(bcols.approxQuantile(build_id, fractions, 0.001)))
+                F.lit(most[d] or 0)).alias(d) for h, d in zip(hcols, ds)])
+    cells = cells.groupBy(*ds).agg(F.min(build_id).alias(out))
+    for d in ds:   # a cell satisfies every smaller threshold too
+        cells = cells.withColumn(d, F.explode(F.sequence(F.lit(0), F.col(d))))
+    least = cells.groupBy(*ds).agg(F.min(out).alias(out))
+    return wild.join(least, ds).select(*ncols, out)
 
 
 class PreparedBuild(NamedTuple):
@@ -337,145 +224,103 @@ class PreparedBuild(NamedTuple):
 
 
 def prepare_build(build: DataFrame, columns: Sequence[str], build_id: str) -> PreparedBuild:
-    """Collapse identical build tuples to their least id and checkpoint them
+    """Collapse identical build tuples to their least id and write them
     (columns renamed ``_bs_h_0``, ``_bs_h_1``, ... in ``columns`` order)."""
-    ensure_checkpoint_dir(build.sparkSession)
     hcols = [f"_bs_h_{i}" for i in range(len(columns))]
-    tuples = (
-        build.select(build_id, *[F.col(b).alias(h) for b, h in zip(columns, hcols)])
-        .groupBy(*hcols).agg(F.min(build_id).alias(build_id))
-        .checkpoint(eager=True)
-    )
-    return PreparedBuild(tuples, list(columns), build_id)
+    tuples = build.select(build_id, *[F.col(b).alias(h) for b, h in zip(columns, hcols)]).groupBy(*hcols).agg(
+        F.min(build_id).alias(build_id))
+    return PreparedBuild(written_once(tuples, "match-build"), list(columns), build_id)
+
+
+def _composite(parts: Sequence[Column]) -> Column:
+    return F.concat_ws(_GAP, *parts)
 
 
 def first_match_contains(probe: DataFrame, build: DataFrame | PreparedBuild, pairs: Sequence[tuple[str, str]],
-                         build_id: str,
-                         out: str | None = None, match: str = "contains", how: str = "inner",
-                         q: int = GRAM, s: int = STRIDE, blocking: str = "rarest",
-                         slice_rows: int = SLICE_ROWS) -> DataFrame:
+                         build_id: str, out: str | None = None, match: str = "contains", how: str = "inner",
+                         on_reject: str = "raise") -> DataFrame:
     """For each probe row, the least ``build_id`` whose build columns contain
     the probe's needles, for every (probe_col, build_col) pair.
 
-    ``match='contains'`` is literal substring matching (exact, gram blocked);
-    ``match='regex'`` reads the probe values as patterns searched in the
-    build values, as the reference does (see ``_regex_parts`` for the
-    supported pattern class); ``match='exact'`` is plain equality on every
-    pair.  Rows without a match
+    ``match='contains'`` is literal substring matching; ``match='regex'``
+    reads the probe values as patterns searched in the build values, as the
+    reference does; ``match='exact'`` is plain equality on every pair.
+    Patterns outside the supported class raise, or with ``on_reject='skip'``
+    find nothing (``rejected_patterns`` lists them).  Rows without a match
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
     Work is done once per distinct needle tuple, then joined back.
     ``build`` may be a ``prepare_build`` result shared by several calls.
-    ``blocking='rarest'`` blocks each tuple on its least frequent needle
-    key (see ``_rarest_blocks``); ``'longest'`` on its longest needle.
-
-    With more than ``slice_rows`` distinct build tuples, build rows are
-    taken in ascending id slices of geometrically growing size: a tuple
-    resolved in one slice has its least id there and leaves the remaining
-    slices, so common names stop generating candidates once matched.  Exact:
-    the slices partition the build rows in id order."""
+
+    Needle tuples are keyed by the first ``KEY`` characters of their needles
+    (of the first two pairs), build rows by all combinations of such grams of
+    their two columns, of the few lengths in use: a common surname alone, or
+    a common initial alone, brings nothing together."""
     out = out or build_id
     ncols = [p for p, _ in pairs]
     hcols = [f"_bs_h_{i}" for i in range(len(pairs))]
-    # Every branch below reads the distinct needle tuples and the distinct
-    # build tuples (identical build tuples match identically: keep the least
-    # id).  Both are far smaller than their sources, so they are written
-    # once (reliable checkpoint) instead of re-derived from the sources by
-    # each branch.
-    ensure_checkpoint_dir(probe.sparkSession)
-    tuples = probe.select(*ncols).dropna().distinct().checkpoint(eager=True)
     if isinstance(build, PreparedBuild):
         assert build.columns == [b for _, b in pairs] and build.build_id == build_id, "prepared for other columns"
         bcols = build.tuples
     else:
         bcols = prepare_build(build, [b for _, b in pairs], build_id).tuples
+    tuples = probe.select(*ncols).dropna().distinct()
 
     if match == "exact":
         cond = reduce(lambda a, b: a & b, [F.col(p) == F.col(h) for (p, _), h in zip(pairs, hcols)])
         best = tuples.join(bcols, cond).groupBy(*ncols).agg(F.min(build_id).alias(out))
-    elif match in ("contains", "regex"):
-        if match == "regex":
-            # block on each pattern's longest literal run; verify with the pattern
-            parts = [_regex_parts(n) for n, _ in pairs]
-            supported = reduce(lambda a, b: a & b, [ok for ok, _, _ in parts])
-            tuples = tuples.withColumns({
-                **{f"_bs_lit_{i}": lit for i, (_, lit, _) in enumerate(parts)},
-                **{f"_bs_re_{i}": jre for i, (_, _, jre) in enumerate(parts)},
-                **{f"_bs_lit_src_{i}": F.col(n) for i, (n, _) in enumerate(pairs)},
-            }).filter(supported)
-            block = [(f"_bs_lit_{i}", b) for i, (_, b) in enumerate(pairs)]
-            verify = reduce(lambda a, b: a & b, [F.regexp_like(F.col(h), F.col(f"_bs_re_{i}"))
-                                                 for i, h in enumerate(hcols)])
-        else:
-            block = list(pairs)
-            verify = _all_contained([(n, h) for (n, _), h in zip(pairs, hcols)])
-        lens = [F.char_length(F.col(n)) for n, _ in block]
-        longest = F.greatest(*lens) if len(lens) > 1 else lens[0]
-        # one job sizes everything: per-pair needle statistics (upper bounds
-        # for any block) and the count of all-empty tuples
-        stats, n_empty = _pair_stats(tuples, block, q, s)
-        if blocking == "rarest" and len(pairs) > 1:
-            keyed = _rarest_blocks(tuples, block, hcols, bcols, q, stats)
-        elif blocking in ("rarest", "longest"):
-            # block on the longest needle (first such pair on ties)
-            chosen = F.lit(-1)
-            for i in reversed(range(len(block))):
-                chosen = F.when(lens[i] == longest, F.lit(i)).otherwise(chosen)
-            keyed = tuples.withColumn("_bs_blk", F.when(longest > 0, chosen).otherwise(F.lit(-1)))
-        else:
-            raise ValueError(f"unknown blocking {blocking!r}")
-        def solve(part: DataFrame, builds: DataFrame) -> DataFrame | None:
-            """Least verified build id per tuple of ``part`` among ``builds``."""
-            groups = []
-            for i, (needle, _) in enumerate(block):
-                if not (stats[i].n_long or stats[i].n_short):
-                    continue
-                sel = part.filter(F.col("_bs_blk") == i).drop("_bs_blk")
-                c = contains_candidates(sel, ncols, needle, builds, [build_id], hcols[i], q, s, stats=stats[i])
-                if c is not None:
-                    groups.append(c)
-            if not groups:
-                return None
-            cand = reduce(DataFrame.unionByName, groups).distinct()
-            verified = cand.join(part.drop("_bs_blk"), ncols).join(builds, build_id).filter(verify)
-            return verified.groupBy(*ncols).agg(F.min(build_id).alias(out))
-
-        bounds = _slice_bounds(bcols, build_id, slice_rows)
-        if not bounds:
-            best = solve(keyed, bcols)
-        else:
-            found, remaining, lo = [], keyed, None
-            for hi in [*bounds, None]:
-                in_slice = F.lit(True)
-                if lo is not None:
-                    in_slice = in_slice & (F.col(build_id) >= F.lit(lo))
-                if hi is not None:
-                    in_slice = in_slice & (F.col(build_id) < F.lit(hi))
-                got = solve(remaining, bcols.filter(in_slice))
-                lo = hi
-                if got is None:
-                    continue
-                got = got.checkpoint(eager=True)
-                found.append(got)
-                remaining = remaining.join(got.select(*ncols), ncols, "left_anti").checkpoint(eager=True)
-                if remaining.isEmpty():
-                    break
-            best = reduce(DataFrame.unionByName, found) if found else None
-        if n_empty and match == "regex":
-            # patterns made of wildcards only: matched by segment lengths
-            no_literal = reduce(lambda a, b: a & b, [F.col(f"_bs_lit_{i}") == "" for i in range(len(pairs))])
-            wild_best = _wildcard_only_best(tuples.filter(no_literal), ncols, bcols, build_id, hcols, out)
-            best = wild_best if best is None else best.unionByName(wild_best)
-        if n_empty and match == "contains":
-            # all needles empty: every build row with non-null columns matches
-            all_empty = keyed.filter(F.col("_bs_blk") == -1).drop("_bs_blk")
-            nonnull = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
-            least = bcols.filter(nonnull).agg(F.min(build_id)).scalar()
-            empty_best = all_empty.withColumn(out, least).filter(F.col(out).isNotNull())
-            best = empty_best if best is None else best.unionByName(empty_best)
-        if best is None:  # nothing can match: typed empty result
-            best = tuples.select(*ncols).withColumn(out, F.lit(None).cast("bigint")).filter(F.lit(False))
-    else:
+        return probe.join(best, ncols, how)
+    if match not in ("contains", "regex"):
         raise ValueError(f"unknown match mode {match!r}")
 
+    literals = [f"_bs_lit_{i}" for i in range(len(pairs))]
+    if match == "regex":
+        read = [_pattern(n) for n in ncols]
+        regexes = [f"_bs_re_{i}" for i in range(len(pairs))]
+        supported = reduce(lambda a, b: a & b, [r.ok for r in read]) & ~_without_literal(ncols)
+        tuples = written_once(tuples.withColumns({
+            **{x: r.literal for x, r in zip(literals, read)}, **{x: r.java for x, r in zip(regexes, read)},
+            "_bs_ok": supported}), "match-needles")
+        if on_reject == "raise" and (bad := tuples.filter(~F.col("_bs_ok")).select(*ncols).take(3)):
+            n = tuples.filter(~F.col("_bs_ok")).count()
+            raise ValueError(f"{n} pattern tuples can't be searched for, such as {[tuple(b) for b in bad]}")
+        tuples = tuples.filter("_bs_ok")
+        verify = reduce(lambda a, b: a & b, [F.regexp_like(F.col(h), F.col(x)) for h, x in zip(hcols, regexes)])
+    else:
+        tuples = written_once(tuples.withColumns({x: F.col(n) for x, n in zip(literals, ncols)}), "match-needles")
+        verify = reduce(lambda a, b: a & b, [F.col(h).contains(F.col(n)) for h, n in zip(hcols, ncols)])
+
+    keyed_by = range(min(2, len(pairs)))
+    most = KEY if len(pairs) > 1 else GRAM
+    sizes = [F.least(F.char_length(literals[i]), F.lit(most)) for i in range(len(pairs))]
+    some = reduce(lambda a, b: a | b, [F.char_length(x) > 0 for x in literals])
+    searched = tuples.filter(some).withColumns({
+        "_bs_key": _composite([F.substr(F.col(literals[i]), F.lit(1), sizes[i]) for i in keyed_by]),
+        "_bs_k": F.array(*[sizes[i] for i in keyed_by]),
+    })
+    in_use = sorted(tuple(r[0]) for r in searched.select("_bs_k").distinct().collect())   # (KEY + 1)^2 at most
+
+    def grams(i: int, k: int) -> Column:
+        return F.array(F.lit("")) if k == 0 else _gram_array(F.col(hcols[i]), k)
+
+    def combined(ks: tuple[int, ...]) -> Column:
+        if len(ks) == 1:
+            return grams(0, ks[0])
+        one, two = grams(0, ks[0]), grams(1, ks[1])
+        return F.flatten(F.transform(one, lambda a: F.transform(two, lambda b: _composite([a, b]))))
+
+    best = tuples.select(*ncols).withColumn(out, F.lit(None).cast(bcols.schema[build_id].dataType)).filter(F.lit(False))
+    if in_use:
+        complete = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
+        keyed = bcols.filter(complete).withColumn("_bs_key", F.explode(F.concat(*[combined(ks) for ks in in_use])))
+        best = searched.join(keyed, "_bs_key").filter(verify).groupBy(*ncols).agg(F.min(build_id).alias(out))
+    # tuples without any literal: all needles empty, or patterns of dots alone
+    bare = tuples.filter(~some).select(*ncols)
+    if match == "regex":
+        best = best.unionByName(_wildcard_only_best(bare, ncols, bcols, build_id, hcols, out))
+    else:
+        complete = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
+        least = bcols.filter(complete).agg(F.min(build_id)).first()[0]
+        if least is not None:
+            best = best.unionByName(bare.withColumn(out, F.lit(least)))
     # null-safe is unnecessary: null needles never match
     return probe.join(best, ncols, how)

@@ -3,30 +3,36 @@
 ``Window.orderBy(...)`` without ``partitionBy`` plans ``Exchange
 SinglePartition``: fine for a dimension of a few rows, fatal for an
 author table of billions.  The helpers below compute the same exact numbers
-distributed:
-
-1. range-partition on the order (Spark samples the bounds) and sort each
-   partition;
-2. tag every row with its partition and its position inside it, and cut the
-   lineage with a reliable checkpoint so both uses below see the *same*
-   partition assignment (range bounds are sampled per execution);
+distributed, by one path at every size:
+
+1. range-partition on the order (Spark samples the bounds) into as many
+   partitions as the size of the plan's inputs asks for, and sort each;
+2. number the rows (or sum their weights) inside each partition as they
+   stream by, and cut the lineage with one reliable checkpoint, so both uses
+   below see the *same* partition assignment (bounds are sampled per
+   execution);
 3. per-partition totals are tiny (one row per partition): their exclusive
    running sum is each partition's offset, joined back by broadcast.
 
-Ranks with ties and quantiles first collapse equal values with a
-``groupBy(value).count()`` (map-side partial aggregation), so one value
-holding a third of all rows costs one row, not a third of the data in a task.
+No row is shuffled again after step 1.  Ranks with ties and quantiles first
+collapse equal values with a ``groupBy(value).count()`` (map-side partial
+aggregation), so one value holding a third of all rows costs one row, not a
+third of the data in a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from bibliospark.operators.joins import null_safe_join
-from bibliospark.session import ensure_checkpoint_dir
+from bibliospark.session import ensure_checkpoint_dir, written_once
 
 _PID = "_bs_pid"
 _MID = "_bs_mid"
@@ -36,19 +42,25 @@ _W = "_bs_w"
 
 OrderSpec = str | tuple[str, str] | Column
 
-# Inputs proven (by a short-circuiting count) to have at most this many rows
-# take the plain single-partition window: one task over a bounded input is
-# cheaper than range sampling + checkpoint.  Larger inputs go distributed.
-LOCAL_ROWS = 100_000
-
-
-LOCAL_ROWS_CONF = "spark.bibliospark.localRows"
+# Bytes of input files per range partition.
+PARTITION_BYTES = 64 << 20
+_UNKNOWN_BYTES = 1 << 50   # Spark's stand-in for an unknown size is larger
 
 
-def _small(df: DataFrame, limit: int | None) -> bool:
-    if limit is None:
-        limit = int(df.sparkSession.conf.get(LOCAL_ROWS_CONF, str(LOCAL_ROWS)))
-    return limit > 0 and df.limit(limit + 1).count() <= limit
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: its input files' size over
+    ``PARTITION_BYTES``, at least one per core; where an input's size is not
+    known to the planner, at least ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    least, size = max(2, spark.sparkContext.defaultParallelism), 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        n = int(leaves.apply(i).stats().sizeInBytes())
+        if n < _UNKNOWN_BYTES:
+            size += n
+        else:
+            least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-size // PARTITION_BYTES))
 
 
 def sort_col(spec: OrderSpec) -> Column:
@@ -82,21 +94,15 @@ def _offsets(df: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[OrderSpec], name: str = "row_number",
-                      start: int = 1, local_rows: int | None = None) -> DataFrame:
+                      start: int = 1) -> DataFrame:
     """Exact ``row_number() over (order by ...)`` for a *total* order.
 
     The caller must make the order total (append a unique key), as for any
-    reproducible row numbering.  ``local_rows=0`` forces the distributed path."""
+    reproducible row numbering."""
     cols = [sort_col(s) for s in order]
-    if _small(df, local_rows):
-        rn = F.row_number().over(Window.orderBy(*cols)) + F.lit(start - 1)
-        return df.withColumn(name, rn.cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
-    # range partitioning runs its input twice (bound sampling, then the
-    # shuffle): write the input once so both read it instead of recomputing it
-    df = df.checkpoint(eager=True)
     tagged = (
-        df.repartitionByRange(*cols)
+        df.repartitionByRange(range_partitions(df), *cols)
         .sortWithinPartitions(*cols)
         # upper 31 bits: partition index, lower 33: position within it
         .withColumn(_MID, F.monotonically_increasing_id())
@@ -113,94 +119,100 @@ def global_row_number(df: DataFrame, order: Sequence[OrderSpec], name: str = "ro
     )
 
 
+def _running_sums(batches):
+    """Appends the partition's id and the running sum of the last column
+    before each row; streams, whatever the partition's size."""
+    pid, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        w = batch.column(batch.num_columns - 1).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto = before + np.cumsum(w)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(len(w), pid, np.int32)), pa.array(upto - w)],
+            names=[*batch.schema.names, _PID, _LOCAL],
+        )
+        before = int(upto[-1]) if len(w) else before
+
+
 def global_prefix_sum(df: DataFrame, order: Sequence[OrderSpec], weight, name: str = "prefix",
-                      inclusive: bool = False, local_rows: int | None = None) -> DataFrame:
+                      inclusive: bool = False) -> DataFrame:
     """Exact running sum of ``weight`` over a total order (exclusive by default).
 
-    Meant for narrow tables (value, count); the local running sum is a
-    JVM window over the checkpointed range partitions."""
+    Meant for narrow tables (value, count): they pass through Arrow once."""
     cols = [sort_col(s) for s in order]
     w = weight if isinstance(weight, Column) else F.col(weight)
-    frame = (0 if inclusive else -1)
-    if _small(df, local_rows):
-        run = F.sum(w.cast("bigint")).over(Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, frame))
-        return df.withColumn(name, F.coalesce(run, F.lit(0)).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)   # read by bound sampling and by the shuffle
-    tagged = (
+    ordered = (
         df.withColumn(_W, w.cast("bigint"))
-        .repartitionByRange(*cols)
-        .withColumn(_PID, F.spark_partition_id())
-        .checkpoint(eager=True)
+        .repartitionByRange(range_partitions(df), *cols)
+        .sortWithinPartitions(*cols)
     )
-    win = Window.partitionBy(_PID).orderBy(*cols).rowsBetween(Window.unboundedPreceding, frame)
+    schema = StructType([*ordered.schema.fields, StructField(_PID, IntegerType()), StructField(_LOCAL, LongType())])
+    tagged = ordered.mapInArrow(_running_sums, schema).checkpoint(eager=True)
     totals = tagged.groupBy(_PID).agg(F.sum(_W).alias("_t"))
+    own = F.coalesce(F.col(_W), F.lit(0)) if inclusive else F.lit(0)
     return (
-        tagged.withColumn(_LOCAL, F.coalesce(F.sum(_W).over(win), F.lit(0)))
-        .join(_offsets(df, totals), _PID)
-        .withColumn(name, (F.col(_OFF) + F.col(_LOCAL)).cast("bigint"))
+        tagged.join(_offsets(df, totals), _PID)
+        .withColumn(name, (F.col(_OFF) + F.col(_LOCAL) + own).cast("bigint"))
         .drop(_PID, _LOCAL, _OFF, _W)
     )
 
 
-def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank",
-                dense: bool = False, local_rows: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[OrderSpec], name: str = "rank", dense: bool = False) -> DataFrame:
     """Exact ``rank()`` (or ``dense_rank()``) over an unpartitioned order.
 
     Equal values are collapsed first (partial aggregation), ranked as a
     prefix sum of their multiplicities, and joined back null-safely."""
     keys = [spec_name(s) for s in order]
-    # the input (often a join + aggregation) is read three times below:
-    # write it once instead of recomputing it for each use
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    # the input (often a join + aggregation) is read by the collapse and by the join back
+    df = written_once(df, "rank-input")
     values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bs_n"))
     if dense:
-        ranked = global_row_number(values, order, name, local_rows=local_rows)
+        ranked = global_row_number(values, order, name)
     else:
-        ranked = global_prefix_sum(values, order, "_bs_n", "_bs_before", local_rows=local_rows).withColumn(
-            name, F.col("_bs_before") + 1
-        )
+        ranked = global_prefix_sum(values, order, "_bs_n", "_bs_before").withColumn(name, F.col("_bs_before") + 1)
     return null_safe_join(df, ranked.select(*keys, name), keys)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], local_rows: int | None = None) -> list[float | None]:
-    """Exact continuous quantiles (linear interpolation, = ``quantile_cont``
-    / pandas ``describe``) of a numeric column, nulls ignored.
-
-    Only the values at 2 x len(probs) positions reach the driver."""
-    values = df.select(F.col(col).cast("double").alias("v")).dropna().groupBy("v").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    pref = global_prefix_sum(values, [("v", "asc")], "n", "before", local_rows=local_rows)
-    total = pref.agg(F.sum("n")).first()[0]
-    if not total:
-        return [None for _ in probs]
-    wanted = set()
-    for p in probs:
-        h = p * (total - 1)
-        wanted.update({int(h), min(int(h) + 1, total - 1)})
-    hit = None
-    for pos in sorted(wanted):
-        c = (F.col("before") <= pos) & (F.col("before") + F.col("n") > pos)
-        hit = c if hit is None else hit | c
-    found = sorted((r["before"], r["n"], r["v"]) for r in pref.filter(hit).collect())
-
-    def at(pos: int) -> float:
-        for before, n, v in found:
-            if before <= pos < before + n:
-                return v
-        raise AssertionError(pos)
-
-    out = []
-    for p in probs:
-        h = p * (total - 1)
-        lo = int(h)
-        hi = min(lo + 1, total - 1)
-        out.append(at(lo) + (h - lo) * (at(hi) - at(lo)))
+def quantiles_by_group(counts: DataFrame, probs: Sequence[float]) -> dict:
+    """Per ``g`` of ``counts`` (g, v, n): its exact continuous quantiles.
+
+    ``counts`` has one row per group and distinct value.  Only the values at
+    2 x len(probs) positions of each group reach the driver."""
+    pref = written_once(global_prefix_sum(counts, ["g", "v"], "n", "before"), "quantile-positions")
+    groups = {r.g: (r.start, r.total) for r in
+              pref.groupBy("g").agg(F.min("before").alias("start"), F.sum("n").alias("total")).collect()}
+    wanted = {}
+    for g, (_, total) in groups.items():
+        places = {int(p * (total - 1)) for p in probs}
+        wanted[g] = sorted(places | {min(x + 1, total - 1) for x in places})
+    hit = F.lit(False)
+    for g, places in wanted.items():
+        for x in places:
+            at = groups[g][0] + x
+            hit = hit | ((F.col("g") == F.lit(g)) & (F.col("before") <= at) & (F.col("before") + F.col("n") > at))
+    found = {}
+    for r in pref.filter(hit).collect():
+        for x in wanted[r.g]:
+            if r.before <= groups[r.g][0] + x < r.before + r.n:
+                found[r.g, x] = r.v
+    out = {}
+    for g, (_, total) in groups.items():
+        out[g] = []
+        for p in probs:
+            h = p * (total - 1)
+            low, high = found[g, int(h)], found[g, min(int(h) + 1, total - 1)]
+            out[g].append(low + (h - int(h)) * (high - low))
     return out
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    """Exact continuous quantiles (linear interpolation, = ``quantile_cont``
+    / pandas ``describe``) of a numeric column, nulls ignored."""
+    values = df.select(F.lit("x").alias("g"), F.col(col).cast("double").alias("v")).dropna()
+    counts = values.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_by_group(counts, probs).get("x", [None for _ in probs])
+
+
 def top_k(df: DataFrame, order: Sequence[OrderSpec], n: int) -> DataFrame:
     """``ORDER BY ... LIMIT n`` -- planned as TakeOrderedAndProject (bounded heap
     per partition).  Add a unique key to ``order`` for reproducible ties."""
@@ -208,9 +220,9 @@ def top_k(df: DataFrame, order: Sequence[OrderSpec], n: int) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """Repeatable random sample of exactly ``min(n, count)`` rows: order by a
-    seeded hash of the key, take ``n`` (distributed top-k)."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    """Repeatable random sample of exactly ``min(n, count)`` rows: order by the
+    MD5 of seed and key, take ``n`` (distributed top-k)."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
     return (
         df.withColumn("_bs_h", h)
         .orderBy(F.col("_bs_h"), *[F.col(k) for k in key])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package assumes.  Time zone: the reference stores
 # naive timestamps, so all parsing / formatting happens in UTC.
@@ -56,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     )
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="bibliospark-ckpt-"))
     else:
         raise RuntimeError(
@@ -64,3 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
             "shared checkpoint folder on the cluster"
         )
     return sc.getCheckpointDir()
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared checkpoint folder and read back.
+
+    Like ``checkpoint()`` it cuts the lineage to files every executor can
+    read; unlike it, later plans prune columns and know the true size."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from bibliospark.sources.tables import (
     append_conformed,
     conform,
     load_staging,
+    misfits,
     read_table,
     save_table,
     staging_ddl,
@@ -20,6 +21,7 @@ __all__ = [
     "append_conformed",
     "conform",
     "load_staging",
+    "misfits",
     "read_csv_table",
     "read_indexed_json",
     "read_jsonl",

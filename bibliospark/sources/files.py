@@ -15,7 +15,6 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
-    "multiLine": "true",
 }
 
 
@@ -46,9 +45,12 @@ def write_documents(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
     df.write.mode(mode).format(fmt).save(path)
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with header and an explicit schema; blanks are preserved."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+def read_csv_table(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with header and an explicit schema; blanks are preserved.
+
+    ``multi_line`` reads fields with line breaks, for which each file becomes
+    one task; without it files are split."""
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
 
 
 def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

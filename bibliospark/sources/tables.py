@@ -14,10 +14,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_staging(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+def load_staging(spark: SparkSession, name: str, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """``COPY name FROM path CSV HEADER``: read with the declared schema and
     register as a view (drop-and-replace, so reruns are idempotent)."""
-    df = read_csv_table(spark, path, schema)
+    df = read_csv_table(spark, path, schema, multi_line)
     df.createOrReplaceTempView(name)
     return df
 
@@ -45,9 +45,23 @@ def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "pa
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared types for a result (the "best dtype" step): select the
-    schema's columns by name, cast to its types (ANSI-safe ``try_cast``:
-    a value that does not fit becomes null, it does not fail the job)."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    schema's columns by name and cast to its types.  A value that does not
+    fit fails the job; ``misfits`` lists such rows beforehand."""
+    def cast(f):
+        c = F.col(f.name)
+        fits = c.isNull() | c.try_cast(f.dataType).isNotNull()
+        text = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), c.cast("string"))
+        return F.when(fits, c.try_cast(f.dataType)).otherwise(F.raise_error(text).cast(f.dataType)).alias(f.name)
+
+    return df.select(*[cast(f) for f in schema.fields])
+
+
+def misfits(df: DataFrame, schema: StructType) -> DataFrame:
+    """The rows of ``df`` with a value that ``conform`` could not cast, and
+    the names of those columns in ``misfit_columns``."""
+    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+           for f in schema.fields]
+    return df.withColumn("misfit_columns", F.array_compact(F.array(*bad))).filter(F.size("misfit_columns") > 0)
 
 
 def append_conformed(df: DataFrame, name: str, schema: StructType) -> None:

@@ -2,7 +2,10 @@
 
 import random
 
-from bibliospark.operators import contains_pairs, first_match_contains, min_contained
+import pytest
+
+from bibliospark.operators import contains_pairs, first_match_contains, match, min_contained, rejected_patterns
+from bibliospark.session import written_once
 
 ALPHABET = "ab cé\U0001F600"   # includes a 2-byte and a 4-byte character
 
@@ -84,40 +87,11 @@ _chars = st.sampled_from(list("aab \n") + ["é", "\U0001F600", " "])
 def test_contains_pairs_property(spark, hays, needles):
     hd = spark.createDataFrame(list(enumerate(hays)), "hid long, h string")
     nd = spark.createDataFrame(list(enumerate(needles)), "nid long, n string")
-    got = sorted(tuple(r) for r in contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h", q=4, s=3).collect())
+    got = sorted(tuple(r) for r in contains_pairs(nd, ["nid"], "n", hd, ["hid"], "h").collect())
     want = sorted((j, i) for j, n in enumerate(needles) for i, h in enumerate(hays) if n and n in h)
     assert got == want
 
 
-def test_rarest_blocking_picks_rare_needle(spark):
-    from bibliospark.operators.match import _pair_stats, _rarest_blocks
-    build = [(i, "Li" + "abcdefgh"[i % 8], f"given{i}") for i in range(40)] + [(99, "Zed", "Li")]
-    bd = spark.createDataFrame(build, "author_id long, _bs_h_0 string, _bs_h_1 string")
-    tuples = spark.createDataFrame([("Li", "given7"), ("Li", ""), ("", ""), ("Qq", "Li")], "s string, n string")
-    pairs = [("s", "x"), ("n", "y")]
-    stats, n_empty = _pair_stats(tuples, pairs, 8, 8)
-    assert n_empty == 1
-    got = {(r.s, r.n): r._bs_blk for r in _rarest_blocks(tuples, pairs, ["_bs_h_0", "_bs_h_1"], bd, 8,
-                                                           stats).collect()}
-    assert got == {("Li", "given7"): 1, ("Li", ""): 0, ("", ""): -1, ("Qq", "Li"): 0}
-
-
-def test_blocking_modes_agree(spark):
-    rng = random.Random(9)
-    sur = ["Li", "Liu", "Lin", "Wang", "Wong", ""]
-    giv = ["Wei", "Wei Jun", "W.", "Jun", ""]
-    build = [(i, rng.choice(sur), rng.choice(giv)) for i in range(60)]
-    probe = [(k, rng.choice(sur), rng.choice(giv)) for k in range(60)]
-    pd_ = spark.createDataFrame(probe, "k long, Surname string, Names string")
-    bd = spark.createDataFrame(build, "author_id long, Surname string, Names string")
-    res = [sorted(tuple(r) for r in first_match_contains(pd_, bd, [("Names", "Names"), ("Surname", "Surname")],
-                                                       "author_id", blocking=b).select("k", "author_id").collect())
-           for b in ("rarest", "longest")]
-    want = sorted((k, min(i for i, bs, bg in build if s in bs and g in bg)) for k, s, g in probe
-                  if any(s in bs and g in bg for _, bs, bg in build))
-    assert res[0] == res[1] == want
-
-
 import re
 
 _UNITS = ["a", "b", "é", " ", ".", "\\.", "{", "}", "\\'", "\U0001F600"]
@@ -151,13 +125,11 @@ def test_regex_match_property(spark, pats, hays):
 def test_regex_match_cases(spark):
     build = spark.createDataFrame([(1, "Jo ", "Smith"), (2, "J. ", "Smith"), (3, 'M{"u}ller', "X"), (4, "Anna", "O'Neil")],
                                   "author_id long, bn string, bs string")
-    probe = spark.createDataFrame([(0, "J. ", "Smith"), (1, 'M{\\"u}ller', "X"), (2, "A+", "O'Neil"),
-                                   (3, "\\c", "X"), (4, "J\\. ", "Smith"), (5, ".", "Neil")],
+    probe = spark.createDataFrame([(0, "J. ", "Smith"), (1, 'M{\\"u}ller', "X"), (4, "J\\. ", "Smith"), (5, ".", "Neil")],
                                   "k long, n string, s string")
     got = {r.k: r.author_id for r in first_match_contains(probe, build, [("n", "bn"), ("s", "bs")], "author_id",
                                                           match="regex").collect()}
-    # "J. " is a wildcard pattern (matches "Jo "); escapes and braces are literal;
-    # quantifiers and letter escapes are unsupported (no match)
+    # "J. " is a wildcard pattern (matches "Jo "); escapes and braces are literal
     assert got == {0: 1, 1: 3, 4: 2, 5: 4}
     wild = spark.createDataFrame([(0, "....", "."), (1, ".", ""), (2, ".....", ".")], "k long, n string, s string")
     got = {r.k: r.author_id for r in first_match_contains(wild, build, [("n", "bn"), ("s", "bs")], "author_id",
@@ -165,18 +137,72 @@ def test_regex_match_cases(spark):
     assert got == {0: 3, 1: 1, 2: 3}   # 4+ chars: 'M{"u}ller' (id 3) is the first
 
 
-def test_sliced_build_equals_single_pass(spark):
+PATTERNS = ["A (X)", "A+", "An+a", "(An|Be)+na", "[AB]n*a", "A.{2,3}a", "x{0}Anna", "^Ann", "Be?n(na)?", "A[^b]n", "O'N?e", "a{1}",
+            "(A(n|m)){1,2}", "M{u}", "B\\(b\\)", "An{2}a b", "-", "A{x"]
+NAMES = ["A X", "A (X)", "Anna", "Ana", "AnnAnna", "Benna", "B(b)", "A xya", "O'Neil", "Bnna", "M{u}", "Anna b", "-", "A{x", "", "AmAn"]
+
+
+def test_regex_groups_classes_and_quantifiers(spark):
+    build = spark.createDataFrame([(i, n, "S" + n) for i, n in enumerate(NAMES)], "author_id long, bn string, bs string")
+    probe = spark.createDataFrame([(k, p, "S") for k, p in enumerate(PATTERNS)], "k long, n string, s string")
+    got = {r.k: r.author_id for r in first_match_contains(probe, build, [("n", "bn"), ("s", "bs")], "author_id",
+                                                          match="regex").collect()}
+    want = {k: m[0] for k, p in enumerate(PATTERNS) if (m := [i for i, n in enumerate(NAMES) if re.search(p, n)])}
+    assert got == want
+
+
+BAD = ["\\c{c}", "\\d", "a$", "a|b", "(a", "a)", "(?i)a", "*a", "a**", "[a", "[[a]", "a\\", "x^", "a{,3}", "[a&&b]", "()|", "a+*"]
+
+
+def test_rejected_patterns_are_told(spark):
+    build = spark.createDataFrame([(1, "a", "S")], "author_id long, bn string, bs string")
+    probe = spark.createDataFrame([(k, p, "S") for k, p in enumerate([*BAD, "a"])], "k long, n string, s string")
+    pairs = [("n", "bn"), ("s", "bs")]
+    assert {r.n for r in rejected_patterns(probe, ["n", "s"]).collect()} == set(BAD)
+    with pytest.raises(ValueError, match=f"{len(BAD)} pattern tuples"):
+        first_match_contains(probe, build, pairs, "author_id", match="regex")
+    got = first_match_contains(probe, build, pairs, "author_id", match="regex", on_reject="skip")
+    assert [(r.k, r.author_id) for r in got.collect()] == [(len(BAD), 1)]
+    bare = spark.createDataFrame([("[a-z]+", "x*"), ("..", "."), ("a", "x*")], "n string, s string")
+    assert [tuple(r) for r in rejected_patterns(bare, ["n", "s"]).collect()] == [("[a-z]+", "x*")]
+
+
+def test_shared_opening_makes_no_candidates(spark, monkeypatch):
+    """A phrase that opens all needles and all texts must not pair them."""
+    opening = "permission is hereby granted to any person obtaining a copy "
+    hays = [(i, f"{opening}text number {i * 7919 % 10007} of the collection") for i in range(400)]
+    needles = [(1000 + j, f"{opening}needle {j} that no text has") for j in range(50)]
+    needles += [(2000 + j, hays[j * 5][1]) for j in range(20)]
+    counts = {}
+
+    def counted(df, name):
+        out = written_once(df, name)
+        if name == "contains-candidates":
+            counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(match, "written_once", counted)
+    got = contains_pairs(spark.createDataFrame(needles, "nid long, n string"), ["nid"], "n",
+                         spark.createDataFrame(hays, "hid long, h string"), ["hid"], "h")
+    assert sorted(tuple(r) for r in got.collect()) == [(2000 + j, j * 5) for j in range(20)]
+    assert counts["contains-candidates"] <= 2 * len(hays)
+
+
+def test_name_key_lengths(spark):
+    """Needles of every length from empty to longer than a key, in both columns."""
     rng = random.Random(21)
-    sur = ["Li", "Liu", "Lin", "Wang", "Wong", "Smith"]
-    giv = ["Wei", "Wei Jun", "W.", "Jun", "Anna", ""]
-    build = [(i * 7, rng.choice(sur), rng.choice(giv)) for i in range(300)]
-    probe = [(k, rng.choice(sur), rng.choice(giv)) for k in range(80)]
+    sur = ["", "L", "Li", "Lin", "Lind", "Lindberg", "berg", "Wei"]
+    giv = ["", "J", "J.", "Jun", "June", "Jun Wei", "n W"]
+    build = [(i * 7, rng.choice(sur), rng.choice(giv)) for i in range(200)] + [(5, None, "Jun"), (6, "Lin", None)]
+    probe = [(k, s, g) for k, (s, g) in enumerate((s, g) for s in sur for g in giv)]
     pd_ = spark.createDataFrame(probe, "k long, Surname string, Names string")
     bd = spark.createDataFrame(build, "author_id long, Surname string, Names string")
-    pairs = [("Names", "Names"), ("Surname", "Surname")]
-    for match in ("contains", "regex"):
-        one = sorted(tuple(r) for r in first_match_contains(pd_, bd, pairs, "author_id", match=match,
-                                                            slice_rows=10**9).select("k", "author_id").collect())
-        sliced = sorted(tuple(r) for r in first_match_contains(pd_, bd, pairs, "author_id", match=match,
-                                                               slice_rows=3).select("k", "author_id").collect())
-        assert one == sliced and len(one) > 0
+    for mode, options in (("contains", {}), ("regex", {})):
+        out = first_match_contains(pd_, bd, [("Names", "Names"), ("Surname", "Surname")], "author_id", match=mode, **options)
+        hit = (lambda n, h: n in h) if mode == "contains" else (lambda n, h: re.search(n, h) is not None)
+        want = {}
+        for k, s, g in probe:
+            m = [i for i, bs, bg in build if bs is not None and bg is not None and hit(s, bs) and hit(g, bg)]
+            if m:
+                want[k] = min(m)
+        assert {r["k"]: r["author_id"] for r in out.collect()} == want

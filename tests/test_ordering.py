@@ -21,43 +21,34 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-import pytest
-
-PATHS = [0, None]   # 0 forces the distributed path, None lets small inputs use the plain window
-
-
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_row_number(spark, local_rows):
+def test_row_number(spark):
     df = _df(spark)
-    a = global_row_number(df, [("v", "desc_nulls_first"), "k"], "rn", local_rows=local_rows)
+    a = global_row_number(df, [("v", "desc_nulls_first"), "k"], "rn")
     b = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("v").desc_nulls_first(), "k")).cast("bigint"))
     assert _same(a, b)
 
 
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_rank_and_dense_rank(spark, local_rows):
+def test_rank_and_dense_rank(spark):
     df = _df(spark)
-    a = global_rank(df, [("v", "desc_nulls_first")], "r", local_rows=local_rows)
+    a = global_rank(df, [("v", "desc_nulls_first")], "r")
     b = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_first())).cast("bigint"))
     assert _same(a, b)
-    a = global_rank(df, [("v", "asc_nulls_last")], "r", dense=True, local_rows=local_rows)
+    a = global_rank(df, [("v", "asc_nulls_last")], "r", dense=True)
     b = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").asc_nulls_last())).cast("bigint"))
     assert _same(a, b)
 
 
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_prefix_sum(spark, local_rows):
+def test_prefix_sum(spark):
     df = _df(spark, hot=False)
-    a = global_prefix_sum(df, ["k"], "w", "p", local_rows=local_rows)
+    a = global_prefix_sum(df, ["k"], "w", "p")
     win = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     b = df.withColumn("p", F.coalesce(F.sum("w").over(win), F.lit(0)).cast("bigint"))
     assert _same(a, b)
 
 
-@pytest.mark.parametrize("local_rows", PATHS)
-def test_exact_quantiles(spark, local_rows):
+def test_exact_quantiles(spark):
     df = _df(spark)
-    got = exact_quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1], local_rows=local_rows)
+    got = exact_quantiles(df, "v", [0, 0.25, 0.5, 0.75, 1])
     want = df.select(F.percentile(F.col("v").cast("double"), [0.0, 0.25, 0.5, 0.75, 1.0])).first()[0]
     assert [round(x, 9) for x in got] == [round(x, 9) for x in want]
     assert exact_quantiles(df.filter("v is null"), "v", [0.5]) == [None]
@@ -85,9 +76,9 @@ def test_rank_property(spark, values, desc, nulls_first):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k long, v long")
     how = ("desc" if desc else "asc") + ("_nulls_first" if nulls_first else "_nulls_last")
     col = getattr(F.col("v"), how)()
-    got = {r.k: r.r for r in global_rank(df, [("v", how)], "r", local_rows=0).collect()}
+    got = {r.k: r.r for r in global_rank(df, [("v", how)], "r").collect()}
     want = {r.k: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy(col))).collect()}
     assert got == want
-    got = {r.k: r.rn for r in global_row_number(df, [("v", how), "k"], "rn", local_rows=0).collect()}
+    got = {r.k: r.rn for r in global_row_number(df, [("v", how), "k"], "rn").collect()}
     want = {r.k: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(col, "k"))).collect()}
     assert got == want
