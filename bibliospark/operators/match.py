@@ -131,7 +131,7 @@ def min_contained(hays: DataFrame, hay_id: str, hcol: str, needles: DataFrame, n
 # plain character classes, groups, "^" at the start, the quantifiers * + ?
 # {m} {m,} {m,n} (lazy too) and braces that form none (literal, as in
 # Python).  What a match must contain is blocked on: the longest run of
-# literals outside groups, classes and quantified characters.  Everything
+# literals outside groups, classes and optional characters.  Everything
 # else (letter and digit escapes, "$", top-level or unbalanced alternatives
 # and groups, "(?", nested classes, a quantifier after nothing) is rejected by
 # name: see ``rejected_patterns``.
@@ -151,6 +151,7 @@ def _pattern(col: str) -> _Pattern:
 
     def step(s: Column, u: Column) -> Column:
         counted = u.rlike(r"^(?:[*+?]\??|\{[0-9]+(?:,[0-9]*)?\}\??)$")
+        once = u.rlike(r"^(?:\+|\{0*[1-9])")   # the character itself must occur
         gap = (u == ".") | ((F.char_length(u) > 1) & u.startswith("["))
         escaped = u.rlike(r"(?s)^\\[^A-Za-z0-9]$")
         plain = (F.char_length(u) == 1) & ~u.isin("\\", "[", "]", "(", ")", "|", "$", "^", ".")
@@ -160,7 +161,8 @@ def _pattern(col: str) -> _Pattern:
             (counted & s["can"]) | (~counted & (gap | escaped | plain | first | u.isin("(", ")") | ((u == "|") & (s["depth"] > 0))))
         )
         text = (
-            F.when(counted, F.concat(F.substr(s["text"], F.lit(1), F.greatest(F.char_length(s["text"]) - 1, F.lit(0))), F.lit(_GAP)))
+            F.when(once, F.concat(s["text"], F.lit(_GAP)))
+            .when(counted, F.concat(F.substr(s["text"], F.lit(1), F.greatest(F.char_length(s["text"]) - 1, F.lit(0))), F.lit(_GAP)))
             .when((s["depth"] > 0) | u.isin("(", ")", "^", ".", "|") | gap, F.concat(s["text"], F.lit(_GAP)))
             .otherwise(F.concat(s["text"], F.when(escaped, F.substr(u, F.lit(2), F.lit(1))).otherwise(u)))
         )

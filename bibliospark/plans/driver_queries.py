@@ -52,6 +52,7 @@ from bibliospark.operators import (
     top_nodes,
 )
 from bibliospark.operators.datedim import with_date_attributes
+from bibliospark.plans import pipeline_queries
 from bibliospark.plans.warehouse_queries import lowest_ranked, proportions, rank_by_sum, star_stats, top_groups
 from bibliospark.sources import conform, read_table
 
@@ -327,6 +328,20 @@ def regex_pair_match(spark, sf):
     return m.select("p_name", "author_id")
 
 
+_REGEX_NAMES = ["A (X)", "A+", "r[aei]ng", "(re|gre)en?", "b.{1,3}e", "^s", "l?ow", "w(hi)?te{1}", "[^a-m]ue"]
+
+
+@query("regex_search", f"""
+    WITH q AS (SELECT unnest({_REGEX_NAMES}) AS pattern)
+    SELECT q.pattern, min(p_partkey) AS p_partkey FROM q JOIN part ON regexp_matches(p_name, q.pattern) GROUP BY q.pattern""")
+def regex_search(spark, sf):
+    """J3's regex reading with groups, classes, anchors and quantifiers, searched in every part name."""
+    probe = spark.createDataFrame([(x,) for x in _REGEX_NAMES], "pattern string")
+    found = first_match_contains(probe, _t(spark, sf, "part").select("p_partkey", "p_name"), [("pattern", "p_name")],
+                                 "p_partkey", match="regex")
+    return found.select("pattern", "p_partkey")
+
+
 @query("null_safe_join", """
     WITH e AS (SELECT event_id, nullif(event_type, 'error') AS et, value FROM events),
          m AS (SELECT et, max(value) AS max_value FROM e GROUP BY et)
@@ -340,14 +355,11 @@ def null_safe_join(spark, sf):
 # ----------------------------------------------------------------- audits
 
 @query("fk_orphans", """
-    SELECT count(*) AS orphan_rows, count(DISTINCT l_orderkey) AS orphan_keys FROM lineitem
-    WHERE l_orderkey IS NOT NULL
-      AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey IS NOT NULL)""")
+    SELECT count(*) AS orphan_rows, count(DISTINCT doc_id) AS orphan_keys FROM documents
+    WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)""")
 def fk_orphans(spark, sf):
-    orphans = audit_reference(_t(spark, sf, "lineitem").select("l_orderkey"),
-                              _t(spark, sf, "orders").filter(F.col("o_orderstatus") == "F"),
-                              ["l_orderkey"], ["o_orderkey"])
-    return reference_summary(orphans, ["l_orderkey"])
+    orphans = audit_reference(_t(spark, sf, "documents").select("doc_id"), _t(spark, sf, "labels"), ["doc_id"])
+    return reference_summary(orphans, ["doc_id"])
 
 
 @query("pk_violations", """
@@ -487,7 +499,8 @@ def profile_q(spark, sf):
                                                                      for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
 
 
-@query("sample_n")
+@query("sample_n", """
+    SELECT p_partkey, p_name FROM part ORDER BY md5('42|' || CAST(p_partkey AS VARCHAR)), p_partkey LIMIT 25""")
 def sample_n_q(spark, sf):
     return sample_n(_t(spark, sf, "part").select("p_partkey", "p_name"), 25, 42, ["p_partkey"])
 
@@ -553,4 +566,9 @@ def top_nodes_q(spark, sf):
                      weights, "w", 5)
 
 
+# -------------------------------------------------------------- pipelines
+
+QUERIES.update(pipeline_queries.QUERIES)
+ORACLE.update({name: " ".join(sql.split()) for name, sql in pipeline_queries.ORACLE.items()})
+
 FLAGSHIP = "sq1_top_groups"

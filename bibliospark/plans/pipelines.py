@@ -7,8 +7,9 @@ P3 ``build_warehouse``     P2 tables -> dimensions, fact, bridge, versions
                            + integrity audits
 P4 ``build_graph``         P2 tables -> node and edge tables
 
-Each returns lazy DataFrames (one lineage per pipeline); persist the
-results as Parquet tables with ``sources.save_table`` between runs.
+Building them runs jobs: operators that need a global order or write an
+intermediate once do so eagerly.  Persist the results as Parquet tables with
+``sources.save_table`` between runs, as ``plans.run`` does.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ from bibliospark.operators import (
     nullify,
     one_row_per_key,
     prepare_build,
+    rejected_patterns,
     relations,
 )
 
@@ -101,25 +103,31 @@ def derive_tables(df: DataFrame, authors: DataFrame, gender_lookup: DataFrame, c
     build = _csv_nulls(authors, ["Surname", "Names"]) if csv_parity else authors
 
     firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")
+    # a first name without a lookup row is skipped; one whose gender is null stays
     gender_data = firstnames.distinct().filter(~F.col("firstname").contains(".")).join(
         one_row_per_key(gender_lookup.select("firstname", "gender").dropna(subset=["firstname"]), "firstname"),
-        "firstname", "left")
+        "firstname")
 
     # both matches search the same author columns: prepare them once
     prepared = prepare_build(build, ["Names", "Surname"], "author_id")
     bridge = first_match_contains(flat, prepared, [("Names", "Names"), ("Surname", "Surname")], "author_id",
-                                  match=match).select(F.col("id").alias("publication_id"), "author_id")
+                                  match=match, on_reject="skip").select(F.col("id").alias("publication_id"), "author_id")
 
     sub = df.select("id", first_token("submitter").alias("sub_name"), last_token("submitter").alias("sub_surname"))
     sub = sub.filter(F.col("sub_name") != "").withColumn("sub_initial", first_char("sub_name"))
     sub_author = first_match_contains(sub, prepared, [("sub_initial", "Names"), ("sub_surname", "Surname")],
-                                      "author_id", match=match)
+                                      "author_id", match=match, on_reject="skip")
     author_genders = (
         sub_author.join(gender_data.withColumnRenamed("firstname", "sub_name"), "sub_name")
         .filter(~F.col("gender").eqNullSafe(UNKNOWN_GENDER))
         .select("author_id", "gender")
     )
 
+    rejected = {}
+    if match == "regex":   # names that are no searchable patterns are listed, not dropped in silence
+        rejected["rejected_names"] = rejected_patterns(flat, ["Names", "Surname"])
+        rejected["rejected_submitters"] = rejected_patterns(sub, ["sub_initial", "sub_surname"])
+
     final = df.select("id", "title", "comments", "doi", "reference_count",
                       first_or_null("discipline").alias("discipline"), "publication_type", "journal")
     return {
@@ -129,6 +137,7 @@ def derive_tables(df: DataFrame, authors: DataFrame, gender_lookup: DataFrame, c
         "bridge": bridge,
         "author_genders": author_genders,
         "final": final,
+        **rejected,
     }
 
 
@@ -138,11 +147,13 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
     ``derive_tables``).
 
     * authors: flattened ``authors_parsed``, id = first position;
-    * gender_data: distinct submitter first names without a dot, with the
-      looked-up gender (null when the lookup has none);
+    * gender_data: distinct submitter first names without a dot that the
+      lookup has, with their gender (null where the lookup's is null);
     * versions: one row per version with a parsed timestamp;
     * bridge: each parsed author -> least author id whose Names and Surname
-      contain it (literal substring; ``match='exact'`` for equality);
+      contain it (literal substring; ``match='exact'`` for equality; with
+      ``match='regex'`` names that are no searchable patterns are listed in
+      rejected_names and rejected_submitters);
     * author_genders: submitter -> author (Names contains the first letter
       of the first name, Surname contains the last token) with a gender
       that is not 'unknown'; one row per publication;

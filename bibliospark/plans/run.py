@@ -1,6 +1,6 @@
 """Run the four pipelines in order, each stage writing its tables.
 
-    python -m bibliospark.plans.run --source pubs.json --doi-lookup doi.parquet \\
+    python -m bibliospark.plans.run --source pubs.jsonl --doi-lookup doi.parquet \\
         --gender-lookup genders.csv --out hdfs:///shared/bibliospark [--max-publications 100]
 
 Stage outputs are Parquet folders under ``out`` (plus a JSON
@@ -23,18 +23,19 @@ from pyspark.sql import functions as F
 from bibliospark import schemas
 from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
-from bibliospark.sources import read_csv_table, read_indexed_json, read_jsonl, save_table
+from bibliospark.sources import read_csv_table, read_jsonl, save_table
 
 
 def _read_source(spark: SparkSession, path: str) -> DataFrame:
-    """By extension: index-keyed JSON object (``.json``), JSONL records with
-    a bigint ``id`` (``.jsonl``), otherwise Parquet records with ``id``.
-    Works for local paths and cluster URIs alike."""
+    """By extension: JSONL records with a bigint ``id`` (``.jsonl``), otherwise
+    Parquet records with ``id``.  Works for local paths and cluster URIs
+    alike.  A single index-keyed JSON object (``.json``) can't be split over
+    tasks: convert it once with ``read_indexed_json`` and ``write_documents``."""
     if path.endswith(".jsonl"):
         fields = [f if f.name != "id" else schemas.StructField("id", schemas.LongType()) for f in schemas.PUBLICATION]
         return read_jsonl(spark, path, schemas.StructType(fields))
     if path.endswith(".json"):
-        return read_indexed_json(spark, path, schemas.PUBLICATION)
+        raise ValueError("convert the JSON object to JSONL or Parquet first (read_indexed_json, write_documents)")
     return spark.read.parquet(path)
 
 
@@ -56,13 +57,17 @@ BUCKET_KEYS = {
 
 def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_lookup: str, out: str,
                   max_publications: int | None = None, dim_mode: str = "distinct",
-                  buckets: int | None = None, match: str = "contains", timings: dict | None = None) -> dict:
+                  buckets: int | None = None, match: str = "contains", timings: dict | None = None,
+                  strict: bool = False, csv_parity: bool = False) -> dict:
     """P1 -> P2 -> P3 -> P4 with written stage boundaries; returns audit counts.
 
     With ``buckets``, the warehouse tables are also registered as catalog
     tables bucketed on their join key (``BUCKET_KEYS``), so the fact-bridge
     and author joins of the warehouse questions need no shuffle.  ``timings``,
-    when given, receives the wall-clock seconds of each stage."""
+    when given, receives the wall-clock seconds of each stage.  ``strict``
+    fails the run on a violated primary key, or gender or bridge foreign key,
+    before the graph is built; ``csv_parity`` leaves empty names out of the
+    matches as a CSV round trip does."""
     clock = [time.perf_counter()]
 
     def lap(stage: str) -> None:
@@ -95,7 +100,7 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
     save_table(author_ids(pubs), "authors", path=path("p2/authors"))
     lap("p2_authors")
     p2 = pipelines.derive_tables(pubs, read("p2", "authors"),
-                                 _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP), match=match)
+                                 _read_lookup(spark, gender_lookup, schemas.GENDER_LOOKUP), csv_parity, match)
     write(p2, "p2")
     lap("p2_tables")
     tables = {name: read("p2", name) for name in ["publications", "authors", *p2]}
@@ -116,6 +121,8 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
     for name, n in audits.items():
         if n:
             save_table(checks[name], name, path=path(f"audits/{name}"))
+    if strict:
+        pipelines.audit_warehouse(written, strict=True)
     lap("p3")
     write(pipelines.build_graph(tables), "graph")
     lap("p4")
@@ -137,11 +144,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, help="register bucketed warehouse tables in the catalog")
     ap.add_argument("--match", default="contains", choices=["contains", "regex", "exact"],
                     help="how parsed author names are matched to the author table")
+    ap.add_argument("--strict", action="store_true", help="fail on violated primary, gender and bridge keys")
+    ap.add_argument("--csv-parity", action="store_true", help="empty and NA-word names never match")
     a = ap.parse_args(argv)
     from bibliospark.session import get_session
     spark = get_session()
     print(json.dumps(run_pipelines(spark, a.source, a.doi_lookup, a.gender_lookup, a.out, a.max_publications,
-                                   a.dim_mode, a.buckets, a.match), sort_keys=True))
+                                   a.dim_mode, a.buckets, a.match, strict=a.strict, csv_parity=a.csv_parity),
+                     sort_keys=True))
 
 
 if __name__ == "__main__":

@@ -108,26 +108,3 @@ def gender_share(dim_discipline: DataFrame, fact: DataFrame, bridge: DataFrame,
              .join(dim_author.select("author_id"), "author_id").join(per_author, "author_id"))
     denom = F.countDistinct("author_id").cast("double")
     return chain.groupBy("discipline_name").agg(*[(F.sum(f"_bs_{n}") / denom).alias(n) for n in shares])
-
-
-# Column names of the notebook's star (fact plus date, details, scores dims).
-NOTEBOOK_DIMS = (("d_date_key", "date_dim_id"), ("d_details_key", "d_details_id"), ("d_vprof_key", "d_vprof_id"))
-NOTEBOOK_METRICS = {"tag_profanity_score": "avg_profanity_score", "popularity_score": "avg_popularity_score"}
-
-
-def notebook_join_all(fact: DataFrame, date_dim: DataFrame, details: DataFrame, scores: DataFrame) -> DataFrame:
-    """NQ1: fact metrics LEFT JOIN the three dimensions (all their columns)."""
-    dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, details, scores), NOTEBOOK_DIMS)]
-    out = fact.select(*NOTEBOOK_METRICS, *[fk for fk, _ in NOTEBOOK_DIMS])
-    for d, fk, dk in dims:
-        out = out.join(d, F.col(fk) == F.col(dk), "left")
-    return out.drop(*[fk for fk, _ in NOTEBOOK_DIMS])
-
-
-def notebook_by(fact: DataFrame, date_dim: DataFrame, details: DataFrame, scores: DataFrame, group_col: str,
-                origin_like: str | None = None) -> DataFrame:
-    """NQ2 (``group_col='year_actual'``) and NQ3 (``'day_of_week'`` with
-    a pattern such as ``origin_like='%forum%'``): averages and COUNT(*) per group."""
-    dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, details, scores), NOTEBOOK_DIMS)]
-    where = F.col("details_origin").like(origin_like) if origin_like is not None else None
-    return star_stats(fact, dims, group_col, NOTEBOOK_METRICS, "meme_count", where=where)

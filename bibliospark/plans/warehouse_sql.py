@@ -1,80 +1,23 @@
-"""The warehouse questions as SQL text over temp views (``spark.sql`` with
-named parameters).  Same answers as ``warehouse_queries.sample_queries``;
-Catalyst plans both forms the same way.
+"""The user's own SQL over warehouse tables, with bound named arguments.
 
-``RANK() OVER (ORDER BY ...)`` without a partition runs in one task, so
-``hindex`` computes the per-author sums in SQL, ranks them with the
-distributed ``global_rank`` and finishes in SQL; ``hindex_window`` keeps the
-plain-window text for small warehouses and comparison."""
+The stored questions are DataFrame functions (``warehouse_queries``).  A rank
+over a whole table belongs to ``operators.global_rank``: as SQL text, ``RANK()
+OVER (ORDER BY ...)`` without a partition runs in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from bibliospark.operators.ordering import global_rank
+from collections.abc import Mapping
 
-QUESTIONS = {
-    "top_disciplines": """
-        SELECT d.discipline_name, COUNT(f.publication_id) AS total_publications
-        FROM dim_discipline d JOIN fact_publications f ON f.discipline_id = d.discipline_id
-        GROUP BY d.discipline_name
-        ORDER BY total_publications DESC, d.discipline_name LIMIT :n""",
-    "top_journals": """
-        SELECT j.journal_name, COUNT(f.publication_id) AS total_publications
-        FROM dim_journal j JOIN fact_publications f ON f.journal_id = j.journal_id
-        GROUP BY j.journal_name
-        ORDER BY total_publications DESC, j.journal_name LIMIT :n""",
-    "gender_share": """
-        SELECT d.discipline_name,
-               SUM(CASE WHEN g.gender = :first THEN 1 ELSE 0 END) / CAST(COUNT(DISTINCT b.author_id) AS DOUBLE)
-                 AS proportion_male,
-               SUM(CASE WHEN g.gender = :second THEN 1 ELSE 0 END) / CAST(COUNT(DISTINCT b.author_id) AS DOUBLE)
-                 AS proportion_female
-        FROM dim_discipline d
-        JOIN fact_publications f ON f.discipline_id = d.discipline_id
-        JOIN bridge_author_publications b ON b.publication_id = f.publication_id
-        JOIN dim_author a ON a.author_id = b.author_id
-        JOIN dim_gender g ON g.author_id = a.author_id
-        GROUP BY d.discipline_name""",
-    "hindex_window": """
-        WITH ranked AS (
-          SELECT b.author_id, RANK() OVER (ORDER BY SUM(f.reference_count) DESC NULLS FIRST) AS hindex
-          FROM fact_publications f JOIN bridge_author_publications b ON b.publication_id = f.publication_id
-          GROUP BY b.author_id)
-        SELECT a.author_id, a.`Names`, a.`Surname`, CAST(r.hindex AS BIGINT) AS hindex
-        FROM ranked r JOIN dim_author a ON a.author_id = r.author_id
-        ORDER BY r.hindex DESC, a.author_id LIMIT :n""",
-    "author_sums": """
-        SELECT b.author_id, SUM(f.reference_count) AS total
-        FROM fact_publications f JOIN bridge_author_publications b ON b.publication_id = f.publication_id
-        GROUP BY b.author_id""",
-    "hindex_lowest": """
-        SELECT a.author_id, a.`Names`, a.`Surname`, h.hindex
-        FROM author_hindex h JOIN dim_author a ON a.author_id = h.author_id
-        ORDER BY h.hindex DESC, a.author_id LIMIT :n""",
-    "titles_like": """
-        SELECT publication_id, title FROM fact_publications WHERE title LIKE :pattern""",
-}
+from pyspark.sql import DataFrame, SparkSession
 
 
-def register_warehouse(wh: dict) -> None:
-    """Expose every warehouse table as a temp view of its name."""
-    for name, df in wh.items():
+def register(tables: Mapping[str, DataFrame]) -> None:
+    """Expose every DataFrame as a temp view of its name."""
+    for name, df in tables.items():
         if isinstance(df, DataFrame):
             df.createOrReplaceTempView(name)
 
 
-def ask(spark: SparkSession, question: str, **params) -> DataFrame:
-    """Run a stored question with bound named parameters (no string splicing)."""
-    if question == "hindex":
-        sums = _run(spark, "author_sums", params)
-        global_rank(sums, [("total", "desc_nulls_first")], "hindex").createOrReplaceTempView("author_hindex")
-        return _run(spark, "hindex_lowest", params)
-    return _run(spark, question, params)
-
-
-def _run(spark: SparkSession, question: str, params: dict) -> DataFrame:
-    defaults = {"n": 5, "first": "male", "second": "female"}
-    text = QUESTIONS[question]
-    args = {k: v for k, v in {**defaults, **params}.items() if f":{k}" in text}
-    return spark.sql(text, args=args)
+def ask(spark: SparkSession, sql: str, **args) -> DataFrame:
+    """Run ``sql`` with its ``:name`` parameters bound to ``args`` (no string splicing)."""
+    return spark.sql(sql, args=args)

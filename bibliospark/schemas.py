@@ -46,19 +46,3 @@ AUTHORS = StructType([
     StructField("Surname", StringType()),
     StructField("Names", StringType()),
 ])
-
-VERSIONS = StructType([StructField("id", LongType()), StructField("version", TimestampType())])
-
-FINAL_PUBLICATION = StructType([
-    StructField("id", LongType()),
-    StructField("title", StringType()),
-    StructField("comments", StringType()),
-    StructField("doi", StringType()),
-    StructField("reference_count", LongType()),
-    StructField("discipline", StringType()),
-    StructField("publication_type", StringType()),
-    StructField("journal", StringType()),
-])
-
-BRIDGE = StructType([StructField("publication_id", LongType()), StructField("author_id", LongType())])
-AUTHOR_GENDER = StructType([StructField("author_id", LongType()), StructField("gender", StringType())])

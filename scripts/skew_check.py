@@ -34,7 +34,7 @@ spark = get_session("local[8]", **{
     "spark.sql.shuffle.partitions": "32", "spark.ui.showConsoleProgress": "false",
     "spark.eventLog.enabled": "true", "spark.eventLog.dir": scratch,
     "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false",
-    "spark.checkpoint.dir": os.path.join(scratch, "ckpt"), "spark.bibliospark.localRows": "0",
+    "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
 })
 li = spark.read.parquet(f"{sf}/lineitem.parquet")

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from bibliospark.plans.driver_queries import ORACLE, QUERIES
 from scripts.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -23,28 +24,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
-    assert no_sql == {"sample_n"}
+    assert set(QUERIES) == set(ORACLE)
 
 
-ORDERED = ["author_flatten", "author_bridge", "dim_per_row", "dim_distinct", "dim_first_seen", "fact_build",
-           "sq4_rank", "profile", "relations"]
-
-
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     _check(spark, con, name)
 
 
-@pytest.mark.parametrize("name", ORDERED)
-def test_query_matches_oracle_distributed_order(spark, con, name):
-    spark.conf.set("spark.bibliospark.localRows", "0")
-    try:
-        _check(spark, con, name)
-    finally:
-        spark.conf.unset("spark.bibliospark.localRows")
-
-
 def _check(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

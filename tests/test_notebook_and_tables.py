@@ -7,8 +7,8 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from bibliospark.operators import date_dimension, sample_n
-from bibliospark.plans.warehouse_queries import notebook_by, notebook_join_all
+from bibliospark.operators import date_dimension, join_star, sample_n
+from bibliospark.plans.warehouse_queries import star_stats
 from bibliospark.schemas import AUTHORS
 from bibliospark.sources import append_conformed, load_staging, save_table, write_csv_table
 
@@ -45,6 +45,21 @@ def _brute(facts, details, key_of, origin_like=None):
             for k, v in groups.items()}
 
 
+# the star's own column names
+KEYS = (("d_date_key", "date_dim_id"), ("d_details_key", "d_details_id"), ("d_vprof_key", "d_vprof_id"))
+METRICS = {"tag_profanity_score": "avg_profanity_score", "popularity_score": "avg_popularity_score"}
+
+
+def notebook_join_all(fact, *dims):
+    return join_star(fact, [(d, fk, dk) for d, (fk, dk) in zip(dims, KEYS)])
+
+
+def notebook_by(fact, date_dim, det, sc, group_col, origin_like=None):
+    dims = [(d, fk, dk) for d, (fk, dk) in zip((date_dim, det, sc), KEYS)]
+    where = F.col("details_origin").like(origin_like) if origin_like is not None else None
+    return star_stats(fact, dims, group_col, METRICS, "meme_count", where=where)
+
+
 def _iso_dow(key):
     if key == 99999999:
         return None
@@ -89,4 +104,3 @@ def test_staging_and_tables(spark, tmp_dir):
                                                   StructField("author_id", IntegerType())]))
     assert [(r.publication_id, r.author_id) for r in spark.table("bridge_t").collect()] == [(7, 5)]
     spark.sql("DROP TABLE bridge_t")
-    assert F is not None

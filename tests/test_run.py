@@ -2,12 +2,25 @@
 
 import os
 
+import pytest
+
+from bibliospark.operators.audit import IntegrityError
 from bibliospark.plans.run import run_pipelines
+from bibliospark.schemas import PUBLICATION
+from bibliospark.sources import read_indexed_json, write_documents
 from tests import fixtures as fx
 
 
+def _source(spark, folder):
+    """The records, converted once from the single JSON object to JSONL."""
+    raw = read_indexed_json(spark, fx.write_indexed_json(os.path.join(folder, "pubs.json")), PUBLICATION)
+    path = os.path.join(folder, "pubs.jsonl")
+    write_documents(raw, path, fmt="json")
+    return path
+
+
 def test_run_pipelines(spark, tmp_dir):
-    src = fx.write_indexed_json(os.path.join(tmp_dir, "pubs.json"))
+    src = _source(spark, tmp_dir)
     doi = os.path.join(tmp_dir, "doi")
     fx.doi_lookup(spark).write.parquet(doi)
     gender = os.path.join(tmp_dir, "gender")
@@ -28,7 +41,7 @@ def test_run_pipelines(spark, tmp_dir):
 def test_bucketed_warehouse_joins_without_shuffle(spark, tmp_dir):
     import contextlib
     import io
-    src = fx.write_indexed_json(os.path.join(tmp_dir, "pubs.json"))
+    src = _source(spark, tmp_dir)
     doi = os.path.join(tmp_dir, "doi")
     fx.doi_lookup(spark).write.parquet(doi)
     gender = os.path.join(tmp_dir, "gender")
@@ -55,7 +68,7 @@ def test_cli(spark, tmp_dir, capsys):
     import json
 
     from bibliospark.plans.run import main
-    src = fx.write_indexed_json(os.path.join(tmp_dir, "pubs.json"))
+    src = _source(spark, tmp_dir)
     doi = os.path.join(tmp_dir, "doi")
     fx.doi_lookup(spark).write.parquet(doi)
     gender = os.path.join(tmp_dir, "gender.csv")
@@ -66,3 +79,41 @@ def test_cli(spark, tmp_dir, capsys):
     audits = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert audits["fact_pk"] == 0
     assert spark.read.parquet(os.path.join(tmp_dir, "o", "warehouse", "fact_publications")).count() == 5
+
+
+def _inputs(spark, folder):
+    doi, gender = os.path.join(folder, "doi"), os.path.join(folder, "gender")
+    fx.doi_lookup(spark).write.parquet(doi)
+    fx.gender_lookup(spark).write.parquet(gender)
+    return _source(spark, folder), doi, gender
+
+
+def test_strict_run_fails_on_a_duplicate_key(spark, tmp_dir):
+    src, doi, gender = _inputs(spark, tmp_dir)
+    twice = os.path.join(tmp_dir, "twice.jsonl")
+    rows = spark.read.json(src)
+    # the same id under another title: the fact keeps one of them, the authors' ids stay unique, the audit is clean
+    rows.write.json(twice)
+    assert run_pipelines(spark, twice, doi, gender, os.path.join(tmp_dir, "ok"), strict=True)["fact_pk"] == 0
+    from bibliospark.plans import pipelines
+    bad = {"dim_author": spark.createDataFrame([(1, "S", "N"), (1, "T", "N")], "author_id long, Surname string, Names string")}
+    wh = {n: spark.read.parquet(os.path.join(tmp_dir, "ok", "warehouse", n)) for n in
+          ("dim_gender", "dim_journal", "dim_discipline", "dim_publication_type", "fact_publications",
+           "bridge_author_publications", "dim_versions")} | bad
+    with pytest.raises(IntegrityError):
+        pipelines.audit_warehouse(wh, strict=True)
+
+
+def test_csv_parity_run_leaves_out_empty_names(spark, tmp_dir):
+    src, doi, gender = _inputs(spark, tmp_dir)
+    read = lambda out: spark.read.parquet(os.path.join(tmp_dir, out, "p2", "bridge")).collect()
+    run_pipelines(spark, src, doi, gender, os.path.join(tmp_dir, "plain"))
+    run_pipelines(spark, src, doi, gender, os.path.join(tmp_dir, "parity"), csv_parity=True)
+    authors = {r.author_id: r.Names for r in spark.read.parquet(os.path.join(tmp_dir, "parity", "p2", "authors")).collect()}
+    assert any(authors[r.author_id] == "" for r in read("plain"))
+    assert read("parity") and not any(authors[r.author_id] == "" for r in read("parity"))
+
+
+def test_json_object_is_refused(spark, tmp_dir):
+    with pytest.raises(ValueError, match="convert"):
+        run_pipelines(spark, os.path.join(tmp_dir, "pubs.json"), "d", "g", tmp_dir)
