@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary
+from .common import arrow_map, as_binary
 
 # Fixed value: the pre-token pattern of byte-level BPE (\s is the Unicode
 # White_Space property here, which Python's \s is not).
@@ -32,7 +32,7 @@ PRETOKEN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # Remembered pre-tokens per Python worker; the memory starts afresh beyond it.
-CACHE = 400_000
+CACHE = 200_000
 # Bits of an id; fragments of more bytes are merged with a heap.
 PAIR, LONG = 20, 48
 
@@ -252,7 +252,7 @@ def _with_arrow(df: DataFrame, tokenizer_path: str, name: str, kind: str, source
                 [made if i == at else batch.column(i) for i in range(batch.num_columns)], schema=batch.schema
             )
 
-    out = out.mapInArrow(run, out.schema)
+    out = arrow_map(out, run, out.schema)
     return out if tmp == name else out.drop(name).withColumnRenamed(tmp, name)
 
 
@@ -290,4 +290,4 @@ def encode_digest(
                 yield pa.RecordBatch.from_pydict(columns)
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, kind)
+    return arrow_map(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, kind)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bibliospark.session import ensure_checkpoint_dir
 
@@ -54,6 +56,27 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+# Texts can be long: batches handed to Python are bounded by bytes, unless the session says otherwise.
+_BATCH_BYTES, _SPARK_DEFAULT, _OURS = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20), "4m"
+
+
+def arrow_map(
+    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` over small batches; a task gives back its buffers when it ends."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_BYTES).rstrip("b") == _SPARK_DEFAULT:
+        conf.set(_BATCH_BYTES, _OURS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def as_binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column's UTF-8 bytes, without decoding them."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
@@ -61,7 +84,7 @@ def as_binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 
 # Hashes of words seen by a Python worker; the memory starts afresh beyond it.
 _WORDS: dict[bytes, int] = {}
-_MEMORY = 400_000
+_MEMORY = 200_000
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

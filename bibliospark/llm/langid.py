@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_binary, saved
+from .common import arrow_map, as_binary, saved
 from .ftrl import Row, SparseFTRL, logits, softmax, temperature
 
 BUCKETS = 1 << 15
@@ -78,7 +78,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
             [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(seen[at], n))], names=["bucket", "n"]
         )
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "bucket int, n long")
+    counted = arrow_map(docs.select(F.col(text).alias("text")), run, "bucket int, n long")
     out, total = np.zeros(BUCKETS, np.int64), 0
     for bucket, n in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # BUCKETS rows at most
         if bucket < 0:
@@ -148,7 +148,7 @@ def fit(
             )
 
     sample = _sample(learn, per_lang, doc_id, text, lang).select("text", F.col("lang").cast("string"))
-    found = sorted(map(tuple, sample.mapInArrow(run, "lang string, at binary, x binary").collect()))
+    found = sorted(map(tuple, arrow_map(sample, run, "lang string, at binary, x binary").collect()))
     langs = sorted({code for code, _, _ in found})
     rows = [(np.frombuffer(at, np.int32), np.frombuffer(x, np.float32).astype(float)) for _, at, x in found]
     labels = np.array([langs.index(code) for code, _, _ in found], int)
@@ -177,7 +177,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
             columns = [*batch.columns[:-2], pa.array([x for x, _ in made], pa.string()), pa.array([s for _, s in made])]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return out.mapInArrow(run, out.schema)
+    return arrow_map(out, run, out.schema)
 
 
 def identify(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, hash_words
+from .common import arrow_map, as_binary, hash_words
 
 SHINGLE, STRIDE = 3, 6
 WINDOW = 2 * STRIDE
@@ -187,4 +187,4 @@ def scan(
             )
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return named.mapInArrow(run, "doc_id long, license string, containment double, first_word long")
+    return arrow_map(named, run, "doc_id long, license string, containment double, first_word long")

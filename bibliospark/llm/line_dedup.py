@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, saved, scratch, unused
+from .common import arrow_map, as_binary, saved, scratch, unused
 
 BLANK = b" \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 KEY = ["k1", "k2"]
@@ -61,7 +61,7 @@ def line_keys(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text
             )
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return named.filter("doc_id is not null").mapInArrow(run, "doc_id long, k1 long, k2 int")
+    return arrow_map(named.filter("doc_id is not null"), run, "doc_id long, k1 long, k2 int")
 
 
 class LineRuns:
@@ -167,7 +167,7 @@ def dedup_lines(
             columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]).set(at, pa.field(text, pa.string())))
 
-    return joined.mapInArrow(run, docs.schema)
+    return arrow_map(joined, run, docs.schema)
 
 
 def line_digest(
@@ -193,4 +193,4 @@ def line_digest(
                 names=["doc_id", "n_lines", "n_dropped", "kept_sha256"],
             )
 
-    return joined.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    return arrow_map(joined, run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, hash_words, saved, unused
+from .common import arrow_map, as_binary, hash_words, saved, unused
 
 FRAGMENTS, FIRST = 16, 4
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -95,8 +95,8 @@ def document_sets(docs: DataFrame, n: int, below: int | None, doc_id: str = "doc
             )
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return named.filter("doc_id is not null").mapInArrow(
-        run, "doc_id long, size long, class_a long, class_b long, grams array<long>"
+    return arrow_map(
+        named.filter("doc_id is not null"), run, "doc_id long, size long, class_a long, class_b long, grams array<long>"
     )
 
 

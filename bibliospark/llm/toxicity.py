@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, saved
+from .common import arrow_map, as_binary, saved
 from .ftrl import SparseFTRL, logits, softmax
 
 # Labelled documents that the weights are fitted on, at most, and features kept, at most.
@@ -91,7 +91,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["gram", "n"])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "gram int, n long")
+    counted = arrow_map(docs.select(F.col(text).alias("text")), run, "gram int, n long")
     out = np.zeros(_CLASSES**3)
     for gram, n in counted.groupBy("gram").agg(F.sum("n")).collect():  # 28^3 rows at most
         out[gram] = n
@@ -206,7 +206,7 @@ def _associated(learn: DataFrame, n0: float, n1: float, lm, most: int) -> list[s
                     yield flush()
         yield flush()
 
-    counted = learn.mapInArrow(run, "key string, n0 long, n1 long").groupBy("key").agg(
+    counted = arrow_map(learn, run, "key string, n0 long, n1 long").groupBy("key").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
     )
     both, apart = F.col("n0") + F.col("n1"), F.col("n1") * n0 - F.col("n0") * n1
@@ -268,7 +268,7 @@ def fit(
 
     chosen = saved(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit), "toxic-sample")
     sample = texts.join(chosen, "doc_id").select("text", "label")
-    found = sorted(map(tuple, sample.mapInArrow(run, "label int, at binary").collect()))
+    found = sorted(map(tuple, arrow_map(sample, run, "label int, at binary").collect()))
     fitted = SparseFTRL(2, len(model.features), alpha=0.3, l1=0.05, l2=0.5)
     at = [np.frombuffer(a, np.int32) for _, a in found]
     fitted.fit([(a, np.ones(len(a))) for a in at], [y for y, _ in found], epochs)
@@ -292,7 +292,7 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    return named.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return arrow_map(named, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:

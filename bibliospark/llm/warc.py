@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scratch
+from .common import arrow_map, saved, scratch
 
 # Fixed values of the two formats.
 SKIPPABLE_MAGIC = 0x184D2A5D
@@ -271,7 +271,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT
             )
 
     filled = pages.withColumn("payload", F.coalesce(F.col("payload"), F.lit(b"")))
-    return saved(record_types(filled, min_revisit).mapInArrow(run, "path string, records long"), "warc-manifest")
+    return saved(arrow_map(record_types(filled, min_revisit), run, "path string, records long"), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
@@ -311,7 +311,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
         ]
     )
     archives = manifest.select("path", "records")
-    return archives.repartition(max(1, archives.count())).mapInArrow(run, SCHEMA)
+    return arrow_map(archives.repartition(max(1, archives.count())), run, SCHEMA)
 
 
 def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
