@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import arrow_map, hash_share, saved
 
 SAMPLE = 20_000  # vectors that the centroids are fitted on, at most
 LIST_ROWS = 800  # vectors of a list on average; 16 to 4096 lists
@@ -135,7 +135,8 @@ def nearest(
     asking = valid.filter("asks").select("vec_id", "h1", "h2").distinct()
 
     # the quantizer: a bounded sample, a matrix and at most 4096 centroids
-    sample = searched.orderBy("h1", "vec_id").limit(SAMPLE).select("v")
+    likely = searched.filter(hash_share(F.col("h1"), 2.0 * SAMPLE / searched.count()))
+    sample = likely.orderBy("h1", "vec_id").limit(SAMPLE).select("v")
     rows = np.array([r[0] for r in sample.toLocalIterator()], np.float64)
     lists = int(min(4096, max(16, total // LIST_ROWS)))
     matrix = rotation(dims)
@@ -149,7 +150,7 @@ def nearest(
             at = (_unit(_array(batch.column(1))) @ matrix @ centers.T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at.astype(np.int32))], names=["vec_id", "v", "list"])
 
-    index = saved(searched.select("vec_id", "v").mapInArrow(assign, "vec_id long, v array<double>, list int"), "ann-index")
+    index = saved(arrow_map(searched.select("vec_id", "v"), assign, "vec_id long, v array<double>, list int"), "ann-index")
     sizes = {r[0]: r[1] for r in index.groupBy("list").count().collect()}  # a row per list
     chunks = [-(-sizes.get(i, 0) // CHUNK) for i in range(len(centers))]
     first = asking.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"))
@@ -173,7 +174,7 @@ def nearest(
             )
 
     cell = ["list", "chunk", "block"]
-    asked = distinct.select("vec_id", "v").mapInArrow(probe, "query_id long, q array<double>, list int, chunk int")
+    asked = arrow_map(distinct.select("vec_id", "v"), probe, "query_id long, q array<double>, list int, chunk int")
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     per_list = F.element_at(F.array(*[F.lit(max(1, c)) for c in chunks]), F.col("list") + 1)
     held = index.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), per_list).cast("int")).withColumn(

@@ -49,6 +49,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def hash_share(hash_: Column, share: Column | float) -> Column:
+    """Whether a row is in the ``share`` of smallest 64-bit hashes.
+
+    Bounded samples ("the n rows of smallest hash") first keep a share that
+    holds about twice as many, so that only those rows meet to be ranked."""
+    return hash_.cast("double") / 2.0**64 + 0.5 < share
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character kept (``lower`` would change İ or É)."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

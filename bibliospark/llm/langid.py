@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, as_binary, saved
+from .common import arrow_map, as_binary, hash_share, saved
 from .ftrl import Row, SparseFTRL, logits, softmax, temperature
 
 BUCKETS = 1 << 15
@@ -93,8 +93,10 @@ def _sample(docs: DataFrame, per_lang: int, doc_id: str, text: str, lang: str) -
     key = F.xxhash64(F.col(doc_id))
     named = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ids = named.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), key.alias("h"))
+    sizes = saved(ids.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
     chosen = saved(
-        named.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), key.alias("h"))
+        ids.join(sizes, "lang").filter(hash_share(F.col("h"), 2.0 * per_lang / F.col("n")))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= per_lang)
         .select("doc_id", "lang")

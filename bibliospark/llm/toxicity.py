@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, as_binary, saved
+from .common import arrow_map, as_binary, hash_share, saved
 from .ftrl import SparseFTRL, logits, softmax
 
 # Labelled documents that the weights are fitted on, at most, and features kept, at most.
@@ -266,7 +266,8 @@ def fit(
             made = [read(t).astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(made, pa.binary())], names=["label", "at"])
 
-    chosen = saved(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit), "toxic-sample")
+    hashed = marks.filter(hash_share(F.xxhash64("doc_id"), 2.0 * max_fit / sum(sizes.values())))
+    chosen = saved(hashed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit), "toxic-sample")
     sample = texts.join(chosen, "doc_id").select("text", "label")
     found = sorted(map(tuple, arrow_map(sample, run, "label int, at binary").collect()))
     fitted = SparseFTRL(2, len(model.features), alpha=0.3, l1=0.05, l2=0.5)
