@@ -29,6 +29,8 @@ from .ftrl import SparseFTRL, logits, softmax
 
 # Labelled documents that the weights are fitted on, at most, and features kept, at most.
 MAX_FIT, MAX_FEATURES = 8000, 20_000
+# Chi-squared that a feature needs: by chance fewer than one in a hundred thousand has it.
+MIN_CHI = 20.0
 # Entries of a task's count table before it is handed on and started afresh.
 FLUSH = 300_000
 
@@ -211,7 +213,7 @@ def _associated(learn: DataFrame, n0: float, n1: float, lm, most: int) -> list[s
     )
     both, apart = F.col("n0") + F.col("n1"), F.col("n1") * n0 - F.col("n0") * n1
     chi = apart * apart / (both * (n0 + n1 - both + 1.0) * n0 * n1) * (n0 + n1)
-    top = counted.filter(both >= 3).select("key", chi.alias("chi")).filter("chi >= 4.0")
+    top = counted.filter(both >= 3).select("key", chi.alias("chi")).filter(F.col("chi") >= MIN_CHI)
     return sorted(r[0] for r in top.orderBy(F.desc("chi"), "key").limit(most).collect())
 
 
