@@ -41,7 +41,7 @@ GRAM = 8
 STRIDE = 8
 WINDOW = GRAM + STRIDE - 1
 # Characters of a name that enter a composite key (of a single column: GRAM).
-KEY = 3
+KEY = 4
 
 
 def _gram_array(col: Column, k: int, step: int = 1) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from bibliospark.operators.joins import null_safe_join
-from bibliospark.session import ensure_checkpoint_dir, written_once
+from bibliospark.session import ensure_checkpoint_dir, ship_package, written_once
 
 _PID = "_bs_pid"
 _MID = "_bs_mid"
@@ -141,6 +141,7 @@ def global_prefix_sum(df: DataFrame, order: Sequence[OrderSpec], weight, name: s
     cols = [sort_col(s) for s in order]
     w = weight if isinstance(weight, Column) else F.col(weight)
     ensure_checkpoint_dir(df.sparkSession)
+    ship_package(df.sparkSession)
     ordered = (
         df.withColumn(_W, w.cast("bigint"))
         .repartitionByRange(range_partitions(df), *cols)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,25 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Nothing is done where workers find it already: it was shipped as a zip,
+    or its folder is on the ``PYTHONPATH`` that Spark was started with."""
+    sc = spark.sparkContext
+    here = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(here)
+    known = (sc._jvm.System.getenv("PYTHONPATH") or "").split(os.pathsep)
+    if not os.path.isdir(here) or root in map(os.path.abspath, filter(None, known)) or getattr(sc, "_bibliospark", None):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="bibliospark-"), "bibliospark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)   # Spark sends it to the executors
+    sc._bibliospark = path
