@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from bibliospark.session import ensure_checkpoint_dir
+from bibliospark.session import ensure_checkpoint_dir, ship_package
 
 # A-Z to a-z and nothing else, as the text contracts ask
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -72,6 +72,7 @@ def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``df.mapInArrow(fn, schema)`` over small batches; a task gives back its buffers when it ends."""
+    ship_package(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get(_BATCH_BYTES).rstrip("b") == _SPARK_DEFAULT:
         conf.set(_BATCH_BYTES, _OURS)
