@@ -189,13 +189,15 @@ class ForcedBoundaryBPE:
         """The ids of a text."""
         return np.frombuffer(b"".join([x for p in self.parts(text) for x in map(self.packed.__getitem__, p)]), np.int32)
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, sha256 of the comma-joined ids, sha256 of the decoded text."""
+    def digest(self, text: str, packed: list[bytes] | None = None) -> tuple[int, str, str]:
+        """Number of ids, sha256 of the comma-joined ids, sha256 of the decoded text; the ids go to ``packed``."""
         ids: list[str] = []
         raw: list[bytes] = []
         for pretokens in self.parts(text):
             ids += map(self.joined.__getitem__, pretokens)
             raw += map(self.raw.__getitem__, pretokens)
+            if packed is not None:
+                packed += map(self.packed.__getitem__, pretokens)
         joined = ",".join(ids)
         decoded = b"".join(raw).decode("utf-8", "replace").encode()
         n = joined.count(",") + 1 if joined else 0
@@ -275,8 +277,8 @@ def encode_digest(
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = [t.decode() if t else "" for t in as_binary(batch, "text")]
-                made = [bpe.digest(t) for t in texts]
+                packed: list[bytes] | None = [] if with_ids else None
+                made = [bpe.digest(t.decode() if t else "", packed) for t in as_binary(batch, "text")]
                 columns = {
                     "doc_id": batch.column(0),
                     "n_tokens": pa.array([m[0] for m in made], pa.int64()),
@@ -285,7 +287,7 @@ def encode_digest(
                 }
                 if with_ids:
                     ends = np.concatenate([[0], np.cumsum([m[0] for m in made])]).astype(np.int32)
-                    flat = np.concatenate([bpe.encode(t) for t in texts])
+                    flat = np.frombuffer(b"".join(packed), np.int32)
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_pydict(columns)
 
