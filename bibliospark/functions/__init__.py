@@ -2,7 +2,7 @@
 
 from bibliospark.functions.arrays import first_last, first_or_null
 from bibliospark.functions.dates import date_attributes, format_rfc1123, parse_rfc1123
-from bibliospark.functions.text import first_char, first_token, join_tail, last_token, tokens
+from bibliospark.functions.text import first_char, first_token, join_tail, last_token
 
 __all__ = [
     "date_attributes",
@@ -14,5 +14,4 @@ __all__ = [
     "join_tail",
     "last_token",
     "parse_rfc1123",
-    "tokens",
 ]

@@ -34,11 +34,6 @@ def last_token(c) -> Column:
     return F.reverse(F.regexp_extract(F.reverse(as_col(c)), FIRST_TOKEN, 1))
 
 
-def tokens(c, sep: str = " ") -> Column:
-    """Split on a literal separator (not a regex)."""
-    return F.split(as_col(c), _regex_quote(sep))
-
-
 def join_tail(arr, sep: str = " ") -> Column:
     """``sep.join(a[1:])``: elements 2..n joined; '' for one element, and a
     trailing blank survives when the last element is ''."""
@@ -49,7 +44,3 @@ def join_tail(arr, sep: str = " ") -> Column:
 def first_char(c) -> Column:
     """First character (code point) of a string; '' for ''."""
     return F.substring(as_col(c), 1, 1)
-
-
-def _regex_quote(s: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN
+from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN, first_token
 from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
 from bibliospark.plans.warehouse_queries import gender_share
@@ -57,7 +57,7 @@ def doi_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def gender_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Genders by the length of the name; every fifth length has no row, another a null."""
-    names = records(spark, sf).select(F.regexp_extract("submitter", r"^\s*(\S+)", 1).alias("firstname")).distinct()
+    names = records(spark, sf).select(first_token("submitter").alias("firstname")).distinct()
     k = F.char_length("firstname") % 5
     gender = F.when(k == 0, "female").when(k == 1, "male").when(k == 2, "unknown")
     return names.filter((k != 4) & (F.col("firstname") != "")).select("firstname", gender.alias("gender"))

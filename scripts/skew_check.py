@@ -23,6 +23,7 @@ from bibliospark.operators import (  # noqa: E402
     distinct_on,
     drop_all_duplicates,
     first_match_contains,
+    global_prefix_sum,
     global_rank,
     global_row_number,
 )
@@ -51,6 +52,8 @@ runs = {
                                                   [("l_quantity", "desc_nulls_first")], "r"),
     "global_row_number": lambda: global_row_number(skewed.select("l_orderkey", "l_linenumber", "l_partkey"),
                                                    ["l_orderkey", "l_linenumber", "l_partkey"], "rn"),
+    "global_prefix_sum": lambda: global_prefix_sum(skewed.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
+                                                   ["l_orderkey", "l_linenumber", "l_partkey"], "l_quantity", "before"),
     "first_match_contains(hot name)": lambda: first_match_contains(
         skewed.select(F.concat(F.lit("S"), (F.col("l_orderkey") % 997).cast("string")).alias("sur"),
                       F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("giv")),
