@@ -32,7 +32,7 @@ PRETOKEN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # Remembered pre-tokens per Python worker; the memory starts afresh beyond it.
-CACHE = 200_000
+CACHE = 400_000
 # Bits of an id; fragments of more bytes are merged with a heap.
 PAIR, LONG = 20, 48
 
@@ -90,7 +90,8 @@ class ForcedBoundaryBPE:
         )
         self.pretokens = regex.compile(PRETOKEN).findall
         self.joined: dict[str, str] = {}
-        self.packed: dict[str, bytes] = {}
+        self.packing = False
+        self.packed: dict[str, bytes] = {}  # kept from the first text on whose ids are asked for
         self.raw: dict[str, bytes] = {}
 
     def cut(self, piece: bytes) -> list[bytes]:
@@ -166,11 +167,14 @@ class ForcedBoundaryBPE:
         for p in pretokens:
             ids = self.piece_ids(p)
             self.joined[p] = ",".join(map(str, ids))
-            self.packed[p] = array("i", ids).tobytes()
+            if self.packing:
+                self.packed[p] = array("i", ids).tobytes()
             self.raw[p] = b"".join([self.bytes_of[i] for i in ids])
 
-    def parts(self, text: str) -> Iterator[list[str]]:
+    def parts(self, text: str, packed: bool) -> Iterator[list[str]]:
         """The text as lists of known pre-tokens; a special token is a list of its own."""
+        if packed and not self.packing:
+            self.packing, self.joined, self.raw = True, {}, {}
         for part in self.split_special(text):
             if part in self.special:
                 i = self.special[part]
@@ -187,13 +191,13 @@ class ForcedBoundaryBPE:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text."""
-        return np.frombuffer(b"".join([x for p in self.parts(text) for x in map(self.packed.__getitem__, p)]), np.int32)
+        return np.frombuffer(b"".join([x for p in self.parts(text, True) for x in map(self.packed.__getitem__, p)]), np.int32)
 
     def digest(self, text: str, packed: list[bytes] | None = None) -> tuple[int, str, str]:
         """Number of ids, sha256 of the comma-joined ids, sha256 of the decoded text; the ids go to ``packed``."""
         ids: list[str] = []
         raw: list[bytes] = []
-        for pretokens in self.parts(text):
+        for pretokens in self.parts(text, packed is not None):
             ids += map(self.joined.__getitem__, pretokens)
             raw += map(self.raw.__getitem__, pretokens)
             if packed is not None:
