@@ -47,18 +47,20 @@ _GAP = "[" + re.escape(_GAPS) + "]"
 # Costs (negative log probabilities) of the channel.
 SWAP, KEEP_SIGN, DOUBLED, SQUEEZED, CLOSE_GAP, KEEP_GAP = 1.5, 6.0, 1.0, 0.7, 0.4, 4.0
 
-# Four or more single characters spaced out.
-SPACED = re.compile(rf"(?<!\w)(?:{LETTERS}|{_SIGNS})(?:{_GAP}(?:{LETTERS}|{_SIGNS})){{2,}}{_GAP}(?:{LETTERS}|{_LAST})(?!\w)")
+# Three or more single characters spaced out; of three, two are letters.
+_ONE, _END = f"(?:{LETTERS}|{_SIGNS})", f"(?:{LETTERS}|{_LAST})"
+SPACED = re.compile(
+    rf"(?<!\w)(?:{_ONE}(?:{_GAP}{_ONE}){{2,}}{_GAP}{_END}"
+    rf"|{LETTERS}{_GAP}{LETTERS}{_GAP}{_END}|{LETTERS}{_GAP}{_SIGNS}{_GAP}{LETTERS}|{_SIGNS}{_GAP}{LETTERS}{_GAP}{LETTERS})(?!\w)"
+)
 # Within a token: a word with signs before, between or after letters, or a letter three times running.
 TRACE = re.compile(
     rf"(?<!{LETTERS}){LETTERS}*(?:{_SIGNS}{{1,3}}{LETTERS}+)+(?:{_LAST}{{1,2}}(?!\w))?"
     rf"|(?<!{LETTERS}){LETTERS}+{_LAST}{{1,2}}(?!\w)"
     rf"|(?<!{LETTERS}){LETTERS}*?({LETTERS})\1\1{LETTERS}*"
 )
-# Cheap, and present wherever one of the two above is.
-HINT = re.compile(
-    rf"{_SIGNS}{LETTERS}|{LETTERS}{_LAST}|({LETTERS})\1\1|(?<!\w)[^\s]{_GAP}[^\s]{_GAP}[^\s]{_GAP}[^\s](?!\w)"
-)
+# Cheap, and present wherever TRACE is.
+HINT = re.compile(rf"{_SIGNS}{LETTERS}|{LETTERS}{_LAST}|({LETTERS})\1\1")
 WORD = re.compile(rf"{LETTERS}+")
 
 _CLASSES = 28  # 0 any non-letter, 1-26 a-z (accents dropped), 27 other letters
@@ -105,11 +107,12 @@ class Deobfuscator:
 
     def __init__(self, counts: np.ndarray) -> None:
         grams = counts.reshape(_CLASSES, _CLASSES, _CLASSES) + 0.1
+        self.seen = counts > 0
         self.cost = (-np.log(grams / grams.sum(axis=2, keepdims=True))).tolist()
 
     def _units(self, run: str) -> list[list[tuple[str, float]]]:
         """The lattice: for each group of equal characters, its readings and their channel costs."""
-        spaced = len(run) > 6 and all(c in _GAPS for c in run[1::2])
+        spaced = len(run) > 4 and all(c in _GAPS for c in run[1::2])
         out = []
         i = 0
         while i < len(run):
@@ -117,8 +120,9 @@ class Deobfuscator:
             while j < len(run) and run[j] == c:
                 j += 1
             n, i = j - i, j
+            meant = [(x * k, SWAP + DOUBLED * (k - 1)) for x in LOOK_ALIKE.get(c, "") for k in {1, min(n, 2)}]
             if spaced and (j & 1) == 0 and c in _GAPS:
-                out.append([("", CLOSE_GAP), (c, KEEP_GAP)])
+                out.append([("", CLOSE_GAP), *meant, (c, KEEP_GAP)])
             elif c.isalpha():
                 if n == 1:
                     out.append([(c, 0.0)])
@@ -127,7 +131,6 @@ class Deobfuscator:
                 else:
                     out.append([(c, SQUEEZED), (c * 2, SQUEEZED + DOUBLED)])
             else:
-                meant = [(x * k, SWAP + DOUBLED * (k - 1)) for x in LOOK_ALIKE.get(c, "") for k in {1, min(n, 2)}]
                 out.append([*meant, (c * n, KEEP_SIGN)])
         return out
 
@@ -157,20 +160,32 @@ class Deobfuscator:
 
     def restore(self, text: str) -> str:
         """``text`` with every suspicious run decoded."""
+        out, done = [], 0
+        for spaced in SPACED.finditer(text):
+            out += self._tokens(text[done : spaced.start()]), self._closed(spaced[0])
+            done = spaced.end()
+        return "".join([*out, self._tokens(text[done:])]) if done else self._tokens(text)
+
+    def _closed(self, run: str) -> str:
+        """A spaced run decoded; three characters stay as they are where the corpus lacks a trigram of the reading."""
+        read = self.decode(run)
+        if len(run) > 5:
+            return read
+        c = [0, *_fold()[[ord(x) for x in read]].tolist(), 0]
+        return read if all(self.seen[(x * _CLASSES + y) * _CLASSES + z] for x, y, z in zip(c, c[1:], c[2:])) else run
+
+    def _tokens(self, text: str) -> str:
+        """``text`` with the suspicious runs within its tokens decoded."""
         out, done, n = [], 0, len(text)
         for hint in HINT.finditer(text):
             i, j = hint.span()
             if i < done:
                 continue
-            if spaced := SPACED.match(text, i):
-                new, (i, j) = self.decode(spaced[0]), spaced.span()
-            else:
-                while i > done and not text[i - 1].isspace():
-                    i -= 1
-                while j < n and not text[j].isspace():
-                    j += 1
-                new = TRACE.sub(lambda m: self.decode(m[0]), text[i:j])
-            out += text[done:i], new
+            while i > done and not text[i - 1].isspace():
+                i -= 1
+            while j < n and not text[j].isspace():
+                j += 1
+            out += text[done:i], TRACE.sub(lambda m: self.decode(m[0]), text[i:j])
             done = j
         return "".join([*out, text[done:]]) if done else text
 

@@ -43,6 +43,24 @@ def test_text_without_a_trace_stays(decoder, text):
     assert decoder.restore(text) == text
 
 
+@pytest.mark.parametrize(
+    ("written", "meant"),
+    [
+        ("i_d_i_o_t", "idiot"), ("m_o_r_o_n", "moron"), ("m*o*r*o*n", "moron"), ("s_c_u_m", "scum"),
+        ("- i d i o t", "- idiot"), ("& m o r o n", "& moron"), ("2 i d i o t", "2 idiot"), ("- m_o_r_o_n", "- moron"),
+        ("s h o w", "show"), ("b i g", "big"), ("b_i_g", "big"), ("b.!.g", "big"), ("m0r0n,i d i o t", "moron,idiot"), ("w0rthl3ss/i_d_i_o_t", "worthless/idiot"),
+    ],
+)
+def test_restores_spaced_words_whatever_stands_around(written, meant):
+    known = tx.Deobfuscator(counts((TEXT + "a big big man ") * 50))
+    assert known.restore(f"you are a bit {written}, sir") == f"you are a bit {meant}, sir"
+
+
+@pytest.mark.parametrize("text", ["version 1.0.5 of it", "5 4 3 go", "foo_a_b_c", "x_y", "1 - 0"])
+def test_numbers_and_names_stay(decoder, text):
+    assert decoder.restore(text) == text
+
+
 def test_long_runs_end(decoder):
     assert len(decoder.restore("a" * 300_000)) <= 2
     decoder.restore("a1" * 20_000)
