@@ -31,7 +31,8 @@ PRETOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-# Remembered pre-tokens per Python worker; the memory starts afresh beyond it.
+# Remembered pre-tokens per Python worker; the memory starts afresh beyond it
+# (and holds all of one text's, however many they are).
 CACHE = 400_000
 # Bits of an id; fragments of more bytes are merged with a heap.
 PAIR, LONG = 20, 48
@@ -162,8 +163,6 @@ class ForcedBoundaryBPE:
 
     def learn(self, pretokens: set[str]) -> None:
         """Remember the ids (comma-joined, and as int32) and the decoded bytes of these pre-tokens."""
-        if len(self.joined) + len(pretokens) > CACHE:
-            self.joined, self.packed, self.raw = {}, {}, {}
         for p in pretokens:
             ids = self.piece_ids(p)
             self.joined[p] = ",".join(map(str, ids))
@@ -184,9 +183,10 @@ class ForcedBoundaryBPE:
             pretokens = self.pretokens(part)
             distinct = set(pretokens)
             if new := distinct.difference(self.joined):
+                if len(self.joined) + len(new) > CACHE:
+                    self.joined, self.packed, self.raw = {}, {}, {}
+                    new = distinct
                 self.learn(new)
-                if len(self.joined) == len(new) < len(distinct):  # the memory was started afresh
-                    self.learn(distinct - new)
             yield pretokens
 
     def encode(self, text: str) -> np.ndarray:

@@ -97,3 +97,16 @@ def test_encode_and_decode_columns(spark, pair):
 def test_other_kinds_of_files_are_refused():
     with pytest.raises(ValueError, match="byte-level"), open(f"{TOKENIZER_DIR}/word_bpe_49k.json", encoding="utf-8") as f:
         bpe.ForcedBoundaryBPE(f.read())
+
+
+def test_texts_beyond_the_memory(pair, monkeypatch):
+    _, theirs = pair
+    with open(PATH, encoding="utf-8") as f:
+        mine = bpe.ForcedBoundaryBPE(f.read())
+    monkeypatch.setattr(bpe, "CACHE", 20)
+    texts = ["1 2 3", " ".join(map(str, range(60))), "1 2 3", "4 5<|endoftext|>" + " ".join(map(str, range(30, 90))), "", "7 8"]
+    for text in texts * 2:
+        assert mine.digest(text) == expected(theirs, text)
+    for text in texts * 2:
+        assert mine.encode(text).tolist() == theirs.encode(text, add_special_tokens=False).ids
+        assert mine.digest(text, []) == expected(theirs, text)
