@@ -65,3 +65,84 @@ def test_edge_rows(spark):
     assert ls.scan(df, templates={}).count() == 0
     with pytest.raises(ValueError, match="fewer than"):
         ls.scan(df, templates={"short": "two words"})
+
+
+GRANT = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+    "the Free Software Foundation, either version {} of the License, or (at your option) any later version. This program is "
+    "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} for more details."
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS "
+    'PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED '
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. "
+)
+
+
+@pytest.fixture(scope="module")
+def known():
+    return ls.Templates([(name, t) for name, texts in ls.production().items() for t in texts])
+
+
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        (GRANT.format("General Public License", 3, "General Public License"), "GPL-3.0-header"),
+        (GRANT.format("General Public License", 2, "General Public License"), "GPL-2.0-header"),
+        (GRANT.format("Lesser General Public License", "2.1", "Lesser General Public License"), "LGPL-2.1-header"),
+        (GRANT.format("Affero General Public License", 3, "Affero General Public License"), "AGPL-3.0-header"),
+        (BSD.format(""), "BSD-2-Clause-text"),
+        (BSD.format(THIRD), "BSD-3-Clause-text"),
+        ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+         "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+         "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of "
+         "this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for "
+         "the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an "
+         "overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.", "Unlicense-text"),
+        ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+         "http://www.boost.org/LICENSE_1_0.txt)", "BSL-1.0-header"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA-3.0"),
+    ],
+)
+def test_headers_and_texts_that_no_notice_has(known, text, name):
+    rng = random.Random(4)
+    for _ in range(5):
+        got = known.matches(" ".join([*words(rng, rng.randrange(40)), text, *words(rng, rng.randrange(40))]).encode())
+        assert [n for n in got if n.endswith(("-header", "-text"))] == [name] * name.endswith(("-header", "-text"))
+        assert name in got and {n.split("-header")[0].split("-text")[0] for n in got} == {name.split("-header")[0].split("-text")[0]}
+
+
+def test_bodies_without_a_header(known):
+    from bibliospark.llm.license_texts import TEXTS
+
+    for name, text in TEXTS.items():
+        body = text.split()
+        assert name in known.matches(" ".join(body).encode()), name
+        assert {n for n in known.matches(" ".join(body[: len(body) // 2]).encode()) if n in TEXTS} == {name}
+
+
+def test_every_template_names_only_its_license(known):
+    for name, texts in ls.production().items():
+        for text in texts:
+            got = known.matches(f"some words before {text} and after".encode())
+            assert got[name][0] == 1.0, (name, text)
+            assert all(n.removesuffix("-header").removesuffix("-text") == name.removesuffix("-header").removesuffix("-text") for n in got), (name, got)
+
+
+def test_of_two_versions_each_is_found_at_its_place(known):
+    two, three = (f"Licensed under the GNU General Public License, version {v}." for v in (2, 3))
+    got = known.matches(f"{two} {'word ' * 60} {three}".encode())
+    assert got == {"GPL-2.0": (1.0, 0), "GPL-3.0": (1.0, 69)}
