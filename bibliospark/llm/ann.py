@@ -152,6 +152,7 @@ def nearest(
 
     index = saved(arrow_map(searched.select("vec_id", "v"), assign, "vec_id long, v array<double>, list int"), "ann-index")
     sizes = {r[0]: r[1] for r in index.groupBy("list").count().collect()}  # a row per list
+    held_rows = np.array([sizes.get(i, 0) for i in range(len(centers))])
     chunks = [-(-sizes.get(i, 0) // CHUNK) for i in range(len(centers))]
     first = asking.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"))
     distinct = saved(first.join(searched.select("vec_id", "h1", "h2", "v"), ["vec_id", "h1", "h2"]), "ann-queries")
@@ -160,8 +161,10 @@ def nearest(
     def probe(batches):
         matrix, centers = model.value
         for batch in batches:
-            order = np.argsort(-(_unit(_array(batch.column(1))) @ matrix @ centers.T), axis=1, kind="stable")[:, :probes]
-            cells = [(i, int(a), c) for i, row in enumerate(order) for a in row for c in range(chunks[a])]
+            order = np.argsort(-(_unit(_array(batch.column(1))) @ matrix @ centers.T), axis=1, kind="stable")
+            # further lists where these hold too few rows
+            taken = np.maximum(probes, (held_rows[order].cumsum(axis=1) < k + 1).sum(axis=1) + 1)
+            cells = [(i, int(a), c) for i, row in enumerate(order) for a in row[: taken[i]] for c in range(chunks[a])]
             at = pa.array([i for i, _, _ in cells], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bibliospark.llm import ann
 
@@ -105,3 +106,12 @@ def test_scan_abandons_without_losing_the_nearest():
         kept += len(at)
         missed += len(set(nearest) - set(at))
     assert missed <= 3 and kept < 50 * 40
+
+
+@pytest.mark.parametrize("n", [3, 4, 7, 10])
+def test_few_rows_are_all_found_at_the_production_share(spark, n):
+    rng = np.random.default_rng(n)
+    rows_ = [(i, rng.normal(size=16).tolist()) for i in range(n)]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.lit(True), k=5).groupBy("query_id").count().collect()
+    assert {r[0]: r[1] for r in got} == {i: min(5, n - 1) for i in range(n)}
