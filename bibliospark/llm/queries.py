@@ -5,14 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, license_scan, line_dedup, ngram_join, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, langid, license_scan, line_dedup, ngram_join, token_counts, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
-TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+TOKENIZER_DIR = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontaminate": op2_decontaminate,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op13_token_counts": op13_token_counts,
 }
 
 # DuckDB twins of the queries that SQL can express.
