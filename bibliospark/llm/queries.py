@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, license_scan, line_dedup, ngram_join, token_counts, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, langid, license_scan, line_dedup, ngram_join, prefix_trie, token_counts, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
@@ -61,6 +61,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/word_bpe_49k.json")
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -134,4 +139,40 @@ ORACLE: dict[str, str] = {
         FROM keyed LEFT JOIN owners USING (key)
         GROUP BY doc_id
     """,
+    # CRC-32 bit by bit: each byte is xored in, then eight shifts follow
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY pos) AS s,
+                   xor(list_reduce(
+                       list_concat([4294967295::BIGINT], flatten(list_transform(
+                           string_split(conv_id::VARCHAR, ''), lambda c: list_concat([ascii(c)::BIGINT], list_resize([]::BIGINT[], 8, -1::BIGINT))))),
+                       lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT) % 6 AS h
+            FROM turns GROUP BY conv_id
+        ), rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.s, [])[1:c.h], c.s[c.h + 1:]) AS s
+            FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+        ), members AS (
+            SELECT conv_id, len(s) AS n, unnest(range(0, len(s) + 1)) AS d, s FROM rebuilt
+        ), nodes AS (
+            SELECT s[1:d] AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+            FROM members GROUP BY path, d
+        ), kids AS (
+            SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+        ), valued AS (
+            SELECT *, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf,
+                   CASE WHEN d > 0 THEN (n_convs - 1) * length(path[d].x) ELSE 0 END AS own
+            FROM nodes LEFT JOIN kids USING (path)
+        ), totals AS (
+            SELECT path[1:a] AS path, sum(leaf)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved_tokens
+            FROM (SELECT path, leaf, own, unnest(range(0, d + 1)) AS a FROM valued) GROUP BY 1
+        )
+        SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n_convs, coalesce(v.n_children, 0) AS n_children,
+               n_leaves, saved_tokens, v.ends_sha256
+        FROM valued v JOIN totals USING (path) LEFT JOIN nodes up ON v.d > 0 AND up.path = v.path[1:v.d - 1]
+    """,
 }

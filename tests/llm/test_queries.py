@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op9_line_dedup": {"doc_id", "n_lines", "n_dropped", "kept_sha256"},
     "op10_language_id": {"doc_id", "held_out", "lang_pred", "score"},
+    "op11_prefix_trie": {
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+    },
     "op13_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
 }
 
