@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, license_scan, line_dedup, ngram_join, prefix_trie, token_counts, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, langid, lexical_search, license_scan, line_dedup, ngram_join, prefix_trie, token_counts, toxicity, url_filter, warc
 from .common import LOWER, UPPER, table
 
 # Folder of the public tokenizer files; never copied into the repository.
@@ -65,6 +65,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/word_bpe_49k.json")
 
@@ -81,13 +85,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
     "op13_token_counts": op13_token_counts,
 }
 
-# DuckDB twins of the queries that SQL can express.
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _AZ = f"'{UPPER}', '{LOWER}'"
 _WORDS = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+def _terms(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), {_AZ}), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+# DuckDB twins of the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op2_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -175,4 +186,24 @@ ORACLE: dict[str, str] = {
                n_leaves, saved_tokens, v.ends_sha256
         FROM valued v JOIN totals USING (path) LEFT JOIN nodes up ON v.d > 0 AND up.path = v.path[1:v.d - 1]
     """,
+    "op12_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS w FROM documents),
+        size AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+        tfs AS (
+            SELECT r, doc_id, n, t, count(*) AS tf
+            FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY r, doc_id, n, t
+        ), dfs AS (SELECT t, count(*) AS df FROM tfs GROUP BY t),
+        items AS (SELECT DISTINCT item_id, unnest({_terms("text")}) AS t FROM benchmark WHERE item_id IS NOT NULL),
+        scored AS (
+            SELECT item_id, r, doc_id, sum(
+                floor(1000 * ln((2 * size.n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+                * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * tfs.n * size.n) // size.l)))
+            )::BIGINT AS score
+            FROM items JOIN dfs USING (t) JOIN tfs USING (t), size GROUP BY item_id, r, doc_id
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }

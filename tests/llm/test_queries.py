@@ -23,6 +23,7 @@ COLUMNS = {
     "op11_prefix_trie": {
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
     },
+    "op12_lexical_search": {"item_id", "rank", "doc_id", "score"},
     "op13_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
 }
 
