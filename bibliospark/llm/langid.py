@@ -1,12 +1,16 @@
 """Language identification by sparse multinomial logistic regression (operator 10).
 
 Features are TF-IDF weighted character n-grams (1 to 3) of the whole text,
-hashed into ``BUCKETS``.  Document frequencies are counted over all documents;
-the model is fitted by follow-the-regularised-leader with elastic-net
-penalties on a bounded sample of labelled documents (``per_lang`` of each
-language, those with the smallest id hash), and its probabilities are
+hashed into ``BUCKETS``.  Document frequencies are counted over all documents
+to learn from, and over no others; the model is fitted by
+follow-the-regularised-leader with elastic-net penalties on a bounded sample
+of them (those with the smallest id hash), and its probabilities are
 calibrated by one temperature on a fifth of that sample.  Scoring is one
 row-local pass with a model of fixed size.
+
+Bounds of the sample, so that the fit stays a fixed size whatever the
+``lang`` column holds: the ``LANGS`` most frequent values, ``per_lang``
+documents of each, and ``SAMPLE_BYTES`` of features in equal shares.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ BUCKETS = 1 << 15
 _BITS = 15
 # Labelled documents of each language that the model is fitted on, at most.
 PER_LANG = 1500
+LANGS = 256
+SAMPLE_BYTES = 128 << 20
 UNDETERMINED = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,7 +69,7 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> Row:
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray]:
-    """Documents with letters, and per bucket those that have one of its n-grams; over all documents."""
+    """Documents with letters, and per bucket those that have one of its n-grams; over every row of ``docs``."""
 
     def run(batches):
         seen, n = np.zeros(BUCKETS, np.int64), 0
@@ -94,7 +100,8 @@ def _sample(docs: DataFrame, per_lang: int, doc_id: str, text: str, lang: str) -
     named = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = named.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), key.alias("h"))
-    sizes = saved(ids.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGS)
+    sizes = saved(sizes, "lang-sizes")
     chosen = saved(
         ids.join(sizes, "lang").filter(hash_share(F.col("h"), 2.0 * per_lang / F.col("n")))
         .withColumn("rank", F.row_number().over(order))
@@ -123,15 +130,15 @@ class LanguageModel:
 
 def fit(
     learn: DataFrame,
-    corpus: DataFrame,
     per_lang: int = PER_LANG,
     epochs: int = 3,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
 ) -> LanguageModel:
-    """Fit on a sample of ``learn``; the n-gram statistics come from every text of ``corpus``."""
-    total, seen = document_frequencies(corpus, text)
+    """Learn from the rows of ``learn`` with a lang: n-gram statistics from all, weights from a sample."""
+    learn = learn.filter(F.col(lang).isNotNull())
+    total, seen = document_frequencies(learn, text)
     idf = np.log((1.0 + total) / (1.0 + seen)) + 1.0
 
     def run(batches):
@@ -150,7 +157,12 @@ def fit(
             )
 
     sample = _sample(learn, per_lang, doc_id, text, lang).select("text", F.col("lang").cast("string"))
-    found = sorted(map(tuple, arrow_map(sample, run, "lang string, at binary, x binary").collect()))
+    features = saved(arrow_map(sample, run, "lang string, at binary, x binary"), "lang-features")
+    number = features.select("lang").distinct().count()  # LANGS at most
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("at", "x"), "at", "x").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("at") + F.length("x")
+    kept = features.withColumn("before", F.sum(size).over(order) - size).filter(F.col("before") < SAMPLE_BYTES // max(1, number))
+    found = sorted(map(tuple, kept.drop("before").collect()))
     langs = sorted({code for code, _, _ in found})
     rows = [(np.frombuffer(at, np.int32), np.frombuffer(x, np.float32).astype(float)) for _, at, x in found]
     labels = np.array([langs.index(code) for code, _, _ in found], int)
@@ -189,10 +201,11 @@ def identify(
 
     Learns from the text and the non-null lang of documents whose
     crc32(doc_id as text) mod 3 is not 1 (a null id is never learned from and
-    not held out).  Without any labelled document all texts are ``und``.
+    not held out), and from nothing else: what the others hold changes no
+    other row.  Without any labelled document all texts are ``und``.
     """
     slot = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
-    model = fit(docs.filter(slot != 1), docs, per_lang, doc_id=doc_id, text=text, lang=lang)
+    model = fit(docs.filter(slot != 1), per_lang, doc_id=doc_id, text=text, lang=lang)
     named = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(slot == 1, F.lit(False)).alias("held_out"), F.col(text).alias("text")
     )
@@ -202,7 +215,7 @@ def identify(
 def reject_unidentified(docs: DataFrame, min_score: float = 0.35, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without documents whose language can't be told: ``und``, or a best probability below ``min_score``."""
     slot = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
-    model = fit(docs.filter(slot != 1), docs, doc_id=doc_id)
+    model = fit(docs.filter(slot != 1), doc_id=doc_id)
     numbered = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})
     scored = predict(numbered, model, f"c{docs.columns.index('text')}")
     kept = scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))

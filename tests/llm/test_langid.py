@@ -42,6 +42,28 @@ def test_labels_of_held_out_documents_change_nothing(spark):
     assert a == b and {r[1] for r in a} == {"en", "de", "fr"}
 
 
+@pytest.mark.parametrize("other", ["the quick brown fox jumps", "zzz qqq", None, SAMPLES["de"]])
+def test_texts_of_others_change_no_row(spark, other):
+    """Neither held-out texts nor those without a lang or an id are learned from, be it by a count."""
+    made = mixed(spark) + [(901, "ein wort", None, "s", 0), (None, "one word", "en", "s", 0)]
+    learned = lambda d, lang: d is not None and lang and zlib.crc32(str(d).encode()) % 3 != 1
+    changed = [(d, t if learned(d, lang) else other, lang, s, n) for d, t, lang, s, n in made]
+    a, b = (rows(li.identify(spark.createDataFrame(x, DOCS)), "doc_id", "lang_pred", "score") for x in (made, changed))
+    same = {d for d, _, lang, *_ in made if learned(d, lang)}
+    assert len(same) > 50 and [r for r in a if r[0] in same] == [r for r in b if r[0] in same]
+
+
+def test_sample_bounds(spark, monkeypatch):
+    """Many lang values, or heavy rows, leave a fit of fixed size that still works."""
+    monkeypatch.setattr(li, "LANGS", 3)
+    codes = [(1000 + i, f"text number {i}", f"x{i}", "s", 0) for i in range(60)]
+    model = li.fit(spark.createDataFrame(mixed(spark) + codes, DOCS))
+    assert model.langs == ["de", "en", "fr"]
+    monkeypatch.setattr(li, "SAMPLE_BYTES", 30_000)
+    small = li.fit(spark.createDataFrame(mixed(spark, 300), DOCS))
+    assert small.langs == ["de", "en", "fr"] and small.predict(SAMPLES["de"].encode())[0] == "de"
+
+
 def test_edge_rows(spark):
     odd = [(100, None), (101, ""), (102, "123 456 !?"), (103, SAMPLES["de"]), (103, SAMPLES["de"]), (None, SAMPLES["fr"]), (104, SAMPLES["en"] * 2000), (105, "日本語")]
     made = mixed(spark) + [(d, t, None, None, 0) for d, t in odd]
@@ -62,7 +84,7 @@ def test_nothing_to_learn_from(spark):
     assert li.identify(df.limit(0)).count() == 0
 
 
-def test_statistics_cover_all_documents(spark):
+def test_statistics_cover_all_rows_to_learn_from(spark):
     df = docs_frame(spark, ["ab", "ab", "b", None, "12"])
     total, seen = li.document_frequencies(df)
     want = np.zeros(li.BUCKETS, int)
