@@ -9,8 +9,8 @@ such a trace has a one-path lattice and stays as it is.
 
 The restored text is scored by sparse logistic regression on the presence of
 words and word beginnings.  Their label statistics cover all labelled
-documents given; the weights are fitted on a bounded sample of them
-(``MAX_FIT`` documents).
+documents given, and every feature that is often enough and associated enough
+is used; the weights are fitted on a bounded sample (``MAX_FIT`` documents).
 """
 
 from __future__ import annotations
@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from .common import arrow_map, as_binary, hash_share, saved
 from .ftrl import SparseFTRL, logits, softmax
 
-# Labelled documents that the weights are fitted on, at most, and features kept, at most.
-MAX_FIT, MAX_FEATURES = 8000, 20_000
+# Labelled documents that the weights are fitted on, at most.
+MAX_FIT = 8000
+# Share of the toxic or of the other labelled documents that must hold a feature.  It bounds the
+# features without a cap: at most (features of a mean document of either label) / MIN_SHARE.
+MIN_SHARE = 0.001
 # Chi-squared that a feature needs: by chance fewer than one in a hundred thousand has it.
 MIN_CHI = 20.0
 # Entries of a task's count table before it is handed on and started afresh.
@@ -196,8 +199,8 @@ def _features(text: str) -> set[str]:
     return words | {f" {w[:4]}" for w in words if len(w) > 4} | {f" {w[:5]}" for w in words if len(w) > 5}
 
 
-def _associated(learn: DataFrame, n0: float, n1: float, lm, most: int) -> list[str]:
-    """The features most associated with the label, by chi-squared over all rows of ``learn``."""
+def _associated(learn: DataFrame, n0: float, n1: float, lm) -> list[str]:
+    """All features associated with the label, by chi-squared over all rows of ``learn``."""
 
     def run(batches):
         restore = Deobfuscator(lm.value).restore
@@ -228,8 +231,8 @@ def _associated(learn: DataFrame, n0: float, n1: float, lm, most: int) -> list[s
     )
     both, apart = F.col("n0") + F.col("n1"), F.col("n1") * n0 - F.col("n0") * n1
     chi = apart * apart / (both * (n0 + n1 - both + 1.0) * n0 * n1) * (n0 + n1)
-    top = counted.filter(both >= 3).select("key", chi.alias("chi")).filter(F.col("chi") >= MIN_CHI)
-    return sorted(r[0] for r in top.orderBy(F.desc("chi"), "key").limit(most).collect())
+    often = (both >= 3) & ((F.col("n1") >= MIN_SHARE * n1) | (F.col("n0") >= MIN_SHARE * n0))
+    return sorted(r[0] for r in counted.filter(often & (chi >= MIN_CHI)).select("key").collect())
 
 
 class ToxicityModel:
@@ -251,7 +254,7 @@ class ToxicityModel:
 
 def fit(
     labelled: DataFrame, corpus: DataFrame, text: str = "text", label: str = "label", doc_id: str = "doc_id",
-    max_fit: int = MAX_FIT, max_features: int = MAX_FEATURES, epochs: int = 4,
+    max_fit: int = MAX_FIT, epochs: int = 4,
     within: Column | None = None,
 ) -> ToxicityModel:
     """Fit on the documents of ``corpus`` that ``labelled`` (doc_id, label) marks 0 or 1; trigrams from all of ``corpus``.
@@ -274,7 +277,7 @@ def fit(
         return ToxicityModel(trigrams, [], np.zeros((2, 1), np.float32))
     # one plan at every size: the texts of labelled documents are shuffled once, and not kept
     learn = texts.join(marks.hint("merge"), "doc_id").select("text", "label")
-    model = ToxicityModel(trigrams, _associated(learn, sizes[0], sizes[1], lm, max_features), np.zeros((2, 1), np.float32))
+    model = ToxicityModel(trigrams, _associated(learn, sizes[0], sizes[1], lm), np.zeros((2, 1), np.float32))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -295,7 +298,7 @@ def fit(
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; null and empty texts get the model's prior."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES weights and 28^3 counts
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the features' bound: MIN_SHARE; 28^3 counts
     slot = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
     named = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(slot == 0, F.lit(False)).alias("held_out"), F.col(text).alias("text")
