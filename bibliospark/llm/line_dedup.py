@@ -145,10 +145,14 @@ def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: str) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, batches: int = 4, fanout: int = 3, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, batches: int = 4, fanout: int = 3, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text",
+    drop_emptied: bool = False,
+) -> DataFrame:
     """``docs`` with repeated lines removed from ``text``; all rows and all other columns stay.
 
+    With ``drop_emptied`` a document that loses lines and has nothing but
+    blanks left goes: all it said is in smaller documents.
+
     A line is keyed by its content without outer ASCII blanks, A-Z lower-cased.
     Keys of at least ``min_chars`` code points stay only in the smallest
     document that holds them (there with all their repeats).  A null text
@@ -161,11 +165,14 @@ def dedup_lines(
     def run(batches_):
         for batch in batches_:
             at = batch.schema.get_field_index(text)
-            out = []
+            out, stays = [], []
             for t, drop in zip(as_binary(batch, text), batch.column(batch.num_columns - 1).to_pylist()):
-                out.append(t if t is None else b"\n".join(_split(t, set(drop or ()), min_chars)[0]).decode())
+                left = t if t is None else b"\n".join(_split(t, set(drop or ()), min_chars)[0])
+                out.append(None if left is None else left.decode())
+                stays.append(not (drop_emptied and drop and not left.strip(BLANK)))
             columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]).set(at, pa.field(text, pa.string())))
+            made = pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]).set(at, pa.field(text, pa.string())))
+            yield made.filter(pa.array(stays, pa.bool_())) if drop_emptied else made
 
     return arrow_map(joined, run, docs.schema)
 
