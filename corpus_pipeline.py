@@ -21,8 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines stay only in the smallest document that holds them; n_chars follows the text."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Lines stay only in the smallest document that holds them, documents left without any go; n_chars follows the text."""
+    return line_dedup.dedup_lines(docs, drop_emptied=True).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
