@@ -14,24 +14,30 @@ per pair.
    compared with one leader only (the class with the fewest certain
    differences), never all with all: (class, leader) pairs get their partial
    overlaps, and the n-grams in which they differ.
-4. Two classes that met at a leader and do not both link with it can link only
-   if they share many of their differences from it.  These are rare, so a
-   prefix-filtered join on (leader, difference) finds exactly the pairs that
-   the sizes allow, and they are counted as before.
+4. Two classes of such a block that do not both link with its leader can link
+   only if they share many of their differences from it, hence one among the
+   rarest of each.  Those that share one form a smaller block, again with one
+   leader (the member whose rarest shared difference comes first), and so on:
+   every round compares members with leaders, drops those whose positions rule
+   out a link, and ends when the links to leaders leave nothing open.
 
 So a group of a million near copies costs a row per copy and difference, not
-a row per pair; no list of documents is collected anywhere.
+a row per pair, also where it falls into families that do not link; no list
+of documents is collected anywhere, and joins on a leader, an n-gram or a
+class are dealt by a salt as well.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, as_binary, hash_words, saved, unused
+from .common import arrow_map, as_binary, hash_words, looked_up, saved, unused
 
 FRAGMENTS, FIRST = 16, 4
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -95,9 +101,7 @@ def document_sets(docs: DataFrame, n: int, below: int | None, doc_id: str = "doc
             )
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return arrow_map(
-        named.filter("doc_id is not null"), run, "doc_id long, size long, class_a long, class_b long, grams array<long>"
-    )
+    return arrow_map(named, run, "doc_id long, size long, class_a long, class_b long, grams array<long>")
 
 
 def _survivors(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -120,7 +124,8 @@ def cells(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
     every = pairs.select("a", "b", F.explode(F.sequence(F.lit(-fragments // 2), F.lit(fragments // 2 - 1))).alias("fragment"))
     left = segments.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
     right = segments.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-    both = every.join(left, ["a", "fragment"], "left").join(right, ["b", "fragment"], "left")
+    # a leader stands in many pairs
+    both = looked_up(every, right, ["b", "fragment"], "a", "left").join(left, ["a", "fragment"], "left")
     return both.select("a", "b", "fragment", F.coalesce("x", none).alias("x"), F.coalesce("y", none).alias("y"))
 
 
@@ -160,65 +165,68 @@ def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -
         "ngram-blocks",
     )
     leaders = blocks.groupBy("gram").agg(F.min(F.struct("apart", "id"))["id"].alias("leader"), F.count("*").alias("n"))
-    met = blocks.join(leaders.filter("n > 1"), "gram").filter("id <> leader")
-    met = saved(met.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-met")
+    met = looked_up(blocks, leaders.filter("n > 1"), ["gram"], "id").filter("id <> leader")
+    met = met.select(F.col("leader").alias("block"), F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+    pairs = saved(met.withColumn("settled", F.lit(None).cast("long")), "ngram-met")
+    links = []
+    while not pairs.isEmpty():
+        found, pairs = _round(pairs, segments, ranked.select("id", "size"), percent, fragments)
+        links.append(found)
+    if not links:
+        return pairs.select("a", "b")
+    every = reduce(DataFrame.unionByName, links)
+    return saved(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-links")
 
-    shared_here = F.size(F.array_intersect("x", "y")).alias("n")
 
-    def verified(partial: DataFrame) -> DataFrame:
-        sized = overlaps(partial).join(sizes.select(F.col("id").alias("a"), F.col("size").alias("size_a")), "a")
-        return sized.join(sizes.select(F.col("id").alias("b"), F.col("size").alias("size_b")), "b")
+def _round(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int) -> tuple[DataFrame, DataFrame]:
+    """The links (a, b) among ``pairs`` (block, a, b, settled), and the pairs of the next round.
 
-    total = F.col("size_a") + F.col("size_b")
+    All members ``a`` of a block are compared with its leader ``b``; members
+    with the same ``settled`` are connected already.
+    """
     compared = saved(
-        cells(met, segments, fragments).select(
-            "a", "b", shared_here, F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("differing")
+        cells(pairs.select("a", "b").distinct(), segments, fragments).select(
+            "a", "b", F.size(F.array_intersect("x", "y")).alias("n"),
+            F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("differing"),
         ),
         "ngram-compared",
     )
-    counted = saved(
-        verified(compared).select(
-            "a", "b", "size_a", (F.col("overlap") >= _least_overlap(total, percent)).alias("linked"),
-            (total - 2 * F.col("overlap")).alias("apart"),
-        ),
-        "ngram-leaders",
-    )
-    direct = counted.filter("linked").select("a", "b")
-
-    # pairs that met at one leader, found by what they have in common against it
-    differing = compared.select("a", F.col("b").alias("leader"), F.explode("differing").alias("gram"))
-    rare = differing.groupBy("leader", "gram").agg(F.count("*").alias("df"))
-    prefix = differing.join(rare.filter("df > 1"), ["leader", "gram"]).groupBy("a", "leader").agg(
-        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"), F.count("*").alias("shared")
-    )
+    size_a, size_b = (sizes.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    sized = looked_up(overlaps(compared).join(size_a, "a"), size_b, ["b"], "a")
+    total = F.col("size_a") + F.col("size_b")
+    linked = F.col("overlap") >= _least_overlap(total, percent)
+    counted = sized.select("a", "b", "size_a", linked.alias("linked"), (total - 2 * F.col("overlap")).alias("apart"))
+    counted = saved(counted, "ngram-leaders")
+    settled = F.coalesce("settled", F.when(F.col("linked"), F.col("b"))).alias("settled")
+    state = pairs.join(counted, ["a", "b"]).select("block", "a", "b", "size_a", "linked", "apart", settled)
+    state = saved(state, "ngram-state")
+
+    # blocks in which two members may still link beside the leader
+    some_open = F.max((~F.col("linked")).cast("int")).alias("open")
+    unsettled = (F.col("open") == 1) & (F.col("n") > 1) & ((F.col("settled_n") < F.col("n")) | (F.col("low") != F.col("high")))
+    standing = [F.count("*").alias("n"), F.count("settled").alias("settled_n"), F.min("settled").alias("low"), F.max("settled").alias("high"), some_open]
+    blocks = state.groupBy("block").agg(*standing).filter(unsettled).select("block")
+    differing = looked_up(state, blocks, ["block"], "a").join(compared.select("a", "b", F.explode("differing").alias("gram")), ["a", "b"])
+    differing = saved(differing, "ngram-differing")
+    rare = differing.groupBy("block", "gram").agg(F.count("*").alias("df")).filter("df > 1")
     # n-grams that nobody else differs in come first in the order, unseen: they move the others' positions up
-    at_most = F.floor(F.col("size_a") * (100 - percent) / percent).cast("long")
-    placed = prefix.join(counted.withColumnRenamed("b", "leader"), ["a", "leader"]).select(
-        "a", "leader", "size_a", "linked", "apart", F.posexplode("grams").alias("i", "g"),
-        (F.col("apart") - F.col("shared")).alias("unseen"), at_most.alias("allowed"),
-    )
-    placed = saved(
-        placed.select(
-            "a", "leader", "size_a", "linked", "apart", (F.col("unseen") + F.col("i")).alias("at"), F.col("g.gram").alias("gram"), "allowed"
-        ).filter("at <= allowed").drop("allowed"),
-        "ngram-differences",
-    )
-    one = placed.filter(~F.col("linked")).alias("p")
-    two = placed.alias("q")
-    sizes_pq = F.col("p.size_a") + F.col("q.size_a")
-    need = F.ceil((F.col("p.apart") + F.col("q.apart") - (sizes_pq - 2 * _least_overlap(sizes_pq, percent))) / 2)
-    close = one.join(
-        two,
-        (F.col("p.leader") == F.col("q.leader")) & (F.col("p.gram") == F.col("q.gram")) & (F.col("p.a") != F.col("q.a"))
-        & (F.col("p.at") <= F.col("p.apart") - need) & (F.col("q.at") <= F.col("q.apart") - need)
-        & (100 * F.least("p.size_a", "q.size_a") >= percent * F.greatest("p.size_a", "q.size_a")),
-    )
-    candidates = saved(
-        close.select(F.least("p.a", "q.a").alias("a"), F.greatest("p.a", "q.a").alias("b")).distinct(), "ngram-close"
+    ordered = looked_up(differing, rare, ["block", "gram"], "a").groupBy("block", "a", "size_a", "linked", "apart", "settled").agg(
+        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams")
     )
-    further = verified(cells(candidates, segments, fragments).select("a", "b", shared_here)).filter(F.col("overlap") >= _least_overlap(total, percent)).select("a", "b")
-    every = direct.unionByName(further)
-    return saved(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-links")
+    # sets that lie at most this far apart can link with one of size_a
+    reach = F.floor(F.col("size_a") * (100 - percent) / percent).cast("long")
+    placed = ordered.select(
+        "block", "a", "linked", "settled", reach.alias("reach"), (F.col("apart") - F.size("grams")).alias("unseen"),
+        F.posexplode("grams").alias("i", "g"),
+    )
+    place = (F.col("unseen") + F.col("i")).alias("at")
+    placed = saved(placed.select("block", "a", "linked", "settled", "reach", place, F.col("g.gram").alias("gram")).filter("at <= reach"), "ngram-placed")
+    # two that link have positions in the order, of their first common difference, that sum up to their distance at most
+    smaller = placed.groupBy("block", "gram").agg(F.min(F.struct("at", "a")).alias("first"), *standing).filter(unsettled)
+    smaller = smaller.select("block", "gram", F.col("first.at").alias("first_at"), F.col("first.a").alias("b"))
+    kept = looked_up(placed, smaller, ["block", "gram"], "a").filter("at + first_at <= reach and a <> b")
+    following = kept.select(F.xxhash64("block", "b").alias("block"), "a", "b", "settled").distinct()
+    return counted.filter("linked").select("a", "b"), saved(following, "ngram-met")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -231,9 +239,10 @@ def components(links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     edges = saved(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    # a leader has many neighbours
     labels = saved(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "labels")
     while True:
-        around = edges.join(labels.withColumnsRenamed({"id": "b"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        around = looked_up(edges, labels.withColumnsRenamed({"id": "b"}), ["b"], "a").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         lower = labels.join(around, "id").select("id", "label", F.least("label", "near").alias("low"))
         jump = labels.select(F.col("id").alias("low"), F.col("label").alias("lowest"))
         after = saved(lower.join(jump, "low").select("id", F.least("low", "lowest").alias("label"), (F.least("low", "lowest") < F.col("label")).alias("moved")), "labels")
@@ -252,13 +261,23 @@ def near_duplicates(
     word n-gram sets; component_id is the smallest doc_id reachable by links,
     itself included.  Null and blank texts have empty sets and link with
     nothing.  Repeated doc_ids with one text count as one document (and give
-    repeated rows); rows without a doc_id have neither set nor component.
+    repeated rows); one doc_id with several texts links by the largest of
+    their sets (equal sizes: by digest) and has one component, while
+    n_shingles stays each row's own.  Rows without a doc_id link with nothing
+    and have no component.
     """
     bound = _first_range(first, fragments)
-    sets = saved(document_sets(docs, n, bound, doc_id, text), "ngram-sets")
+    every = saved(document_sets(docs, n, bound, doc_id, text), "ngram-sets")
     key = ["size", "class_a", "class_b"]
-    classes = sets.filter("size > 0").groupBy(*key).agg(F.min("doc_id").alias("id"))
-    leading = sets.filter("size > 0").select("class_a", F.explode("grams").alias("gram"))
+    own = F.struct(*key)
+    several = every.filter("doc_id is not null").groupBy("doc_id").agg(F.max(own).alias("of"), F.min(own).alias("least"))
+    several = saved(several.filter("of <> least").select("doc_id", "of"), "ngram-several")
+    judged = every.join(several, "doc_id", "left").withColumn("n_shingles", F.col("size"))
+    judged = judged.withColumn("stands", F.col("of").isNull() | (F.col("of") == own))
+    judged = judged.withColumns({k: F.coalesce(F.col("of")[k], F.col(k)) for k in key})
+    sets = judged.filter("stands and size > 0 and doc_id is not null")
+    classes = sets.groupBy(*key).agg(F.min("doc_id").alias("id"))
+    leading = sets.select("class_a", F.explode("grams").alias("gram"))
     # in the first fragments class_a stands for the class: no join is needed to count
     alone = (
         leading.groupBy("gram").agg(F.min("class_a").alias("class_a"), F.max("class_a").alias("other"))
@@ -267,18 +286,18 @@ def near_duplicates(
     kept = classes.join(alone, "class_a", "left").filter(
         F.coalesce("alone", F.lit(0)) <= _allowance(F.col("size"), percent)
     )
-    kept = saved(kept.select("id", "size").distinct(), "ngram-kept")
+    kept = saved(kept.select("id", *key), "ngram-kept")
     wanted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(
         kept.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
     )
-    whole = document_sets(wanted, n, None).select(F.col("doc_id").alias("id"), "size", "grams").dropDuplicates(["id"])
-    found = components(linked_pairs(saved(whole, "ngram-whole"), percent, fragments))
-    members = classes.join(found, "id", "left").select(
-        *[F.col(k).alias(f"_{k}") for k in key], F.coalesce("component", "id").alias("component")
-    )
-    same = [F.col(k) == F.col(f"_{k}") for k in key]
-    return sets.join(members, same, "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    whole = document_sets(wanted, n, None).withColumnRenamed("doc_id", "id").join(kept.select("id", *key), ["id", *key], "left_semi")
+    whole = saved(whole.select("id", "size", "grams").dropDuplicates(["id"]), "ngram-whole")
+    found = components(linked_pairs(whole, percent, fragments))
+    members = classes.join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    # a class may hold a third of all documents; empty sets belong to none
+    return looked_up(judged.select("doc_id", "n_shingles", *key), members, key, "doc_id", "left").select(
+        "doc_id", "n_shingles", component.alias("component_id")
     )
 
 

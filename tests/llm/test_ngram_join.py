@@ -68,6 +68,63 @@ def test_one_large_family_without_a_centre(spark):
     assert found(spark, texts, n=4, percent=85) == brute(texts, 4, 85)
 
 
+@pytest.fixture()
+def written(monkeypatch):
+    """Names and row counts of all intermediates."""
+    counts = []
+
+    def saved(df, name):
+        out = common_saved(df, name)
+        counts.append((name, out.count()))
+        return out
+
+    common_saved = nj.saved
+    monkeypatch.setattr(nj, "saved", saved)
+    return counts
+
+
+def families(rng, m, edits):
+    """m texts each of two families that share most of their text and differ in one block."""
+    base, one, two = words(rng, 150), words(rng, 40), words(rng, 40)
+    return {f * 10_000 + i: " ".join(edited(rng, base, edits) + block) for f, block in enumerate((one, two)) for i in range(m)}
+
+
+def test_two_families_grow_linearly(spark, written):
+    for m in (40, 160):  # 160 have 12,720 pairs a family
+        written.clear()
+        texts = families(random.Random(5), m, 1)
+        assert found(spark, texts, n=4, percent=85) == brute(texts, 4, 85)
+        assert sum(n for name, n in written if name == "ngram-met") <= 4 * len(texts)
+        assert max(n for _, n in written) <= 4 * nj.FRAGMENTS * len(texts), written
+
+
+def test_template_just_too_far_apart(spark, written):
+    """Pages of one template that differ by a little more than a link allows: no pair links, few rounds are taken."""
+    rng = random.Random(6)
+    base = words(rng, 120)
+    texts = {i: " ".join(base + words(rng, 13)) for i in range(120)}
+    assert found(spark, texts, n=4, percent=85) == brute(texts, 4, 85)
+    assert [name for name, _ in written].count("ngram-compared") <= 4
+    assert sum(n for name, n in written if name == "ngram-met") <= 10 * len(texts)
+
+
+def test_mixed_families(spark):
+    """Families around several centres, with members between them."""
+    for seed in range(3):
+        rng = random.Random(seed)
+        base = words(rng, 120)
+        centres = [edited(rng, base, rng.choice([2, 4, 8])) for _ in range(5)]
+        texts = {rng.randrange(10**6): " ".join(edited(rng, rng.choice(centres), rng.choice([0, 1, 1, 2, 3]))) for _ in range(150)}
+        assert found(spark, texts, n=4, percent=85) == brute(texts, 4, 85)
+
+
+def test_one_id_with_several_texts(spark):
+    long, short = "a b c d e f g h", "x y z"
+    df = docs_frame(spark, [(1, long), (2, long), (2, short), (3, short), (4, short), (2, None)])
+    got = rows(nj.near_duplicates(df, 4, 85), "doc_id", "n_shingles", "component_id")
+    assert got == [(1, 5, 1), (2, 0, 1), (2, 1, 1), (2, 5, 1), (3, 1, 3), (4, 1, 3)]
+
+
 def test_chain_of_links(spark):
     rng = random.Random(4)
     chain = [words(rng, 200)]
@@ -88,7 +145,7 @@ def test_exact_bounds(spark):
 
 def test_edge_rows(spark):
     df = docs_frame(spark, [(3, "one two three four five six"), (3, "one two three four five six"), (None, "one two three four five six"), (2, "One two three four five six"), (9, "w " * 100_000)])
-    assert rows(nj.near_duplicates(df), "doc_id", "n_shingles", "component_id") == [(2, 2, 2), (3, 2, 2), (3, 2, 2), (9, 1, 9)]
+    assert rows(nj.near_duplicates(df), "doc_id", "n_shingles", "component_id") == [(None, 2, None), (2, 2, 2), (3, 2, 2), (3, 2, 2), (9, 1, 9)]
     extra = df.selectExpr("*", "doc_id AS id", "'g' AS gone", "1 AS size", "2 AS grams")
     kept = nj.keep_one(extra)
     assert kept.columns == extra.columns
