@@ -1,16 +1,24 @@
 """Readers and writers."""
 
 from bibliospark.sources.files import (
+    Loaded,
+    load_csv,
+    load_indexed_json,
+    load_jsonl,
     read_csv_table,
     read_indexed_json,
     read_jsonl,
     write_csv_table,
     write_documents,
+    write_indexed_json,
 )
+from bibliospark.sources.splits import MalformedFile
 from bibliospark.sources.tables import (
     append_conformed,
+    append_rejects,
     conform,
     load_staging,
+    load_staging_rejects,
     misfits,
     read_table,
     save_table,
@@ -18,9 +26,16 @@ from bibliospark.sources.tables import (
 )
 
 __all__ = [
+    "Loaded",
+    "MalformedFile",
     "append_conformed",
+    "append_rejects",
     "conform",
+    "load_csv",
+    "load_indexed_json",
+    "load_jsonl",
     "load_staging",
+    "load_staging_rejects",
     "misfits",
     "read_csv_table",
     "read_indexed_json",
@@ -30,4 +45,5 @@ __all__ = [
     "staging_ddl",
     "write_csv_table",
     "write_documents",
+    "write_indexed_json",
 ]

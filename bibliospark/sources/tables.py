@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from bibliospark.sources.files import read_csv_table
+from bibliospark.session import written_once
+from bibliospark.sources.files import Loaded, load_csv, read_csv_table
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +17,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_staging(spark: SparkSession, name: str, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """``COPY name FROM path CSV HEADER``: read with the declared schema and
-    register as a view (drop-and-replace, so reruns are idempotent)."""
+    register as a view (drop-and-replace, so reruns are idempotent).  A record
+    that does not fit fails the load."""
     df = read_csv_table(spark, path, schema, multi_line)
     df.createOrReplaceTempView(name)
     return df
 
 
+def load_staging_rejects(spark: SparkSession, name: str, path: str, schema: StructType, multi_line: bool = False) -> Loaded:
+    """``load_staging`` that goes on: what does not fit is the view ``{name}_rejects``
+    (the columns that could be read, and the raw record in ``_corrupt_record``)."""
+    loaded = load_csv(spark, path, schema, multi_line)
+    loaded.rows.createOrReplaceTempView(name)
+    loaded.rejects.createOrReplaceTempView(f"{name}_rejects")
+    return loaded
+
+
 def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet",
                bucket_by: tuple[int, list[str]] | None = None) -> None:
     """``DROP TABLE IF EXISTS; SELECT ... INTO name``: overwrite a table
@@ -47,35 +58,47 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared types for a result (the "best dtype" step): select the
     schema's columns by name and cast to its types.  A value that does not
     fit fails the job; ``misfits`` lists such rows beforehand."""
-    def cast(f):
-        c = F.col(f.name)
-        fits = c.isNull() | c.try_cast(f.dataType).isNotNull()
-        text = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), c.cast("string"))
-        return F.when(fits, c.try_cast(f.dataType)).otherwise(F.raise_error(text).cast(f.dataType)).alias(f.name)
+    return df.select(*[_fitting(f) for f in schema.fields])
+
 
-    return df.select(*[cast(f) for f in schema.fields])
+def _fitting(f: StructField) -> Column:
+    """The column under its declared type: one cast, and a message only where it fails."""
+    c = F.col(f"`{f.name}`")
+    text = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), c.cast("string"))
+    return F.coalesce(c.try_cast(f.dataType), F.when(c.isNotNull(), F.raise_error(text).cast(f.dataType))).alias(f.name)
+
+
+def _misfit_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), F.lit(f.name))
+           for f in schema.fields]
+    return df.withColumn("misfit_columns", F.array_compact(F.array(*bad)))
 
 
 def misfits(df: DataFrame, schema: StructType) -> DataFrame:
     """The rows of ``df`` with a value that ``conform`` could not cast, and
     the names of those columns in ``misfit_columns``."""
-    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
-           for f in schema.fields]
-    return df.withColumn("misfit_columns", F.array_compact(F.array(*bad))).filter(F.size("misfit_columns") > 0)
+    return _misfit_columns(df, schema).filter(F.size("misfit_columns") > 0)
 
 
 def append_conformed(df: DataFrame, name: str, schema: StructType) -> None:
     """``INSERT INTO name(cols) SELECT ...``: cast to the declared schema by
     name, align to the table's column order (``insertInto`` is positional)
-    and append; table columns outside ``schema`` get nulls.  The table must
-    exist."""
+    and append; table columns outside ``schema`` get nulls.  A value that does
+    not fit fails the insert.  The table must exist."""
     declared = {f.name.lower(): f for f in schema.fields}
     target = df.sparkSession.table(name).schema.fields
-    cols = [F.col(declared[f.name.lower()].name).cast(f.dataType).alias(f.name) if f.name.lower() in declared
+    cols = [_fitting(StructField(declared[f.name.lower()].name, f.dataType)).alias(f.name) if f.name.lower() in declared
             else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
     df.select(*cols).write.insertInto(name)
 
 
+def append_rejects(df: DataFrame, name: str, schema: StructType) -> DataFrame:
+    """``append_conformed`` of the rows that fit; returns those that do not, with ``misfit_columns``."""
+    judged = written_once(_misfit_columns(df, schema), "append")
+    append_conformed(judged.filter(F.size("misfit_columns") == 0).drop("misfit_columns"), name, schema)
+    return judged.filter(F.size("misfit_columns") > 0)
+
+
 def staging_ddl(df: DataFrame, name: str) -> str:
     """CREATE TABLE text for ``df``'s schema (the declared staging schema)."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in df.schema.fields)
