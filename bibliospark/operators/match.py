@@ -16,10 +16,18 @@ and then verified.
   against the haystacks' grams at all positions.
 
 Names (``first_match_contains``): per distinct needle tuple, the least build
-id whose columns contain (or, in regex mode, match) every needle.  Tuples and
-build rows meet on one composite key taken from two columns at once, the
-match is verified inside that join, where both sides' names are at hand, and
-the least id is a partial aggregation.
+id whose columns contain (or, in regex mode, match) every needle.
+
+* A build row emits the grams of each of its columns, at most ``NAME_GRAM`` per
+  character, so rows grow with a name's length and not with products of
+  lengths; only grams that some needle chose are shuffled.
+* A needle tuple joins by its rarest gram in any of its columns, by counts over
+  all build rows, and is done when a gram occurs nowhere.  The match is
+  verified inside that join.
+* Build rows come in ascending ranges of ids, each ``ID_GROWTH`` times the one
+  before.  A tuple that finds its match leaves, as no later id is less.  So a
+  common short name meets the first rows alone, and what reaches the last,
+  largest range is rare there.
 
 There is one path at every size, and no limit on candidates.  An empty
 needle, which everything contains, is resolved as an aggregate instead of
@@ -34,14 +42,16 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from bibliospark.session import written_once
 
 GRAM = 8
 STRIDE = 8
 WINDOW = GRAM + STRIDE - 1
-# Characters of a name that enter a composite key (of a single column: GRAM).
-KEY = 4
+# Characters of a name's grams; build rows of the first range of ids, and the growth of the next ones.
+NAME_GRAM = 4
+FIRST_IDS, ID_GROWTH = 1 << 16, 16
 
 
 def _gram_array(col: Column, k: int, step: int = 1) -> Column:
@@ -234,8 +244,52 @@ def prepare_build(build: DataFrame, columns: Sequence[str], build_id: str) -> Pr
     return PreparedBuild(written_once(tuples, "match-build"), list(columns), build_id)
 
 
-def _composite(parts: Sequence[Column]) -> Column:
-    return F.concat_ws(_GAP, *parts)
+def _id_ranges(tuples: DataFrame, build_id: str) -> list[Column]:
+    """Conditions on ``build_id``: ascending ranges that hold about FIRST_IDS rows, then ID_GROWTH times more each."""
+    n, shares = tuples.count(), []
+    if n > FIRST_IDS and isinstance(tuples.schema[build_id].dataType, NumericType):
+        size = FIRST_IDS
+        while size < n:
+            shares.append(size / n)
+            size *= ID_GROWTH
+    bounds = sorted(set(tuples.agg(F.percentile_approx(build_id, shares, 10_000)).first()[0])) if shares else []
+    c, steps = F.col(build_id), [None, *bounds, None]
+    both = [(F.lit(True) if a is None else c > F.lit(a)) & (F.lit(True) if b is None else c <= F.lit(b)) for a, b in zip(steps, steps[1:])]
+    return both
+
+
+def _literal_matches(tuples: DataFrame, literals: Sequence[str], hcols: Sequence[str], bcols: DataFrame, build_id: str,
+                     verify: Column, out: str) -> DataFrame:
+    """(_bs_t, out): the least build id per needle tuple that has a literal."""
+    def keyed(i: int, grams: Column) -> Column:   # a gram's column and length are part of its key
+        return F.transform(grams, lambda g: F.concat(F.lit(f"{i}:"), g))
+
+    def needle_grams(i: int) -> Column:
+        c, k = F.col(literals[i]), F.least(F.char_length(literals[i]), F.lit(NAME_GRAM))
+        every = F.transform(F.sequence(F.lit(1), F.char_length(c) - k + 1), lambda at: F.substr(c, at, k))
+        return F.when(k > 0, keyed(i, F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
+
+    columns = range(len(literals))
+    mine = written_once(tuples.select("_bs_t", F.explode(F.concat(*[needle_grams(i) for i in columns])).alias("_bs_key")), "name-grams")
+    lengths = [F.collect_set(F.least(F.char_length(x), F.lit(NAME_GRAM))) for x in literals]
+    in_use = [sorted(set(ks) - {0}) for ks in tuples.agg(*lengths).first()]   # NAME_GRAM values at most
+    grams = [keyed(i, _gram_array(F.col(hcols[i]), k)) for i in columns for k in in_use[i]]
+    if not grams:
+        return tuples.select("_bs_t", F.lit(None).cast(bcols.schema[build_id].dataType).alias(out)).limit(0)
+    emitted = bcols.withColumn("_bs_key", F.explode(F.concat(*grams)))
+    wanted = written_once(mine.select("_bs_key").distinct(), "name-grams-wanted")
+    counts = emitted.select("_bs_key").join(wanted, "_bs_key", "left_semi").groupBy("_bs_key").agg(F.count(F.lit(1)).alias("n"))
+    rarest = mine.join(counts, "_bs_key", "left").groupBy("_bs_t").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_bs_key")).alias("x"))
+    open_ = written_once(tuples.join(rarest.filter("x.n > 0").select("_bs_t", "x._bs_key"), "_bs_t"), "name-keys")
+    chosen = written_once(open_.select("_bs_key").distinct(), "name-keys-chosen")
+    hits = written_once(emitted.join(chosen, "_bs_key", "left_semi"), "name-hits")
+    found = []
+    for within in _id_ranges(bcols, build_id):
+        best = open_.join(hits.filter(within), "_bs_key").filter(verify).groupBy("_bs_t").agg(F.min(build_id).alias(out))
+        found.append(written_once(best, "name-matches"))
+        open_ = open_.join(found[-1], "_bs_t", "left_anti")
+    return reduce(DataFrame.unionByName, found)
 
 
 def first_match_contains(probe: DataFrame, build: DataFrame | PreparedBuild, pairs: Sequence[tuple[str, str]],
@@ -251,12 +305,7 @@ def first_match_contains(probe: DataFrame, build: DataFrame | PreparedBuild, pai
     find nothing (``rejected_patterns`` lists them).  Rows without a match
     are dropped (``how='inner'``) or kept with a null id (``how='left'``).
     Work is done once per distinct needle tuple, then joined back.
-    ``build`` may be a ``prepare_build`` result shared by several calls.
-
-    Needle tuples are keyed by the first ``KEY`` characters of their needles
-    (of the first two pairs), build rows by all combinations of such grams of
-    their two columns, of the few lengths in use: a common surname alone, or
-    a common initial alone, brings nothing together."""
+    ``build`` may be a ``prepare_build`` result shared by several calls."""
     out = out or build_id
     ncols = [p for p, _ in pairs]
     hcols = [f"_bs_h_{i}" for i in range(len(pairs))]
@@ -281,46 +330,26 @@ def first_match_contains(probe: DataFrame, build: DataFrame | PreparedBuild, pai
         supported = reduce(lambda a, b: a & b, [r.ok for r in read]) & ~_without_literal(ncols)
         tuples = written_once(tuples.withColumns({
             **{x: r.literal for x, r in zip(literals, read)}, **{x: r.java for x, r in zip(regexes, read)},
-            "_bs_ok": supported}), "match-needles")
+            "_bs_ok": supported, "_bs_t": F.monotonically_increasing_id()}), "match-needles")
         if on_reject == "raise" and (bad := tuples.filter(~F.col("_bs_ok")).select(*ncols).take(3)):
             n = tuples.filter(~F.col("_bs_ok")).count()
             raise ValueError(f"{n} pattern tuples can't be searched for, such as {[tuple(b) for b in bad]}")
         tuples = tuples.filter("_bs_ok")
         verify = reduce(lambda a, b: a & b, [F.regexp_like(F.col(h), F.col(x)) for h, x in zip(hcols, regexes)])
     else:
-        tuples = written_once(tuples.withColumns({x: F.col(n) for x, n in zip(literals, ncols)}), "match-needles")
+        tuples = written_once(tuples.withColumns({
+            **{x: F.col(n) for x, n in zip(literals, ncols)}, "_bs_t": F.monotonically_increasing_id()}), "match-needles")
         verify = reduce(lambda a, b: a & b, [F.col(h).contains(F.col(n)) for h, n in zip(hcols, ncols)])
 
-    keyed_by = range(min(2, len(pairs)))
-    most = KEY if len(pairs) > 1 else GRAM
-    sizes = [F.least(F.char_length(literals[i]), F.lit(most)) for i in range(len(pairs))]
     some = reduce(lambda a, b: a | b, [F.char_length(x) > 0 for x in literals])
-    searched = tuples.filter(some).withColumns({
-        "_bs_key": _composite([F.substr(F.col(literals[i]), F.lit(1), sizes[i]) for i in keyed_by]),
-        "_bs_k": F.array(*[sizes[i] for i in keyed_by]),
-    })
-    in_use = sorted(tuple(r[0]) for r in searched.select("_bs_k").distinct().collect())   # (KEY + 1)^2 at most
-
-    def grams(i: int, k: int) -> Column:
-        return F.array(F.lit("")) if k == 0 else _gram_array(F.col(hcols[i]), k)
-
-    def combined(ks: tuple[int, ...]) -> Column:
-        if len(ks) == 1:
-            return grams(0, ks[0])
-        one, two = grams(0, ks[0]), grams(1, ks[1])
-        return F.flatten(F.transform(one, lambda a: F.transform(two, lambda b: _composite([a, b]))))
-
-    best = tuples.select(*ncols).withColumn(out, F.lit(None).cast(bcols.schema[build_id].dataType)).filter(F.lit(False))
-    if in_use:
-        complete = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
-        keyed = bcols.filter(complete).withColumn("_bs_key", F.explode(F.concat(*[combined(ks) for ks in in_use])))
-        best = searched.join(keyed, "_bs_key").filter(verify).groupBy(*ncols).agg(F.min(build_id).alias(out))
+    complete = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
+    best = _literal_matches(tuples.filter(some), literals, hcols, bcols.filter(complete), build_id, verify, out)
+    best = tuples.select(*ncols, "_bs_t").join(best, "_bs_t").drop("_bs_t")
     # tuples without any literal: all needles empty, or patterns of dots alone
     bare = tuples.filter(~some).select(*ncols)
     if match == "regex":
         best = best.unionByName(_wildcard_only_best(bare, ncols, bcols, build_id, hcols, out))
     else:
-        complete = reduce(lambda a, b: a & b, [F.col(h).isNotNull() for h in hcols])
         least = bcols.filter(complete).agg(F.min(build_id)).first()[0]
         if least is not None:
             best = best.unionByName(bare.withColumn(out, F.lit(least)))

@@ -1,8 +1,8 @@
 """The four pipelines as registered queries, on publication records that are
 derived from whole ``documents`` and ``labels``.
 
-Names come from each text's words (thousands of distinct ones), DOIs from its
-digest, DOI metadata from the labels and genders from the length of a first
+The title is the whole text, names are words of its beginning, middle and end
+(thousands of distinct ones), DOIs come from its digest, DOI metadata from the labels and genders from the length of a first
 name, some of which the lookup lacks.  ``RECORDS_SQL`` derives the same
 records in SQL; each query's twin states its rules on top of that.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN, first_token
 from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
+from bibliospark.plans.lazy import LazyTables
 from bibliospark.plans.warehouse_queries import gender_share
 from bibliospark.session import written_once
 from bibliospark.sources import read_table
@@ -29,20 +30,22 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     w = F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +")
 
-    def word(i: int):
-        return F.coalesce(F.try_element_at(w, F.lit(i)), F.lit(""))
+    def word(i):
+        i = F.lit(i) if isinstance(i, int) else i
+        return F.coalesce(F.try_element_at(w, i), F.lit(""))
 
-    n = F.char_length("text")
+    n, last = F.char_length("text"), F.greatest(F.size(w) - 1, F.lit(1))
+    middle = F.floor(F.size(w) / 2).cast("int") + 1
     return docs.select(
         F.col("doc_id").alias("id"),
         F.concat_ws(" ", word(2), word(1)).alias("submitter"),
-        F.substring("text", 1, 80).alias("title"),
+        F.col("text").alias("title"),
         F.when(n % 7 == 0, "None").otherwise("c").alias("comments"),
         F.when(n % 11 != 0, F.concat(F.lit("10.1/"), F.md5("text"))).alias("doi"),
         F.col("lang").alias("categories"),
         F.lit("unused").alias("abstract"),
         F.array(F.struct(F.lit(V1).alias("created")), F.struct(F.when(n % 2 == 0, V2).otherwise(V1).alias("created"))).alias("versions"),
-        F.array(*[F.array(word(i), word(i + 1)) for i in (1, 3, 5)]).alias("authors_parsed"),
+        F.array(*[F.array(word(i), word(i + 1)) for i in (1, middle, last)]).alias("authors_parsed"),
     )
 
 
@@ -63,22 +66,22 @@ def gender_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return names.filter((k != 4) & (F.col("firstname") != "")).select("firstname", gender.alias("gender"))
 
 
-def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """P1 and P2, the shared intermediates written once as the runner does."""
+def _tables(spark: SparkSession, sf: str) -> LazyTables:
+    """P1 and P2, the shared intermediates written once as the runner does; tables are built when asked for."""
     clean = pipelines.clean_publications(records(spark, sf))
     pubs = written_once(pipelines.enrich_publications(clean, doi_lookup(spark, sf)), "p2-publications")
     authors = written_once(author_ids(pubs), "p2-authors")
-    return {"publications": pubs, "authors": authors, **pipelines.derive_tables(pubs, authors, gender_lookup(spark, sf))}
+    return pipelines.derive_tables(pubs, authors, gender_lookup(spark, sf)) | {"publications": pubs, "authors": authors}
 
 
 RECORDS_SQL = f"""
     words AS (SELECT *, string_split_regex(regexp_replace(text, '[^\\p{{L}} ]', '', 'g'), ' +') AS w FROM documents),
-    rec AS (SELECT doc_id AS id, coalesce(w[2], '') || ' ' || coalesce(w[1], '') AS submitter, substr(text, 1, 80) AS title,
+    rec AS (SELECT doc_id AS id, coalesce(w[2], '') || ' ' || coalesce(w[1], '') AS submitter, text AS title,
                    CASE WHEN length(text) % 7 = 0 THEN 'None' ELSE 'c' END AS comments,
                    CASE WHEN length(text) % 11 <> 0 THEN '10.1/' || md5(text) END AS doi, lang AS categories,
                    '{V1}' AS publ_date, CASE WHEN length(text) % 2 = 0 THEN '{V2}' ELSE '{V1}' END AS publ_lastupdate,
-                   [[coalesce(w[1], ''), coalesce(w[2], '')], [coalesce(w[3], ''), coalesce(w[4], '')],
-                    [coalesce(w[5], ''), coalesce(w[6], '')]] AS ap
+                   list_transform([1, len(w) // 2 + 1, greatest(len(w) - 1, 1)],
+                                  lambda i: [coalesce(w[i], ''), coalesce(w[i + 1], '')]) AS ap
             FROM words),
     clean AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY submitter, title, comments, doi, categories) AS copies
                              FROM rec WHERE length(title) >= 35) WHERE copies = 1)"""

@@ -8,13 +8,14 @@ P3 ``build_warehouse``     P2 tables -> dimensions, fact, bridge, versions
 P4 ``build_graph``         P2 tables -> node and edge tables
 
 Building them runs jobs: operators that need a global order or write an
-intermediate once do so eagerly.  Persist the results as Parquet tables with
+intermediate once do so eagerly, when their table is first asked for.  Persist the results as Parquet tables with
 ``sources.save_table`` between runs, as ``plans.run`` does.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,7 @@ from bibliospark.operators import (
     rejected_patterns,
     relations,
 )
+from bibliospark.plans.lazy import LazyTables
 
 # Fixed values taken over from the reference's behaviour.
 DROPPED_SOURCE_FIELDS = ["abstract", "update_date", "license"]
@@ -95,50 +97,59 @@ def enrich_publications(pubs: DataFrame, doi_lookup: DataFrame, max_publications
 
 
 def derive_tables(df: DataFrame, authors: DataFrame, gender_lookup: DataFrame, csv_parity: bool = False,
-                  match: str = "contains") -> dict[str, DataFrame]:
+                  match: str = "contains") -> LazyTables:
     """Second half of P2, from enriched publications and their author table
     (``author_ids(df)``): gender_data, versions, bridge, author_genders,
     final and reference_counts."""
     flat = flatten_authors(df)
     build = _csv_nulls(authors, ["Surname", "Names"]) if csv_parity else authors
 
-    firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")
-    # a first name without a lookup row is skipped; one whose gender is null stays
-    gender_data = firstnames.distinct().filter(~F.col("firstname").contains(".")).join(
-        one_row_per_key(gender_lookup.select("firstname", "gender").dropna(subset=["firstname"]), "firstname"),
-        "firstname")
-
-    # both matches search the same author columns: prepare them once
-    prepared = prepare_build(build, ["Names", "Surname"], "author_id")
-    bridge = first_match_contains(flat, prepared, [("Names", "Names"), ("Surname", "Surname")], "author_id",
-                                  match=match, on_reject="skip").select(F.col("id").alias("publication_id"), "author_id")
-
-    sub = df.select("id", first_token("submitter").alias("sub_name"), last_token("submitter").alias("sub_surname"))
-    sub = sub.filter(F.col("sub_name") != "").withColumn("sub_initial", first_char("sub_name"))
-    sub_author = first_match_contains(sub, prepared, [("sub_initial", "Names"), ("sub_surname", "Surname")],
-                                      "author_id", match=match, on_reject="skip")
-    author_genders = (
-        sub_author.join(gender_data.withColumnRenamed("firstname", "sub_name"), "sub_name")
-        .filter(~F.col("gender").eqNullSafe(UNKNOWN_GENDER))
-        .select("author_id", "gender")
-    )
+    @cache
+    def gender_data() -> DataFrame:
+        firstnames = df.select(first_token("submitter").alias("firstname")).filter(F.col("firstname") != "")
+        # a first name without a lookup row is skipped; one whose gender is null stays
+        return firstnames.distinct().filter(~F.col("firstname").contains(".")).join(
+            one_row_per_key(gender_lookup.select("firstname", "gender").dropna(subset=["firstname"]), "firstname"),
+            "firstname")
+
+    @cache
+    def prepared():   # both matches search the same author columns: prepare them once
+        return prepare_build(build, ["Names", "Surname"], "author_id")
+
+    def bridge() -> DataFrame:
+        found = first_match_contains(flat, prepared(), [("Names", "Names"), ("Surname", "Surname")], "author_id",
+                                     match=match, on_reject="skip")
+        return found.select(F.col("id").alias("publication_id"), "author_id")
+
+    @cache
+    def submitters() -> DataFrame:
+        sub = df.select("id", first_token("submitter").alias("sub_name"), last_token("submitter").alias("sub_surname"))
+        return sub.filter(F.col("sub_name") != "").withColumn("sub_initial", first_char("sub_name"))
+
+    def author_genders() -> DataFrame:
+        sub_author = first_match_contains(submitters(), prepared(), [("sub_initial", "Names"), ("sub_surname", "Surname")],
+                                          "author_id", match=match, on_reject="skip")
+        return (
+            sub_author.join(gender_data().withColumnRenamed("firstname", "sub_name"), "sub_name")
+            .filter(~F.col("gender").eqNullSafe(UNKNOWN_GENDER))
+            .select("author_id", "gender")
+        )
 
     rejected = {}
     if match == "regex":   # names that are no searchable patterns are listed, not dropped in silence
-        rejected["rejected_names"] = rejected_patterns(flat, ["Names", "Surname"])
-        rejected["rejected_submitters"] = rejected_patterns(sub, ["sub_initial", "sub_surname"])
+        rejected["rejected_names"] = lambda: rejected_patterns(flat, ["Names", "Surname"])
+        rejected["rejected_submitters"] = lambda: rejected_patterns(submitters(), ["sub_initial", "sub_surname"])
 
-    final = df.select("id", "title", "comments", "doi", "reference_count",
-                      first_or_null("discipline").alias("discipline"), "publication_type", "journal")
-    return {
-        "reference_counts": df.select("id", "reference_count"),
+    return LazyTables({
+        "reference_counts": lambda: df.select("id", "reference_count"),
         "gender_data": gender_data,
-        "versions": flatten_versions(df),
+        "versions": lambda: flatten_versions(df),
         "bridge": bridge,
         "author_genders": author_genders,
-        "final": final,
+        "final": lambda: df.select("id", "title", "comments", "doi", "reference_count",
+                                   first_or_null("discipline").alias("discipline"), "publication_type", "journal"),
         **rejected,
-    }
+    })
 
 
 def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame, max_publications: int | None = None,
@@ -163,12 +174,12 @@ def normalise(pubs: DataFrame, doi_lookup: DataFrame, gender_lookup: DataFrame,
     the reference's CSV round trip does (such authors then never match)."""
     df = enrich_publications(pubs, doi_lookup, max_publications)
     authors = author_ids(df)
-    return {"publications": df, "authors": authors, **derive_tables(df, authors, gender_lookup, csv_parity, match)}
+    return derive_tables(df, authors, gender_lookup, csv_parity, match) | {"publications": df, "authors": authors}
 
 
 # ---------------------------------------------------------------- P3
 
-def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", strict: bool = False) -> dict:
+def build_warehouse(tables: Mapping[str, DataFrame], dim_mode: str = "distinct", strict: bool = False) -> LazyTables:
     """Star schema from the P2 tables, plus audits of its declared keys.
 
     ``dim_mode='distinct'``: one id per distinct name (what the schema
@@ -178,52 +189,46 @@ def build_warehouse(tables: dict[str, DataFrame], dim_mode: str = "distinct", st
     ``strict=True`` raises on violations of the validated constraints
     (primary keys, dim_gender and bridge foreign keys)."""
     final = tables["final"]
-    if dim_mode == "distinct":
-        dj = dim_distinct(final, "journal", "journal_id", "journal_name")
-        dd = dim_distinct(final, "discipline", "discipline_id", "discipline_name")
-        dp = dim_distinct(final, "publication_type", "publication_type_id", "publication_type_name")
-    elif dim_mode == "per_row":
-        dj = dim_per_row(final, "journal", ["id"], "journal_id", "journal_name")
-        dd = dim_per_row(final, "discipline", ["id"], "discipline_id", "discipline_name", sort_col="publication_type")
-        dp = dim_per_row(final, "publication_type", ["id"], "publication_type_id", "publication_type_name")
-    else:
-        raise ValueError(dim_mode)
 
+    @cache
+    def dimension(name: str) -> DataFrame:
+        if dim_mode == "distinct":
+            return dim_distinct(final, name, f"{name}_id", f"{name}_name")
+        sort_col = {"sort_col": "publication_type"} if name == "discipline" else {}
+        return dim_per_row(final, name, ["id"], f"{name}_id", f"{name}_name", **sort_col)
+
+    if dim_mode not in ("distinct", "per_row"):
+        raise ValueError(dim_mode)
     pubs = final.withColumnRenamed("id", "publication_id")
     # Keeping the least (discipline, type, journal) id triple of the joined
     # rows equals taking the least id per name in each dimension on its own,
     # so each dimension is reduced to name -> min(id) before the join: a
     # per-row dimension cannot multiply fact rows (a name shared by a third
     # of all publications would otherwise square that third).
-    def least_id(dim: DataFrame, name: str, id_: str) -> DataFrame:
-        return dim.groupBy(name).agg(F.min(id_).alias(id_))
-
-    fact = join_star(pubs, [(least_id(dd, "discipline_name", "discipline_id"), "discipline", "discipline_name"),
-                            (least_id(dp, "publication_type_name", "publication_type_id"), "publication_type",
-                             "publication_type_name"),
-                            (least_id(dj, "journal_name", "journal_id"), "journal", "journal_name")])
-    fact = fact.select("publication_id", "title", "comments", "doi", "reference_count",
-                       "discipline_id", "publication_type_id", "journal_id")
-    fact = distinct_on(fact, ["publication_id"], [(c, "asc_nulls_last") for c in
-                                                  ("discipline_id", "publication_type_id", "journal_id")])
-    dim_author = tables["authors"].select("author_id", "Surname", "Names")
-    dim_gender = tables["author_genders"].select("author_id", "gender")
-    bridge = tables["bridge"].select("publication_id", "author_id")
-    versions = tables["versions"].select(F.col("id").alias("publication_id"), "version")
-
-    return {
-        "dim_author": dim_author,
-        "dim_gender": dim_gender,
-        "dim_journal": dj,
-        "dim_discipline": dd,
-        "dim_publication_type": dp,
+    def least_id(name: str) -> tuple[DataFrame, str, str]:
+        least = dimension(name).groupBy(f"{name}_name").agg(F.min(f"{name}_id").alias(f"{name}_id"))
+        return least, name, f"{name}_name"
+
+    def fact() -> DataFrame:
+        ids = ("discipline_id", "publication_type_id", "journal_id")
+        joined = join_star(pubs, [least_id("discipline"), least_id("publication_type"), least_id("journal")])
+        joined = joined.select("publication_id", "title", "comments", "doi", "reference_count", *ids)
+        return distinct_on(joined, ["publication_id"], [(c, "asc_nulls_last") for c in ids])
+
+    built = LazyTables({
+        "dim_author": lambda: tables["authors"].select("author_id", "Surname", "Names"),
+        "dim_gender": lambda: tables["author_genders"].select("author_id", "gender"),
+        "dim_journal": lambda: dimension("journal"),
+        "dim_discipline": lambda: dimension("discipline"),
+        "dim_publication_type": lambda: dimension("publication_type"),
         "fact_publications": fact,
-        "bridge_author_publications": bridge,
-        "dim_versions": versions,
-        "audits": audit_warehouse({"dim_author": dim_author, "dim_gender": dim_gender, "dim_journal": dj,
-                                   "dim_discipline": dd, "dim_publication_type": dp, "fact_publications": fact,
-                                   "bridge_author_publications": bridge, "dim_versions": versions}, strict),
-    }
+        "bridge_author_publications": lambda: tables["bridge"].select("publication_id", "author_id"),
+        "dim_versions": lambda: tables["versions"].select(F.col("id").alias("publication_id"), "version"),
+    })
+    audits = LazyTables({**{name: (lambda name=name: built[name]) for name in built}, "audits": lambda: audit_warehouse(built, strict)})
+    if strict:
+        audits["audits"]
+    return audits
 
 
 def audit_warehouse(wh: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:

@@ -107,12 +107,11 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
 
     wh = pipelines.build_warehouse(tables, dim_mode=dim_mode)
     if buckets:
-        for name, df in wh.items():
-            if name in BUCKET_KEYS:
-                save_table(df, name, path=path(f"warehouse/{name}"), bucket_by=(buckets, [BUCKET_KEYS[name]]))
-        write({k: v for k, v in wh.items() if k != "audits" and k not in BUCKET_KEYS}, "warehouse")
+        for name, key in BUCKET_KEYS.items():
+            save_table(wh[name], name, path=path(f"warehouse/{name}"), bucket_by=(buckets, [key]))
+        write({k: wh[k] for k in wh if k != "audits" and k not in BUCKET_KEYS}, "warehouse")
     else:
-        write({k: v for k, v in wh.items() if k != "audits"}, "warehouse")
+        write({k: wh[k] for k in wh if k != "audits"}, "warehouse")
     # audits run on the written tables, all counts in one job; violation
     # details are written only for the constraints that fail
     written = {name: read("warehouse", name) for name in wh if name != "audits"}
