@@ -53,7 +53,7 @@ SALTS = 32
 
 
 def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
-    """``rows`` joined with the one row that ``table`` has of their ``keys``, however many share a key.
+    """``rows`` joined with the few rows that ``table`` has of their ``keys``, however many share a key.
 
     Rows are dealt by key and a salt (from column ``by``); ``table`` is copied
     only to the salts that occur, by way of one row per key and salt.  ``rows``

@@ -16,10 +16,11 @@ per pair.
    overlaps, and the n-grams in which they differ.
 4. Two classes of such a block that do not both link with its leader can link
    only if they share many of their differences from it, hence one among the
-   rarest of each.  Those that share one form a smaller block, again with one
-   leader (the member whose rarest shared difference comes first), and so on:
-   every round compares members with leaders, drops those whose positions rule
-   out a link, and ends when the links to leaders leave nothing open.
+   rarest of each, at positions that sum up to their distance at most.  The
+   members that share such a difference are compared with one further leader,
+   the one whose position comes first, then with two, four and so on; only
+   members that the links found so far leave in different components are, so a
+   family is settled by one leader, and no pair of siblings is formed.
 
 So a group of a million near copies costs a row per copy and difference, not
 a row per pair, also where it falls into families that do not link; no list
@@ -29,12 +30,10 @@ class are dealt by a salt as well.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, as_binary, hash_words, looked_up, saved, unused
@@ -134,11 +133,11 @@ def overlaps(partial: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum("n").cast("long").alias("overlap"))
 
 
-def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
-    """(a, b) with a < b: links between ``classes`` (id, size, grams) whose components are those of all links.
+def linked_components(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
+    """(id, component): the smallest id that links between ``classes`` (id, size, grams) reach, for every id with a link.
 
-    Every pair of linked classes is joined by a path of the returned links,
-    each of which is a true link.
+    Every pair of linked classes is either compared, or already joined by a
+    path of links that were found.
     """
     postings = classes.select(F.explode("grams").alias("gram"), "id")
     ranked = saved(_survivors(postings, classes, percent), "ngram-survivors")
@@ -166,26 +165,30 @@ def linked_pairs(classes: DataFrame, percent: int, fragments: int = FRAGMENTS) -
     )
     leaders = blocks.groupBy("gram").agg(F.min(F.struct("apart", "id"))["id"].alias("leader"), F.count("*").alias("n"))
     met = looked_up(blocks, leaders.filter("n > 1"), ["gram"], "id").filter("id <> leader")
-    met = met.select(F.col("leader").alias("block"), F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    pairs = saved(met.withColumn("settled", F.lit(None).cast("long")), "ngram-met")
-    links = []
-    while not pairs.isEmpty():
-        found, pairs = _round(pairs, segments, ranked.select("id", "size"), percent, fragments)
-        links.append(found)
-    if not links:
-        return pairs.select("a", "b")
-    every = reduce(DataFrame.unionByName, links)
-    return saved(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-links")
-
-
-def _round(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int) -> tuple[DataFrame, DataFrame]:
-    """The links (a, b) among ``pairs`` (block, a, b, settled), and the pairs of the next round.
-
-    All members ``a`` of a block are compared with its leader ``b``; members
-    with the same ``settled`` are connected already.
-    """
+    met = saved(met.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-met")
+    compared, counted = _compared(met, segments, ranked.select("id", "size"), percent, fragments)
+    labels = components(counted.filter("linked").select("a", "b"))
+    rows = _shared_differences(compared, counted, labels, percent)
+    done, leading = met, 1
+    while True:
+        rows = saved(_active(rows, labels), "ngram-active")
+        if rows.isEmpty():
+            return labels
+        first = Window.partitionBy("block", "gram").orderBy("at", "a")
+        ahead = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= leading).drop("place")
+        ahead = saved(ahead, "ngram-ahead")
+        pairs = saved(_pairs(rows, ahead, percent).join(done, ["a", "b"], "left_anti"), "ngram-pairs")
+        _, counted = _compared(pairs, segments, ranked.select("id", "size"), percent, fragments)
+        labels = _merged(labels, counted.filter("linked").select("a", "b"))
+        # a leader has met all it could link with
+        rows = rows.drop("component").join(ahead.select("block", "gram", "a"), ["block", "gram", "a"], "left_anti")
+        done, leading = done.unionByName(pairs), 2 * leading
+
+
+def _compared(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int) -> tuple[DataFrame, DataFrame]:
+    """Per pair (a, b) and fragment the n-grams in which they differ; per pair whether it links, and the distance."""
     compared = saved(
-        cells(pairs.select("a", "b").distinct(), segments, fragments).select(
+        cells(pairs.select("a", "b"), segments, fragments).select(
             "a", "b", F.size(F.array_intersect("x", "y")).alias("n"),
             F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("differing"),
         ),
@@ -196,37 +199,73 @@ def _round(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int
     total = F.col("size_a") + F.col("size_b")
     linked = F.col("overlap") >= _least_overlap(total, percent)
     counted = sized.select("a", "b", "size_a", linked.alias("linked"), (total - 2 * F.col("overlap")).alias("apart"))
-    counted = saved(counted, "ngram-leaders")
-    settled = F.coalesce("settled", F.when(F.col("linked"), F.col("b"))).alias("settled")
-    state = pairs.join(counted, ["a", "b"]).select("block", "a", "b", "size_a", "linked", "apart", settled)
-    state = saved(state, "ngram-state")
-
-    # blocks in which two members may still link beside the leader
-    some_open = F.max((~F.col("linked")).cast("int")).alias("open")
-    unsettled = (F.col("open") == 1) & (F.col("n") > 1) & ((F.col("settled_n") < F.col("n")) | (F.col("low") != F.col("high")))
-    standing = [F.count("*").alias("n"), F.count("settled").alias("settled_n"), F.min("settled").alias("low"), F.max("settled").alias("high"), some_open]
-    blocks = state.groupBy("block").agg(*standing).filter(unsettled).select("block")
-    differing = looked_up(state, blocks, ["block"], "a").join(compared.select("a", "b", F.explode("differing").alias("gram")), ["a", "b"])
-    differing = saved(differing, "ngram-differing")
+    return compared, saved(counted, "ngram-counted")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of ``a``: itself, where it has no link yet."""
+    return rows.join(labels.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+
+
+def _shared_differences(compared: DataFrame, counted: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(block, gram, a, size, at, reach): the rarest differences of each member from its leader (the block),
+    where members of several components share them; ``at`` is the position in the member's order."""
+    state = saved(_labelled(counted, labels).withColumnRenamed("b", "block"), "ngram-state")
+    mixed = state.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    state = looked_up(state, mixed.filter("low <> high").select("block"), ["block"], "a")
+    differing = compared.select("a", F.col("b").alias("block"), F.explode("differing").alias("gram"))
+    differing = saved(state.join(differing, ["a", "block"]), "ngram-differing")
     rare = differing.groupBy("block", "gram").agg(F.count("*").alias("df")).filter("df > 1")
     # n-grams that nobody else differs in come first in the order, unseen: they move the others' positions up
-    ordered = looked_up(differing, rare, ["block", "gram"], "a").groupBy("block", "a", "size_a", "linked", "apart", "settled").agg(
+    ordered = looked_up(differing, rare, ["block", "gram"], "a").groupBy("block", "a", "size_a", "apart").agg(
         F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams")
     )
-    # sets that lie at most this far apart can link with one of size_a
+    # sets that lie farther apart can't link with one of size_a
     reach = F.floor(F.col("size_a") * (100 - percent) / percent).cast("long")
     placed = ordered.select(
-        "block", "a", "linked", "settled", reach.alias("reach"), (F.col("apart") - F.size("grams")).alias("unseen"),
+        "block", "a", F.col("size_a").alias("size"), reach.alias("reach"), (F.col("apart") - F.size("grams")).alias("unseen"),
         F.posexplode("grams").alias("i", "g"),
     )
     place = (F.col("unseen") + F.col("i")).alias("at")
-    placed = saved(placed.select("block", "a", "linked", "settled", "reach", place, F.col("g.gram").alias("gram")).filter("at <= reach"), "ngram-placed")
-    # two that link have positions in the order, of their first common difference, that sum up to their distance at most
-    smaller = placed.groupBy("block", "gram").agg(F.min(F.struct("at", "a")).alias("first"), *standing).filter(unsettled)
-    smaller = smaller.select("block", "gram", F.col("first.at").alias("first_at"), F.col("first.a").alias("b"))
-    kept = looked_up(placed, smaller, ["block", "gram"], "a").filter("at + first_at <= reach and a <> b")
-    following = kept.select(F.xxhash64("block", "b").alias("block"), "a", "b", "settled").distinct()
-    return counted.filter("linked").select("a", "b"), saved(following, "ngram-met")
+    return saved(placed.select("block", F.col("g.gram").alias("gram"), "a", "size", place, "reach").filter("at <= reach"), "ngram-placed")
+
+
+def _active(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` that may link with one of another component: the two positions sum up to the member's reach at most."""
+    rows = saved(_labelled(rows, labels), "ngram-rows")
+    least = rows.groupBy("block", "gram", "component").agg(F.min("at").alias("at"))
+    order = Window.partitionBy("block", "gram").orderBy("at", "component")
+    two = least.withColumn("place", F.row_number().over(order)).filter("place <= 2")  # of different components
+    two = two.groupBy("block", "gram").agg(
+        F.min(F.struct("place", "component"))["component"].alias("nearest"), F.min("at").alias("one"), F.max("at").alias("other"), F.count("*").alias("n")
+    ).filter("n = 2")
+    other = F.when(F.col("component") == F.col("nearest"), F.col("other")).otherwise(F.col("one"))
+    return looked_up(rows, two, ["block", "gram"], "a").filter(F.col("at") + other <= F.col("reach")).select(*rows.columns)
+
+
+def _pairs(rows: DataFrame, ahead: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members and leaders that share a difference, lie in different components and may link."""
+    leaders = ahead.select("block", "gram", *[F.col(c).alias(f"{c}_b") for c in ("a", "size", "at", "reach", "component")])
+    fits = (
+        (F.col("component") != F.col("component_b"))
+        & (F.col("at") + F.col("at_b") <= F.least("reach", "reach_b"))
+        & (100 * F.least("size", "size_b") >= percent * F.greatest("size", "size_b"))
+    )
+    met = looked_up(rows, leaders, ["block", "gram"], "a").filter(fits)
+    return met.select(F.greatest("a", "a_b").alias("a"), F.least("a", "a_b").alias("b")).distinct()
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Component labels (id, component) after further links (a, b)."""
+    ends = saved(links.select("a").unionByName(links.select(F.col("b").alias("a"))).distinct(), "ngram-ends")
+    if ends.isEmpty():
+        return labels
+    known = saved(labels.unionByName(ends.join(labels.select(F.col("id").alias("a")), "a", "left_anti").select("a", F.col("a").alias("component")).toDF("id", "component")), "labels")
+    side = {c: known.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"}
+    between = looked_up(saved(links.join(side["a"], "a"), "ngram-between"), side["b"], ["b"], "a").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    joined = components(between.filter("a <> b").distinct()).toDF("component", "lowest")
+    after = looked_up(known, joined, ["component"], "id", "left").select("id", F.coalesce("lowest", "component").alias("component"))
+    return saved(after, "labels")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -292,7 +331,7 @@ def near_duplicates(
     )
     whole = document_sets(wanted, n, None).withColumnRenamed("doc_id", "id").join(kept.select("id", *key), ["id", *key], "left_semi")
     whole = saved(whole.select("id", "size", "grams").dropDuplicates(["id"]), "ngram-whole")
-    found = components(linked_pairs(whole, percent, fragments))
+    found = linked_components(whole, percent, fragments)
     members = classes.join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     # a class may hold a third of all documents; empty sets belong to none
