@@ -1,20 +1,22 @@
 """Run the four pipelines in order, each stage writing its tables.
 
-    python -m bibliospark.plans.run --source pubs.jsonl --doi-lookup doi.parquet \\
+    python -m bibliospark.plans.run --source pubs.json --doi-lookup doi.parquet \\
         --gender-lookup genders.csv --out hdfs:///shared/bibliospark [--max-publications 100]
 
-Stage outputs are Parquet folders under ``out`` (plus a JSON
-``audit_summary``); the next stage reads them
-back, so each stage starts from written data (lineage is cut at stage
-boundaries and a failed stage can be rerun alone).  Every write overwrites:
-reruns are idempotent, as drop-and-rebuild is in the reference.
+Stage outputs are Parquet folders of a new version under ``out`` (plus a JSON
+``audit_summary``); the next stage reads them back, so each stage starts from
+written data (lineage is cut at stage boundaries).  When everything is
+written and audited, the version becomes the current one at once
+(``sources.TableStore``): a run that fails half-way leaves the tables of the
+one before, and reruns are idempotent, as drop-and-rebuild is in the
+reference.  ``TableStore(spark, out).read("warehouse/fact_publications")``
+reads the current version.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +25,20 @@ from pyspark.sql import functions as F
 from bibliospark import schemas
 from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
-from bibliospark.sources import read_csv_table, read_jsonl, save_table
+from bibliospark.session import scratch_collected
+from bibliospark.sources import TableStore, read_csv_table, read_indexed_json, read_jsonl, save_table
 
 
 def _read_source(spark: SparkSession, path: str) -> DataFrame:
-    """By extension: JSONL records with a bigint ``id`` (``.jsonl``), otherwise
-    Parquet records with ``id``.  Works for local paths and cluster URIs
-    alike.  A single index-keyed JSON object (``.json``) can't be split over
-    tasks: convert it once with ``read_indexed_json`` and ``write_documents``."""
+    """By extension: one JSON object of records by key (``.json``), JSONL
+    records with a bigint ``id`` (``.jsonl``), otherwise Parquet records with
+    ``id``.  Works for local paths and cluster URIs alike; all are read in
+    parallel."""
     if path.endswith(".jsonl"):
         fields = [f if f.name != "id" else schemas.StructField("id", schemas.LongType()) for f in schemas.PUBLICATION]
         return read_jsonl(spark, path, schemas.StructType(fields))
     if path.endswith(".json"):
-        raise ValueError("convert the JSON object to JSONL or Parquet first (read_indexed_json, write_documents)")
+        return read_indexed_json(spark, path, schemas.PUBLICATION)
     return spark.read.parquet(path)
 
 
@@ -76,8 +79,13 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
             timings[stage] = round(now - clock[0], 2)
         clock[0] = now
 
-    def path(name: str) -> str:
-        return os.path.join(out, name)
+    store = TableStore(spark, out)
+    with scratch_collected(spark):
+        return _stages(spark, store, source, doi_lookup, gender_lookup, max_publications, dim_mode, buckets, match, strict, csv_parity, lap)
+
+
+def _stages(spark, store, source, doi_lookup, gender_lookup, max_publications, dim_mode, buckets, match, strict, csv_parity, lap) -> dict:
+    path = store.path
 
     def write(tables: dict, prefix: str) -> None:
         for name, df in tables.items():
@@ -108,7 +116,9 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
     wh = pipelines.build_warehouse(tables, dim_mode=dim_mode)
     if buckets:
         for name, key in BUCKET_KEYS.items():
-            save_table(wh[name], name, path=path(f"warehouse/{name}"), bucket_by=(buckets, [key]))
+            draft = f"{name}_{store.run}"   # a table of this run; its files stay where they are
+            save_table(wh[name], draft, path=path(f"warehouse/{name}"), bucket_by=(buckets, [key]))
+            spark.sql(f"DROP TABLE {draft}")
         write({k: wh[k] for k in wh if k != "audits" and k not in BUCKET_KEYS}, "warehouse")
     else:
         write({k: wh[k] for k in wh if k != "audits"}, "warehouse")
@@ -129,6 +139,14 @@ def run_pipelines(spark: SparkSession, source: str, doi_lookup: str, gender_look
     # ``out`` may be any cluster file system
     summary = spark.createDataFrame(sorted(audits.items()), "audit string, violations bigint")
     save_table(summary.coalesce(1), "audit_summary", path=path("audit_summary"), fmt="json")
+    store.commit()
+    if buckets:   # the catalog's names follow the committed version
+        for name, key in BUCKET_KEYS.items():
+            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written[name].schema.fields)
+            spark.sql(f"DROP TABLE IF EXISTS spark_catalog.default.{name}")
+            spark.sql(f"CREATE TABLE spark_catalog.default.{name} ({kinds}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                      f"INTO {buckets} BUCKETS LOCATION '{path(f'warehouse/{name}')}'")
+    store.collect()
     return audits
 
 

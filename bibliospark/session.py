@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,16 +71,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[list[str]] = []   # paths of the open ``scratch_collected`` blocks
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
 def written_once(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared checkpoint folder and read back.
 
     Like ``checkpoint()`` it cuts the lineage to files every executor can
     read; unlike it, later plans prune columns and know the true size."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch_collected(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``written_once`` writes inside the block when it ends.
+
+    For jobs that have written their results by then: DataFrames built inside
+    can't be read afterwards."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in map(jvm.org.apache.hadoop.fs.Path, _SCRATCH.pop()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 

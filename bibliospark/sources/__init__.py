@@ -24,10 +24,12 @@ from bibliospark.sources.tables import (
     save_table,
     staging_ddl,
 )
+from bibliospark.sources.versions import TableStore
 
 __all__ = [
     "Loaded",
     "MalformedFile",
+    "TableStore",
     "append_conformed",
     "append_rejects",
     "conform",

@@ -20,6 +20,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
 from bibliospark.plans.run import run_pipelines  # noqa: E402
+from bibliospark.sources import TableStore  # noqa: E402
 from bibliospark.session import get_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -61,8 +62,8 @@ t0 = time.perf_counter()
 stages: dict = {}
 audits = run_pipelines(spark, src, doi, gender, os.path.join(scratch, "out"), match=match, timings=stages)
 total = time.perf_counter() - t0
-out = os.path.join(scratch, "out")
-counts = {t: spark.read.parquet(os.path.join(out, p, t)).count()
+store = TableStore(spark, os.path.join(scratch, "out"))
+counts = {t: store.read(f"{p}/{t}").count()
           for p, t in [("p1", "publications"), ("p2", "authors"), ("p2", "bridge"), ("warehouse", "fact_publications"),
                        ("graph", "edges")]}
 print(json.dumps({"records": pubs.count(), "match": match, "seconds": round(total, 2), "stages": stages,
