@@ -1,7 +1,21 @@
 """DataFrame -> DataFrame operators, generic over column names."""
 
-from bibliospark.operators.aggregates import avg_by, count_by, profile, proportion_by, sum_if
-from bibliospark.operators.audit import audit_column, audit_reference, audit_unique, reference_summary
+from bibliospark.operators.aggregates import (
+    avg_by,
+    count_by,
+    distinct_bitmaps,
+    distinct_rollup,
+    profile,
+    proportion_by,
+    sum_if,
+)
+from bibliospark.operators.audit import (
+    audit_column,
+    audit_key_space,
+    audit_reference,
+    audit_unique,
+    reference_summary,
+)
 from bibliospark.operators.clean import drop_columns, drop_nulls, head_n, min_length, nullify
 from bibliospark.operators.datedim import date_dimension, date_dimension_for
 from bibliospark.operators.dedupe import distinct_on, drop_all_duplicates, row_not_in
@@ -14,6 +28,7 @@ from bibliospark.operators.ids import (
     dim_per_row,
     flatten_authors,
     flatten_versions,
+    stable_ids,
 )
 from bibliospark.operators.joins import (
     enrich_by_lookup,

@@ -38,6 +38,29 @@ def proportion_by(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, C
     return df.groupBy(*keys).agg(*[(sum_if(c) / denom).alias(n) for n, c in conditions.items()])
 
 
+def distinct_bitmaps(df: DataFrame, keys: Sequence[str], id_col: str, sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """The mergeable form of ``COUNT(DISTINCT id_col)``: (keys, bucket, bits,
+    sums...), a bitmap per group and range of 32,768 ids.
+
+    Ids should be dense (surrogate ids, ``stable_ids``): a bitmap has 4 KB.
+    Bits are set by partial aggregation and the groups of one bucket meet once,
+    whatever is rolled up from the table later (``distinct_rollup``).  Rows
+    without an id count in the sums alone (bucket null)."""
+    i = F.col(id_col)
+    named = df.select(*keys, F.bitmap_bucket_number(i).alias("bucket"), F.bitmap_bit_position(i).alias("_bs_bit"),
+                      *[c.alias(n) for n, c in (sums or {}).items()])
+    return named.groupBy(*keys, "bucket").agg(
+        F.bitmap_construct_agg("_bs_bit").alias("bits"), *[F.sum(n).cast("bigint").alias(n) for n in sums or {}])
+
+
+def distinct_rollup(bitmaps: DataFrame, keys: Sequence[str], name: str, sums: Sequence[str] = ()) -> DataFrame:
+    """Exact ``COUNT(DISTINCT)`` and sums by ``keys`` (any subset of the bitmaps' keys,
+    also none), from ``distinct_bitmaps`` without reading the rows again."""
+    merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), *[F.sum(n).alias(n) for n in sums])
+    counted = F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits")).otherwise(F.lit(0))
+    return merged.groupBy(*keys).agg(F.sum(counted).cast("bigint").alias(name), *[F.sum(n).cast("bigint").alias(n) for n in sums])
+
+
 PROFILE_STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

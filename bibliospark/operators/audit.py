@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,3 +64,24 @@ def audit_column(df: DataFrame, col: str, not_null: bool = True, max_len: int |
         F.sum(F.when(F.char_length(c) > max_len, 1).otherwise(0) if max_len is not None else F.lit(0))
         .cast("bigint").alias("too_long_rows"),
     )
+
+
+def audit_key_space(primary: Mapping[str, tuple[DataFrame, str]], foreign: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """All key constraints over one key space, in one aggregate: (audit, violations).
+
+    ``primary`` maps a name to a table and its key column; ``foreign`` a name
+    to a table, its column and the name of the primary key it refers to.
+    The keys of all tables meet once, tagged and counted (partial aggregation);
+    there each key shows how often every table has it.  Counts are those of
+    ``audit_unique`` (keys that occur twice, a null key) and of
+    ``audit_reference`` (rows with a key that its parent lacks; nulls pass)."""
+    tables = {**{n: (df, c) for n, (df, c) in primary.items()}, **{n: (df, c) for n, (df, c, _) in foreign.items()}}
+    tagged = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("k"), F.lit(n).alias("t")) for n, (df, c) in tables.items()])
+    held = {n: F.sum(F.when(F.col("t") == n, 1).otherwise(0)).alias(n) for n in tables}
+    by_key = tagged.groupBy("k").agg(*held.values())
+    null = F.col("k").isNull()
+    bad = {n: F.when((F.col(n) > 1) | (null & (F.col(n) > 0)), 1) for n in primary}
+    bad |= {n: F.when(~null & (F.col(parent) == 0), F.col(n)) for n, (_, _, parent) in foreign.items()}
+    totals = by_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for n, c in bad.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("audit"), F.col(n).alias("violations")) for n in bad])
+    return totals.select(F.explode(pairs).alias("p")).select("p.*")

@@ -97,3 +97,20 @@ def dim_distinct(df: DataFrame, col: str, id_name: str, name_name: str, keep_nul
     if not keep_null:
         names = names.dropna()
     return global_row_number(names, [(name_name, "asc_nulls_last")], id_name).select(id_name, name_name)
+
+
+def stable_ids(df: DataFrame, keys: Sequence[str], id_name: str, known: DataFrame | None = None) -> DataFrame:
+    """Key map (id, keys) that only grows: tuples in ``known`` keep their ids,
+    unseen ones of ``df`` are numbered after the greatest id in key order.
+
+    Keep the result (``save_table``, ``TableStore``) and pass it to the next
+    load: no fact that holds an id has to be rewritten.  Nulls are values.
+    Without ``known`` the ids are 1..n in key order."""
+    seen = df.select(*keys).distinct()
+    if known is None:
+        return global_row_number(seen, list(keys), id_name).select(id_name, *keys)
+    old = known.select(id_name, *keys)
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    unseen = seen.alias("n").join(old.select(*keys).alias("o"), same, "left_anti")
+    last = old.agg(F.max(id_name)).first()[0] or 0
+    return old.unionByName(global_row_number(unseen, list(keys), id_name, start=last + 1).select(id_name, *keys))

@@ -11,6 +11,7 @@ ratios are rounded to 6 digits on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from bibliospark.functions import first_char, first_last, first_or_null, first_t
 from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN
 from bibliospark.operators import (
     audit_column,
+    audit_key_space,
     author_ids,
     audit_reference,
     audit_unique,
@@ -27,7 +29,9 @@ from bibliospark.operators import (
     dim_distinct,
     dim_first_seen,
     dim_per_row,
+    distinct_bitmaps,
     distinct_on,
+    distinct_rollup,
     drop_all_duplicates,
     drop_columns,
     drop_nulls,
@@ -49,11 +53,13 @@ from bibliospark.operators import (
     relations,
     row_not_in,
     sample_n,
+    stable_ids,
     top_nodes,
 )
 from bibliospark.operators.datedim import with_date_attributes
-from bibliospark.plans import pipeline_queries
+from bibliospark.plans import pipeline_queries, source_queries
 from bibliospark.plans.warehouse_queries import lowest_ranked, proportions, rank_by_sum, star_stats, top_groups
+from bibliospark.session import written_once
 from bibliospark.sources import conform, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -566,9 +572,57 @@ def top_nodes_q(spark, sf):
                      weights, "w", 5)
 
 
+@query("stable_ids", """
+    WITH first AS (SELECT lang, source, row_number() OVER (ORDER BY lang NULLS FIRST, source NULLS FIRST) AS id
+                   FROM (SELECT DISTINCT lang, source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)),
+         more AS (SELECT lang, source FROM documents EXCEPT SELECT lang, source FROM first)
+    SELECT id AS kind_id, lang, source FROM first
+    UNION ALL SELECT (SELECT coalesce(max(id), 0) FROM first) + row_number() OVER (ORDER BY lang NULLS FIRST, source NULLS FIRST), lang, source
+    FROM more""")
+def stable_ids_q(spark, sf):
+    docs, labels = _t(spark, sf, "documents").select("doc_id", "lang", "source"), _t(spark, sf, "labels")
+    toxic = docs.join(labels.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    first = stable_ids(toxic, ["lang", "source"], "kind_id")
+    return stable_ids(docs, ["lang", "source"], "kind_id", written_once(first, "key-map"))
+
+
+@query("distinct_rollup", """
+    SELECT c_mktsegment, o_orderstatus, count(DISTINCT o_custkey) AS n_customers, count(*) AS n_orders,
+           CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS n_urgent
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    GROUP BY GROUPING SETS ((c_mktsegment, o_orderstatus), (c_mktsegment), (o_orderstatus), ())""")
+def distinct_rollup_q(spark, sf):
+    orders = _t(spark, sf, "orders").join(_t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    keys, sums = ["c_mktsegment", "o_orderstatus"], {
+        "n_orders": F.lit(1), "n_urgent": F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)}
+    bits = written_once(distinct_bitmaps(orders, keys, "o_custkey", sums), "bitmaps")
+    levels = [distinct_rollup(bits, by, "n_customers", list(sums)) for by in (keys, keys[:1], keys[1:], [])]
+    none = {k: F.lit(None).cast("string") for k in keys}
+    parts = [df.withColumns({k: v for k, v in none.items() if k not in df.columns}) for df in levels]
+    return reduce(DataFrame.unionByName, parts).select(*keys, "n_customers", *sums)
+
+
+@query("key_space_audit", """
+    SELECT 'part_pk' AS audit, (SELECT count(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING count(*) > 1)) AS violations
+    UNION ALL SELECT 'line_part_fk', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+    UNION ALL SELECT 'order_pk', (SELECT count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1 HAVING count(*) > 1))
+    UNION ALL SELECT 'line_order_fk', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O')
+    UNION ALL SELECT 'line_pk', (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1))
+    UNION ALL SELECT 'order_line_fk', count(*) FROM orders WHERE o_orderstatus <> 'O' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def key_space_audit_q(spark, sf):
+    line, part = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    orders = _t(spark, sf, "orders").filter(F.col("o_orderstatus") != "O")
+    return audit_key_space({"part_pk": (part, "p_partkey")}, {"line_part_fk": (line, "l_partkey", "part_pk")}).unionByName(
+        audit_key_space({"order_pk": (orders, "o_orderkey"), "line_pk": (line, "l_orderkey")},
+                        {"line_order_fk": (line, "l_orderkey", "order_pk"), "order_line_fk": (orders, "o_orderkey", "line_pk")}))
+
+
 # -------------------------------------------------------------- pipelines
 
 QUERIES.update(pipeline_queries.QUERIES)
 ORACLE.update({name: " ".join(sql.split()) for name, sql in pipeline_queries.ORACLE.items()})
 
+QUERIES.update(source_queries.QUERIES)
+ORACLE.update({name: " ".join(sql.split()) for name, sql in source_queries.ORACLE.items()})
+
 FLAGSHIP = "sq1_top_groups"

@@ -126,7 +126,7 @@ def _stages(spark, store, source, doi_lookup, gender_lookup, max_publications, d
     # details are written only for the constraints that fail
     written = {name: read("warehouse", name) for name in wh if name != "audits"}
     checks = pipelines.audit_warehouse(written)
-    audits = pipelines.audit_counts(checks)
+    audits = pipelines.audit_key_counts(written)
     for name, n in audits.items():
         if n:
             save_table(checks[name], name, path=path(f"audits/{name}"))

@@ -1,6 +1,7 @@
 """Cleaning, dedupe, ids, joins, audits, graph and date operators."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,3 +210,45 @@ def test_lookup_variants(spark):
                                                                 how="left").collect())
     assert inner == [("Ann", "female"), ("Bob", None)]
     assert left == [("Ann", "female"), ("Bob", None), ("Cy", None)]
+
+
+def test_stable_ids_never_change(spark):
+    from bibliospark.operators import stable_ids
+    kind = "a string, b long"
+    first = stable_ids(spark.createDataFrame([("x", 1), ("x", None), ("b", 2), ("x", 1)], kind), ["a", "b"], "id")
+    assert sorted(map(tuple, first.collect())) == [(1, "b", 2), (2, "x", None), (3, "x", 1)]
+    more = spark.createDataFrame([("a", 0), (None, None), ("x", None), ("b", 2), ("zz", 9)], kind)
+    second = stable_ids(more, ["a", "b"], "id", first)
+    assert set(map(tuple, first.collect())) < set(map(tuple, second.collect()))
+    assert sorted(map(tuple, second.collect()))[3:] == [(4, None, None), (5, "a", 0), (6, "zz", 9)]
+    assert stable_ids(more.limit(0), ["a", "b"], "id", second).count() == 6
+    assert [r.id for r in stable_ids(more, ["a", "b"], "id", first.limit(0)).orderBy("id").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_distinct_bitmaps_roll_up(spark):
+    from bibliospark.operators import distinct_bitmaps, distinct_rollup
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.choice([None, "u", "v"]), rng.choice([None, 0, 1, 32767, 32768, 32769, 70_000, 10**9])) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("only nulls", "u", None)], "g string, h string, id long")
+    bits = distinct_bitmaps(df, ["g", "h"], "id", {"n": F.lit(1)})
+    assert "Expand" not in bits._jdf.queryExecution().executedPlan().toString()
+    for keys in (["g", "h"], ["g"], ["h"], []):
+        want = df.groupBy(*keys).agg(F.countDistinct("id").alias("d"), F.count(F.lit(1)).alias("n"))
+        got = distinct_rollup(bits, keys, "d", ["n"])
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_key_space_counts_like_single_audits(spark):
+    from bibliospark.operators import audit_key_space, audit_reference, audit_unique
+    parent = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (None,)], "p long")
+    other = spark.createDataFrame([(2,), (9,)], "q long")
+    child = spark.createDataFrame([(1, 2), (5, 9), (5, None), (None, 7), (2, 7)], "c long, d long")
+    got = dict(map(tuple, audit_key_space(
+        {"p_pk": (parent, "p"), "q_pk": (other, "q")},
+        {"c_fk": (child, "c", "p_pk"), "d_fk": (child, "d", "q_pk"), "q_fk": (other, "q", "p_pk")}).collect()))
+    assert got == {
+        "p_pk": audit_unique(parent, ["p"]).count(), "q_pk": 0, "c_fk": audit_reference(child, parent, ["c"], ["p"]).count(),
+        "d_fk": audit_reference(child, other, ["d"], ["q"]).count(), "q_fk": audit_reference(other, parent, ["q"], ["p"]).count()}
+    assert got["p_pk"] == 2 and got["c_fk"] == 2 and got["d_fk"] == 2
+    empty = audit_key_space({"p_pk": (parent.limit(0), "p")}, {"c_fk": (child.limit(0), "c", "p_pk")})
+    assert dict(map(tuple, empty.collect())) == {"p_pk": 0, "c_fk": 0}
