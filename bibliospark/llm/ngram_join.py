@@ -17,10 +17,10 @@ per pair.
 4. Two classes of such a block that do not both link with its leader can link
    only if they share many of their differences from it, hence one among the
    rarest of each, at positions that sum up to their distance at most.  The
-   members that share such a difference are compared with one further leader,
-   the one whose position comes first, then with two, four and so on; only
-   members that the links found so far leave in different components are, so a
-   family is settled by one leader, and no pair of siblings is formed.
+   members that share such a difference are compared with a few further leaders,
+   then with several, then with many; only members that the links found so far
+   leave in different components are, and only where both positions allow it.
+   So a family is settled by one leader, and no pair of siblings is formed.
 
 So a group of a million near copies costs a row per copy and difference, not
 a row per pair, also where it falls into families that do not link; no list
@@ -169,20 +169,21 @@ def linked_components(classes: DataFrame, percent: int, fragments: int = FRAGMEN
     compared, counted = _compared(met, segments, ranked.select("id", "size"), percent, fragments)
     labels = components(counted.filter("linked").select("a", "b"))
     rows = _shared_differences(compared, counted, labels, percent)
-    done, leading = met, 1
+    done, leading = met, 4
     while True:
         rows = saved(_active(rows, labels), "ngram-active")
         if rows.isEmpty():
             return labels
-        first = Window.partitionBy("block", "gram").orderBy("at", "a")
-        ahead = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= leading).drop("place")
+        # of two in different components, one is outside the largest
+        first = Window.partitionBy("block", "gram").orderBy("apart", "a")
+        ahead = rows.filter("not inner").withColumn("place", F.row_number().over(first)).filter(F.col("place") <= leading).drop("place")
         ahead = saved(ahead, "ngram-ahead")
         pairs = saved(_pairs(rows, ahead, percent).join(done, ["a", "b"], "left_anti"), "ngram-pairs")
         _, counted = _compared(pairs, segments, ranked.select("id", "size"), percent, fragments)
         labels = _merged(labels, counted.filter("linked").select("a", "b"))
         # a leader has met all it could link with
-        rows = rows.drop("component").join(ahead.select("block", "gram", "a"), ["block", "gram", "a"], "left_anti")
-        done, leading = done.unionByName(pairs), 2 * leading
+        rows = rows.drop("component", "inner").join(ahead.select("block", "gram", "a"), ["block", "gram", "a"], "left_anti")
+        done, leading = done.unionByName(pairs), 16 * leading
 
 
 def _compared(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int, fragments: int) -> tuple[DataFrame, DataFrame]:
@@ -208,7 +209,7 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _shared_differences(compared: DataFrame, counted: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(block, gram, a, size, at, reach): the rarest differences of each member from its leader (the block),
+    """(block, gram, a, size, apart, at, reach): the rarest differences of each member from its leader (the block),
     where members of several components share them; ``at`` is the position in the member's order."""
     state = saved(_labelled(counted, labels).withColumnRenamed("b", "block"), "ngram-state")
     mixed = state.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -223,32 +224,44 @@ def _shared_differences(compared: DataFrame, counted: DataFrame, labels: DataFra
     # sets that lie farther apart can't link with one of size_a
     reach = F.floor(F.col("size_a") * (100 - percent) / percent).cast("long")
     placed = ordered.select(
-        "block", "a", F.col("size_a").alias("size"), reach.alias("reach"), (F.col("apart") - F.size("grams")).alias("unseen"),
+        "block", "a", F.col("size_a").alias("size"), "apart", reach.alias("reach"), (F.col("apart") - F.size("grams")).alias("unseen"),
         F.posexplode("grams").alias("i", "g"),
     )
     place = (F.col("unseen") + F.col("i")).alias("at")
-    return saved(placed.select("block", F.col("g.gram").alias("gram"), "a", "size", place, "reach").filter("at <= reach"), "ngram-placed")
+    return saved(placed.select("block", F.col("g.gram").alias("gram"), "a", "size", "apart", place, "reach").filter("at <= reach"), "ngram-placed")
 
 
 def _active(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rows`` that may link with one of another component: the two positions sum up to the member's reach at most."""
+    """``rows`` that may link with one of another component, and whether theirs is the largest at the shared difference.
+
+    Two members p and q whose first common difference stands at places at_p
+    and at_q share too few for a link unless 2 at_p - apart_p + apart_q and
+    2 at_q - apart_q + apart_p are within the distance that a link allows.
+    """
     rows = saved(_labelled(rows, labels), "ngram-rows")
-    least = rows.groupBy("block", "gram", "component").agg(F.min("at").alias("at"))
-    order = Window.partitionBy("block", "gram").orderBy("at", "component")
-    two = least.withColumn("place", F.row_number().over(order)).filter("place <= 2")  # of different components
-    two = two.groupBy("block", "gram").agg(
-        F.min(F.struct("place", "component"))["component"].alias("nearest"), F.min("at").alias("one"), F.max("at").alias("other"), F.count("*").alias("n")
-    ).filter("n = 2")
-    other = F.when(F.col("component") == F.col("nearest"), F.col("other")).otherwise(F.col("one"))
-    return looked_up(rows, two, ["block", "gram"], "a").filter(F.col("at") + other <= F.col("reach")).select(*rows.columns)
+    key, lead = ["block", "gram"], 2 * F.col("at") - F.col("apart")
+    per = rows.groupBy(*key, "component").agg(F.count("*").alias("n"), F.min("apart").alias("near"), F.min(lead).alias("ahead"))
+    per = saved(per, "ngram-standing")
+    best = per.groupBy(*key).agg(
+        F.count("*").alias("components"), F.max(F.struct("n", "component"))["component"].alias("largest"),
+        F.min(F.struct("near", "component")).alias("near_1"), F.min(F.struct("ahead", "component")).alias("ahead_1"),
+    ).filter("components > 1")
+    elsewhere = lambda c: F.min(F.when(F.col("component") != F.col(f"{c}_1.component"), F.col(c))).alias(f"{c}_2")
+    two = looked_up(per, best, key, "component").groupBy(*key, "largest", "near_1", "ahead_1").agg(elsewhere("near"), elsewhere("ahead"))
+    other = lambda c: F.when(F.col("component") == F.col(f"{c}_1.component"), F.col(f"{c}_2")).otherwise(F.col(f"{c}_1.{c}"))
+    able = (lead + other("near") <= F.col("reach")) & (F.col("apart") + other("ahead") <= F.col("reach"))
+    return looked_up(rows, two, key, "a").filter(able).select(*rows.columns, (F.col("component") == F.col("largest")).alias("inner"))
 
 
 def _pairs(rows: DataFrame, ahead: DataFrame, percent: int) -> DataFrame:
     """(a, b) of members and leaders that share a difference, lie in different components and may link."""
-    leaders = ahead.select("block", "gram", *[F.col(c).alias(f"{c}_b") for c in ("a", "size", "at", "reach", "component")])
+    leaders = ahead.select("block", "gram", *[F.col(c).alias(f"{c}_b") for c in ("a", "size", "at", "apart", "component")])
+    sizes = F.col("size") + F.col("size_b")
+    allowed = sizes - 2 * _least_overlap(sizes, percent)
     fits = (
         (F.col("component") != F.col("component_b"))
-        & (F.col("at") + F.col("at_b") <= F.least("reach", "reach_b"))
+        & (2 * F.col("at") - F.col("apart") + F.col("apart_b") <= allowed)
+        & (2 * F.col("at_b") - F.col("apart_b") + F.col("apart") <= allowed)
         & (100 * F.least("size", "size_b") >= percent * F.greatest("size", "size_b"))
     )
     met = looked_up(rows, leaders, ["block", "gram"], "a").filter(fits)
