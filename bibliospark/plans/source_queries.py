@@ -20,6 +20,7 @@ from bibliospark.sources import (
     read_indexed_json,
     read_jsonl,
     read_table,
+    save_observed,
     save_table,
     staging_ddl,
     write_csv_table,
@@ -97,6 +98,16 @@ def table_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return second.read("spend")
 
 
+def observed_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Limits and moments counted by the write of the line items itself."""
+    line = read_table(spark, sf, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("A")))
+    seen = save_observed(line, scratch_path(spark, "observed"), {"l_returnflag": (True, None), "l_linestatus": (True, 0)},
+                         ["l_quantity", "l_discount"])
+    rows = [(name, n, None, None, None, None, None) for name, n in seen.violations.items()]
+    rows += [(name, None, m["count"], round(m["mean"], 6), round(m["std"], 6), m["min"], m["max"]) for name, m in seen.moments.items()]
+    return spark.createDataFrame(rows, "column string, violations bigint, n bigint, mean double, std double, low double, high double")
+
+
 def sql_arguments(spark: SparkSession, sf: str) -> DataFrame:
     """The user's SQL over quoted mixed-case columns, with a bound argument."""
     part = read_table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("Names"), F.col("p_brand").alias("Surname"))
@@ -107,7 +118,7 @@ def sql_arguments(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (json_object_round_trip, jsonl_round_trip, csv_round_trip, staging_rejects, staging_insert,
-                            table_rebuild, sql_arguments)
+                            table_rebuild, observed_write, sql_arguments)
 }
 
 ORACLE = {
@@ -121,5 +132,15 @@ ORACLE = {
         SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN CAST(regexp_extract(p_brand, '(\d+)$', 1) AS BIGINT) END AS brand, p_name
         FROM part""",
     "table_rebuild": "SELECT o_custkey, round(sum(o_totalprice), 2) AS spend, count(*) AS n FROM orders GROUP BY o_custkey",
+    "observed_write": """
+        SELECT 'l_returnflag' AS "column", (SELECT count(*) FROM lineitem WHERE nullif(l_returnflag, 'A') IS NULL) AS violations,
+               CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS low,
+               CAST(NULL AS DOUBLE) AS high
+        UNION ALL SELECT 'l_linestatus', (SELECT count(*) FROM lineitem WHERE l_linestatus IS NULL OR length(l_linestatus) > 0),
+               NULL, NULL, NULL, NULL, NULL
+        UNION ALL SELECT 'l_quantity', NULL, count(l_quantity), round(avg(l_quantity), 6), round(stddev_samp(l_quantity), 6),
+               min(l_quantity), max(l_quantity) FROM lineitem
+        UNION ALL SELECT 'l_discount', NULL, count(l_discount), round(avg(l_discount), 6), round(stddev_samp(l_discount), 6),
+               min(l_discount), max(l_discount) FROM lineitem""",
     "sql_arguments": "SELECT p_partkey, p_name AS names, p_brand AS surname FROM part WHERE p_name LIKE '%re%'",
 }

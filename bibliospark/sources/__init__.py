@@ -14,6 +14,7 @@ from bibliospark.sources.files import (
 )
 from bibliospark.sources.splits import MalformedFile
 from bibliospark.sources.tables import (
+    Observed,
     append_conformed,
     append_rejects,
     conform,
@@ -21,6 +22,7 @@ from bibliospark.sources.tables import (
     load_staging_rejects,
     misfits,
     read_table,
+    save_observed,
     save_table,
     staging_ddl,
 )
@@ -29,6 +31,7 @@ from bibliospark.sources.versions import TableStore
 __all__ = [
     "Loaded",
     "MalformedFile",
+    "Observed",
     "TableStore",
     "append_conformed",
     "append_rejects",
@@ -43,6 +46,7 @@ __all__ = [
     "read_indexed_json",
     "read_jsonl",
     "read_table",
+    "save_observed",
     "save_table",
     "staging_ddl",
     "write_csv_table",

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -61,6 +65,37 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[_fitting(f) for f in schema.fields])
 
 
+class Observed(NamedTuple):
+    """What a write saw: violations per limited column, and the moments of numeric ones."""
+
+    violations: dict[str, int]
+    moments: dict[str, dict[str, float | int | None]]
+
+
+def save_observed(df: DataFrame, path: str, limits: Mapping[str, tuple[bool, int | None]] | None = None,
+                  moments: Sequence[str] = (), fmt: str = "parquet") -> Observed:
+    """``save_table(df, path=path)`` that audits and profiles the rows as it writes them.
+
+    ``limits`` maps a column to (not null, greatest length), as
+    ``audit_column`` checks them; ``moments`` lists numeric columns for count,
+    mean, sample standard deviation, min and max, as in ``profile``.  Both are
+    metrics of the write itself (``DataFrame.observe``): the rows are neither
+    scanned again nor shuffled for them."""
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for i, (name, (not_null, most)) in enumerate((limits or {}).items()):
+        c = F.col(f"`{name}`")
+        bad = (c.isNull() & F.lit(not_null)) | (F.coalesce(F.char_length(c) > most, F.lit(False)) if most is not None else F.lit(False))
+        metrics.append(F.coalesce(F.sum(bad.cast("bigint")), F.lit(0)).alias(f"limit_{i}"))
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    for i, name in enumerate(moments):
+        metrics += [f(F.col(f"`{name}`").cast("double")).alias(f"{stat}_{i}") for stat, f in stats.items()]
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    save_table(df.observe(seen, *metrics), "", path=path, fmt=fmt)
+    got = seen.get
+    return Observed({n: got[f"limit_{i}"] for i, n in enumerate(limits or {})},
+                    {n: {stat: got[f"{stat}_{i}"] for stat in stats} for i, n in enumerate(moments)})
+
+
 def _fitting(f: StructField) -> Column:
     """The column under its declared type: one cast, and a message only where it fails."""
     c = F.col(f"`{f.name}`")

@@ -244,3 +244,25 @@ def test_normalise_regex_mode(spark, raw):
     assert sorted(tuple(r) for r in t["bridge"].collect()) == sorted(want)
     # the initial "A." is a wildcard pattern in this mode
     assert any(n == "A." for _, _, n in authors)
+
+
+def test_key_counts_equal_the_single_audits(spark):
+    """One aggregate per key space counts what the fifteen audits count, also on tables with violations."""
+    def t(rows, kind):
+        return spark.createDataFrame(rows, kind)
+
+    wh = {
+        "dim_author": t([(0, "S", "N"), (1, "T", "M"), (1, "T", "M2"), (None, "U", "O")], "author_id long, Surname string, Names string"),
+        "dim_gender": t([(0, "male"), (7, "female"), (7, None), (None, "male")], "author_id long, gender string"),
+        "dim_journal": t([(1, "J"), (2, None), (2, "x" * 51), (3, "y" * 50)], "journal_id long, journal_name string"),
+        "dim_discipline": t([(1, None), (2, "z" * 101)], "discipline_id long, discipline_name string"),
+        "dim_publication_type": t([], "publication_type_id long, publication_type_name string"),
+        "fact_publications": t([(10, 1, 5, None), (10, 1, None, 9), (11, 2, None, 2)],
+                               "publication_id long, discipline_id long, publication_type_id long, journal_id long"),
+        "bridge_author_publications": t([(10, 0), (12, 1), (None, 8), (12, 9)], "publication_id long, author_id long"),
+        "dim_versions": t([(10, None), (13, None), (None, None)], "publication_id long, version timestamp"),
+    }
+    want = pipelines.audit_counts(pipelines.audit_warehouse(wh))
+    assert pipelines.audit_key_counts(wh) == want and sum(want.values()) > 12
+    observed = {k: want[k] for k in ("journal_name", "discipline_name", "publication_type_name")}
+    assert pipelines.audit_key_counts(wh, observed) == want

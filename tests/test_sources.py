@@ -255,3 +255,18 @@ def test_append_that_does_not_fit(spark, tmp_dir):
         assert {tuple(r) for r in spark.table("append_t").collect()} == {(1, "a"), (None, "c")}
     finally:
         spark.sql("DROP TABLE append_t")
+
+
+def test_a_write_audits_and_profiles_itself(spark, tmp_dir):
+    from bibliospark.operators import audit_column, profile
+    from bibliospark.sources import save_observed
+    df = spark.createDataFrame([(1.5, "abc", None), (None, None, "é👩z"), (4.0, "toolong", "x"), (-2.0, "", None)], "v double, s string, t string")
+    path = os.path.join(tmp_dir, "seen")
+    seen = save_observed(df, path, {"s": (True, 3), "t": (False, 2)}, ["v"])
+    for name, not_null, most in (("s", True, 3), ("t", False, 2)):
+        assert seen.violations[name] == sum(audit_column(df, name, not_null, most).first())
+    want = profile(df, ["v"]).first()
+    assert all(seen.moments["v"][k] == pytest.approx(want[k]) for k in ("count", "mean", "std", "min", "max"))
+    same(spark.read.parquet(path), df)
+    empty = save_observed(df.limit(0), os.path.join(tmp_dir, "none"), {"s": (True, 3)}, ["v"])
+    assert empty.violations == {"s": 0} and empty.moments["v"]["count"] == 0 and empty.moments["v"]["mean"] is None
