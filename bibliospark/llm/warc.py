@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, saved, scratch
+from .common import arrow_map, looked_up, saved, scratch
 
 # Fixed values of the two formats.
 SKIPPABLE_MAGIC = 0x184D2A5D
@@ -199,19 +199,23 @@ def read_frames(source: BinaryIO) -> Iterator[bytes]:
 def record_types(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """``pages`` (page_id, url, payload) with digest, record_type and refers_to.
 
-    Counting and joining use digests alone.  Of equal payloads the record with
+    Counting uses (page_id, digest) alone, and a digest is looked up under a
+    salt, so a page copied a million times is no hot key; payloads are joined
+    by their own page_id, and only where the revisits are too many to be
+    broadcast.  Of equal payloads the record with
     the largest page_id is the response; should that id occur twice, both are.
     Records without a page_id are responses.
     """
     hashed = pages.withColumn("digest", F.sha1("payload"))
     groups = hashed.filter((F.octet_length("payload") >= min_revisit) & F.col("page_id").isNotNull())
-    shared = saved(
+    groups = saved(groups.select("page_id", "digest").distinct(), "warc-digests")
+    shared = (
         groups.groupBy("digest").agg(F.max("page_id").alias("first"), F.min("page_id").alias("last"))
-        .filter("first > last").select("digest", "first"),
-        "warc-shared",
+        .filter("first > last").select("digest", "first")
     )
-    joined = hashed.join(shared, "digest", "left")
-    revisit = F.col("first").isNotNull() & (F.col("page_id") != F.col("first"))
+    again = looked_up(groups, saved(shared, "warc-shared"), ["digest"], "page_id").filter("page_id <> first")
+    joined = hashed.join(saved(again, "warc-revisits"), ["page_id", "digest"], "left")
+    revisit = F.col("first").isNotNull()
     return joined.select(
         "page_id",
         "url",
