@@ -38,8 +38,13 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1: no digit changes, and squares stay finite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    scaled = _scaled(x)
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
@@ -191,6 +196,7 @@ def nearest(
             unit = np.ascontiguousarray((_unit(x) @ matrix).T.astype(np.float32))
             q = np.stack(asked["q"].to_list())
             turned = (_unit(q) @ matrix).astype(np.float32)
+            x, q = _scaled(x), _scaled(q)
             norms = np.sqrt((x * x).sum(axis=1))
             for i, query in enumerate(asked["query_id"].to_numpy()):
                 at = scan(unit, turned[i], k + 1)

@@ -115,3 +115,14 @@ def test_few_rows_are_all_found_at_the_production_share(spark, n):
     df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
     got = ann.nearest(df, F.lit(True), k=5).groupBy("query_id").count().collect()
     assert {r[0]: r[1] for r in got} == {i: min(5, n - 1) for i in range(n)}
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e-308])
+def test_vectors_of_the_double_range(spark, size):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((30, 8))
+    vectors = [(2 * i, v * size) for i, v in enumerate(base)] + [(2 * i + 1, (v + 0.01 * rng.standard_normal(8)) * size * 3) for i, v in enumerate(base)]
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in vectors], VECTORS.replace("float", "double"))
+    got = found(ann.nearest(df, F.col("vec_id") % 2 == 0, k=1, share=1.0))
+    assert {q: near[0][0] for q, near in got.items()} == {2 * i: 2 * i + 1 for i in range(30)}
+    assert all(0.99 < near[0][1] <= 1 + 1e-12 for near in got.values())
