@@ -84,7 +84,12 @@ def mine_rules(
     min_confidence: float = MIN_CONFIDENCE,
     most_tokens: int = MAX_TOKENS_IN_RULE,
 ) -> DataFrame:
-    """(rule, tokens, n, verdict, confidence, support) mined from ``labelled`` (tokens, verdict).
+    """(rule, tokens, n, verdict, confidence, support, alike) mined from ``labelled`` (tokens, verdict).
+
+    Tokens that occur in exactly the same rows (the query names of one URL
+    template, say) are mined as one item, else every subset of them would be
+    an itemset of its own; ``alike`` lists them for each token of a rule, and
+    any of them stands for it.
 
     A rule of several tokens stays only if its confidence exceeds that of
     every rule on a part of its tokens; so a frequent pair that adds nothing
@@ -92,14 +97,17 @@ def mine_rules(
     rows take no part, which bounds the rules whatever the number of rows.
     """
     spark = labelled.sparkSession
-    empty = "rule long, tokens array<string>, n int, verdict string, confidence double, support double"
+    empty = "rule long, tokens array<string>, n int, verdict string, confidence double, support double, alike array<array<string>>"
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("verdict="), "verdict"))).alias("items"))
-    baskets = saved(baskets.filter(F.size("items") > 1), "url-baskets")
+    baskets = saved(baskets.filter(F.size("items") > 1).withColumn("row", F.monotonically_increasing_id()), "url-baskets")
     rows = baskets.count()
     if rows < min_rows:
         return spark.createDataFrame([], empty)
     support = max(min_support, min_rows / rows)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
+    classes = _alike(baskets, support * rows)
+    others = [t for first, *rest in classes for t in rest]
+    mined = baskets.withColumn("items", F.array_except("items", F.lit(others))) if others else baskets
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(mined)
     is_verdict = F.element_at("consequent", 1).startswith("verdict=")
     of_tokens = ~F.exists("antecedent", lambda x: x.startswith("verdict="))
     found = model.associationRules.filter(is_verdict & of_tokens & (F.size("antecedent") <= most_tokens) & (F.col("lift") > 1.0))
@@ -127,14 +135,31 @@ def mine_rules(
         .select("tokens", "verdict").distinct()
     )
     kept = found.join(beaten, ["tokens", "verdict"], "left_anti")
+    sets = [x for members in classes for x in (F.lit(members[0]), F.lit(members))]
+    alike = F.transform("tokens", lambda t: F.coalesce(F.try_element_at(F.create_map(*sets), t), F.array(t)) if sets else F.array(t))
     return saved(
         kept.select(
-            F.xxhash64("tokens", "verdict").alias("rule"), "tokens", F.size("tokens").alias("n"), "verdict", "confidence", "support"
+            F.xxhash64("tokens", "verdict").alias("rule"), "tokens", F.size("tokens").alias("n"), "verdict", "confidence", "support",
+            alike.alias("alike"),
         ),
         "url-kept-rules",
     )
 
 
+def _alike(baskets: DataFrame, least: float) -> list[list[str]]:
+    """Tokens that occur in the same rows of ``baskets`` (row, items) as another one, in classes; the first stands for all.
+
+    Told by two sums of row hashes.  Only tokens in ``least`` rows or more are
+    looked at, so there are at most as many as (tokens of a mean row) / support.
+    """
+    each = baskets.select("row", F.explode("items").alias("token")).filter(~F.col("token").startswith("verdict="))
+    sums = each.groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("two")
+    )
+    same = sums.filter(F.col("n") >= least).groupBy("n", "one", "two").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    return sorted(r[0] for r in same.filter(F.size("tokens") > 1).select("tokens").collect())
+
+
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, mined): the verdict of the most confident rule all of whose tokens a URL has.
 
@@ -142,8 +167,8 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     support, then of more tokens, then of the smaller id.  URLs that no rule matches are
     left out.
     """
-    index = rules.select(F.explode("tokens").alias("token"), "rule")
-    seen = urls.select("url", F.explode("tokens").alias("token")).join(index, "token")
+    index = rules.select("rule", F.posexplode("alike").alias("place", "tokens")).select("rule", "place", F.explode("tokens").alias("token"))
+    seen = urls.select("url", F.explode("tokens").alias("token")).join(index, "token").select("url", "rule", "place").distinct()
     full = seen.groupBy("url", "rule").agg(F.count("*").cast("int").alias("n"))
     hits = full.join(rules.select("rule", "n", "verdict", "confidence", "support"), ["rule", "n"])
     best = hits.groupBy("url").agg(

@@ -80,6 +80,25 @@ def test_pruned_rules(spark):
         assert not any(other < t and v == w and c <= d for (other, w), d in conf.items())
 
 
+def test_thirty_query_names_are_one_item(spark):
+    """A template's query names occur together: no subset of them is mined, and any of them tells the template."""
+    names = [f"q{i}" for i in range(30)]
+    made, marks = [], []
+    for i in range(200):
+        spam = i % 2 == 0
+        query = "&".join(f"{n}={i}" for n in names) if spam else f"id={i}"
+        made.append((i, f"https://site{i % 5}.example.info/page?{query}", None))
+        marks.append((i, "block" if spam else "allow"))
+    pages, labels = spark.createDataFrame(made, PAGES), spark.createDataFrame(marks, "page_id long, verdict string")
+    tokens = uf.tokens(uf.F.col("url"), uf.host(uf.F.col("url")), uf.path(uf.F.col("url")))
+    mined = uf.mine_rules(pages.join(labels, "page_id").select(tokens.alias("tokens"), "verdict")).collect()
+    assert 0 < len(mined) < 50
+    assert any(sorted(f"query={n}" for n in names) == r.alike[0] for r in mined if r.n == 1 and r.verdict == "block")
+    more = spark.createDataFrame([(500, "https://other.example.org/x?q7=1", None), (501, "https://other.example.org/x?id=1", None)], PAGES)
+    got = {r.page_id: r.verdict for r in uf.judge_urls(pages.unionByName(more), labels).collect()}
+    assert got[500] == "block" and got[501] == "allow" and all(got[i] == v for i, v in marks)
+
+
 def test_no_python_in_the_plan(spark):
     pages, marks = labelled(spark, 40)
     plan = uf.judge_urls(pages, marks)._jdf.queryExecution().executedPlan().toString()
