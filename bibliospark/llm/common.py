@@ -55,15 +55,23 @@ SALTS = 32
 def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
     """``rows`` joined with the few rows that ``table`` has of their ``keys``, however many share a key.
 
-    Rows are dealt by key and a salt (from column ``by``); ``table`` is copied
-    only to the salts that occur, by way of one row per key and salt.  ``rows``
-    is read twice and should be written or cheap.
+    Where ``table`` is a written one that Spark broadcasts, that is all.
+    Otherwise rows are dealt by key and a salt (from column ``by``); ``table``
+    is copied only to the salts that occur, by way of one row per key and salt.
+    ``rows`` is then read twice and should be written or cheap.
     """
+    plan = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(plan)) <= _broadcast_bytes(table.sparkSession):
+        return rows.join(table, keys, how)
     salt = unused(rows, "salt")
     salted = rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)))
     return salted.join(salted.select(*keys, salt).distinct().join(table, keys), [*keys, salt], how).drop(salt)
 
 
+def _broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def hash_share(hash_: Column, share: Column | float) -> Column:
     """Whether a row is in the ``share`` of smallest 64-bit hashes.
 

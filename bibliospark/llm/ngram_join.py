@@ -122,8 +122,9 @@ def cells(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
     none = F.array().cast("array<bigint>")
     every = pairs.select("a", "b", F.explode(F.sequence(F.lit(-fragments // 2), F.lit(fragments // 2 - 1))).alias("fragment"))
     left = segments.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
-    right = segments.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-    # a leader stands in many pairs
+    # a leader stands in many pairs, and few are leaders
+    leaders = saved(pairs.select("b").distinct(), "ngram-leaders")
+    right = segments.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y")).join(leaders, "b", "left_semi")
     both = looked_up(every, right, ["b", "fragment"], "a", "left").join(left, ["a", "fragment"], "left")
     return both.select("a", "b", "fragment", F.coalesce("x", none).alias("x"), F.coalesce("y", none).alias("y"))
 
@@ -164,7 +165,7 @@ def linked_components(classes: DataFrame, percent: int, fragments: int = FRAGMEN
         "ngram-blocks",
     )
     leaders = blocks.groupBy("gram").agg(F.min(F.struct("apart", "id"))["id"].alias("leader"), F.count("*").alias("n"))
-    met = looked_up(blocks, leaders.filter("n > 1"), ["gram"], "id").filter("id <> leader")
+    met = blocks.join(leaders.filter("n > 1"), "gram").filter("id <> leader")
     met = saved(met.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-met")
     compared, counted = _compared(met, segments, ranked.select("id", "size"), percent, fragments)
     labels = components(counted.filter("linked").select("a", "b"))
@@ -212,12 +213,15 @@ def _shared_differences(compared: DataFrame, counted: DataFrame, labels: DataFra
     """(block, gram, a, size, apart, at, reach): the rarest differences of each member from its leader (the block),
     where members of several components share them; ``at`` is the position in the member's order."""
     state = saved(_labelled(counted, labels).withColumnRenamed("b", "block"), "ngram-state")
-    mixed = state.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    state = looked_up(state, mixed.filter("low <> high").select("block"), ["block"], "a")
+    between = [F.min("component").alias("low"), F.max("component").alias("high")]
+    mixed = saved(state.groupBy("block").agg(*between).filter("low <> high").select("block"), "ngram-mixed")
+    state = looked_up(state, mixed, ["block"], "a")
     differing = compared.select("a", F.col("b").alias("block"), F.explode("differing").alias("gram"))
-    differing = saved(state.join(differing, ["a", "block"]), "ngram-differing")
-    rare = differing.groupBy("block", "gram").agg(F.count("*").alias("df")).filter("df > 1")
-    # n-grams that nobody else differs in come first in the order, unseen: they move the others' positions up
+    differing = state.select("block", "a", "size_a", "apart", "component").join(differing, ["a", "block"])
+    differing = saved(differing, "ngram-differing")
+    # differences that no other component has come first in the order, unseen: they move the others' positions up
+    rare = differing.groupBy("block", "gram").agg(F.count("*").alias("df"), *between)
+    rare = saved(rare.filter("low <> high").select("block", "gram", "df"), "ngram-rare")
     ordered = looked_up(differing, rare, ["block", "gram"], "a").groupBy("block", "a", "size_a", "apart").agg(
         F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams")
     )
@@ -242,12 +246,13 @@ def _active(rows: DataFrame, labels: DataFrame) -> DataFrame:
     key, lead = ["block", "gram"], 2 * F.col("at") - F.col("apart")
     per = rows.groupBy(*key, "component").agg(F.count("*").alias("n"), F.min("apart").alias("near"), F.min(lead).alias("ahead"))
     per = saved(per, "ngram-standing")
-    best = per.groupBy(*key).agg(
+    best = saved(per.groupBy(*key).agg(
         F.count("*").alias("components"), F.max(F.struct("n", "component"))["component"].alias("largest"),
         F.min(F.struct("near", "component")).alias("near_1"), F.min(F.struct("ahead", "component")).alias("ahead_1"),
-    ).filter("components > 1")
+    ).filter("components > 1"), "ngram-best")
     elsewhere = lambda c: F.min(F.when(F.col("component") != F.col(f"{c}_1.component"), F.col(c))).alias(f"{c}_2")
     two = looked_up(per, best, key, "component").groupBy(*key, "largest", "near_1", "ahead_1").agg(elsewhere("near"), elsewhere("ahead"))
+    two = saved(two, "ngram-two")
     other = lambda c: F.when(F.col("component") == F.col(f"{c}_1.component"), F.col(f"{c}_2")).otherwise(F.col(f"{c}_1.{c}"))
     able = (lead + other("near") <= F.col("reach")) & (F.col("apart") + other("ahead") <= F.col("reach"))
     return looked_up(rows, two, key, "a").filter(able).select(*rows.columns, (F.col("component") == F.col("largest")).alias("inner"))
@@ -338,11 +343,12 @@ def near_duplicates(
     kept = classes.join(alone, "class_a", "left").filter(
         F.coalesce("alone", F.lit(0)) <= _allowance(F.col("size"), percent)
     )
-    kept = saved(kept.select("id", *key), "ngram-kept")
+    kept = saved(kept.select("id").distinct(), "ngram-kept")
     wanted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(
         kept.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
     )
-    whole = document_sets(wanted, n, None).withColumnRenamed("doc_id", "id").join(kept.select("id", *key), ["id", *key], "left_semi")
+    whole = document_sets(wanted, n, None).join(several, "doc_id", "left").filter(F.col("of").isNull() | (F.col("of") == own))
+    whole = whole.withColumnRenamed("doc_id", "id")
     whole = saved(whole.select("id", "size", "grams").dropDuplicates(["id"]), "ngram-whole")
     found = linked_components(whole, percent, fragments)
     members = classes.join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component"))
