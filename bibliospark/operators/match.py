@@ -270,25 +270,28 @@ def _literal_matches(tuples: DataFrame, literals: Sequence[str], hcols: Sequence
         return F.when(k > 0, keyed(i, F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
 
     columns = range(len(literals))
-    mine = written_once(tuples.select("_bs_t", F.explode(F.concat(*[needle_grams(i) for i in columns])).alias("_bs_key")), "name-grams")
+    mine = tuples.select("_bs_t", F.explode(F.concat(*[needle_grams(i) for i in columns])).alias("_bs_key"))
     lengths = [F.collect_set(F.least(F.char_length(x), F.lit(NAME_GRAM))) for x in literals]
     in_use = [sorted(set(ks) - {0}) for ks in tuples.agg(*lengths).first()]   # NAME_GRAM values at most
     grams = [keyed(i, _gram_array(F.col(hcols[i]), k)) for i in columns for k in in_use[i]]
     if not grams:
         return tuples.select("_bs_t", F.lit(None).cast(bcols.schema[build_id].dataType).alias(out)).limit(0)
     emitted = bcols.withColumn("_bs_key", F.explode(F.concat(*grams)))
-    wanted = written_once(mine.select("_bs_key").distinct(), "name-grams-wanted")
+    wanted = mine.select("_bs_key").distinct()
     counts = emitted.select("_bs_key").join(wanted, "_bs_key", "left_semi").groupBy("_bs_key").agg(F.count(F.lit(1)).alias("n"))
     rarest = mine.join(counts, "_bs_key", "left").groupBy("_bs_t").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_bs_key")).alias("x"))
     open_ = written_once(tuples.join(rarest.filter("x.n > 0").select("_bs_t", "x._bs_key"), "_bs_t"), "name-keys")
-    chosen = written_once(open_.select("_bs_key").distinct(), "name-keys-chosen")
-    hits = written_once(emitted.join(chosen, "_bs_key", "left_semi"), "name-hits")
-    found = []
-    for within in _id_ranges(bcols, build_id):
+    hits = emitted.join(open_.select("_bs_key").distinct(), "_bs_key", "left_semi")
+    found, ranges = [], _id_ranges(bcols, build_id)
+    if len(ranges) > 1:
+        hits = written_once(hits, "name-hits")
+    for i, within in enumerate(ranges):
         best = open_.join(hits.filter(within), "_bs_key").filter(verify).groupBy("_bs_t").agg(F.min(build_id).alias(out))
-        found.append(written_once(best, "name-matches"))
-        open_ = open_.join(found[-1], "_bs_t", "left_anti")
+        if i + 1 < len(ranges):
+            best = written_once(best, "name-matches")
+            open_ = open_.join(best, "_bs_t", "left_anti")
+        found.append(best)
     return reduce(DataFrame.unionByName, found)
 
 

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from bibliospark.operators import contains_pairs, first_match_contains, match, min_contained, rejected_patterns
 from bibliospark.session import written_once
@@ -206,3 +207,34 @@ def test_name_key_lengths(spark):
             if m:
                 want[k] = min(m)
         assert {r["k"]: r["author_id"] for r in out.collect()} == want
+
+
+def _rows_per_name(spark, names):
+    """Keyed rows that build rows of these names emit, by the plan's own explode."""
+    from bibliospark.operators.match import NAME_GRAM, _gram_array
+    df = spark.createDataFrame(names, "a string, b string")
+    grams = [_gram_array(F.col(c), k) for c in ("a", "b") for k in range(1, NAME_GRAM + 1)]
+    return df.select(F.explode(F.concat(*grams))).count() / len(names)
+
+
+def test_rows_are_linear_in_name_length(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    ten, forty = (_rows_per_name(spark, [(word(n), word(n)) for _ in range(50)]) for n in (10, 40))
+    assert forty <= 4 * 80 and forty <= 5 * ten
+
+
+def test_id_ranges_find_the_least_id(spark, monkeypatch):
+    """Many small ranges give what one gives; a tuple leaves with its first match."""
+    from bibliospark.operators import match
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(0, 7)))
+    build = [(i * 3, word(), word()) for i in range(400)]
+    probe = [(word(), word()) for _ in range(150)] + [("", ""), ("a", ""), ("", "cab"), ("zz", "a")]
+    monkeypatch.setattr(match, "FIRST_IDS", 5)
+    monkeypatch.setattr(match, "ID_GROWTH", 3)
+    b, p = spark.createDataFrame(build, "id long, x string, y string"), spark.createDataFrame(probe, "m string, n string")
+    assert len(match._id_ranges(b, "id")) == 5
+    got = {(r.m, r.n): r.id for r in match.first_match_contains(p, b, [("m", "x"), ("n", "y")], "id").collect()}
+    want = {(m, n): min((i for i, x, y in build if m in x and n in y), default=None) for m, n in probe}
+    assert got == {k: v for k, v in want.items() if v is not None}
