@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, hash_share, saved
 
 SAMPLE = 20_000  # vectors that the centroids are fitted on, at most
-LIST_ROWS = 800  # vectors of a list on average; 16 to 4096 lists
+LIST_ROWS = 800  # vectors of a list on average; 16 lists at least, and at most one per vector of the sample
 SHARE = 0.65  # of the lists that a query scans: recall 0.93 even for directions without any clusters
 CHUNK, BLOCK = 8192, 2048  # vectors and queries in one task's cell
 COLUMNS = 16  # dimensions scanned between two tests
@@ -139,11 +139,11 @@ def nearest(
     )
     asking = valid.filter("asks").select("vec_id", "h1", "h2").distinct()
 
-    # the quantizer: a bounded sample, a matrix and at most 4096 centroids
+    # the quantizer: a bounded sample, a matrix and at most as many centroids as the sample has vectors
     likely = searched.filter(hash_share(F.col("h1"), 2.0 * SAMPLE / searched.count()))
     sample = likely.orderBy("h1", "vec_id").limit(SAMPLE).select("v")
     rows = np.array([r[0] for r in sample.toLocalIterator()], np.float64)
-    lists = int(min(4096, max(16, total // LIST_ROWS)))
+    lists = int(max(16, total // LIST_ROWS))
     matrix = rotation(dims)
     centers = centroids(_unit(rows) @ matrix, lists).astype(np.float64)
     probes = max(1, int(np.ceil(share * len(centers))))
