@@ -16,6 +16,7 @@ from bibliospark.operators.audit import (
     audit_unique,
     reference_summary,
 )
+from bibliospark.operators.bloom import KeyFilter, filtered_in, filtered_not_in, key_filter
 from bibliospark.operators.clean import drop_columns, drop_nulls, head_n, min_length, nullify
 from bibliospark.operators.datedim import date_dimension, date_dimension_for
 from bibliospark.operators.dedupe import distinct_on, drop_all_duplicates, row_not_in

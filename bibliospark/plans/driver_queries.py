@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from bibliospark.functions import first_char, first_last, first_or_null, first_token, format_rfc1123, last_token
 from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN
 from bibliospark.operators import (
+    KeyFilter,
     audit_column,
     audit_key_space,
     author_ids,
@@ -36,6 +37,8 @@ from bibliospark.operators import (
     drop_columns,
     drop_nulls,
     enrich_by_lookup,
+    filtered_in,
+    filtered_not_in,
     first_match_contains,
     flatten_authors,
     flatten_versions,
@@ -43,6 +46,7 @@ from bibliospark.operators import (
     graph_nodes,
     head_n,
     join_star,
+    key_filter,
     left_join_null_safe,
     lookup_exact,
     min_contained,
@@ -59,7 +63,7 @@ from bibliospark.operators import (
 from bibliospark.operators.datedim import with_date_attributes
 from bibliospark.plans import pipeline_queries, source_queries
 from bibliospark.plans.warehouse_queries import lowest_ranked, proportions, rank_by_sum, star_stats, top_groups
-from bibliospark.session import written_once
+from bibliospark.session import scratch_path, written_once
 from bibliospark.sources import conform, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -275,6 +279,33 @@ def row_not_in_q(spark, sf):
     return row_not_in(ev.select("event_id", "event_type", "user_id"), top, ["event_type", "user_id"]).select("event_id")
 
 
+def _returned(spark, sf):
+    """(part, supplier) pairs that were ever returned, with the filter kept beside them."""
+    line = _t(spark, sf, "lineitem")
+    pairs = written_once(line.filter("l_returnflag = 'R'").select("l_partkey", "l_suppkey").distinct(), "returned")
+    path = scratch_path(spark, "returned-filter")
+    key_filter(pairs, ["l_partkey", "l_suppkey"]).save(path)
+    return line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), pairs, KeyFilter.load(spark, path)
+
+
+@query("filtered_not_in", """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE NOT EXISTS (
+      SELECT 1 FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem WHERE l_returnflag = 'R') r
+      WHERE p IS NOT DISTINCT FROM l_partkey AND s IS NOT DISTINCT FROM l_suppkey)""")
+def filtered_not_in_q(spark, sf):
+    line, pairs, kept = _returned(spark, sf)
+    return filtered_not_in(line, pairs, ["l_partkey", "l_suppkey"], kept)
+
+
+@query("filtered_in", """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE EXISTS (
+      SELECT 1 FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem WHERE l_returnflag = 'R') r
+      WHERE p IS NOT DISTINCT FROM l_partkey AND s IS NOT DISTINCT FROM l_suppkey)""")
+def filtered_in_q(spark, sf):
+    line, pairs, kept = _returned(spark, sf)
+    return filtered_in(line, pairs, ["l_partkey", "l_suppkey"], kept)
+
+
 # ------------------------------------------------------------------ joins
 
 @query("enrich_lookup", """

@@ -18,7 +18,7 @@ from bibliospark.functions.text import FIRST_TOKEN, LAST_TOKEN, first_token
 from bibliospark.operators import author_ids
 from bibliospark.plans import pipelines
 from bibliospark.plans.lazy import LazyTables
-from bibliospark.plans.warehouse_queries import gender_share
+from bibliospark.plans.warehouse_queries import gender_share, sample_queries
 from bibliospark.session import written_once
 from bibliospark.sources import read_table
 
@@ -133,6 +133,22 @@ def p2_bridge(spark: SparkSession, sf: str) -> DataFrame:
     return _tables(spark, sf)["bridge"]
 
 
+def p2_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return _tables(spark, sf)["versions"]
+
+
+def p2_final(spark: SparkSession, sf: str) -> DataFrame:
+    """The publication table, its reference counts joined back from the table of their own."""
+    t = _tables(spark, sf)
+    counts = t["reference_counts"].withColumnRenamed("reference_count", "counted")
+    return t["final"].join(counts, "id").select("id", "title", "comments", "doi", "reference_count", "counted",
+                                                "discipline", "publication_type", "journal")
+
+
+def p2_gender_data(spark: SparkSession, sf: str) -> DataFrame:
+    return _tables(spark, sf)["gender_data"]
+
+
 def p2_author_genders(spark: SparkSession, sf: str) -> DataFrame:
     return _tables(spark, sf)["author_genders"]
 
@@ -149,24 +165,108 @@ def p3_gender_share(spark: SparkSession, sf: str) -> DataFrame:
     return shares.select("discipline_name", *[F.round(c, 6).alias(c) for c in ("proportion_male", "proportion_female")])
 
 
+def _warehouse(spark: SparkSession, sf: str, *names: str) -> LazyTables:
+    """P3's tables; those named are written, as the runner does, since several joins read them."""
+    wh = pipelines.build_warehouse(_tables(spark, sf))
+    return wh | {name: written_once(wh[name], f"p3-{name}") for name in names}
+
+
+def p3_top_disciplines(spark: SparkSession, sf: str) -> DataFrame:
+    return sample_queries(_warehouse(spark, sf))["sq1_top_disciplines"]
+
+
+def p3_top_journals(spark: SparkSession, sf: str) -> DataFrame:
+    return sample_queries(_warehouse(spark, sf))["sq2_top_journals"]
+
+
+def p3_hindex(spark: SparkSession, sf: str) -> DataFrame:
+    return sample_queries(_warehouse(spark, sf))["sq4_hindex"].withColumnsRenamed({"Surname": "surname", "Names": "names"})
+
+
+def p3_audits(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.audit_key_rows(_warehouse(spark, sf, "fact_publications", "bridge_author_publications"))
+
+
 def p4_edges(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.build_graph(_tables(spark, sf))["edges"]
 
 
+def p4_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per property of a node."""
+    nodes = pipelines.build_graph(_tables(spark, sf))["nodes"]
+    return nodes.select("label", "node_id", F.explode("props").alias("prop", "value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_clean, p2_authors, p2_bridge, p2_author_genders, p3_fact, p3_gender_share, p4_edges)
+    f.__name__: f for f in (p1_clean, p2_authors, p2_bridge, p2_versions, p2_final, p2_gender_data, p2_author_genders, p3_fact,
+                            p3_gender_share, p3_top_disciplines, p3_top_journals, p3_hindex, p3_audits, p4_edges, p4_nodes)
 }
 
+_FACT_SQL = f"""{_PUBS_SQL},
+    fact AS (SELECT p.id AS publication_id, CAST(reference_count AS BIGINT) AS reference_count, d.id AS discipline_id,
+                    t.id AS publication_type_id, j.id AS journal_id
+             FROM pubs p LEFT JOIN {_ids('discipline')} d ON p.discipline = d.name
+             LEFT JOIN {_ids('publication_type')} t ON p.publication_type = t.name LEFT JOIN {_ids('journal')} j ON p.journal = j.name)"""
+
+_FULL_SQL = f"""{_PUBS_SQL},
+    final AS (SELECT p.id, c.title, nullif(c.comments, 'None') AS comments, c.doi, p.reference_count, p.discipline,
+                     p.publication_type, p.journal FROM pubs p JOIN clean c USING (id))"""
+
+
+def _key_violations(name: str, table: str, key: str) -> str:
+    """A violation per key that occurs twice, and one for null."""
+    return f"SELECT '{name}' AS audit, count(*) AS violations FROM (SELECT {key} FROM {table} GROUP BY 1 HAVING count(*) > 1 OR {key} IS NULL)"
+
+
+def _orphans(name: str, child: str, key: str, parent: str, parent_key: str) -> str:
+    return f"""SELECT '{name}', count(*) FROM {child} c
+               WHERE c.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{parent_key} = c.{key})"""
+
+
+def _misfits(name: str, most: int) -> str:
+    return f"SELECT '{name}_name', count(*) FROM (SELECT name FROM {name}_dim) WHERE name IS NULL OR length(name) > {most}"
+
+
+def _props(label: str, table: str, key: str, props: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{label}' AS label, CAST({key} AS VARCHAR) AS node_id, '{p}' AS prop, CAST({e} AS VARCHAR) AS value FROM {table}"
+                              for p, e in props.items())
+
+
 ORACLE = {
     "p1_clean": f"WITH {RECORDS_SQL} SELECT id, title, doi, publ_date, publ_lastupdate FROM clean",
     "p2_authors": f"WITH {_PUBS_SQL} SELECT author_id, surname, names FROM authors",
     "p2_bridge": f"WITH {_BRIDGE_SQL} SELECT publication_id, author_id FROM bridge",
     "p2_author_genders": f"WITH {_GENDERS_SQL} SELECT author_id, gender FROM genders",
-    "p3_fact": f"""WITH {_PUBS_SQL}
-        SELECT p.id AS publication_id, CAST(reference_count AS BIGINT) AS reference_count, d.id AS discipline_id,
-               t.id AS publication_type_id, j.id AS journal_id
-        FROM pubs p LEFT JOIN {_ids('discipline')} d ON p.discipline = d.name
-        LEFT JOIN {_ids('publication_type')} t ON p.publication_type = t.name LEFT JOIN {_ids('journal')} j ON p.journal = j.name""",
+    "p2_versions": f"""WITH {_PUBS_SQL}, given AS (SELECT c.* FROM pubs p JOIN clean c USING (id))
+        SELECT id, strptime(publ_date, '%a, %-d %b %Y %H:%M:%S GMT') AS version FROM given
+        UNION ALL SELECT id, strptime(publ_lastupdate, '%a, %-d %b %Y %H:%M:%S GMT') FROM given""",
+    "p2_final": f"""WITH {_FULL_SQL}
+        SELECT id, title, comments, doi, reference_count, reference_count AS counted, discipline, publication_type, journal FROM final""",
+    "p2_gender_data": f"""WITH {_GENDERS_SQL}
+        SELECT DISTINCT firstname, gender FROM sub JOIN lookup USING (firstname) WHERE firstname <> '' AND NOT contains(firstname, '.')""",
+    "p3_fact": f"""WITH {_FACT_SQL}
+        SELECT publication_id, reference_count, discipline_id, publication_type_id, journal_id FROM fact""",
+    "p3_top_disciplines": f"""WITH {_PUBS_SQL}
+        SELECT discipline AS discipline_name, count(*) AS total_publications FROM pubs WHERE discipline IS NOT NULL
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
+    "p3_top_journals": f"""WITH {_PUBS_SQL}
+        SELECT journal AS journal_name, count(*) AS total_publications FROM pubs WHERE journal IS NOT NULL
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""",
+    "p3_hindex": f"""WITH {_BRIDGE_SQL},
+        sums AS (SELECT b.author_id, sum(reference_count) AS total FROM pubs p JOIN bridge b ON b.publication_id = p.id GROUP BY 1),
+        ranked AS (SELECT author_id, rank() OVER (ORDER BY total DESC NULLS FIRST) AS hindex FROM sums)
+        SELECT author_id, surname, names, hindex FROM ranked JOIN authors USING (author_id) ORDER BY hindex DESC, author_id LIMIT 5""",
+    "p3_audits": f"""WITH {_GENDERS_SQL}, {_BRIDGE_SQL.removeprefix(_PUBS_SQL).lstrip(',')}, {_FACT_SQL.removeprefix(_PUBS_SQL).lstrip(',')},
+        discipline_dim AS {_ids('discipline')}, publication_type_dim AS {_ids('publication_type')}, journal_dim AS {_ids('journal')}
+        {_key_violations('dim_author_pk', 'authors', 'author_id')}
+        UNION ALL {_orphans('dim_gender_fk', 'genders', 'author_id', 'authors', 'author_id')}
+        UNION ALL {_orphans('bridge_author_fk', 'bridge', 'author_id', 'authors', 'author_id')}
+        UNION ALL {_key_violations('fact_pk', 'fact', 'publication_id')}
+        UNION ALL {_orphans('bridge_publication_fk', 'bridge', 'publication_id', 'fact', 'publication_id')}
+        UNION ALL {_orphans('versions_fk', 'pubs', 'id', 'fact', 'publication_id')}
+        UNION ALL """ + " UNION ALL ".join(
+            f"{_key_violations(f'dim_{n}_pk', f'{n}_dim', 'id')} UNION ALL {_orphans(f'fact_{n}_fk', 'fact', f'{n}_id', f'{n}_dim', 'id')}"
+            f" UNION ALL {_misfits(n, pipelines.NAME_LIMITS[n][1])}" for n in pipelines.NAME_LIMITS),
     "p3_gender_share": f"""WITH {_GENDERS_SQL}, {_BRIDGE_SQL.removeprefix(_PUBS_SQL).lstrip(',')}
         SELECT discipline AS discipline_name,
                round(sum(CASE WHEN gender = 'male' THEN 1 ELSE 0 END) / count(DISTINCT b.author_id)::DOUBLE, 6) AS proportion_male,
@@ -184,4 +284,8 @@ ORACLE = {
         FROM pubs p JOIN {_seen('journal')} x ON p.journal IS NOT DISTINCT FROM x.name
         UNION ALL SELECT 'journal', CAST(x.id AS VARCHAR), 'PUBLISH', 'publication', CAST(p.id AS VARCHAR)
         FROM pubs p JOIN {_seen('journal')} x ON p.journal IS NOT DISTINCT FROM x.name""",
+    "p4_nodes": f"""WITH {_FULL_SQL}, {', '.join(f"{n}_node AS {_seen(n)}" for n in pipelines.NAME_LIMITS)}
+        {_props('author', 'authors', 'author_id', {'names': 'names', 'surname': 'surname'})}
+        UNION ALL {_props('publication', 'final', 'id', {c: c for c in ('title', 'comments', 'doi', 'reference_count')})}
+        UNION ALL """ + " UNION ALL ".join(_props(n, f"{n}_node", "id", {f"{n}_name": "name"}) for n in pipelines.NAME_LIMITS),
 }

@@ -264,11 +264,10 @@ def audit_warehouse(wh: dict[str, DataFrame], strict: bool = False) -> dict[str,
 NAME_LIMITS = {"journal": (True, 50), "discipline": (False, 100), "publication_type": (False, 100)}
 
 
-def audit_key_counts(wh: Mapping[str, DataFrame], observed: Mapping[str, int] | None = None) -> dict[str, int]:
-    """The counts of ``audit_counts(audit_warehouse(wh))`` with one shuffle per
+def audit_key_rows(wh: Mapping[str, DataFrame], name_limits: bool = True) -> DataFrame:
+    """(audit, violations) of every declared constraint, with one shuffle per
     key space (author, publication, and the three dimensions) instead of one
-    or two per constraint, all in one job.  ``observed`` has the violations of
-    the name limits where the writes counted them (``save_observed``)."""
+    or two per constraint.  ``name_limits=False`` leaves the names' limits out."""
     da, dg, dj = wh["dim_author"], wh["dim_gender"], wh["dim_journal"]
     dd, dp, fact = wh["dim_discipline"], wh["dim_publication_type"], wh["fact_publications"]
     bridge, versions = wh["bridge_author_publications"], wh["dim_versions"]
@@ -281,12 +280,19 @@ def audit_key_counts(wh: Mapping[str, DataFrame], observed: Mapping[str, int] |
     for name, dim in (("journal", dj), ("discipline", dd), ("publication_type", dp)):
         spaces.append(audit_key_space({f"dim_{name}_pk": (dim, f"{name}_id")},
                                       {f"fact_{name}_fk": (fact, f"{name}_id", f"dim_{name}_pk")}))
-    if observed is None:
+    if name_limits:
         for (name, (not_null, most)), dim in zip(NAME_LIMITS.items(), (dj, dd, dp)):
             seen = audit_column(dim, f"{name}_name", not_null=not_null, max_len=most)
             spaces.append(seen.select(F.lit(f"{name}_name").alias("audit"),
                                       F.coalesce(F.col("null_rows") + F.col("too_long_rows"), F.lit(0)).alias("violations")))
-    rows = reduce(DataFrame.unionByName, spaces).collect()   # one row per audit
+    return reduce(DataFrame.unionByName, spaces)
+
+
+def audit_key_counts(wh: Mapping[str, DataFrame], observed: Mapping[str, int] | None = None) -> dict[str, int]:
+    """The counts of ``audit_counts(audit_warehouse(wh))`` by ``audit_key_rows``,
+    all in one job.  ``observed`` has the violations of the name limits where
+    the writes counted them (``save_observed``)."""
+    rows = audit_key_rows(wh, name_limits=observed is None).collect()   # one row per audit
     return {r.audit: r.violations for r in rows} | dict(observed or {})
 
 

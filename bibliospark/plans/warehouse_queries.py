@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from bibliospark.operators.aggregates import avg_by, count_by, proportion_by
 from bibliospark.operators.joins import join_star
 from bibliospark.operators.ordering import global_rank, top_k
+from bibliospark.plans.lazy import LazyTables
 
 
 def top_groups(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, name_col: str, count_col: str,
@@ -75,18 +76,24 @@ def star_stats(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], grou
 
 # ------------------------------------------------- over the built warehouse
 
-def sample_queries(wh: dict) -> dict[str, DataFrame]:
-    """SQ1-SQ4 over ``pipelines.build_warehouse`` output."""
-    fact, bridge = wh["fact_publications"], wh["bridge_author_publications"]
-    dd, dj, da, dg = wh["dim_discipline"], wh["dim_journal"], wh["dim_author"], wh["dim_gender"]
-    return {
-        "sq1_top_disciplines": top_groups(dd, fact, "discipline_id", "discipline_id", "discipline_name",
-                                          "publication_id", 5),
-        "sq2_top_journals": top_groups(dj, fact, "journal_id", "journal_id", "journal_name", "publication_id", 3),
-        "sq3_gender_share": gender_share(dd, fact, bridge, da, dg),
-        "sq4_hindex": lowest_ranked(rank_by_sum(fact, bridge, "publication_id", "publication_id", "author_id",
-                                                "reference_count"), da, "author_id", "author_id", ["Names", "Surname"], 5),
-    }
+def sample_queries(wh: Mapping[str, DataFrame]) -> LazyTables:
+    """SQ1-SQ4 over ``pipelines.build_warehouse`` output, each built (with the
+    warehouse tables that it reads) when it is asked for."""
+
+    def hindex() -> DataFrame:
+        ranked = rank_by_sum(wh["fact_publications"], wh["bridge_author_publications"], "publication_id", "publication_id",
+                             "author_id", "reference_count")
+        return lowest_ranked(ranked, wh["dim_author"], "author_id", "author_id", ["Names", "Surname"], 5)
+
+    return LazyTables({
+        "sq1_top_disciplines": lambda: top_groups(wh["dim_discipline"], wh["fact_publications"], "discipline_id", "discipline_id",
+                                                  "discipline_name", "publication_id", 5),
+        "sq2_top_journals": lambda: top_groups(wh["dim_journal"], wh["fact_publications"], "journal_id", "journal_id",
+                                               "journal_name", "publication_id", 3),
+        "sq3_gender_share": lambda: gender_share(wh["dim_discipline"], wh["fact_publications"], wh["bridge_author_publications"],
+                                                 wh["dim_author"], wh["dim_gender"]),
+        "sq4_hindex": hindex,
+    })
 
 
 def gender_share(dim_discipline: DataFrame, fact: DataFrame, bridge: DataFrame, dim_author: DataFrame,
