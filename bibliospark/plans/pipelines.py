@@ -50,6 +50,7 @@ from bibliospark.operators import (
     relations,
 )
 from bibliospark.plans.lazy import LazyTables
+from bibliospark.session import written_once
 
 # Fixed values taken over from the reference's behaviour.
 DROPPED_SOURCE_FIELDS = ["abstract", "update_date", "license"]
@@ -208,7 +209,8 @@ def build_warehouse(tables: Mapping[str, DataFrame], dim_mode: str = "distinct",
     # of all publications would otherwise square that third).
     def least_id(name: str) -> tuple[DataFrame, str, str]:
         least = dimension(name).groupBy(f"{name}_name").agg(F.min(f"{name}_id").alias(f"{name}_id"))
-        return least, name, f"{name}_name"
+        # written, so that the planner knows its size: publications are not shuffled by a few names where it is small
+        return written_once(least, f"least-{name}"), name, f"{name}_name"
 
     def fact() -> DataFrame:
         ids = ("discipline_id", "publication_type_id", "journal_id")

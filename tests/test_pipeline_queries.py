@@ -1,10 +1,10 @@
-"""The records that the pipeline queries derive, and what their plans evaluate."""
+"""The records that the pipeline queries derive, and what their plans read and shuffle."""
 
 import random
 import re
 import unicodedata
 
-from bibliospark.plans import pipeline_queries
+from bibliospark.plans import pipeline_queries, pipelines
 
 PARTS = list("aÉß ж漢 1-.\n\t") + [" ", "  ", " \n ", "\U0001F600", "\U00010400", "é", "12 - ", "word ", "two-part "]
 
@@ -38,3 +38,13 @@ def test_gender_lookup_splits_no_whole_text(spark, tmp_dir):
     lookup = pipeline_queries.gender_lookup(spark, tmp_dir)
     assert "split(" not in lookup._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r) for r in lookup.collect()} == {("Doe", None), ("Ann", None)}
+
+
+def test_fact_shuffles_publications_by_their_id_alone(spark):
+    final = spark.createDataFrame([(1, "t", "c", "d", 5, "x", "p", "J"), (2, "t", "c", "d", None, None, "p", "K"), (2, "t", "c", "d", 7, "x", None, "J")],
+                                  "id long, title string, comments string, doi string, reference_count long, discipline string, publication_type string, journal string")
+    for mode in ("distinct", "per_row"):
+        fact = pipelines.build_warehouse({"final": final}, dim_mode=mode)["fact_publications"]
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"hashpartitioning\((\w+)#", plan)) == {"publication_id"}
+        assert sorted(r.publication_id for r in fact.collect()) == [1, 2]
