@@ -27,6 +27,12 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def checkpoint_dir(spark):
+    """A folder per module: tests that list intermediates see no other module's."""
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bibliospark-test-ckpt-"))
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="bibliospark-test-")
